@@ -1,0 +1,6 @@
+"""Queries on the given tables."""
+
+from corpusgate.bindings import expressions, intake  # noqa: F401
+from corpusgate.bindings.base import COVERS, ORACLES, QUERIES
+
+__all__ = ["COVERS", "ORACLES", "QUERIES"]

@@ -41,8 +41,7 @@ def segments(docs: DataFrame, doc_id: str, text: str, start: str = DECLARATION_S
     carried as ``previous``.
     """
     marked = F.regexp_replace(F.col(text), start, MARK + "$1" + NAME_END)
-    parts = F.split(marked, MARK)
-    pieces = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
+    pieces = F.filter(F.split(marked, MARK), lambda p, i: i > 0)
     named = F.transform(
         pieces,
         lambda p: F.struct(
@@ -51,28 +50,37 @@ def segments(docs: DataFrame, doc_id: str, text: str, start: str = DECLARATION_S
         ),
     )
     has_body = F.filter(
-        F.transform(named, lambda s, i: F.when(F.contains(s["rest"], F.lit(":=")), i)), lambda i: i.isNotNull()
+        F.transform("__named", lambda s, i: F.when(F.contains(s["rest"], F.lit(":=")), i)),
+        lambda i: i.isNotNull(),
     )
-
-    def source(i: Column) -> Column:
-        """Index of the piece whose ``:=`` opens the body of start ``i``: its own or the next one's."""
-        own = F.contains(F.get(named, i)["rest"], F.lit(":="))
-        return F.when(own, i).otherwise(F.array_min(F.filter(has_body, lambda j: j >= i)))
-
     starts = F.filter(
-        F.transform(named, lambda s, i: F.struct(s["name"].alias("name"), source(i).alias("at"))),
+        F.transform(
+            "__named",
+            lambda s, i: F.struct(
+                s["name"].alias("name"),
+                F.when(F.contains(s["rest"], F.lit(":=")), i)
+                .otherwise(F.array_min(F.filter("__open", lambda j: j >= i)))
+                .alias("at"),
+            ),
+        ),
         lambda s: s["at"].isNotNull(),
     )
     bodies = F.transform(
-        starts,
+        "__starts",
         lambda s, i: F.struct(
             i.alias("pos"),
             s["name"].alias("name"),
-            _body(F.get(named, s["at"])["rest"], end).alias("body"),
-            F.when(i > 0, F.get(starts, i - 1)["name"]).alias("previous"),
+            _body(F.get(F.col("__named"), s["at"])["rest"], end).alias("body"),
+            F.when(i > 0, F.get(F.col("__starts"), i - 1)["name"]).alias("previous"),
         ),
     )
-    return docs.select(doc_id, F.inline(bodies))
+    # Separate steps keep each array computed once per document.
+    return (
+        docs.select(doc_id, named.alias("__named"))
+        .withColumn("__open", has_body)
+        .withColumn("__starts", starts)
+        .select(doc_id, F.inline(bodies))
+    )
 
 
 def _body(rest: Column, end: str) -> Column:
@@ -202,8 +210,7 @@ def headings(
     ``body`` is the text up to the next heading.
     """
     marked = F.regexp_replace(F.col(text), heading, MARK + "$1" + NAME_END)
-    parts = F.split(marked, MARK)
-    pieces = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
+    pieces = F.filter(F.split(marked, MARK), lambda p, i: i > 0)
     rows = docs.select(doc_id, F.posexplode(pieces).alias("__at", "__piece"))
     title = c.strip(F.regexp_replace(F.substring_index("__piece", NAME_END, 1), "(?s)<[^>]*>", ""))
     out = rows.select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusgate.functions import columns as c
 
-N = F.lit(1)
+N = "*"
 
 
 def with_totals(per_group: DataFrame, group: str, measures: Sequence[str], level: str = "is_total") -> DataFrame:

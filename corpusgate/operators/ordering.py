@@ -44,9 +44,9 @@ def all_duplicates(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("__n"))
         .where("__n > 1")
-        .select(*keys, F.lit(True).alias("__many"))
+        .select(*keys, F.lit(True).alias("__repeated"))
     )
-    return df.join(many, list(keys), "left").withColumn(flag, F.coalesce("__many", F.lit(False))).drop("__many")
+    return df.join(many, list(keys), "left").withColumn(flag, F.coalesce("__repeated", F.lit(False))).drop("__repeated")
 
 
 def _all_present(keys: Sequence[str]) -> Column:

@@ -365,20 +365,20 @@ def contains_join(
         "__anchor",
         F.explode(F.array_distinct(F.regexp_extract_all("__hay", F.lit("[A-Za-z0-9]+"), F.lit(0)))),
     ).join(by_word, "__anchor")
-    sized = by_piece.withColumn("__q", F.least(F.length("__needle"), F.lit(3))).withColumn(
-        "__anchor", F.col("__needle").substr(F.lit(1), F.col("__q"))
+    sized = by_piece.withColumn("__width", F.least(F.length("__needle"), F.lit(3))).withColumn(
+        "__anchor", F.col("__needle").substr(F.lit(1), F.col("__width"))
     )
-    piece_texts = hay.where(by_piece.exists()).withColumn("__q", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
+    piece_texts = hay.where(by_piece.exists()).withColumn("__width", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
     pieces = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length("__hay") - F.col("__q") + 1, F.lit(1))),
-        lambda i: F.col("__hay").substr(i, F.col("__q")),
+        F.sequence(F.lit(1), F.greatest(F.length("__hay") - F.col("__width") + 1, F.lit(1))),
+        lambda i: F.col("__hay").substr(i, F.col("__width")),
     )
-    lengths = sized.select("__q").distinct()
+    lengths = sized.select("__width").distinct()
     piece_hits = (
-        piece_texts.join(lengths, "__q", "left_semi")
+        piece_texts.join(lengths, "__width", "left_semi")
         .withColumn("__anchor", F.explode(F.array_distinct(pieces)))
-        .join(sized, ["__q", "__anchor"])
-        .drop("__q")
+        .join(sized, ["__width", "__anchor"])
+        .drop("__width")
     )
     both = word_hits.unionByName(piece_hits)
     return both.where(F.contains("__hay", F.col("__needle"))).drop("__anchor", "__hay", "__needle")
@@ -389,12 +389,12 @@ def search_rows(rows: DataFrame, fields: Sequence[str], queries: DataFrame, quer
 
     Returns the row beside each query that occurs in any of the fields.
     """
-    wanted = queries.where(c.not_blank(query)).withColumn("__q", c.strip(query))
+    wanted = queries.where(c.not_blank(query)).withColumn("__query", c.strip(query))
     sep = "\u0001"
     joined = rows.withColumn(
         "__all", F.concat_ws(sep, *[F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields])
     )
-    return contains_join(joined, "__all", wanted, "__q", ignore_case=True).drop("__all", "__q")
+    return contains_join(joined, "__all", wanted, "__query", ignore_case=True).drop("__all", "__query")
 
 
 def search_index(rows: DataFrame, row_id: str, group: str, text: str, width: int = 200) -> DataFrame:
