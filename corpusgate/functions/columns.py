@@ -432,7 +432,9 @@ def parse_instant(text: ColumnOrName) -> Column:
 
 
 def seconds_between(start: ColumnOrName, end: ColumnOrName) -> Column:
-    return (F.unix_micros(_c(end)) - F.unix_micros(_c(start))) / F.lit(1_000_000.0)
+    """Seconds from start to end; zone-less timestamps are read in the session time zone."""
+    first, last = (F.unix_micros(_c(x).cast("timestamp")) for x in (start, end))
+    return (last - first) / F.lit(1_000_000.0)
 
 
 def instant_text(ts: ColumnOrName) -> Column:

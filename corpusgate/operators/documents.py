@@ -235,7 +235,7 @@ def section_formulas(
 ) -> DataFrame:
     """Formulas of each section and at most ``cap`` of their symbols (sorted, so the cap is stable)."""
     found = F.filter(F.regexp_extract_all(body, F.lit(formula), F.lit(1)), lambda f: f != "")
-    symbols = F.sort_array(F.array_distinct(F.flatten(F.transform(found, formula_symbols))))
+    symbols = F.sort_array(F.array_distinct(F.flatten(F.transform(found, lambda f: formula_symbols(f)))))
     return sections.select(
         *keys,
         F.transform(found, lambda f: F.substring(f, 1, width)).alias("candidate_equations"),

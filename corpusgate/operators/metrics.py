@@ -329,11 +329,14 @@ def reviewer_report(claims: DataFrame, status: str, notes: str, kind: str) -> Da
     """Claim counts as rows ``(section, key, n)``: by status, by dispute notes, by value kind."""
     s = c.filled(c.strip(status), "unparsed")
     noted = F.when(c.not_blank(notes), "with_notes").otherwise("without_notes")
+    def entry(section: str, key: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), key.alias("key"))
+
     entries = F.array(
-        F.struct(F.lit("status").alias("section"), s.alias("key")),
-        F.struct(F.lit("disputed"), F.when(s == "disputed", noted)),
-        F.struct(F.lit("invalid_status"), F.when(~s.isin(list(c.CLAIM_STATUSES)), s)),
-        F.struct(F.lit("value_kind"), c.blank_to_null(kind)),
+        entry("status", s),
+        entry("disputed", F.when(s == "disputed", noted)),
+        entry("invalid_status", F.when(~s.isin(list(c.CLAIM_STATUSES)), s)),
+        entry("value_kind", c.blank_to_null(kind)),
     )
     rows = claims.select(F.inline(entries))
     return rows.where("key is not null").groupBy("section", "key").agg(F.count(N).alias("n"))
