@@ -196,7 +196,7 @@ WHERE ({KEYWORDS.format(w="License")}) + ({KEYWORDS.format(w="the")}) > 0
 """,
 )
 def keyword_counts(t: Tables) -> DataFrame:
-    return documents.keyword_counts(t.documents, "doc_id", "text", ["License", "the"])
+    return documents.keyword_counts(t.spread("documents"), "doc_id", "text", ["License", "the"])
 
 
 @query(
@@ -208,7 +208,7 @@ FROM documents GROUP BY ROLLUP (source)
 """,
 )
 def keyword_totals_by_source(t: Tables) -> DataFrame:
-    return documents.keyword_totals(t.documents, "text", ["License", "the"], "source")
+    return documents.keyword_totals(t.spread("documents"), "text", ["License", "the"], "source")
 
 
 LATENCY = """SELECT user_id, min(ts) FILTER (event_type = 'signup') AS a, min(ts) FILTER (event_type = 'purchase') AS b FROM events GROUP BY 1"""
@@ -293,7 +293,7 @@ SELECT count(*) FILTER (contains(lower(text), 'license') AND contains(lower(text
 )
 def error_document_count(t: Tables) -> DataFrame:
     low = F.lower("text")
-    words = t.documents.agg(F.count_if(F.contains(low, F.lit("license")) & F.contains(low, F.lit("under"))).alias("by_words"))
+    words = t.spread("documents").agg(F.count_if(F.contains(low, F.lit("license")) & F.contains(low, F.lit("under"))).alias("by_words"))
     return words.withColumn("recorded", t.labels.where("toxic = 1").agg(F.count(N)).scalar())
 
 
@@ -499,7 +499,7 @@ SELECT l_orderkey, {FINGERPRINT} AS build_hash FROM (SELECT l_orderkey, sha256(c
 """,
 )
 def order_fingerprint(t: Tables) -> DataFrame:
-    rows = t.lineitem.select("l_orderkey", agg.row_digest("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag").alias("d"))
+    rows = t.spread("lineitem").select("l_orderkey", agg.row_digest("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag").alias("d"))
     return rows.groupBy("l_orderkey").agg(agg.multiset_fingerprint(F.col("d")).alias("build_hash"))
 
 

@@ -205,10 +205,10 @@ SELECT d.doc_id, q.query FROM documents d JOIN q ON trim(q.query) <> ''
 )
 def search_many(t: Tables) -> DataFrame:
     words = t.part.select(F.explode(F.split("p_name", " ")).alias("query"))
-    langs = t.documents.select(F.upper("lang").alias("query"))
+    langs = t.spread("documents").select(F.upper("lang").alias("query"))
     blank = t.region.select(F.lit(" ").alias("query"))
     wanted = words.union(langs).union(blank).distinct()
-    rows = similarity.search_index(t.documents, "doc_id", "source", "text").join(t.documents.select("doc_id", "lang"), "doc_id")
+    rows = similarity.search_index(t.spread("documents"), "doc_id", "source", "text").join(t.spread("documents").select("doc_id", "lang"), "doc_id")
     return similarity.search_rows(rows, ["snippet", "source", "lang"], wanted, "query").select("doc_id", "query")
 
 
@@ -476,7 +476,7 @@ SELECT doc_id, ((length(text) - length(replace(text, 'er', ''))) / 2)::BIGINT AS
 """,
 )
 def literal_counts(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", c.literal_count("text", F.lit("er")).alias("n_er"), c.truncated("text", 200).alias("shown"))
+    return t.spread("documents").select("doc_id", c.literal_count("text", F.lit("er")).alias("n_er"), c.truncated("text", 200).alias("shown"))
 
 
 @query(

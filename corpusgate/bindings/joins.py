@@ -146,7 +146,7 @@ FROM l GROUP BY 1
 """,
 )
 def resolve_page_links(t: Tables) -> DataFrame:
-    child = t.pages.select(
+    child = t.spread("pages").select(
         "page_id",
         F.regexp_extract_all("html", F.lit('href="(/[^"]*)"'), F.lit(1)).alias("links"),
         F.array(F.lit("/ghost")).alias("pending"),
@@ -321,8 +321,8 @@ WHERE ref NOT IN (SELECT concat('/', unnest(regexp_extract_all(text, '[A-Za-z]+'
 """,
 )
 def missing_routes(t: Tables) -> DataFrame:
-    wanted = t.pages.select(F.explode(F.regexp_extract_all("html", F.lit('href="(/[^"]*)"'), F.lit(1))).alias("path"))
-    return linking.missing_routes(wanted, _word_paths(t.documents, "path"))
+    wanted = t.spread("pages").select(F.explode(F.regexp_extract_all("html", F.lit('href="(/[^"]*)"'), F.lit(1))).alias("path"))
+    return linking.missing_routes(wanted, _word_paths(t.spread("documents"), "path"))
 
 
 @query(
@@ -458,7 +458,7 @@ SELECT doc_id, item_id, score, rank::INT AS rank FROM (SELECT *, row_number() OV
 """,
 )
 def suggest_benchmark_for_documents(t: Tables) -> DataFrame:
-    return similarity.suggest_by_overlap(t.documents, "doc_id", "text", t.benchmark, "item_id", "text", "item_id")
+    return similarity.suggest_by_overlap(t.spread("documents"), "doc_id", "text", t.benchmark, "item_id", "text", "item_id")
 
 
 CONV_TOK = TOKENS.format(id="conv_id, turn", text="text", table="conversations WHERE role = '{role}'")
@@ -476,8 +476,8 @@ SELECT conv_id, turn, reply, score, rank::INT AS rank FROM (SELECT *, row_number
 """,
 )
 def suggest_replies_in_conversation(t: Tables) -> DataFrame:
-    users = t.conversations.where("role = 'user'").select("conv_id", "turn", "text")
-    replies = t.conversations.where("role = 'assistant'").select("conv_id", F.col("turn").alias("reply"), "text")
+    users = t.spread("conversations").where("role = 'user'").select("conv_id", "turn", "text")
+    replies = t.spread("conversations").where("role = 'assistant'").select("conv_id", F.col("turn").alias("reply"), "text")
     return similarity.suggest_by_overlap(users, "turn", "text", replies, "reply", "text", "reply", ["conv_id"], k=2)
 
 
@@ -498,7 +498,7 @@ pairs AS (SELECT lang, a, b, k / (na + nb - k) AS similarity, n_a, n_b, n_a * n_
     f"WITH {ND_SQL} SELECT lang, a, b, similarity::DOUBLE AS similarity, n_a, n_b, n_pairs::BIGINT AS n_pairs FROM pairs",
 )
 def near_duplicate_documents(t: Tables) -> DataFrame:
-    return similarity.near_duplicates(t.documents, "doc_id", ["lang"], "text")
+    return similarity.near_duplicates(t.spread("documents"), "doc_id", ["lang"], "text")
 
 
 @query(
@@ -507,7 +507,7 @@ def near_duplicate_documents(t: Tables) -> DataFrame:
     f"WITH {ND_SQL} SELECT s.doc_id AS row_id, c.id AS class_id FROM sets s JOIN cls c USING (lang, s)",
 )
 def exact_copy_classes(t: Tables) -> DataFrame:
-    _, members = similarity.token_classes(t.documents, "doc_id", ["lang"], "text")
+    _, members = similarity.token_classes(t.spread("documents"), "doc_id", ["lang"], "text")
     return members
 
 
@@ -526,7 +526,7 @@ SELECT a AS doc_id, count(*) AS partners, min(b) AS first_partner FROM p GROUP B
 def unreused_near_duplicates(t: Tables) -> DataFrame:
     kind = """CASE source WHEN 'src1' THEN 'bridge_lemma' WHEN 'src2' THEN '' WHEN 'src3' THEN 'cross_paper_anchor'
               ELSE 'experimental_invariant' END AS value_kind"""
-    rows = t.documents.selectExpr("doc_id", "lang", "text", kind)
+    rows = t.spread("documents").selectExpr("doc_id", "lang", "text", kind)
     return similarity.unreused_near_duplicates(rows, "doc_id", ["lang"], "text")
 
 
@@ -537,7 +537,7 @@ def unreused_near_duplicates(t: Tables) -> DataFrame:
 )
 def substring_contamination(t: Tables) -> DataFrame:
     items = t.benchmark.select("item_id", F.col("text").alias("passage"))
-    return similarity.contains_join(t.documents.select("doc_id", "text"), "text", items, "passage").select("doc_id", "item_id")
+    return similarity.contains_join(t.spread("documents").select("doc_id", "text"), "text", items, "passage").select("doc_id", "item_id")
 
 
 @query(
@@ -679,7 +679,7 @@ SELECT doc_id, name FROM (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text
 def word_mentions(t: Tables) -> DataFrame:
     words = F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z0-9']+"), F.lit(0)))
     names = t.benchmark.select(words.alias("name")).distinct()
-    docs = t.documents.select("doc_id", "text", F.lit("the").alias("own"))
+    docs = t.spread("documents").select("doc_id", "text", F.lit("the").alias("own"))
     return similarity.mention_join(docs, "doc_id", "text", names, "name", "own").select("doc_id", "name")
 
 
@@ -697,7 +697,7 @@ def shortest_prefix_names(t: Tables) -> DataFrame:
     def words(df: DataFrame) -> DataFrame:
         return df.select("*", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)))).alias("w"))
 
-    names = words(t.documents).groupBy(F.col("w").alias("name")).agg(F.min("doc_id").alias("pos"))
+    names = words(t.spread("documents")).groupBy(F.col("w").alias("name")).agg(F.min("doc_id").alias("pos"))
     tokens = words(t.benchmark).select(F.col("w").alias("tok"), F.concat("w", F.lit("s")).alias("own")).distinct()
     return similarity.prefix_join(tokens, "tok", names, "name", "pos", self_name="own").select("tok", "match")
 
@@ -763,7 +763,7 @@ def dependency_edges(t: Tables) -> DataFrame:
 
 def _source_texts(t: Tables) -> tuple[DataFrame, DataFrame]:
     """A small source file and five cards per part."""
-    docs = t.part.selectExpr(
+    docs = t.spread("part").selectExpr(
         "concat('formal/k', p_partkey, '.lean') AS path",
         """concat('/- base_def is\\n not used -/\\n@[simp]\\ndef base_def := Core\\n', '-- ring_step in a comment\\n',
              'theorem unfolded : T := by\\n  unfold base_d\\n  rfl\\n', 'lemma ring_step : T := by ring\\n',
@@ -772,7 +772,7 @@ def _source_texts(t: Tables) -> tuple[DataFrame, DataFrame]:
                ELSE 'noncomputable def last_one : T :=\\n  ring_step' END, '\\nend Corpus\\n  base_def') AS text""",
     )
     names = "array('base_def', 'unfolded', 'ring_step', 'aliased', 'last_one')"
-    cards = t.part.selectExpr("p_partkey", f"posexplode({names}) AS (pos, short)").selectExpr(
+    cards = t.spread("part").selectExpr("p_partkey", f"posexplode({names}) AS (pos, short)").selectExpr(
         "concat('k', p_partkey) AS paper_id", "pos", "concat('k', p_partkey, '_card_', pos + 1) AS id",
         "concat('Corpus.K', p_partkey, '.', short) AS lean_decl", "concat('formal/k', p_partkey, '.lean') AS file_path",
     )

@@ -48,7 +48,7 @@ SELECT source, token, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTI
 """,
 )
 def vocabulary_first24(t: Tables) -> DataFrame:
-    out = ordering.first_seen_vocabulary(t.documents, "source", "doc_id", "text", 24, tokens=c.alnum_tokens("text"))
+    out = ordering.first_seen_vocabulary(t.spread("documents"), "source", "doc_id", "text", 24, tokens=c.alnum_tokens("text"))
     return out.select("source", "token", "rank")
 
 
@@ -178,7 +178,7 @@ SELECT doc_id, string_agg(tok, ' ' ORDER BY ord) AS tokens FROM f GROUP BY 1
 )
 def ordered_distinct_tokens(t: Tables) -> DataFrame:
     toks = F.array_distinct(c.alnum_tokens("text"))
-    return t.documents.where(F.size(toks) > 0).select("doc_id", F.array_join(toks, " ").alias("tokens"))
+    return t.spread("documents").where(F.size(toks) > 0).select("doc_id", F.array_join(toks, " ").alias("tokens"))
 
 
 @query(
@@ -354,15 +354,15 @@ GRAPH_FINDINGS = """
 WITH papers AS (SELECT DISTINCT concat('c', o_custkey) AS p FROM orders),
 cards AS (SELECT concat('c', o_custkey) AS p, concat('c', o_custkey, '_', l_orderkey, '_', l_linenumber) AS id, l_orderkey, l_suppkey, l_partkey, l_returnflag FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 claims AS (SELECT concat('c', o_custkey) AS p, concat('o', o_orderkey) AS id FROM orders WHERE o_orderstatus <> 'P')
-SELECT concat('card references missing claim o', l_orderkey) AS message, p AS group_id, id AS row_id FROM cards WHERE (p, concat('o', l_orderkey)) NOT IN (SELECT (p, id) FROM claims) AND p IN (SELECT p FROM claims)
-UNION ALL SELECT concat('card depends on missing card s', l_suppkey), p, id FROM cards WHERE p IN (SELECT p FROM claims)
-UNION ALL SELECT concat('card links missing kernel p', l_partkey), p, id FROM cards WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 25) AND p IN (SELECT p FROM claims)
+SELECT concat('card claim is missing: o', l_orderkey) AS message, p AS group_id, id AS row_id FROM cards WHERE (p, concat('o', l_orderkey)) NOT IN (SELECT (p, id) FROM claims) AND p IN (SELECT p FROM claims)
+UNION ALL SELECT concat('card dependency is missing: s', l_suppkey), p, id FROM cards WHERE p IN (SELECT p FROM claims)
+UNION ALL SELECT concat('card kernel is missing: p', l_partkey), p, id FROM cards WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 25) AND p IN (SELECT p FROM claims)
 UNION ALL SELECT 'card without file_path', p, id FROM cards WHERE l_returnflag = 'N' AND p IN (SELECT p FROM claims)
-UNION ALL SELECT concat('mapping key is no claim o', o_orderkey), concat('c', o_custkey), concat('c', o_custkey) FROM orders WHERE o_orderstatus = 'P' AND concat('c', o_custkey) IN (SELECT p FROM claims)
-UNION ALL SELECT concat('manifest lists missing kernel n', c_nationkey), concat('c', c_custkey), concat('c', c_custkey) FROM customer WHERE concat('c', c_custkey) IN (SELECT p FROM claims)
-UNION ALL SELECT concat('claim links missing assumption ', o_orderpriority), concat('c', o_custkey), concat('o', o_orderkey) FROM orders JOIN customer ON c_custkey = o_custkey
+UNION ALL SELECT concat('mapping claim is missing: o', o_orderkey), concat('c', o_custkey), concat('c', o_custkey) FROM orders WHERE o_orderstatus = 'P' AND concat('c', o_custkey) IN (SELECT p FROM claims)
+UNION ALL SELECT concat('manifest kernel is missing: n', c_nationkey), concat('c', c_custkey), concat('c', c_custkey) FROM customer WHERE concat('c', c_custkey) IN (SELECT p FROM claims)
+UNION ALL SELECT concat('claim assumption is missing: ', o_orderpriority), concat('c', o_custkey), concat('o', o_orderkey) FROM orders JOIN customer ON c_custkey = o_custkey
   WHERE o_orderstatus <> 'P' AND c_mktsegment = 'BUILDING' AND o_orderpriority <> '1-URGENT'
-UNION ALL SELECT concat('kernel links missing card ', p_name), '', concat('p', p_partkey) FROM part WHERE p_size <= 25
+UNION ALL SELECT concat('kernel card is missing: ', p_name), '', concat('p', p_partkey) FROM part WHERE p_size <= 25
 """
 
 
@@ -648,8 +648,8 @@ PATCH = "substr(text, 1, 40)"
 
 
 def _patches(t: Tables) -> DataFrame:
-    first = t.documents.selectExpr("doc_id", "0 AS seq", f"{PATCH} AS find", "concat('[', lang, ']') AS replace")
-    second = t.documents.selectExpr("doc_id", "1 AS seq", "concat('[', lang, ']') AS find", "'' AS replace").where("find <> '[de]'")
+    first = t.spread("documents").selectExpr("doc_id", "0 AS seq", f"{PATCH} AS find", "concat('[', lang, ']') AS replace")
+    second = t.spread("documents").selectExpr("doc_id", "1 AS seq", "concat('[', lang, ']') AS find", "'' AS replace").where("find <> '[de]'")
     missing = t.labels.selectExpr("doc_id", "2 AS seq", "CASE WHEN toxic = 1 THEN '' ELSE 'e' END AS find", "'E' AS replace")
     return first.unionByName(second).unionByName(missing)
 
@@ -665,7 +665,7 @@ SELECT doc_id, seq, CASE WHEN find = '' THEN 'empty_find' WHEN n = 0 THEN 'not_f
 """,
 )
 def unique_find_check(t: Tables) -> DataFrame:
-    out = documents.replacement_issues(t.documents, "doc_id", "text", _patches(t))
+    out = documents.replacement_issues(t.spread("documents"), "doc_id", "text", _patches(t))
     return out.select("doc_id", "seq", "issue", "matches")
 
 
@@ -696,7 +696,7 @@ SELECT doc_id, (NOT ok2)::INT AS rejected, sha256(CASE WHEN ok2 THEN t2 ELSE tex
 """,
 )
 def applied_replacements(t: Tables) -> DataFrame:
-    docs = t.documents.where(F.length("text") > 0)
+    docs = t.spread("documents").where(F.length("text") > 0)
     patches = _patches(t).where("seq < 2")
     out = documents.apply_replacements(docs, "doc_id", "text", patches)
     return out.select("doc_id", F.col("rejected").cast("int").alias("rejected"), c.sha256("new_text").alias("new_sha"))

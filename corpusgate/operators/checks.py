@@ -233,18 +233,42 @@ def disputed(claims: DataFrame, width: int = 80) -> DataFrame:
 # --- cross-table checks -----------------------------------------------------------------------
 
 
+def _refs(df: DataFrame, scope: Column, row: Column, entries: Sequence[tuple[str, Column]]) -> DataFrame:
+    """References of one table in the shared shape ``(group_id, row_id, kind, scope, ref)``, one scan."""
+    empty = F.array().cast("array<string>")
+
+    def shaped(kind: str, refs: Column) -> Column:
+        return F.transform(
+            F.coalesce(refs, empty), lambda r: F.struct(F.lit(kind).alias("kind"), r.alias("ref"))
+        )
+
+    return df.select(
+        F.coalesce(scope, F.lit("")).alias("group_id"), row.cast("string").alias("row_id"), F.inline(F.concat(*[shaped(kind, refs) for kind, refs in entries]))
+    )
+
+
+def _targets(kind: str, df: DataFrame, scope: Column, ref: str) -> DataFrame:
+    return df.select(F.lit(kind).alias("kind"), scope.alias("scope"), F.col(ref).cast("string").alias("ref"))
+
+
 def normalization_integrity(claims: DataFrame, assumptions: DataFrame, symbols: DataFrame) -> DataFrame:
     """Ids unique per paper and every assumption and symbol link resolved."""
-    found = []
-    for name, df in (("claim", claims), ("assumption", assumptions), ("symbol", symbols)):
-        dup = linking.duplicate_keys(df, ["paper_id", "id"])
-        found.append(violations(dup, "normalization_integrity", "paper_id", "id", f"duplicate {name} id"))
-    for col, parent in (("linked_assumptions", assumptions), ("linked_symbols", symbols)):
-        lost = linking.array_orphans(claims, col, parent, "id", ["paper_id"])
-        found.append(
-            violations(lost, "normalization_integrity", "paper_id", "id", F.concat(F.lit(f"{col} references missing "), "ref"))
-        )
-    return union_all(found)
+    paper = F.col("paper_id")
+    ids = union_all(
+        [df.select("paper_id", F.lit(kind).alias("kind"), F.col("id").cast("string").alias("id"))
+         for kind, df in (("claim", claims), ("assumption", assumptions), ("symbol", symbols))]
+    )
+    dup = linking.duplicate_keys(ids, ["paper_id", "kind", "id"])
+    links = [("assumption", F.col("linked_assumptions")), ("symbol", F.col("linked_symbols"))]
+    refs = _refs(claims, paper, F.col("id"), links).withColumn("scope", F.col("group_id"))
+    targets = _targets("assumption", assumptions, paper, "id").unionByName(_targets("symbol", symbols, paper, "id"))
+    lost = linking.reference_orphans(refs, targets)
+    name = "normalization_integrity"
+    found = F.concat(F.lit("duplicate "), "kind", F.lit(" id"))
+    missing = F.concat(F.lit("linked_"), "kind", F.lit("s references missing "), "ref")
+    return violations(dup, name, "paper_id", "id", found).unionByName(
+        violations(lost, name, "group_id", "row_id", missing)
+    )
 
 
 def provenance(papers: DataFrame, claims: DataFrame, manifests: DataFrame, mapping: DataFrame, exempt_tag: str = "hardness.primary:") -> DataFrame:
@@ -291,40 +315,50 @@ def graph_integrity(
     Link checks against an empty parent set are skipped, as the strict form is part of
     :func:`normalization_integrity`.
     """
-    def rows(df: DataFrame, row: str, text: str, ref: str | None = "ref", group: str | Column = "paper_id") -> DataFrame:
-        msg = F.concat(F.lit(text + " "), F.col(ref).cast("string")) if ref else F.lit(text)
-        return violations(df, "graph_integrity", group, row, msg)
-
+    paper, everywhere = F.col("paper_id"), F.lit("")
     # Only papers with claims are judged, and only their cards can be depended upon.
     judged = claims.select("paper_id").distinct()
     cards = cards.join(judged, "paper_id", "left_semi")
-    mapping = mapping.join(judged, "paper_id", "left_semi")
-    manifests = manifests.join(judged, "paper_id", "left_semi")
-    claim_refs = linking.orphans(cards, claims, {"paper_id": "paper_id", "claim_id": "id"})
-    deps = linking.array_orphans(cards, "dependency_ids", cards, "id")
-    execs = linking.array_orphans(cards, "executable_links", kernels, "id", skip_if_parent_empty=True)
-    keys = linking.orphans(
-        mapping.withColumn("ref", F.explode(F.map_keys("claim_to_decl"))), claims, {"paper_id": "paper_id", "ref": "id"}
+    named = mapping.where(c.not_blank("namespace")).select("paper_id").distinct()
+    card_refs = _refs(
+        cards, paper, F.col("id"),
+        [("card claim", F.array("claim_id")), ("card dependency", F.col("dependency_ids")), ("card kernel", F.col("executable_links"))],
     )
-    index = linking.array_orphans(manifests, "kernel_index", kernels, "id", skip_if_parent_empty=True)
-    asm = linking.array_orphans(claims, "linked_assumptions", assumptions, "id", ["paper_id"], skip_if_parent_empty=True)
-    sym = linking.array_orphans(claims, "linked_symbols", symbols, "id", ["paper_id"], skip_if_parent_empty=True)
-    witness = linking.array_orphans(kernels, "linked_theorem_cards", cards, "id")
-    named = mapping.where(c.not_blank("namespace")).select("paper_id")
-    pathless = cards.where(c.not_blank("lean_decl") & ~c.not_blank("file_path")).join(named, "paper_id", "left_semi")
-    return union_all(
+    claim_refs = _refs(
+        claims, paper, F.col("id"),
+        [("claim assumption", F.col("linked_assumptions")), ("claim symbol", F.col("linked_symbols"))],
+    )
+    mapping_refs = _refs(
+        mapping.join(judged, "paper_id", "left_semi"), paper, paper, [("mapping claim", F.map_keys("claim_to_decl"))]
+    )
+    manifest_refs = _refs(
+        manifests.join(judged, "paper_id", "left_semi"), paper, paper, [("manifest kernel", F.col("kernel_index"))]
+    )
+    kernel_refs = _refs(kernels, everywhere, F.col("id"), [("kernel card", F.col("linked_theorem_cards"))])
+    corpus_wide = F.col("kind").isin("card dependency", "card kernel", "manifest kernel", "kernel card")
+    refs = union_all([card_refs, claim_refs, mapping_refs, manifest_refs, kernel_refs]).withColumn(
+        "scope", F.when(corpus_wide, "").otherwise(F.col("group_id"))
+    )
+    targets = union_all(
         [
-            rows(claim_refs, "id", "card references missing claim", "claim_id"),
-            rows(deps, "id", "card depends on missing card"),
-            rows(execs, "id", "card links missing kernel"),
-            rows(keys, "paper_id", "mapping key is no claim"),
-            rows(index, "paper_id", "manifest lists missing kernel"),
-            rows(asm, "id", "claim links missing assumption"),
-            rows(sym, "id", "claim links missing symbol"),
-            rows(witness, "id", "kernel links missing card", group=F.lit("")),
-            rows(pathless, "id", "card without file_path", None),
+            _targets("card claim", claims, paper, "id"),
+            _targets("mapping claim", claims, paper, "id"),
+            _targets("card dependency", cards, everywhere, "id"),
+            _targets("kernel card", cards, everywhere, "id"),
+            _targets("card kernel", kernels, everywhere, "id"),
+            _targets("manifest kernel", kernels, everywhere, "id"),
+            _targets("claim assumption", assumptions, paper, "id"),
+            _targets("claim symbol", symbols, paper, "id"),
         ]
     )
+    optional = ["card kernel", "manifest kernel", "claim assumption", "claim symbol"]
+    lost = linking.reference_orphans(refs, targets, optional)
+    pathless = cards.where(c.not_blank("lean_decl") & ~c.not_blank("file_path")).join(named, "paper_id", "left_semi")
+    name = "graph_integrity"
+    dangling = F.concat("kind", F.lit(" is missing: "), "ref")
+    return violations(lost, name, "group_id", "row_id", dangling).unionByName(
+        violations(pathless, name, "paper_id", "id", "card without file_path")
+    )
 
 
 def claim_value_policy(claims: DataFrame, threshold: float = 0.75) -> DataFrame:

@@ -57,6 +57,22 @@ def array_orphans(
     return orphans(rows, parent, on, parent_group=tuple(group), **kwargs)
 
 
+def reference_orphans(refs: DataFrame, targets: DataFrame, optional: Sequence[str] = ()) -> DataFrame:
+    """Dangling references of many kinds at once, with one join.
+
+    ``refs`` and ``targets`` share ``kind``, ``scope`` and ``ref`` (blank scope for corpus-wide ids).
+    References whose kind is in ``optional`` are not judged where their scope has no target at all.
+    """
+    refs = refs.where(c.not_blank("ref"))
+    keys = targets.where(c.not_blank("ref")).select("kind", "scope", "ref").distinct()
+    lost = refs.join(keys, ["kind", "scope", "ref"], "left_anti")
+    if not optional:
+        return lost
+    stocked = keys.select("kind", "scope").distinct()
+    judged = lost.where(F.col("kind").isin(list(optional))).join(stocked, ["kind", "scope"], "left_semi")
+    return lost.where(~F.col("kind").isin(list(optional))).unionByName(judged)
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count: str = "n") -> DataFrame:
     """Keys held by more than one row."""
     present = df.where(ordering._all_present(keys))

@@ -181,16 +181,25 @@ def first_seen_vocabulary(
 ) -> DataFrame:
     """Per group the first ``cap`` distinct tokens in reading order, with the form first seen.
 
-    Each text keeps only the first place of a token before the shuffle, the group keeps the
-    smallest place by a map-side combined minimum, and the cap is a group-limited rank.
+    A token among the first ``cap`` of its group is also among the first ``cap`` of the text it first
+    appears in, so each text contributes at most that many. The group keeps the smallest place by a
+    map-side combined minimum and the cap is a group-limited rank.
     """
-    toks = c.identifier_tokens(text) if tokens is None else tokens
-    placed = texts.select(
-        group, F.col(order).alias("__doc"), F.posexplode(toks).alias("__at", "raw_token")
-    ).withColumn("token", F.lower("raw_token"))
-    kept = placed.where((F.length("token") >= min_length) & ~F.col("token").isin(*stopwords))
-    first = kept.groupBy(group, "token").agg(
-        F.min(F.struct("__doc", "__at", "raw_token")).alias("first")
+    raw = c.identifier_tokens(text) if tokens is None else tokens
+    usable = F.filter(
+        F.array_distinct("__low"), lambda w: (F.length(w) >= min_length) & ~w.isin(*stopwords)
+    )
+    forms = F.transform(
+        F.slice(usable, 1, cap),
+        lambda w: F.struct(w.alias("token"), F.get(F.col("__raw"), F.array_position("__low", w) - 1).alias("raw")),
+    )
+    placed = (
+        texts.select(group, F.col(order).alias("__doc"), raw.alias("__raw"))
+        .withColumn("__low", F.transform("__raw", F.lower))
+        .select(group, "__doc", F.posexplode(forms).alias("__at", "__w"))
+    )
+    first = placed.groupBy(group, F.col("__w.token").alias("token")).agg(
+        F.min(F.struct("__doc", "__at", F.col("__w.raw").alias("raw_token"))).alias("first")
     )
     return top_k(first, [group], [F.col("first")], cap).select(
         group, "rank", "token", F.col("first.raw_token").alias("raw_token")

@@ -89,9 +89,10 @@ def near_duplicate_classes(
 
     Exact. Tokens are put in one rare-first order; two sets can only reach the threshold if they
     share one of their first ``n - ceil(t*n) + 1`` tokens, so only that prefix is joined. Prefix
-    tokens held by one class are dropped, tokens held by many are cut into cells of about ``cell``
-    classes, and sizes and positions prune pairs inside the join. The survivors are verified on the
-    whole sets. ``n_pairs`` is the number of row pairs a class pair stands for.
+    tokens held by one class are dropped and tokens held by many are cut into cells of about ``cell``
+    classes. Each pair is then bounded by how many prefix tokens it shares and where the last one
+    stands, which leaves few pairs to verify on the whole sets. ``n_pairs`` is the number of row
+    pairs a class pair stands for.
     """
     t = F.lit(float(threshold))
     sketch = frequency_sketch(classes.select(F.explode("tokens").alias("tok")), "tok", sketch_size)
@@ -125,17 +126,23 @@ def near_duplicate_classes(
         "blk", "tok", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"),
         F.col("class_id").alias("b"), F.col("size").alias("nb"), F.col("at").alias("pb"),
     )
-    need = t / (F.lit(1.0) + t) * (F.col("na") + F.col("nb")) - F.lit(1e-9)
-    reach = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
     size_ok = F.least("na", "nb") >= t * F.greatest("na", "nb") - F.lit(1e-9)
-    # Position filter: with the first shared token at (pa, pb) at most `reach` tokens can be shared.
-    # Earlier shared tokens only raise the overlap, and then an earlier prefix token reports the pair.
-    candidates = (
+    matched = (
         left.join(right, ["blk", "tok", "cell"])
-        .where((F.col("a") < F.col("b")) & size_ok & (reach >= need))
-        .select("a", "b")
-        .distinct()
+        .where((F.col("a") < F.col("b")) & size_ok)
+        .groupBy("a", "b")
+        .agg(
+            F.count(F.lit(1)).alias("k"),
+            *[F.max(x).alias(x) for x in ("na", "nb", "pa", "pb")],
+        )
     )
+    # Shared tokens that were not counted stand after the last counted one in both sets, and all of
+    # them lie behind the prefix of at least one set.
+    need = F.ceil(t / (F.lit(1.0) + t) * (F.col("na") + F.col("nb")) - F.lit(1e-9))
+    behind = lambda n: F.ceil(t * F.col(n) - F.lit(1e-9)) - 1
+    after_last = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
+    rest = F.least(F.greatest(behind("na"), behind("nb")), after_last)
+    candidates = matched.where(F.col("k") + rest >= need).select("a", "b", "na", "nb")
     sets_a = classes.select(
         F.col("class_id").alias("a"), F.col("tokens").alias("ta"), F.col("n").alias("n_a"), *block
     )
@@ -146,12 +153,12 @@ def near_duplicate_classes(
     same_block = F.lit(True)
     for x in block:
         same_block = same_block & F.col(x).eqNullSafe(F.col(f"__b_{x}"))
-    shared_n = F.size(F.array_intersect("ta", "tb"))
     pairs = (
         candidates.join(sets_a, "a")
         .join(sets_b, "b")
         .where(same_block)
-        .withColumn("similarity", shared_n / (F.size("ta") + F.size("tb") - shared_n))
+        .withColumn("shared", F.size(F.array_intersect("ta", "tb")))
+        .withColumn("similarity", F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared")))
         .where(F.col("similarity") >= t)
         .select("a", "b", *block, "similarity", "n_a", "n_b", (F.col("n_a") * F.col("n_b")).alias("n_pairs"))
     )

@@ -47,3 +47,13 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_dir(spark)}/corpusgate/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for costly row work on a table stored in fewer pieces than there are cores.
+
+    A large table already has more input partitions than cores and is returned unchanged, so this
+    never shuffles one.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
