@@ -247,8 +247,13 @@ def _refs(df: DataFrame, scope: Column, row: Column, entries: Sequence[tuple[str
     )
 
 
-def _targets(kind: str, df: DataFrame, scope: Column, ref: str) -> DataFrame:
-    return df.select(F.lit(kind).alias("kind"), scope.alias("scope"), F.col(ref).cast("string").alias("ref"))
+def _targets(df: DataFrame, scope: Column, ref: str, *kinds: str) -> DataFrame:
+    """Ids of one table as targets of the named reference kinds, one scan."""
+    return df.select(
+        F.explode(F.array(*[F.lit(k) for k in kinds])).alias("kind"),
+        scope.alias("scope"),
+        F.col(ref).cast("string").alias("ref"),
+    )
 
 
 def normalization_integrity(claims: DataFrame, assumptions: DataFrame, symbols: DataFrame) -> DataFrame:
@@ -261,7 +266,7 @@ def normalization_integrity(claims: DataFrame, assumptions: DataFrame, symbols:
     dup = linking.duplicate_keys(ids, ["paper_id", "kind", "id"])
     links = [("assumption", F.col("linked_assumptions")), ("symbol", F.col("linked_symbols"))]
     refs = _refs(claims, paper, F.col("id"), links).withColumn("scope", F.col("group_id"))
-    targets = _targets("assumption", assumptions, paper, "id").unionByName(_targets("symbol", symbols, paper, "id"))
+    targets = _targets(assumptions, paper, "id", "assumption").unionByName(_targets(symbols, paper, "id", "symbol"))
     lost = linking.reference_orphans(refs, targets)
     name = "normalization_integrity"
     found = F.concat(F.lit("duplicate "), "kind", F.lit(" id"))
@@ -319,7 +324,6 @@ def graph_integrity(
     # Only papers with claims are judged, and only their cards can be depended upon.
     judged = claims.select("paper_id").distinct()
     cards = cards.join(judged, "paper_id", "left_semi")
-    named = mapping.where(c.not_blank("namespace")).select("paper_id").distinct()
     card_refs = _refs(
         cards, paper, F.col("id"),
         [("card claim", F.array("claim_id")), ("card dependency", F.col("dependency_ids")), ("card kernel", F.col("executable_links"))],
@@ -328,31 +332,27 @@ def graph_integrity(
         claims, paper, F.col("id"),
         [("claim assumption", F.col("linked_assumptions")), ("claim symbol", F.col("linked_symbols"))],
     )
-    mapping_refs = _refs(
-        mapping.join(judged, "paper_id", "left_semi"), paper, paper, [("mapping claim", F.map_keys("claim_to_decl"))]
-    )
-    manifest_refs = _refs(
-        manifests.join(judged, "paper_id", "left_semi"), paper, paper, [("manifest kernel", F.col("kernel_index"))]
+    listed = _refs(mapping, paper, paper, [("mapping claim", F.map_keys("claim_to_decl"))]).unionByName(
+        _refs(manifests, paper, paper, [("manifest kernel", F.col("kernel_index"))])
     )
+    listed = listed.join(judged.withColumnRenamed("paper_id", "group_id"), "group_id", "left_semi")
     kernel_refs = _refs(kernels, everywhere, F.col("id"), [("kernel card", F.col("linked_theorem_cards"))])
     corpus_wide = F.col("kind").isin("card dependency", "card kernel", "manifest kernel", "kernel card")
-    refs = union_all([card_refs, claim_refs, mapping_refs, manifest_refs, kernel_refs]).withColumn(
+    refs = union_all([card_refs, claim_refs, listed, kernel_refs]).withColumn(
         "scope", F.when(corpus_wide, "").otherwise(F.col("group_id"))
     )
     targets = union_all(
         [
-            _targets("card claim", claims, paper, "id"),
-            _targets("mapping claim", claims, paper, "id"),
-            _targets("card dependency", cards, everywhere, "id"),
-            _targets("kernel card", cards, everywhere, "id"),
-            _targets("card kernel", kernels, everywhere, "id"),
-            _targets("manifest kernel", kernels, everywhere, "id"),
-            _targets("claim assumption", assumptions, paper, "id"),
-            _targets("claim symbol", symbols, paper, "id"),
+            _targets(claims, paper, "id", "card claim", "mapping claim"),
+            _targets(cards, everywhere, "id", "card dependency", "kernel card"),
+            _targets(kernels, everywhere, "id", "card kernel", "manifest kernel"),
+            _targets(assumptions, paper, "id", "claim assumption"),
+            _targets(symbols, paper, "id", "claim symbol"),
         ]
     )
     optional = ["card kernel", "manifest kernel", "claim assumption", "claim symbol"]
     lost = linking.reference_orphans(refs, targets, optional)
+    named = mapping.where(c.not_blank("namespace")).select("paper_id").distinct()
     pathless = cards.where(c.not_blank("lean_decl") & ~c.not_blank("file_path")).join(named, "paper_id", "left_semi")
     name = "graph_integrity"
     dangling = F.concat("kind", F.lit(" is missing: "), "ref")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusgate.functions import columns as c
 from corpusgate.operators import similarity
+from corpusgate.session import durable
 
 # The source-text patterns that decide what counts as a declaration or an alias.
 BLOCK_COMMENT = r"(?s)/-.*?-/"
@@ -123,6 +124,8 @@ def dependency_edges(cards: DataFrame, docs: DataFrame, namespace_root: str) ->
         .join(last.withColumnRenamed("name", "short"), ["path", "short"])
         .select("paper_id", "card_id", "path", F.col("short").alias("own"), F.col("s.body").alias("body"), F.col("s.previous").alias("previous"))
     )
+    # Read by five kinds of reference below; segmenting the sources once is what costs here.
+    bodies = durable(bodies, "bodies")
     tokens = bodies.select(
         "paper_id", "card_id", "path", "own",
         F.explode(F.array_distinct(F.regexp_extract_all("body", F.lit("[a-zA-Z0-9_']+"), F.lit(0)))).alias("tok"),
@@ -158,7 +161,7 @@ def dependency_edges(cards: DataFrame, docs: DataFrame, namespace_root: str) ->
         scoped.select(F.col("key").alias("match"), "dep"), "match"
     ).select("paper_id", "card_id", "dep", F.lit(1).alias("tier"))
     found = plain.unionByName(qualified).unionByName(by_alias).unionByName(by_unfold)
-    found = found.where(F.col("dep") != F.col("card_id"))
+    found = durable(found.where(F.col("dep") != F.col("card_id")), "references")
     lonely = bodies.join(found.select("paper_id", "card_id").distinct(), ["paper_id", "card_id"], "left_anti")
     ring = (
         lonely.where(c.strip("body").rlike(RING_ONLY))

@@ -64,13 +64,13 @@ def reference_orphans(refs: DataFrame, targets: DataFrame, optional: Sequence[st
     References whose kind is in ``optional`` are not judged where their scope has no target at all.
     """
     refs = refs.where(c.not_blank("ref"))
-    keys = targets.where(c.not_blank("ref")).select("kind", "scope", "ref").distinct()
+    keys = targets.where(c.not_blank("ref")).select("kind", "scope", "ref")
     lost = refs.join(keys, ["kind", "scope", "ref"], "left_anti")
     if not optional:
         return lost
-    stocked = keys.select("kind", "scope").distinct()
-    judged = lost.where(F.col("kind").isin(list(optional))).join(stocked, ["kind", "scope"], "left_semi")
-    return lost.where(~F.col("kind").isin(list(optional))).unionByName(judged)
+    stocked = keys.where(F.col("kind").isin(list(optional))).select("kind", "scope").distinct()
+    must = lost.join(stocked.withColumn("__stocked", F.lit(True)), ["kind", "scope"], "left")
+    return must.where(~F.col("kind").isin(list(optional)) | F.col("__stocked")).drop("__stocked")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count: str = "n") -> DataFrame:

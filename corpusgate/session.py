@@ -53,7 +53,7 @@ def spread(df: DataFrame) -> DataFrame:
     """Use every core for costly row work on a table stored in fewer pieces than there are cores.
 
     A large table already has more input partitions than cores and is returned unchanged, so this
-    never shuffles one.
+    never shuffles one. Give it a plain scan whose first column is an id.
     """
     wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+    return df.repartition(wanted, df.columns[0]) if df.rdd.getNumPartitions() < wanted else df
