@@ -397,11 +397,13 @@ def search_rows(rows: DataFrame, fields: Sequence[str], queries: DataFrame, quer
     Returns the row beside each query that occurs in any of the fields.
     """
     wanted = queries.where(c.not_blank(query)).withColumn("__query", c.strip(query))
-    sep = "\u0001"
-    joined = rows.withColumn(
-        "__all", F.concat_ws(sep, *[F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields])
-    )
-    return contains_join(joined, "__all", wanted, "__query", ignore_case=True).drop("__all", "__query")
+    texts = [F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields]
+    joined = rows.withColumn("__all", F.concat_ws("\u0001", *texts))
+    hits = contains_join(joined, "__all", wanted, "__query", ignore_case=True)
+    in_field = F.lit(False)
+    for t in texts:
+        in_field = in_field | F.contains(F.lower(t), F.lower("__query"))
+    return hits.where(in_field).drop("__all", "__query")
 
 
 def search_index(rows: DataFrame, row_id: str, group: str, text: str, width: int = 200) -> DataFrame:
