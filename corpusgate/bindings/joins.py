@@ -241,6 +241,21 @@ def enriched_links(t: Tables) -> DataFrame:
     return out.select("id", F.array_join("links", ",").alias("links"))
 
 
+@query(
+    "link_pairs",
+    "J4 U3",
+    """
+SELECT DISTINCT concat('p', l_partkey) AS id, concat('s', l_suppkey) AS link FROM lineitem UNION SELECT concat('p', p_partkey), concat('own', p_brand) FROM part WHERE p_size > 30
+""",
+)
+def link_pairs(t: Tables) -> DataFrame:
+    cards = t.part.selectExpr(
+        "concat('p', p_partkey) AS id", "CASE WHEN p_size > 30 THEN array(concat('own', p_brand), '') ELSE cast(array() AS array<string>) END AS links"
+    )
+    kernels = t.lineitem.selectExpr("concat('s', l_suppkey) AS sid", "array(concat('p', l_partkey)) AS cards")
+    return linking.link_pairs(cards, "id", "links", kernels, "sid", "cards")
+
+
 @query(
     "kernel_index",
     "J5",

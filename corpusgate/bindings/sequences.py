@@ -566,12 +566,11 @@ def gate_verdict(t: Tables) -> DataFrame:
     "stripped_comments",
     "T1",
     """
-SELECT page_id, html LIKE '%<!--%' AS had, regexp_replace(regexp_replace(concat('a /- x', chr(10), page_id, ' -/ b -- c', chr(10), 'd'), '/-.*?-/', '', 'gs'), '--[^' || chr(10) || ']*', '', 'g') AS text FROM pages
+SELECT page_id, sha256(regexp_replace(regexp_replace(html, '/-.*?-/', '', 'gs'), '--[^' || chr(10) || ']*', '', 'g')) AS text_sha FROM pages
 """,
 )
 def stripped_comments(t: Tables) -> DataFrame:
-    text = F.expr("concat('a /- x\\n', page_id, ' -/ b -- c\\nd')")
-    return t.pages.select("page_id", F.contains("html", F.lit("<!--")).alias("had"), documents.strip_comments(text).alias("text"))
+    return t.pages.select("page_id", c.sha256(documents.strip_comments(F.col("html"))).alias("text_sha"))
 
 
 @query(

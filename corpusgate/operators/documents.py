@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusgate.functions import columns as c
-from corpusgate.operators import similarity
+from corpusgate.operators import metrics, similarity
 from corpusgate.session import durable
 
 # The source-text patterns that decide what counts as a declaration or an alias.
@@ -202,7 +202,8 @@ def keyword_totals(files: DataFrame, text: str, words: list[str], group: str | N
     aggs = [F.count(F.lit(1)).alias("files_scanned"), *[F.coalesce(F.sum(w), F.lit(0)).alias(w) for w in words]]
     if not group:
         return counts.agg(*aggs)
-    return counts.rollup(group).agg(F.grouping(group).cast("int").alias("is_total"), *aggs)
+    per_group = counts.groupBy(group).agg(*aggs)
+    return metrics.with_totals(per_group, group, ["files_scanned", *words])
 
 
 def headings(

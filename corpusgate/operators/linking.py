@@ -116,22 +116,29 @@ def resolve_links(
     )
 
 
-def enrich_links(
+def link_pairs(
     cards: DataFrame, card_id: str, own: str, sources: DataFrame, source_id: str, source_links: str
 ) -> DataFrame:
-    """Union a row's own links with every source row that names it, sorted and distinct."""
-    named = (
-        sources.where(c.not_blank(F.col(source_id).cast("string")))
-        .select(F.col(source_id).alias("__sid"), F.explode(source_links).alias("__cid"))
-        .distinct()
-    )
-    mine = cards.select(
-        F.explode(F.filter(own, lambda x: x != "")).alias("__sid"), F.col(card_id).alias("__cid")
+    """Distinct ``(card_id, link)`` rows: a card's own links and every source row that names it.
+
+    The long form has no limit on how many sources name one card.
+    """
+    named = sources.where(c.not_blank(F.col(source_id).cast("string"))).select(
+        F.explode(source_links).alias(card_id), F.col(source_id).alias("link")
     )
+    mine = cards.select(card_id, F.explode(own).alias("link")).where(c.not_blank("link"))
+    known = named.join(cards.select(card_id), card_id, "left_semi")
+    return mine.unionByName(known).distinct()
+
+
+def enrich_links(
+    cards: DataFrame, card_id: str, own: str, sources: DataFrame, source_id: str, source_links: str
+) -> DataFrame:
+    """Cards with :func:`link_pairs` as a sorted list, for lists that fit in a card's row."""
     merged = (
-        mine.unionByName(named.select("__sid", "__cid"))
-        .groupBy("__cid")
-        .agg(F.sort_array(F.collect_set("__sid")).alias("__links"))
+        link_pairs(cards, card_id, own, sources, source_id, source_links)
+        .groupBy(F.col(card_id).alias("__cid"))
+        .agg(F.sort_array(F.collect_list("link")).alias("__links"))
     )
     empty = F.array().cast(dict(cards.dtypes)[own])
     return (
@@ -377,12 +384,17 @@ def compare_recomputed(
     stored: DataFrame, recomputed: DataFrame, keys: Sequence[str], metrics: Sequence[str]
 ) -> DataFrame:
     """Stored counters that differ from recomputed ones, one row per metric; null counts as different."""
-    def long(df: DataFrame, name: str) -> DataFrame:
-        cast = df.select(*keys, *[F.col(m).cast("double").alias(m) for m in metrics])
-        return cast.unpivot(list(keys), list(metrics), "metric", name)
-
-    joined = long(stored, "stored").join(long(recomputed, "expected"), [*keys, "metric"], "left")
-    return joined.where(~F.col("stored").eqNullSafe(F.col("expected")))
+    def wide(df: DataFrame, name: str) -> DataFrame:
+        packed = F.struct(*[F.col(m).cast("double").alias(m) for m in metrics])
+        return df.select(*keys, packed.alias(name))
+
+    joined = wide(stored, "__s").join(wide(recomputed, "__r"), list(keys), "left")
+    pairs = [
+        F.struct(F.lit(m).alias("metric"), F.col(f"__s.{m}").alias("stored"), F.col(f"__r.{m}").alias("expected"))
+        for m in metrics
+    ]
+    differing = F.filter(F.array(*pairs), lambda p: ~p["stored"].eqNullSafe(p["expected"]))
+    return joined.select(*keys, F.inline(differing))
 
 
 def parameter_grid(spark_df: DataFrame, **axes: Sequence[float]) -> DataFrame:

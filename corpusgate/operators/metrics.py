@@ -13,7 +13,10 @@ N = "*"
 
 
 def with_totals(per_group: DataFrame, group: str, measures: Sequence[str], level: str = "is_total") -> DataFrame:
-    """Per-group rows plus one total row (group null, ``is_total`` 1) from an existing aggregate."""
+    """Per-group rows plus one total row (group null, ``is_total`` 1) from an existing aggregate.
+
+    Rolling up the aggregate instead of the rows keeps the doubling of rows off the large input.
+    """
     sums = [F.sum(m).alias(m) for m in measures]
     return per_group.rollup(group).agg(*sums, F.grouping(group).cast("int").alias(level))
 
@@ -30,15 +33,15 @@ def coverage(
     totals: bool = False,
 ) -> DataFrame:
     """Row, mapped, checked and linked counts with the four shares built on them."""
-    grouped = claims.rollup(*group) if totals else claims.groupBy(*group)
-    keys = [F.grouping(group[0]).cast("int").alias("is_total")] if totals else []
-    out = grouped.agg(
-        *keys,
+    out = claims.groupBy(*group).agg(
         F.count(N).alias("claim_count"),
         F.count_if(mapped).alias("mapped_claim_count"),
         F.count_if(checked).alias("machine_checked_count"),
         F.count_if(linked).alias("kernel_linked_count"),
     )
+    if totals:
+        counts = ["claim_count", "mapped_claim_count", "machine_checked_count", "kernel_linked_count"]
+        out = with_totals(out, group[0], counts)
     return coverage_shares(out)
 
 
@@ -140,9 +143,10 @@ def graph_or_cards(manifest_edges: DataFrame, has_graph: DataFrame, card_edges:
 
 def degree_metrics(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Reuse ratio and fan-in / fan-out over all nodes; duplicate edges count, no edges give zeros."""
-    ends = edges.select(F.col(src).alias("node"), F.lit(1).alias("o"), F.lit(0).alias("i")).unionByName(
-        edges.select(F.col(dst).alias("node"), F.lit(0).alias("o"), F.lit(1).alias("i"))
-    )
+    def end(col: str, fan_out: int, fan_in: int) -> Column:
+        return F.struct(F.col(col).alias("node"), F.lit(fan_out).alias("o"), F.lit(fan_in).alias("i"))
+
+    ends = edges.select(F.inline(F.array(end(src, 1, 0), end(dst, 0, 1))))
     nodes = ends.groupBy("node").agg(F.sum("i").alias("fan_in"), F.sum("o").alias("fan_out"))
     zero = F.lit(0)
     out = nodes.agg(
@@ -194,7 +198,7 @@ def reused_targets(edges: DataFrame, target: str, group: str, limit: int = 100)
 
 
 def distinct_nodes(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    return edges.select(F.col(src).alias("node")).union(edges.select(F.col(dst).alias("node"))).distinct()
+    return edges.select(F.explode(F.array(src, dst)).alias("node")).distinct()
 
 
 def incident_edges(edges: DataFrame, nodes: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -313,16 +317,17 @@ def reviewer_status(cards: DataFrame, group: str, status: str, notes: str, proof
     s = F.coalesce(F.col(status), F.lit(""))
     valid = s.isin(list(c.REVIEWER_STATUSES))
     checked = F.coalesce(F.col(proof) == "machine_checked", F.lit(False))
-    return cards.rollup(group).agg(
-        F.grouping(group).cast("int").alias("is_total"),
-        F.count(N).alias("total_cards"),
-        *[F.count_if(s == v).alias(v) for v in sorted(c.REVIEWER_STATUSES)],
-        F.count_if(s == "").alias("missing_status"),
-        F.count_if((s != "") & ~valid).alias("invalid_status"),
-        F.count_if((s == "blocked") & ~c.not_blank(notes)).alias("blocked_without_notes"),
-        F.count_if((s == "accepted") & ~checked).alias("accepted_not_checked"),
-        F.count_if((s == "unreviewed") & checked).alias("checked_but_unreviewed"),
-    )
+    counts = {
+        "total_cards": F.count(N),
+        **{v: F.count_if(s == v) for v in sorted(c.REVIEWER_STATUSES)},
+        "missing_status": F.count_if(s == ""),
+        "invalid_status": F.count_if((s != "") & ~valid),
+        "blocked_without_notes": F.count_if((s == "blocked") & ~c.not_blank(notes)),
+        "accepted_not_checked": F.count_if((s == "accepted") & ~checked),
+        "checked_but_unreviewed": F.count_if((s == "unreviewed") & checked),
+    }
+    per_group = cards.groupBy(group).agg(*[v.alias(k) for k, v in counts.items()])
+    return with_totals(per_group, group, list(counts))
 
 
 def reviewer_report(claims: DataFrame, status: str, notes: str, kind: str) -> DataFrame:

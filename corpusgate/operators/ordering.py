@@ -214,8 +214,8 @@ def within_budget(
     budget: int = 120_000,
     chunk: Column | None = None,
 ) -> DataFrame:
-    """Parts of a concatenation up to ``budget`` characters; the crossing part is clipped."""
-    sized = parts.withColumn("__len", F.length(text).cast("long"))
+    """Non-empty parts of a concatenation up to ``budget`` characters; the crossing part is clipped."""
+    sized = parts.withColumn("__len", F.length(text).cast("long")).where("__len > 0")
     run = running_total(sized, [group], [F.col(order)], "__len", "__used", chunk)
     left = F.lit(budget) - F.col("__used")
     return (

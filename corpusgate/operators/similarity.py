@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -75,6 +75,7 @@ def token_classes(
     members = members.select("row_id", "class_id")
     heads = reps.select(F.col("class_id").alias("row_id"), "n")
     classes = sets.drop("digest").join(heads, "row_id").withColumnRenamed("row_id", "class_id")
+    classes = durable(classes, "classes")
     return classes, members
 
 
@@ -246,13 +247,15 @@ def suggest_by_overlap(
     candidate_pos: str,
     group: Sequence[str] = (),
     k: int = 5,
-    cell: int = 4_000,
+    cell_tokens: int = 400_000,
+    broadcast_tokens: int = 2_000_000,
 ) -> DataFrame:
     """Best ``k`` candidates of the same group per item by Jaccard of ``[a-z0-9]+`` tokens, score > 0.
 
-    Ties keep candidate order. Items and candidates of a group meet in cells of bounded size: each
-    task scores one block of items against one block of candidates through a small inverted index
-    and returns at most ``k`` rows per item, so no pair list is ever shuffled.
+    Ties keep candidate order. The tokens of the candidates are counted first. Up to
+    ``broadcast_tokens`` they are sent to every task as a small inverted index and the items never
+    move. Beyond that, items and candidates of a group meet in cells of about ``cell_tokens`` tokens
+    a side; each returns at most ``k`` rows per item, so no pair list is ever shuffled.
     """
     left = items.select(*group, F.col(item_id).alias("item"), F.array_distinct(c.alnum_tokens(item_text)).alias("tokens"))
     right = candidates.select(
@@ -263,7 +266,39 @@ def suggest_by_overlap(
     )
     left = left.where(F.size("tokens") > 0)
     right = right.where(F.size("tokens") > 0)
-    cells = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(cell)), F.lit(1)).cast("int")
+    types = dict(left.dtypes) | dict(right.dtypes)
+    names = [*group, "item", "cand"]
+    schema = ", ".join(f"{x} {types[x]}" for x in names) + ", pos long, score double"
+    weight = F.coalesce(F.sum(F.size("tokens")), F.lit(0))
+    if right.agg(weight.alias("n")).first()["n"] <= broadcast_tokens:
+        scored = _score_broadcast(left, right, k, list(group), schema)
+    else:
+        scored = _score_cells(left, right, k, list(group), schema, cell_tokens)
+    best = ordering.top_k(scored, [*group, "item"], [F.col("score").desc(), F.col("pos")], k)
+    return best.select(
+        *group, F.col("item").alias(item_id), "rank", F.col("cand").alias(candidate_id), "score"
+    )
+
+
+def _score_broadcast(left: DataFrame, right: DataFrame, k: int, group: list[str], schema: str) -> DataFrame:
+    held = right.toPandas()
+    parts = {key: _cell_index(pdf) for key, pdf in held.groupby(group)} if group else {(): _cell_index(held)}
+    shared = left.sparkSession.sparkContext.broadcast(parts)
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            pieces = batch.groupby(group) if group else [((), batch)]
+            for key, pdf in pieces:
+                if key in shared.value:
+                    yield _score_items(pdf, shared.value[key], k, group)
+
+    return left.mapInPandas(score, schema)
+
+
+def _score_cells(
+    left: DataFrame, right: DataFrame, k: int, group: list[str], schema: str, cell_tokens: int
+) -> DataFrame:
+    cells = F.greatest(F.ceil(F.sum(F.size("tokens")) / F.lit(cell_tokens)), F.lit(1)).cast("int")
     n_left, n_right = cells.alias("n_left"), cells.alias("n_right")
 
     def sized(df: DataFrame) -> DataFrame:
@@ -284,32 +319,27 @@ def suggest_by_overlap(
     lcells = spread(left, "item", "n_left", "n_right", "lc", "rc")
     rcells = spread(right, "cand", "n_right", "n_left", "rc", "lc")
     keys = [*group, "lc", "rc"]
-    types = dict(left.dtypes) | dict(right.dtypes)
-    names = [*group, "item", "cand"]
-    schema = ", ".join(f"{x} {types[x]}" for x in names) + ", pos long, score double"
-    scored = (
-        lcells.groupBy(*keys)
-        .cogroup(rcells.groupBy(*keys))
-        .applyInPandas(lambda a, b: _score_cell(a, b, k, list(group)), schema=schema)
-    )
-    best = ordering.top_k(scored, [*group, "item"], [F.col("score").desc(), F.col("pos")], k)
-    return best.select(
-        *group, F.col("item").alias(item_id), "rank", F.col("cand").alias(candidate_id), "score"
-    )
 
+    def score(items: pd.DataFrame, cands: pd.DataFrame) -> pd.DataFrame:
+        return _score_items(items, _cell_index(cands), k, group)
+
+    return lcells.groupBy(*keys).cogroup(rcells.groupBy(*keys)).applyInPandas(score, schema=schema)
 
-def _score_cell(items: pd.DataFrame, cands: pd.DataFrame, k: int, group: list[str]) -> pd.DataFrame:
-    """Top ``k`` candidates of one cell for each item of one cell."""
-    columns = [*group, "item", "cand", "pos", "score"]
-    if items.empty or cands.empty:
-        return pd.DataFrame({x: [] for x in columns})
+
+def _cell_index(cands: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, dict[str, np.ndarray]]:
+    """Candidates in list order, their set sizes and the rows that hold each token."""
     cands = cands.sort_values("pos", kind="stable").reset_index(drop=True)
     sizes = np.array([len(t) for t in cands["tokens"]])
     index: dict[str, list[int]] = {}
     for row, toks in enumerate(cands["tokens"]):
         for tok in toks:
             index.setdefault(tok, []).append(row)
-    postings = {tok: np.array(rows) for tok, rows in index.items()}
+    return cands[["cand", "pos"]], sizes, {tok: np.array(rows) for tok, rows in index.items()}
+
+
+def _score_items(items: pd.DataFrame, index: tuple, k: int, group: list[str]) -> pd.DataFrame:
+    """Top ``k`` indexed candidates for each item."""
+    cands, sizes, postings = index
     ids, picks, scores = [], [], []
     for item, toks in zip(items["item"], items["tokens"]):
         hits = [postings[t] for t in toks if t in postings]
@@ -325,7 +355,7 @@ def _score_cell(items: pd.DataFrame, cands: pd.DataFrame, k: int, group: list[st
     chosen = cands.iloc[picks]
     out = {x: [items[x].iloc[0]] * len(ids) for x in group}
     out |= {"item": ids, "cand": chosen["cand"].to_numpy(), "pos": chosen["pos"].to_numpy(), "score": scores}
-    return pd.DataFrame(out)[columns]
+    return pd.DataFrame(out)
 
 
 # --- substring joins --------------------------------------------------------------------------
@@ -449,9 +479,14 @@ def prefix_join(
     Every name is listed under each of its prefixes with the two best holders per prefix, so the
     match is an equi-join and a popular prefix stays one row.
     """
-    listed = names.select(F.col(name), F.length(name).alias("__len"), F.col(pos).alias("__pos")).withColumn(
-        "__prefix",
-        F.explode(F.transform(F.sequence(F.lit(1), F.length(name)), lambda i: F.substring(F.col(name), F.lit(1), i))),
+    longest = tokens.agg(F.max(F.length(token))).scalar()
+    listed = (
+        names.select(F.col(name), F.length(name).alias("__len"), F.col(pos).alias("__pos"))
+        .withColumn("__upto", F.least(F.col("__len"), longest))
+        .where("__upto > 0")
+        .withColumn("__at", F.explode(F.sequence(F.lit(1), F.col("__upto"))))
+        .withColumn("__prefix", F.substring(F.col(name), F.lit(1), F.col("__at")))
+        .drop("__upto", "__at")
     )
     place = F.struct("__len", "__pos", name)
     best = listed.groupBy("__prefix").agg(F.min(place).alias("__b1"))

@@ -96,13 +96,13 @@ def test_unreused_equals_brute_force(spark):
     assert got == {i: (len(p), min(p)) for i, p in partners.items()}
 
 
-@pytest.mark.parametrize("cell", [4000, 7])
-def test_suggestions_equal_brute_force(spark, cell):
+@pytest.mark.parametrize("sizes", [{}, {"broadcast_tokens": 0, "cell_tokens": 60}, {"broadcast_tokens": 0}])
+def test_suggestions_equal_brute_force(spark, sizes):
     items, cands = texts(60, 21), texts(50, 22)
     di = spark.createDataFrame([(i, g, t) for i, g, t in items], "item int, g string, text string")
     dc = spark.createDataFrame([(i, g, t) for i, g, t in cands], "cand int, g string, text string")
     for group in (["g"], []):
-        got = s.suggest_by_overlap(di, "item", "text", dc, "cand", "text", "cand", group, k=3, cell=cell)
+        got = s.suggest_by_overlap(di, "item", "text", dc, "cand", "text", "cand", group, k=3, **sizes)
         have = defaultdict(list)
         for r in got.orderBy("item", "rank").collect():
             have[r["item"]].append((r["cand"], round(r["score"], 9)))
