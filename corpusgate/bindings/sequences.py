@@ -304,12 +304,12 @@ UNION ALL SELECT 'duplicate symbol id', 'all', p_name FROM part GROUP BY p_name
 
 @query("normalization_integrity", "V2 A31 J2f", f"SELECT message, group_id, row_id, count(*) AS n FROM ({NORM_SQL}) GROUP BY ALL")
 def normalization_integrity(t: Tables) -> DataFrame:
-    claims = t.lineitem.selectExpr(
+    claims = t.spread("lineitem").selectExpr(
         "concat('o', l_orderkey) AS paper_id", "concat('l', l_linenumber) AS id", "array(concat('p', l_partkey)) AS linked_assumptions",
         "cast(array() AS array<string>) AS linked_symbols",
     )
     known = t.part.where("p_size <= 25").select(F.col("p_partkey").alias("l_partkey"))
-    assumptions = t.lineitem.join(known, "l_partkey").selectExpr("concat('o', l_orderkey) AS paper_id", "concat('p', l_partkey) AS id").distinct()
+    assumptions = t.spread("lineitem").join(known, "l_partkey").selectExpr("concat('o', l_orderkey) AS paper_id", "concat('p', l_partkey) AS id").distinct()
     symbols = t.part.selectExpr("'all' AS paper_id", "p_name AS id")
     out = checks.normalization_integrity(claims, assumptions, symbols)
     return out.groupBy("message", "group_id", "row_id").agg(F.count(N).alias("n"))
@@ -375,7 +375,7 @@ def graph_integrity(t: Tables) -> DataFrame:
     assumptions = t.customer.where("c_mktsegment = 'BUILDING'").selectExpr("concat('c', c_custkey) AS paper_id", "'1-URGENT' AS id")
     symbols = assumptions.limit(0)
     mapping = t.orders.selectExpr("concat('c', o_custkey) AS paper_id", "'N.S' AS namespace", "map(concat('o', o_orderkey), 'd') AS claim_to_decl")
-    cards = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
+    cards = t.spread("lineitem").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
         "concat('c', o_custkey) AS paper_id", "concat('c', o_custkey, '_', l_orderkey, '_', l_linenumber) AS id", "concat('o', l_orderkey) AS claim_id",
         "'d' AS lean_decl", "CASE l_returnflag WHEN 'N' THEN ' ' ELSE 'f' END AS file_path", "array(concat('s', l_suppkey)) AS dependency_ids",
         "array(concat('p', l_partkey)) AS executable_links",
@@ -538,7 +538,7 @@ def gate_report(t: Tables) -> DataFrame:
 
 
 def _findings(t: Tables) -> DataFrame:
-    keys = t.lineitem.selectExpr("concat('o', l_orderkey) AS paper_id", "concat('l', l_linenumber) AS id")
+    keys = t.spread("lineitem").selectExpr("concat('o', l_orderkey) AS paper_id", "concat('l', l_linenumber) AS id")
     runs = checks.extraction_run_required(t.orders.select(F.col("o_custkey").alias("paper_id")), t.events.select(F.col("user_id").alias("paper_id")))
     return checks.union_all(
         [checks.lifecycle(_claims(t)), runs, checks.duplicate_violations(keys, ["paper_id", "id"], "normalization_integrity", "paper_id", "id")]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from corpusgate.functions import columns as c
 from corpusgate.operators import linking, metrics, similarity
 from corpusgate.schemas import Rule
+from corpusgate.session import constant_rows
 
 VIOLATION = ["gate", "check_id", "severity", "group_id", "row_id", "message"]
 
@@ -405,7 +406,7 @@ def gate_report(found: DataFrame, order: Sequence[tuple[str, str, str]] = tuple(
     """One row per check: status ok, warn or error, number of findings and the first of them."""
     spark = found.sparkSession
     steps = [(i, g, k, s) for i, (g, k, s) in enumerate(order)]
-    plan = spark.createDataFrame(steps, "step int, gate string, check_id string, kind string")
+    plan = constant_rows(spark, steps, step="int", gate="string", check_id="string", kind="string")
     first = F.min(F.struct("group_id", "row_id", "message"))
     per = found.groupBy("check_id").agg(F.count(F.lit(1)).alias("findings"), first.alias("first"))
     status = F.when(F.col("findings") == 0, "ok").when(F.col("kind") == "error", "error").otherwise("warn")

@@ -65,7 +65,8 @@ def reference_orphans(refs: DataFrame, targets: DataFrame, optional: Sequence[st
     """
     refs = refs.where(c.not_blank("ref"))
     keys = targets.where(c.not_blank("ref")).select("kind", "scope", "ref")
-    lost = refs.join(keys, ["kind", "scope", "ref"], "left_anti")
+    # The most selective key comes first: a sort-merge join sorts by it with a cheap prefix.
+    lost = refs.join(keys, ["ref", "scope", "kind"], "left_anti")
     if not optional:
         return lost
     stocked = keys.where(F.col("kind").isin(list(optional))).select("kind", "scope").distinct()

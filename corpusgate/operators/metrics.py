@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusgate.functions import columns as c
+from corpusgate.session import constant_rows
 
 N = "*"
 
@@ -405,7 +406,7 @@ def entity_totals(**frames: DataFrame) -> DataFrame:
 def presence_counts(files: DataFrame, path: str, kinds: Sequence[str]) -> DataFrame:
     """How many files of each kind exist, zero included."""
     name = F.regexp_extract(path, r"([^/]+)\.[^./]+$", 1)
-    wanted = files.sparkSession.createDataFrame([(k,) for k in kinds], "kind string")
+    wanted = constant_rows(files.sparkSession, [(k,) for k in kinds], kind="string")
     seen = files.select(name.alias("kind"), F.lit(1).alias("__one"))
     return wanted.join(seen, "kind", "left").groupBy("kind").agg(F.count("__one").alias("files"))
 
@@ -470,7 +471,7 @@ def threshold_table(spark, floors: Mapping[str, Mapping[str, float]], ceilings:
         for metric, v in metrics.items()
         if not metric.startswith("_")
     ]
-    return spark.createDataFrame(rows, "task string, metric string, bound string, limit_value double")
+    return constant_rows(spark, rows, task="string", metric="string", bound="string", limit_value="double")
 
 
 def regression_check(

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import uuid
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -57,3 +60,11 @@ def spread(df: DataFrame) -> DataFrame:
     """
     wanted = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(wanted, df.columns[0]) if df.rdd.getNumPartitions() < wanted else df
+
+
+def constant_rows(spark: SparkSession, rows: Sequence[tuple], **types: str) -> DataFrame:
+    """A small fixed table built inside the JVM; ``types`` names and types the columns."""
+    fields = lambda row: [F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, types.items())]
+    if not rows:
+        return spark.createDataFrame([], ", ".join(f"{n} {t}" for n, t in types.items()))
+    return spark.range(1).select(F.inline(F.array(*[F.struct(*fields(r)) for r in rows])))
