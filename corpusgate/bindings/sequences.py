@@ -676,10 +676,9 @@ SELECT event_id, CASE event_type WHEN 'error' THEN 'unsafe_path' WHEN 'click' TH
 """,
 )
 def unsafe_patches(t: Tables) -> DataFrame:
-    path = "CASE event_type WHEN 'error' THEN 'formal/../a' WHEN 'click' THEN 'b' WHEN 'view' THEN 'formal/a' ELSE concat('formal/', event_type) END"
+    path = "CASE event_type WHEN 'error' THEN 'formal/../a' WHEN 'click' THEN 'b' WHEN 'view' THEN 'formal/AFRICA' ELSE concat('formal/', event_type) END"
     patches = t.events.selectExpr("event_id", f"{path} AS path", "props AS find", "'' AS replace")
-    docs = t.region.where("r_regionkey = 0").selectExpr("'formal/a' AS path")
-    held = docs.withColumn("text", F.lit(""))
+    held = t.region.selectExpr("concat('formal/', r_name) AS path", "'' AS text")
     out = documents.replacement_issues(held, "path", "text", patches, root="formal/")
     return out.where("issue <> 'not_found'").select("event_id", "issue")
 

@@ -258,8 +258,9 @@ def suggest_by_overlap(
     a side; each returns at most ``k`` rows per item, so no pair list is ever shuffled.
     """
     left = items.select(*group, F.col(item_id).alias("item"), F.array_distinct(c.alnum_tokens(item_text)).alias("tokens"))
+    # Fresh names keep the two sides apart when both come from one table.
     right = candidates.select(
-        *group,
+        *[F.col(g).alias(g) for g in group],
         F.col(candidate_id).alias("cand"),
         F.col(candidate_pos).cast("long").alias("pos"),
         F.array_distinct(c.alnum_tokens(candidate_text)).alias("tokens"),
@@ -311,7 +312,7 @@ def _score_cells(
 
     def spread(df: DataFrame, key: str, mine: str, theirs: str, my_cell: str, their_cell: str) -> DataFrame:
         return sized(df).select(
-            *df.columns,
+            *[F.col(x).alias(x) for x in df.columns],
             F.pmod(F.xxhash64(key), F.col(mine)).cast("int").alias(my_cell),
             F.explode(F.sequence(F.lit(0), F.col(theirs) - 1)).alias(their_cell),
         )

@@ -118,6 +118,14 @@ def test_suggestions_equal_brute_force(spark, sizes):
         assert dict(have) == want
 
 
+def test_one_table_can_stand_on_both_sides(spark):
+    df = spark.createDataFrame([(i, "g", t) for i, _, t in texts(30, 5)], "id int, g string, text string")
+    other = df.select(F.col("id").alias("cand"), "text", "g")
+    for sizes in ({}, {"broadcast_tokens": 0, "cell_tokens": 40}):
+        best = s.suggest_by_overlap(df, "id", "text", other, "cand", "text", "cand", ["g"], k=1, **sizes)
+        assert {r["score"] for r in best.collect()} == {1.0}
+
+
 def test_contains_join_equals_brute_force(spark):
     rnd = random.Random(9)
     hay = ["".join(rnd.choice("abAé 1-") for _ in range(rnd.randint(0, 30))) for _ in range(80)]
