@@ -668,6 +668,26 @@ def unique_find_check(t: Tables) -> DataFrame:
     return out.select("doc_id", "seq", "issue", "matches")
 
 
+@query(
+    "edit_ready_proposals",
+    "A21 V16 A23",
+    f"""
+WITH m AS (SELECT doc_id, source, lang, (length(text) - length(replace(text, {PATCH}, ''))) // length({PATCH}) AS n, (length(text) - length(replace(text, 'q', ''))) AS q FROM documents WHERE length(text) > 0)
+SELECT source AS paper_id, concat('e', doc_id) AS proposal_id FROM m WHERE lang <> 'es' AND n = 1 AND (lang <> 'fr' OR q = 1)
+""",
+)
+def edit_ready_proposals(t: Tables) -> DataFrame:
+    docs = t.spread("documents").where(F.length("text") > 0)
+    proposals = docs.selectExpr(
+        "source AS paper_id", "concat('e', doc_id) AS proposal_id",
+        "CASE lang WHEN 'es' THEN concat('other/d', doc_id) ELSE concat('formal/d', doc_id) END AS target_file",
+        f"""CASE lang WHEN 'fr' THEN array(named_struct('find', {PATCH}, 'replace', ''), named_struct('find', 'q', 'replace', 'k'))
+             ELSE array(named_struct('find', {PATCH}, 'replace', '')) END AS replacements""",
+    )
+    texts = docs.selectExpr("concat('formal/d', doc_id) AS path", "text")
+    return documents.edit_ready(proposals, texts)
+
+
 @query(
     "unsafe_patches",
     "V16",

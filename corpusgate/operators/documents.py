@@ -332,3 +332,18 @@ def proposal_patches(proposals: DataFrame, proposal_id: str | None = None, root:
     return rows.where(safe).select(
         "proposal_id", path.alias("path"), F.posexplode("replacements").alias("seq", "r")
     ).select("proposal_id", "path", "seq", F.col("r.find").alias("find"), F.col("r.replace").alias("replace"))
+
+
+def edit_ready(proposals: DataFrame, docs: DataFrame, root: str = "formal/") -> DataFrame:
+    """Proposals that could be applied as they are, as ``(paper_id, proposal_id)`` rows.
+
+    They need replacements, a safe path and every find text exactly once in the stored document
+    (``docs`` is ``(path, text)``).
+    """
+    keys = ["paper_id", "proposal_id"]
+    path = F.replace(c.strip("target_file"), F.lit("\\"), F.lit("/"))
+    patches = proposals.select(*keys, path.alias("path"), F.posexplode("replacements").alias("seq", "r")).select(
+        *keys, "path", "seq", F.col("r.find").alias("find"), F.col("r.replace").alias("replace")
+    )
+    broken = replacement_issues(docs, "path", "text", patches, root).select(*keys)
+    return patches.select(*keys).distinct().join(broken, keys, "left_anti")
