@@ -509,8 +509,8 @@ def parsed_instants(t: Tables) -> DataFrame:
     "set_functions",
     "F U3 U4",
     """
-SELECT l_orderkey, l_linenumber, sum(CASE WHEN l_partkey = l_suppkey THEN 1 ELSE 2 END) AS union_size,
-  round(sum(CASE WHEN l_partkey = l_suppkey THEN 1.0 ELSE 0.0 END), 6) AS similarity FROM lineitem GROUP BY ALL
+SELECT l_orderkey, l_linenumber, sum(CASE WHEN l_partkey = l_suppkey THEN 1 ELSE 2 END)::BIGINT AS union_size,
+  round(sum(CASE WHEN l_partkey = l_suppkey THEN 1.0::DOUBLE ELSE 0.0 END), 6)::DOUBLE AS similarity FROM lineitem GROUP BY ALL
 """,
 )
 def set_functions(t: Tables) -> DataFrame:

@@ -407,14 +407,22 @@ def contains_join(
         "__anchor", F.col("__needle").substr(F.lit(1), F.col("__width"))
     )
     piece_texts = hay.where(by_piece.exists()).withColumn("__width", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
+    # Characters are split once, so building the pieces is linear in the text.
+    char = lambda i: F.coalesce(F.get(F.col("__chars"), i), F.lit(""))
     pieces = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length("__hay") - F.col("__width") + 1, F.lit(1))),
-        lambda i: F.col("__hay").substr(i, F.col("__width")),
+        "__chars",
+        lambda ch, i: F.concat(
+            ch,
+            F.when(F.col("__width") >= 2, char(i + 1)).otherwise(""),
+            F.when(F.col("__width") >= 3, char(i + 2)).otherwise(""),
+        ),
     )
     lengths = sized.select("__width").distinct()
     piece_hits = (
         piece_texts.join(lengths, "__width", "left_semi")
+        .withColumn("__chars", F.split("__hay", ""))
         .withColumn("__anchor", F.explode(F.array_distinct(pieces)))
+        .drop("__chars")
         .join(sized, ["__width", "__anchor"])
         .drop("__width")
     )

@@ -52,14 +52,15 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core for costly row work on a table stored in fewer pieces than there are cores.
+def spread(df: DataFrame, max_pieces: int = 32) -> DataFrame:
+    """Use every core for costly row work on a small table stored in a few pieces.
 
-    A large table already has more input partitions than cores and is returned unchanged, so this
-    never shuffles one. Give it a plain scan whose first column is an id.
+    A table of more than ``max_pieces`` input partitions is returned unchanged, so no large table is
+    ever shuffled for this. Give it a plain scan whose first column is an id.
     """
+    pieces = df.rdd.getNumPartitions()
     wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted, df.columns[0]) if df.rdd.getNumPartitions() < wanted else df
+    return df.repartition(wanted, df.columns[0]) if pieces < wanted and pieces <= max_pieces else df
 
 
 def constant_rows(spark: SparkSession, rows: Sequence[tuple], **types: str) -> DataFrame:
