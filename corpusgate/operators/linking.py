@@ -64,9 +64,11 @@ def reference_orphans(refs: DataFrame, targets: DataFrame, optional: Sequence[st
     References whose kind is in ``optional`` are not judged where their scope has no target at all.
     """
     refs = refs.where(c.not_blank("ref"))
-    keys = targets.where(c.not_blank("ref")).select("kind", "scope", "ref")
-    # The most selective key comes first: a sort-merge join sorts by it with a cheap prefix.
-    lost = refs.join(keys, ["ref", "scope", "kind"], "left_anti")
+    keys = targets.where(c.not_blank("ref")).select("ref", "scope", "kind").distinct()
+    # An outer join, as an anti join would be pushed below the union of reference kinds and read the
+    # targets once per kind. The most selective key comes first, so a sort-merge join sorts cheaply.
+    marked = refs.join(keys.withColumn("__hit", F.lit(True)), ["ref", "scope", "kind"], "left")
+    lost = marked.where(F.col("__hit").isNull()).drop("__hit")
     if not optional:
         return lost
     stocked = keys.where(F.col("kind").isin(list(optional))).select("kind", "scope").distinct()
