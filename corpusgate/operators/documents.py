@@ -89,13 +89,16 @@ def _body(rest: Column, end: str) -> Column:
     return F.get(F.split(after, end), F.lit(0))
 
 
-def aliases(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``def a := B`` pairs as ``(doc, symbol, local_name)``."""
-    pairs = F.arrays_zip(
+def _alias_pairs(text: str) -> Column:
+    return F.arrays_zip(
         F.regexp_extract_all(text, F.lit(ALIAS), F.lit(2)).alias("symbol"),
         F.regexp_extract_all(text, F.lit(ALIAS), F.lit(1)).alias("local_name"),
     )
-    return docs.select(doc_id, F.inline(pairs)).distinct()
+
+
+def aliases(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``def a := B`` pairs as ``(doc, symbol, local_name)``."""
+    return docs.select(doc_id, F.inline(_alias_pairs(text))).distinct()
 
 
 def dependency_edges(cards: DataFrame, docs: DataFrame, namespace_root: str) -> DataFrame:
@@ -119,34 +122,41 @@ def dependency_edges(cards: DataFrame, docs: DataFrame, namespace_root: str) ->
     stripped = docs.select("path", strip_comments(F.col("text")).alias("text"))
     segs = segments(stripped, "path", "text")
     last = segs.groupBy("path", "name").agg(F.max_by(F.struct("body", "previous"), "pos").alias("s"))
+    alias_lists = stripped.select("path", _alias_pairs("text").alias("aliases"))
+    pattern = rf"\b{namespace_root}\.(?:[A-Za-z0-9_][A-Za-z0-9_.']*)\b"
+    body = F.col("s.body")
     bodies = (
         held.where(F.col("path") != "")
         .join(last.withColumnRenamed("name", "short"), ["path", "short"])
-        .select("paper_id", "card_id", "path", F.col("short").alias("own"), F.col("s.body").alias("body"), F.col("s.previous").alias("previous"))
-    )
-    # Read by five kinds of reference below; segmenting the sources once is what costs here.
-    bodies = durable(bodies, "bodies")
-    tokens = bodies.select(
-        "paper_id", "card_id", "path", "own",
-        F.explode(F.array_distinct(F.regexp_extract_all("body", F.lit("[a-zA-Z0-9_']+"), F.lit(0)))).alias("tok"),
+        .join(alias_lists, "path")
+        .select(
+            "paper_id", "card_id", F.col("short").alias("own"), body.alias("body"), F.col("s.previous").alias("previous"),
+            F.array_distinct(F.regexp_extract_all(body, F.lit("[a-zA-Z0-9_']+"), F.lit(0))).alias("tokens"),
+            F.regexp_extract_all(body, F.lit(pattern), F.lit(0)).alias("decls"),
+            "aliases",
+        )
     )
-    targets = unique.select("paper_id", F.col("short").alias("tok"), "dep")
-    plain = tokens.join(targets, ["paper_id", "tok"]).where("tok <> own").select(
-        "paper_id", "card_id", "dep", F.lit(0).alias("tier")
+    # Only the aliases a body mentions stay with it, so a row never holds more than its own text names.
+    hit = F.filter(
+        "aliases", lambda al: F.array_contains("tokens", al["symbol"]) & (al["local_name"] != F.col("own"))
     )
-    pattern = rf"\b{namespace_root}\.(?:[A-Za-z0-9_][A-Za-z0-9_.']*)\b"
-    full = bodies.select(
-        "paper_id", "card_id", F.explode(F.regexp_extract_all("body", F.lit(pattern), F.lit(0))).alias("decl")
+    bodies = bodies.withColumn("locals", F.array_distinct(F.transform(hit, lambda al: al["local_name"]))).drop("aliases")
+    # Read by several kinds of reference below; segmenting the sources once is what costs here.
+    bodies = durable(bodies, "bodies")
+
+    def named(names: Column, kind: str, tier: int) -> Column:
+        return F.transform(names, lambda n: F.struct(n.alias("name"), F.lit(kind).alias("kind"), F.lit(tier).alias("tier")))
+
+    others = F.filter("tokens", lambda w: w != F.col("own"))
+    refs = bodies.select(
+        "paper_id", "card_id",
+        F.inline(F.concat(named(others, "short", 0), named(F.col("locals"), "short", 1), named(F.col("decls"), "decl", 1))),
     )
     by_decl = held.where(F.col("path") != "").groupBy("paper_id", "decl").agg(F.max_by("card_id", "pos").alias("dep"))
-    qualified = full.join(by_decl, ["paper_id", "decl"]).select("paper_id", "card_id", "dep", F.lit(1).alias("tier"))
-    alias_rows = aliases(stripped, "path", "text").withColumnRenamed("symbol", "tok")
-    by_alias = (
-        tokens.join(alias_rows, ["path", "tok"])
-        .where("local_name <> own")
-        .join(unique.select("paper_id", F.col("short").alias("local_name"), "dep"), ["paper_id", "local_name"])
-        .select("paper_id", "card_id", "dep", F.lit(1).alias("tier"))
+    targets = unique.select("paper_id", F.col("short").alias("name"), F.lit("short").alias("kind"), "dep").unionByName(
+        by_decl.select("paper_id", F.col("decl").alias("name"), F.lit("decl").alias("kind"), "dep")
     )
+    direct = refs.join(targets, ["paper_id", "name", "kind"]).select("paper_id", "card_id", "dep", "tier")
     unfolds = bodies.select(
         "paper_id", "card_id", "own", F.explode(F.regexp_extract_all("body", F.lit(UNFOLD), F.lit(1))).alias("u")
     ).distinct()
@@ -160,7 +170,7 @@ def dependency_edges(cards: DataFrame, docs: DataFrame, namespace_root: str) ->
     by_unfold = matched.join(
         scoped.select(F.col("key").alias("match"), "dep"), "match"
     ).select("paper_id", "card_id", "dep", F.lit(1).alias("tier"))
-    found = plain.unionByName(qualified).unionByName(by_alias).unionByName(by_unfold)
+    found = direct.unionByName(by_unfold)
     found = durable(found.where(F.col("dep") != F.col("card_id")), "references")
     lonely = bodies.join(found.select("paper_id", "card_id").distinct(), ["paper_id", "card_id"], "left_anti")
     ring = (
