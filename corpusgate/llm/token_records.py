@@ -24,7 +24,7 @@ import array
 import struct
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -40,9 +40,9 @@ from corpusgate.llm.shipping import ship
 from corpusgate.session import checkpoint_dir
 
 #: Text bytes that one file takes; about a third of it is token ids of two bytes.
-FILE_TEXT_BYTES = 64 << 20
+FILE_TEXT_BYTES = 32 << 20
 #: Distinct words whose ids a task remembers before it forgets those it has not used for as long.
-REMEMBERED_WORDS = 600_000
+REMEMBERED_WORDS = 500_000
 NO_ID = -(2**63)
 HEAD = struct.Struct("<QI")
 MARK = struct.Struct("<I")
@@ -83,66 +83,99 @@ def parsed(data: bytes | memoryview) -> Iterator[tuple[int, int, int, np.ndarray
         at = stop
 
 
+class Symbols(dict):
+    """What the pre-tokenizer makes of a character, for ``str.translate``."""
+
+    def __init__(self, pre_tokenizer) -> None:
+        super().__init__()
+        self.pre_tokenizer = pre_tokenizer
+
+    def __missing__(self, code: int) -> str:
+        self[code] = "".join(x for x, _ in self.pre_tokenizer.pre_tokenize_str(chr(code)))
+        return self[code]
+
+
+class Known(dict):
+    """Ids of words, worked out when first asked for; words long unused are forgotten."""
+
+    def __init__(self, encoder: Encoder, code: str) -> None:
+        super().__init__()
+        self.encoder, self.code = encoder, code
+        self.before: dict[str, bytes] = {}
+
+    def turn(self) -> None:
+        """Begin anew, with what was known as a second memory."""
+        self.before = dict(self)
+        self.clear()
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.before.get(word)
+        if ids is None:
+            core = word.rstrip(",.") if self.encoder.parts else ""
+            if len(core) < len(word) and core.isalpha():
+                ids = self[core] + self[word[len(core) :]]
+            elif core.isalpha() and (low := self.encoder.lowered(core)).isalpha():
+                ids = self[low] if low != core else self.packed(self.encoder.merged(low))
+            else:
+                ids = self.packed(self.encoder.plain([word])[0])
+        self[word] = ids
+        return ids
+
+    def packed(self, ids: list[int]) -> bytes:
+        return array.array(self.code, ids).tobytes()
+
+
 class Encoder:
     """Encodes texts with the tokenizers library, each distinct word once while it is remembered.
 
     Two properties of a tokenizer allow this, and each is probed; without the first, whole texts are
     encoded, without the second, words are encoded as they stand:
     ``words``: space and newline leave no ids and nothing is joined across them;
-    ``parts``: letters followed by commas or stops have the ids of the lower-cased letters, then of the marks,
-    and lower-case ASCII letters go to the library's merge model unchanged.
+    ``parts``: letters followed by commas or stops have the ids of the letters, then of the marks, and a run of
+    letters goes through the library's normalizer, pre-tokenizer and merge model one after the other.
     """
 
     def __init__(self, spec: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        self.known: dict[int, Known] = {}
         flat = lambda rows: [i for ids in self.plain(rows) for i in ids]
         probe = "the end's 12 été, ΣΣ x-y"
         self.words = not flat([" \n"]) and flat([probe.replace(" ", "\n \n")]) == flat(probe.split(" "))
-        self.merge = self.tokenizer.model.tokenize
-        pairs = [(a, b) for a in ("Than", "ÉtÉ", "x", "Zyxwvutsr") for b in (",", ".", ".,")]
-        self.parts = all(flat([a + b]) == flat([a.lower(), b]) for a, b in pairs) and all(
-            flat([a.lower()]) == [t.id for t in self.merge(a.lower())] for a, _ in pairs if a.isascii()
-        )
+        probes = ["Than", "ÉtÉ", "x", "Zyxwvutsr", "ñandú"]
+        marks = [",", ".", ".,"]
+        chain = self.tokenizer.pre_tokenizer is not None and self.tokenizer.normalizer is not None
+        self.parts = False
+        if chain:
+            self.symbols = Symbols(self.tokenizer.pre_tokenizer)
+            self.ascii_lower = False
+            self.merge, self.normalize = self.tokenizer.model.tokenize, self.tokenizer.normalizer.normalize_str
+            alphabet = "AzByCxDwEvFuGtHsIrJqKpLoMnNmOlPkQjRiShTgUfVeWdXcYbZa"
+            self.ascii_lower = self.normalize(alphabet) == alphabet.lower()
+            same = all(flat([a]) == self.merged(self.lowered(a)) for a in probes)
+            self.parts = same and all(flat([a + b]) == flat([a, b]) for a in probes for b in marks)
+
+    def lowered(self, word: str) -> str:
+        return word.lower() if self.ascii_lower and word.isascii() else self.normalize(word)
+
+    def merged(self, word: str) -> list[int]:
+        return [t.id for t in self.merge(word if word.isascii() else word.translate(self.symbols))]
 
     def plain(self, rows: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(rows, add_special_tokens=False)]
 
-    def learn(self, new: Iterable[str], code: str) -> dict[str, bytes]:
-        """Ids of words not yet known."""
-        out, known, merge, whole, cut = {}, self.known, self.merge, [], []
-        for word in new:
-            core = word.rstrip(",.") if self.parts else ""
-            if core.isalpha() and core.isascii():
-                low, tail = core.lower(), word[len(core) :]
-                ids = known.get(low) or out.get(low)
-                if ids is None:
-                    ids = out[low] = array.array(code, [t.id for t in merge(low)]).tobytes()
-                cut.append((word, ids, tail))
-            else:
-                whole.append(word)
-        tails = list({tail for _, _, tail in cut})
-        out.update(zip(whole, (array.array(code, ids).tobytes() for ids in self.plain(whole))))
-        marks = dict(zip(tails, (array.array(code, ids).tobytes() for ids in self.plain(tails))))
-        out.update((word, ids + marks[tail]) for word, ids, tail in cut)
-        return out
-
-    def encode(self, rows: list[str], width: int) -> list[bytes]:
+    def encode(self, rows: list[str], width: int) -> Iterator[bytes]:
         """Little-endian ids of each text, ``width`` bytes an id."""
         code = {2: "H", 4: "I"}[width]
         if not self.words:
-            return [array.array(code, ids).tobytes() for ids in self.plain(rows)]
-        if len(self.known) > REMEMBERED_WORDS:  # words not used since the last time are forgotten
-            self.before, self.known = self.known, {}
-        split = [t.replace("\n", " ").split(" ") for t in rows]
-        known, before = self.known, self.before
-        new = [w for w in set().union(*split) if w not in known]
-        known.update((w, before[w]) for w in new if w in before)
-        known.update(self.learn((w for w in new if w not in before), code))
-        return [b"".join(map(known.__getitem__, ws)) for ws in split]
+            yield from (array.array(code, ids).tobytes() for ids in self.plain(rows))
+            return
+        known = self.known.setdefault(width, Known(self, code))
+        for text in rows:
+            yield b"".join(map(known.__getitem__, text.replace("\n", " ").split(" ")))
+            if len(known) > REMEMBERED_WORDS:
+                known.turn()
 
 
 _ENCODERS: dict[int, Encoder] = {}
