@@ -38,27 +38,34 @@ def digest(column: Column) -> Column:
     return F.unhex(F.md5(column.cast("binary")))
 
 
-def bounds(size: Column, part: int) -> tuple[Column, Column]:
-    """Code points before a part of a line of ``size``, and after it."""
-    before = F.floor(size * part / SEGMENTS).cast("int")
-    return before, (size - F.floor(size * (part + 1) / SEGMENTS)).cast("int")
-
-
-def outer(line: Column, size: Column, role: int, part: int) -> Column:
-    """Hash of a line outside a part of a line that is ``role`` (0 or 1) characters shorter."""
-    before, after = bounds(size - role, part)
-    return F.xxhash64(size - role, F.lit(part), F.substring(line, F.lit(1), before), F.right(line, after))
-
-
-def roles(line: Column, size: Column) -> Column:
-    """The keys under which a line can meet others at distance one."""
-    return F.array(
-        *[
-            F.struct(F.lit(role).alias("role"), F.lit(part).alias("part"), outer(line, size, role, part).alias("outer"))
-            for role in (0, 1)
-            for part in range(SEGMENTS)
-        ]
-    )
+def edge(size: Column, part: int) -> Column:
+    """Code points before a part of a line of ``size``."""
+    return F.floor(size * part / SEGMENTS).cast("int")
+
+
+def part_hashes(line: Column, size: Column) -> Column:
+    """Hashes of the parts: of the line's own length, then of one character less from the front and from the back.
+
+    The last part from the front and the first from the back are never outside a part, so they are left out.
+    """
+    base = size - 1
+    cut = lambda start, length: F.xxhash64(F.substring(line, start + 1, length))
+    own = [cut(edge(size, k), edge(size, k + 1) - edge(size, k)) for k in range(SEGMENTS)]
+    front = [cut(edge(base, k), edge(base, k + 1) - edge(base, k)) for k in range(SEGMENTS - 1)]
+    back = [cut(edge(base, k) + 1, edge(base, k + 1) - edge(base, k)) for k in range(1, SEGMENTS)]
+    return F.array(*own, *front, *back)
+
+
+def roles(hashes: Column, size: Column) -> Column:
+    """The keys under which a line can meet others at distance one: all but one part, for both lengths."""
+    keys = []
+    for role in (0, 1):
+        front = [hashes[k + role * SEGMENTS] for k in range(SEGMENTS - role)]
+        back = front if role == 0 else [None, *(hashes[2 * SEGMENTS - 1 + k] for k in range(SEGMENTS - 1))]
+        for part in range(SEGMENTS):
+            outer = F.xxhash64(size - role, F.lit(part), *front[:part], *back[part + 1 :])
+            keys.append(F.struct(F.lit(role).alias("role"), F.lit(part).alias("part"), outer.alias("outer")))
+    return F.array(*keys)
 
 
 def variants(line: Column, size: Column, role: Column, part: Column) -> Column:
@@ -80,10 +87,11 @@ def variants(line: Column, size: Column, role: Column, part: Column) -> Column:
 def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near_chars: int = NEAR_CHARS) -> DataFrame:
     """(id, line_no, kept_id, kept_line_no, exact) of every line to drop, and the earlier line that stands for it."""
     worded = lines(docs, id_col, text_col).where(F.col("line").rlike(WORD))
-    size = F.length("line")
-    near = F.when(size >= near_chars, roles(F.col("line"), size))
+    sized = worded.select("id", "line_no", "line", F.length("line").alias("size"), digest(F.col("line")).alias("digest"))
+    hashed = sized.select("id", "line_no", "digest", "size", part_hashes(F.col("line"), F.col("size")).alias("hashes"))
+    near = F.when(F.col("size") >= near_chars, roles(F.col("hashes"), F.col("size")))
     at = F.struct("id", "line_no")
-    found = durable(worded.select("id", "line_no", digest(F.col("line")).alias("digest"), near.alias("roles")), "lines")
+    found = durable(hashed.select("id", "line_no", "digest", near.alias("roles")), "lines")
     # one row for each distinct line: its earliest place
     distinct = durable(found.groupBy("digest").agg(F.min(at).alias("at"), F.first("roles").alias("roles")), "distinct-lines")
     keys = distinct.where("roles is not null").select("digest", "at", F.explode("roles").alias("r")).select("digest", "at", "r.*")
