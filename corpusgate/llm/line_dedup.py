@@ -57,14 +57,16 @@ def part_hashes(line: Column, size: Column) -> Column:
 
 
 def roles(hashes: Column, size: Column) -> Column:
-    """The keys under which a line can meet others at distance one: all but one part, for both lengths."""
+    """The keys under which a line can meet others at distance one: all but one part, for both lengths.
+
+    At place ``role * SEGMENTS + part``; a line of role 1 stands there as if it were one character shorter.
+    """
     keys = []
     for role in (0, 1):
         front = [hashes[k + role * SEGMENTS] for k in range(SEGMENTS - role)]
         back = front if role == 0 else [None, *(hashes[2 * SEGMENTS - 1 + k] for k in range(SEGMENTS - 1))]
         for part in range(SEGMENTS):
-            outer = F.xxhash64(size - role, F.lit(part), *front[:part], *back[part + 1 :])
-            keys.append(F.struct(F.lit(role).alias("role"), F.lit(part).alias("part"), outer.alias("outer")))
+            keys.append(F.xxhash64(size - role, F.lit(part), *front[:part], *back[part + 1 :]))
     return F.array(*keys)
 
 
@@ -92,45 +94,47 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     near = F.when(F.col("size") >= near_chars, roles(F.col("hashes"), F.col("size")))
     at = F.struct("id", "line_no")
     found = durable(hashed.select("id", "line_no", "digest", near.alias("roles")), "lines")
-    # one row for each distinct line: its earliest place
-    distinct = durable(found.groupBy("digest").agg(F.min(at).alias("at"), F.first("roles").alias("roles")), "distinct-lines")
-    keys = distinct.where("roles is not null").select("digest", "at", F.explode("roles").alias("r")).select("digest", "at", "r.*")
-    shared = keys.groupBy("outer").agg(F.count("*").alias("n"), F.min("role").alias("low")).where("n > 1 and low = 0").select("outer")
-    meeting = durable(keys.join(shared, "outer").select("at", "digest", "role", "part"), "meeting-lines")
+    # one row for each distinct line: its earliest place, and a number
+    distinct = found.groupBy("digest").agg(F.min(at).alias("at"), F.first("roles").alias("roles"))
+    distinct = durable(distinct.withColumn("cls", F.monotonically_increasing_id()), "distinct-lines")
+    keys = distinct.where("roles is not null").select("cls", F.posexplode("roles").alias("slot", "outer"))
+    shared = keys.groupBy("outer").agg(F.count("*").alias("n"), F.min("slot").alias("low"))
+    shared = shared.where((F.col("n") > 1) & (F.col("low") < SEGMENTS)).select("outer")
+    # a line is asked for the parts in which it may differ from another: 8 at most
+    asked = keys.join(shared, "outer").groupBy("cls").agg(F.collect_set("slot").alias("slots"))
+    asked = durable(distinct.select("cls", "digest", "at").join(asked, "cls"), "meeting-lines")
     # the text of those lines again
-    ids = meeting.select(F.col("at.id").alias("want")).distinct()
-    ids = durable(ids, "meeting-ids")
+    ids = durable(asked.select(F.col("at.id").alias("want")).distinct(), "meeting-ids")
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     again = docs.join(wanted, docs[f"`{id_col}`"].eqNullSafe(F.col("want")), "left_semi")
-    text = lines(again, id_col, text_col).select("id", "line_no", "line", digest(F.col("line")).alias("digest"))
-    asked = meeting.groupBy("digest", "at").agg(F.collect_set(F.struct("role", "part")).alias("asked"))  # 8 at most
-    told = text.join(asked, [text["digest"] == asked["digest"], text["id"].eqNullSafe(asked["at.id"]), text["line_no"] == asked["at.line_no"]])
-    told = durable(told.select("line", asked["digest"].alias("digest"), "at", "asked").dropDuplicates(["digest"]), "meeting-texts")
-    sent = told.select("digest", "at", F.length("line").alias("size"), "line", F.explode("asked").alias("a")).select(
-        "digest", "at", F.explode(variants(F.col("line"), F.col("size"), F.col("a.role"), F.col("a.part"))).alias("v")
-    )
-    sent = sent.select("digest", "at", "v.*").distinct()
+    text = lines(again, id_col, text_col).select("id", "line_no", "line", digest(F.col("line")).alias("own"))
+    told = text.join(asked, [text["own"] == asked["digest"], text["id"].eqNullSafe(asked["at.id"]), text["line_no"] == asked["at.line_no"]])
+    told = durable(told.select("cls", "at", "line", "slots").dropDuplicates(["cls"]), "meeting-texts")
+    sent = told.select("cls", "at", F.length("line").alias("size"), "line", F.explode("slots").alias("slot"))
+    role, part = (F.col("slot") >= SEGMENTS).cast("int"), F.col("slot") % SEGMENTS
+    sent = sent.select("cls", "at", F.explode(variants(F.col("line"), F.col("size"), role, part)).alias("v"))
+    sent = sent.select("cls", "at", "v.*").distinct()
     # under a key with places all lines are at distance one; else a whole line and its longer ones are
     least = sent.groupBy("key").agg(
-        F.min(F.when(F.col("whole"), F.struct("at", "digest"))).alias("whole_least"),
-        F.min(F.when(~F.col("whole"), F.struct("at", "digest"))).alias("least"),
+        F.min(F.when(F.col("whole"), F.struct("at", "cls"))).alias("whole_least"),
+        F.min(F.when(~F.col("whole"), F.struct("at", "cls"))).alias("least"),
         F.count("*").alias("n"),
     )
     many = least.where("n > 1").select("key", "whole_least", "least")
     met = sent.join(many, "key")
     candidates = F.array(F.col("whole_least"), F.when(F.col("whole") | F.col("whole_least").isNull(), F.col("least")))
     earlier = met.withColumn("other", F.explode(candidates)).where(F.col("other").isNotNull() & (F.col("other.at") < F.col("at")))
-    pairs = earlier.select("digest", F.col("other.digest").alias("other"), F.col("other.at").alias("other_at")).distinct()
-    sides = told.select(F.col("digest").alias("d"), F.col("line").alias("x"))
-    others = told.select(F.col("digest").alias("o"), F.col("line").alias("y"))
+    pairs = earlier.select("cls", F.col("other.cls").alias("other"), F.col("other.at").alias("other_at")).distinct()
+    sides = told.select(F.col("cls").alias("d"), F.col("line").alias("x"))
+    others = told.select(F.col("cls").alias("o"), F.col("line").alias("y"))
     close = (
-        pairs.join(sides, pairs["digest"] == sides["d"])
+        pairs.join(sides, pairs["cls"] == sides["d"])
         .join(others, pairs["other"] == others["o"])
         .where(F.levenshtein("x", "y", 1) >= 0)
-        .groupBy("digest")
+        .groupBy("cls")
         .agg(F.min("other_at").alias("near_at"))
     )
-    verdict = distinct.select("digest", "at").join(close, "digest", "left")
+    verdict = distinct.select("cls", "digest", "at").join(close, "cls", "left").drop("cls")
     judged = found.select("id", "line_no", "digest").join(verdict, "digest")
     first = (F.col("at.id").eqNullSafe(F.col("id"))) & (F.col("at.line_no") == F.col("line_no"))
     kept = F.when(F.col("near_at").isNotNull(), F.col("near_at")).otherwise(F.when(~first, F.col("at")))
