@@ -2,8 +2,8 @@
 
 Words become symbols (insult, threat, target, negation, report, other). Small transducers are composed:
 one takes the force out of insults after a negation, one out of reported speech, one adds force beside a
-target. What leaves the last one is weighed clause by clause; a document's score is the chance that at
-least one clause is toxic. Insults are a short seed list and what labelled rows teach: words, and
+target. What leaves the last one is weighed clause by clause, and a logistic curve fitted on the sample
+turns the sum of a document's clauses into a probability. Insults are a short seed list and what labelled rows teach: words, and
 beginnings of words, that stand in many different places of toxic texts and in hardly any others.
 
 Defined cases: a null or empty text has no clause and the lowest score; training rows without a label are
@@ -13,7 +13,9 @@ places are counted by their neighbours; an empty table gives an empty result; ot
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -25,11 +27,14 @@ from pyspark.sql import functions as F
 from corpusgate.llm import texts
 
 #: Largest number of labelled rows, half of them toxic at most, from which insults are learned.
-SAMPLE = 40_000
+SAMPLE = 12_000
 #: Lengths of the word beginnings that are learned beside whole words.
 STEMS = (4, 5, 6)
-#: Different places a learned insult has in toxic texts, and the share of its places that are toxic.
-PLACES, PURE = 6, 0.8
+#: Different places a learned insult has in toxic texts, their least share of these and all its clean ones, and by
+#: how many standard deviations they must outnumber the clean ones, as both classes give equally many rows.
+PLACES, PURE, DEVIATIONS = 6, 0.8, 4.0
+#: Features that have enough places in toxic texts to be looked for in the others, the most frequent first.
+CANDIDATES = 200_000
 #: Most insults that are kept, the most frequent first.
 LEXICON = 20_000
 
@@ -114,7 +119,8 @@ class Grammar:
     words: dict[bytes, float]
     stems: dict[bytes, float] = field(default_factory=dict)
     threat: float = 0.5
-    floor: float = 0.01
+    slope: float = 1.5
+    bias: float = -4.0
 
     def __post_init__(self) -> None:
         self.machine = Composed([negation(), reported(), aimed()])
@@ -134,30 +140,25 @@ class Grammar:
         return got
 
     def clause(self, words: list[bytes]) -> float:
-        """Chance that a clause is toxic: its harsh words with the factors of the machine."""
-        states, clear = self.machine.start, 1.0
+        """Strength of a clause: what its harsh words weigh after the factors of the machine."""
+        states, total = self.machine.start, 0.0
         for word in words:
-            plain = word.strip(TRIM).lower()
             weight = self.harsh(word)
-            symbol = "insult" if weight else self.symbols.get(plain, "other")
+            symbol = "insult" if weight else self.symbols.get(word.strip(TRIM).lower(), "other")
             states, out, factor = self.machine.step(states, symbol)
             if out in HARSH:
-                clear *= 1 - min(0.99, (weight or self.threat) * factor)
-        return 1 - clear
+                total -= math.log(1 - min(0.998, (weight or self.threat) * factor))
+        return total
 
-    def score(self, text: bytes) -> float:
+    def strength(self, text: bytes) -> float:
+        """Sum over the clauses; only texts with a harsh word are cut into clauses."""
         words = text.split()
-        harsh = self.harsh
-        if not any(harsh(w) for w in words) and self.threats.isdisjoint(words):
-            return self.floor
-        clear = 1 - self.floor
-        for part in CLAUSE.split(text):
-            clear *= 1 - self.clause(part.split())
-        return 1 - clear
+        if not any(map(self.harsh, words)) and _THREATS.isdisjoint(words):
+            return 0.0
+        return sum(self.clause(part.split()) for part in CLAUSE.split(text))
 
-    @property
-    def threats(self) -> set[bytes]:
-        return _THREATS
+    def score(self, text: bytes) -> float:
+        return 1 / (1 + math.exp(-min(50.0, self.slope * self.strength(text) + self.bias)))
 
 
 _THREATS = {w.encode() for w in THREATS}
@@ -193,31 +194,67 @@ def learned(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in texts.slices(batches):
-            label = np.array(part.column("label").to_pylist(), np.int32)
-            for k in (0, 1):
-                features, near = places([t for t, y in zip(texts.raw(part), label) if y == k])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(features, pa.binary()), pa.array(near.astype(np.int64)), pa.array(np.full(len(features), k, np.int32))],
-                    names=["feature", "near", "label"],
-                )
-
-    seen = texts.arrow(rows, spread, "feature binary, near long, label int")
-    # a place that clean texts have too teaches nothing about the toxic ones
-    once = seen.groupBy("feature", "near").agg(F.min("label").alias("label"))
-    counts = once.groupBy("feature").agg(F.sum("label").alias("toxic"), F.count("*").alias("n"))
-    pure = counts.where((F.col("toxic") >= PLACES) & (F.col("toxic") >= PURE * F.col("n")))
-    best = pure.orderBy(F.desc("toxic"), "feature").limit(LEXICON).collect()
+            features, near = places(texts.raw(part))
+            yield pa.RecordBatch.from_arrays([pa.array(features, pa.binary()), pa.array(near.astype(np.int64))], names=["feature", "near"])
+
+    toxic = texts.arrow(rows.where("label = 1").select("text"), spread, "feature binary, near long").distinct()
+    often = toxic.groupBy("feature").agg(F.count("*").alias("n")).where(F.col("n") >= PLACES)
+    candidates = {bytes(r["feature"]): r["n"] for r in often.orderBy(F.desc("n"), "feature").limit(CANDIDATES).collect()}
+    known = rows.sparkSession.sparkContext.broadcast(frozenset(candidates))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n: Counter[bytes] = Counter()
+        for part in texts.slices(batches):
+            n.update(f for f in places(texts.raw(part))[0] if f in known.value)
+        yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.binary()), pa.array(list(n.values()), pa.int64())], names=["feature", "n"])
+
+    clean = texts.arrow(rows.where("label = 0").select("text"), count, "feature binary, n long")
+    seen = {bytes(r["feature"]): r["n"] for r in clean.groupBy("feature").agg(F.sum("n").alias("n")).collect()}  # CANDIDATES at most
+    clean_rows = min(sizes.get(0, 0), sample / 2) or 1
+    even = min(sizes.get(1, 0), sample / 2) / clean_rows  # clean places as if there were as many clean rows
+    against = {f: seen.get(f, 0) * even for f in candidates}
+    sure = lambda f: (candidates[f] - against[f]) / (candidates[f] + against[f]) ** 0.5 >= DEVIATIONS
+    best = [f for f, n in candidates.items() if n >= PURE * (n + against[f]) and sure(f)][:LEXICON]
     words = {w.encode(): 0.9 for w in INSULTS}
     stems: dict[bytes, float] = {}
-    for r in best:
-        feature, weight = bytes(r["feature"]), 0.95 * r["toxic"] / r["n"]
-        (stems if feature.endswith(b"*") else words)[feature.removesuffix(b"*")] = weight
-    return Grammar(words, stems)
+    for f in best:
+        weight = 1 - (against[f] + 0.5) / (candidates[f] + 1)
+        (stems if f.endswith(b"*") else words)[f.removesuffix(b"*")] = weight
+    grammar = Grammar(words, stems)
+    if len(sizes) == 2:
+        got = _strengths(rows, grammar).toArrow()  # three numbers a row of the sample
+        x, y = got["strength"].to_numpy(), got["label"].to_numpy().astype(float)
+        grammar.slope, grammar.bias = curve(x, y, np.where(y > 0, 1 / share[1], 1 / share[0]), grammar.slope, grammar.bias)
+    return grammar
+
+
+def curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray, slope: float, bias: float) -> tuple[float, float]:
+    """Logistic regression of ``y`` on ``x`` by Newton steps, drawn to the given start where rows say little."""
+    start = now = np.array([slope, bias])
+    rows, hold = np.stack([x, np.ones_like(x)], axis=1), np.array([4.0, 1.0])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(rows @ now, -30, 30)))
+        gradient = rows.T @ (weight * (p - y)) + hold * (now - start)
+        step = np.linalg.solve((rows * (weight * p * (1 - p))[:, None]).T @ rows + np.diag(hold), gradient)
+        now = now - np.clip(step, -1, 1)
+    return max(0.1, float(now[0])), float(now[1])
+
+
+def _strengths(rows: DataFrame, grammar: Grammar) -> DataFrame:
+    shared = rows.sparkSession.sparkContext.broadcast((grammar.words, grammar.stems, grammar.threat))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Grammar(*shared.value)
+        for part in texts.slices(batches):
+            strength = [own.strength(t) for t in texts.raw(part)]
+            yield pa.RecordBatch.from_arrays([part.column("label"), pa.array(strength, pa.float64())], names=["label", "strength"])
+
+    return texts.arrow(rows.select("text", "label"), run, "label int, strength double")
 
 
 def scored(docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) of every row; the grammar holds at most ``LEXICON`` learned words and is broadcast."""
-    shared = docs.sparkSession.sparkContext.broadcast((grammar.words, grammar.stems, grammar.threat, grammar.floor))
+    shared = docs.sparkSession.sparkContext.broadcast((grammar.words, grammar.stems, grammar.threat, grammar.slope, grammar.bias))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
