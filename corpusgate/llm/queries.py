@@ -20,6 +20,8 @@ from corpusgate.llm import (
     url_filters,
 )
 
+#: Labels that may be broadcast.
+BROADCAST_LABELS = 1_000_000
 #: Id that ends each encoded document, as the query's contract gives it.
 END_ID = 2
 
@@ -39,6 +41,8 @@ def training(spark: SparkSession, folder: str, label: str, parts: int, which: in
     """(doc_id, text, label) of the labelled rows that are not held out."""
     labels = table(spark, folder, "labels").select("doc_id", F.col(label).alias("label"))
     own = labels.where(F.col("label").isNotNull() & ~quality_classifier.held(F.col("doc_id"), parts, which))
+    if own.count() <= BROADCAST_LABELS:  # 16 bytes a row; beyond that Spark shuffles both sides
+        own = F.broadcast(own)
     return table(spark, folder, "documents").select("doc_id", "text").join(own, "doc_id")
 
 
