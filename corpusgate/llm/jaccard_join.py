@@ -36,7 +36,7 @@ WORDS, PERCENT = 5, 80
 #: Documents with a shingle from which on it counts as frequent, bits of the bitmap, and marked slots at most.
 FREQUENT, BITS, MARKED = 8, 27, 1 << 23
 #: Text bytes whose shingles one counting task takes.
-RANGE_BYTES = 24 << 20
+RANGE_BYTES = 12 << 20
 #: Ids that may be broadcast, and members of a leader that one task verifies.
 BROADCAST_IDS, CELL = 1_000_000, 256
 
@@ -99,7 +99,7 @@ def frequent(docs: DataFrame, words: int = WORDS) -> bytes:
         held: list[np.ndarray] = []
         for part in texts.slices(batches):
             held.append(shingle_sets(texts.raw(part), words)[1])
-            if sum(map(len, held)) > 2_000_000:
+            if sum(map(len, held)) > 1_000_000:
                 yield pack(held)
                 held = []
         if held:
@@ -127,10 +127,11 @@ def frequent(docs: DataFrame, words: int = WORDS) -> bytes:
     ship(docs.sparkSession)
     runs = texts.arrow(docs, send, "home long, run binary")
     slots = runs.groupBy("home").applyInPandas(count, "slots binary")
-    bitmap = np.zeros(1 << BITS, bool)
+    bitmap = np.zeros(1 << (BITS - 3), np.uint8)
     for row in slots.toLocalIterator():  # at most MARKED numbers of 4 bytes in all
-        bitmap[np.frombuffer(row["slots"], "<u4")] = True
-    return np.packbits(bitmap).tobytes()
+        slot = np.frombuffer(row["slots"], "<u4")
+        np.bitwise_or.at(bitmap, slot >> 3, np.uint8(128) >> (slot & 7).astype(np.uint8))
+    return bitmap.tobytes()
 
 
 class Order:

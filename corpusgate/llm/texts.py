@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from corpusgate.llm.shipping import ship
 
 #: Text bytes worked on at once in a task. A text longer than this is a slice of its own, never cut.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 3 << 19
 
 #: `bytes.split()` without arguments splits at exactly \x20 and \x09-\x0D.
 SPACE = b" \t\n\x0b\x0c\r"
