@@ -15,6 +15,9 @@ from corpusgate.llm.shipping import ship
 #: Text bytes worked on at once in a task. A text longer than this is a slice of its own, never cut.
 SLICE_BYTES = 3 << 19
 
+#: Rows that Spark sends a task at once.
+BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "500"
+
 #: `bytes.split()` without arguments splits at exactly \x20 and \x09-\x0D.
 SPACE = b" \t\n\x0b\x0c\r"
 
@@ -30,8 +33,11 @@ M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.ui
 
 
 def arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow`` with this package at hand on the executors."""
-    ship(df.sparkSession)
+    """``mapInArrow`` with this package at hand on the executors, and batches that suit long texts."""
+    spark = df.sparkSession
+    ship(spark)
+    if spark.conf.get(BATCH_CONF) == "10000":  # Spark's default; another setting is the user's
+        spark.conf.set(BATCH_CONF, BATCH_ROWS)
     return df.mapInArrow(fn, schema)
 
 

@@ -21,13 +21,13 @@ an empty table writes no record and gives an empty index; other columns are not
 from __future__ import annotations
 
 import array
+import statistics
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
@@ -36,13 +36,12 @@ from pyspark.sql import types as T
 from pyspark.sql import window as W
 
 from corpusgate.llm import texts
-from corpusgate.llm.shipping import ship
 from corpusgate.session import checkpoint_dir
 
 #: Text bytes that one file takes; about a third of it is token ids of two bytes.
 FILE_TEXT_BYTES = 32 << 20
-#: Distinct words whose ids a task remembers before it forgets those it has not used for as long.
-REMEMBERED_WORDS = 500_000
+#: Distinct words whose ids a task remembers before it forgets half of them.
+REMEMBERED_WORDS = 400_000
 NO_ID = -(2**63)
 HEAD = struct.Struct("<QI")
 MARK = struct.Struct("<I")
@@ -96,28 +95,27 @@ class Symbols(dict):
 
 
 class Known(dict):
-    """Ids of words, worked out when first asked for; words long unused are forgotten."""
+    """Ids of words, worked out when first asked for and remembered."""
 
     def __init__(self, encoder: Encoder, code: str) -> None:
         super().__init__()
         self.encoder, self.code = encoder, code
-        self.before: dict[str, bytes] = {}
 
-    def turn(self) -> None:
-        """Begin anew, with what was known as a second memory."""
-        self.before = dict(self)
+    def shrink(self) -> None:
+        """Forget the longer half of the words: the shorter ones come again more often."""
+        longest = statistics.median(map(len, self))
+        kept = {w: ids for w, ids in self.items() if len(w) < longest}
         self.clear()
+        self.update(kept)
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.before.get(word)
-        if ids is None:
-            core = word.rstrip(",.") if self.encoder.parts else ""
-            if len(core) < len(word) and core.isalpha():
-                ids = self[core] + self[word[len(core) :]]
-            elif core.isalpha() and (low := self.encoder.lowered(core)).isalpha():
-                ids = self[low] if low != core else self.packed(self.encoder.merged(low))
-            else:
-                ids = self.packed(self.encoder.plain([word])[0])
+        core = word.rstrip(",.") if self.encoder.parts else ""
+        if len(core) < len(word) and core.isalpha():
+            ids = self[core] + self[word[len(core) :]]
+        elif core.isalpha() and (low := self.encoder.lowered(core)).isalpha():
+            ids = self[low] if low != core else self.packed(self.encoder.merged(low))
+        else:
+            ids = self.packed(self.encoder.plain([word])[0])
         self[word] = ids
         return ids
 
@@ -175,7 +173,7 @@ class Encoder:
         for text in rows:
             yield b"".join(map(known.__getitem__, text.replace("\n", " ").split(" ")))
             if len(known) > REMEMBERED_WORDS:
-                known.turn()
+                known.shrink()
 
 
 _ENCODERS: dict[int, Encoder] = {}
@@ -223,41 +221,46 @@ def write(
     made.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").text(f"{path}/records")
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
+def read(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     """(file, record, offset, length, doc_id, n_tokens, before, ids_crc32, ids) of every record under ``path``.
 
-    ``before``: ids of the records before it in its file. Every mark is verified.
+    ``before``: ids of the records before it in its file; ``ids``: 4 bytes each, where asked for. Every mark
+    is verified.
     """
+    names = ["file", "record", "offset", "length", "doc_id", "n_tokens", "before", "ids_crc32"] + ["ids"] * with_ids
+    kinds = [pa.string(), *[pa.int64()] * 7] + [pa.binary()] * with_ids
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, data in zip(batch["file"], batch["content"]):
+            for name, content in zip(batch.column("file").to_pylist(), batch.column("content")):
                 before, rows = 0, []
-                for k, (at, length, doc_id, ids) in enumerate(parsed(data)):
+                for k, (at, length, doc_id, ids) in enumerate(parsed(content.as_buffer())):
                     wide = ids.astype("<u4").tobytes()
-                    rows.append((name, k, at, length, doc_id, len(ids), before, zlib.crc32(wide), wide))
+                    row = (name, k, at, length, doc_id, len(ids), before, zlib.crc32(wide))
+                    rows.append((*row, wide) if with_ids else row)
                     before += len(ids)
-                    if len(rows) == 1000:
-                        yield pd.DataFrame(rows, columns=names)
+                    if len(rows) == 500:
+                        yield made(rows)
                         rows = []
                 if rows:
-                    yield pd.DataFrame(rows, columns=names)
+                    yield made(rows)
+
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
-    names = ["file", "record", "offset", "length", "doc_id", "n_tokens", "before", "ids_crc32", "ids"]
-    kinds = "file string, record long, offset long, length long, doc_id long, n_tokens long, before long, ids_crc32 long, ids binary"
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "part-*")
         .load(f"{path}/records")
         .select(F.regexp_extract("path", "[^/]+$", 0).alias("file"), "content")
     )
-    ship(spark)
-    return files.where(F.length("content") > 0).mapInPandas(cut, kinds)
+    schema = ", ".join(f"{n} {'string' if n == 'file' else 'binary' if n == 'ids' else 'long'}" for n in names)
+    return texts.arrow(files.where(F.length("content") > 0), cut, schema)
 
 
 def index(spark: SparkSession, path: str) -> DataFrame:
     """Write the offset index beside the records and return it: where each record lies, and the ids before it."""
-    read(spark, path).drop("ids").write.mode("overwrite").parquet(f"{path}/index")
+    read(spark, path, with_ids=False).write.mode("overwrite").parquet(f"{path}/index")
     rows = spark.read.parquet(f"{path}/index")
     totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"))
     # one row a file: a thousandth of a thousandth of the tokens
