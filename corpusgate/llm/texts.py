@@ -38,7 +38,12 @@ def arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     ship(spark)
     if spark.conf.get(BATCH_CONF) == "10000":  # Spark's default; another setting is the user's
         spark.conf.set(BATCH_CONF, BATCH_ROWS)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()  # workers serve many tasks
+
+    return df.mapInArrow(run, schema)
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:

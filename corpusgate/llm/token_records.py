@@ -39,9 +39,9 @@ from corpusgate.llm import texts
 from corpusgate.session import checkpoint_dir
 
 #: Text bytes that one file takes; about a third of it is token ids of two bytes.
-FILE_TEXT_BYTES = 32 << 20
+FILE_TEXT_BYTES = 16 << 20
 #: Distinct words whose ids a task remembers before it forgets half of them.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 150_000
 NO_ID = -(2**63)
 HEAD = struct.Struct("<QI")
 MARK = struct.Struct("<I")
