@@ -40,8 +40,8 @@ from corpusgate.session import checkpoint_dir
 
 #: Text bytes that one file takes; about a third of it is token ids of two bytes.
 FILE_TEXT_BYTES = 16 << 20
-#: Distinct words whose ids a task remembers before it forgets half of them.
-REMEMBERED_WORDS = 150_000
+#: Distinct words whose ids a task remembers before it forgets half of them: about 200 bytes each.
+REMEMBERED_WORDS = 700_000
 NO_ID = -(2**63)
 HEAD = struct.Struct("<QI")
 MARK = struct.Struct("<I")
@@ -136,6 +136,7 @@ class Encoder:
     def __init__(self, spec: str) -> None:
         from tokenizers import Tokenizer
 
+        self.remembered = REMEMBERED_WORDS
         self.tokenizer = Tokenizer.from_str(spec)
         self.known: dict[int, Known] = {}
         flat = lambda rows: [i for ids in self.plain(rows) for i in ids]
@@ -172,7 +173,7 @@ class Encoder:
         known = self.known.setdefault(width, Known(self, code))
         for text in rows:
             yield b"".join(map(known.__getitem__, text.replace("\n", " ").split(" ")))
-            if len(known) > REMEMBERED_WORDS:
+            if len(known) > self.remembered:
                 known.shrink()
 
 
@@ -189,7 +190,13 @@ def encoder(spec: Broadcast) -> Encoder:
 
 
 def write(
-    docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    path: str,
+    tokenizer: str,
+    end_id: int,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    remembered: int = REMEMBERED_WORDS,
 ) -> None:
     """Write the records of all documents under ``path``. ``tokenizer``: path of a tokenizer file.
 
@@ -208,12 +215,13 @@ def write(
     files = max(1, -(-size // FILE_TEXT_BYTES), spark.sparkContext.defaultParallelism)
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(shared).encode
+        own = encoder(shared)
+        own.remembered = remembered
         end = end_id.to_bytes(width, "little")
         for part in texts.slices(batches):
             rows = [t or "" for t in part.column("text").to_pylist()]
             ids = part.column("id").to_pylist()
-            made = [framed(i, x + end, width) for i, x in zip(ids, encode(rows, width))]
+            made = [framed(i, x + end, width) for i, x in zip(ids, own.encode(rows, width))]
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["record"])
 
     dealt = narrow.repartitionByRange(files, "id").sortWithinPartitions("id", "text")
@@ -285,12 +293,18 @@ def at(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
 
 
 def encoded(
-    docs: DataFrame, tokenizer: str, end_id: int, path: str | None = None, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    tokenizer: str,
+    end_id: int,
+    path: str | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    remembered: int = REMEMBERED_WORDS,
 ) -> DataFrame:
     """Write records and index (under the shared folder unless ``path`` says where) and return the index."""
     spark = docs.sparkSession
     path = path or f"{checkpoint_dir(spark)}/records-{uuid.uuid4().hex}"
-    write(docs, path, tokenizer, end_id, id_col, text_col)
+    write(docs, path, tokenizer, end_id, id_col, text_col, remembered)
     out = index(spark, path)
     if isinstance(docs.schema[id_col].dataType, (T.IntegerType, T.ShortType, T.ByteType)):
         out = out.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))
