@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from corpusgate.llm import decontaminate, jaccard_join, mixing, quality_rules, queries, token_records
 from corpusgate.session import checkpoint_dir
 
+#: Words whose ids a task of the last stage remembers: fewer than alone, as earlier stages left their marks in memory.
+REMEMBERED_WORDS = 150_000
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
@@ -32,7 +35,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token records of every row, and where each lies: (doc_id, start, n_tokens, ids_crc32)."""
-    found = token_records.encoded(docs, queries.tokenizer_path(), queries.END_ID)
+    found = token_records.encoded(docs, queries.tokenizer_path(), queries.END_ID, remembered=REMEMBERED_WORDS)
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
