@@ -106,10 +106,9 @@ def reported(factor: float = 0.7) -> Transducer:
 
 
 def aimed(factor: float = 1.5, threat: float = 0.4) -> Transducer:
-    """Harsh words after a target gain force; a threat without one loses most of it."""
-    return Transducer(
-        {(0, "target"): (1, None, 1.0), (0, "threat"): (0, None, threat)} | {(1, h): (1, None, factor) for h in HARSH}
-    )
+    """Harsh words after a target gain force; a threat without one loses most of it. Who speaks is no target."""
+    arcs: dict = {(0, "target"): (1, None, 1.0), (0, "threat"): (0, None, threat), (1, "report"): (0, None, 1.0)}
+    return Transducer(arcs | {(1, h): (1, None, factor) for h in HARSH})
 
 
 @dataclass
