@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusgate.session import spread
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -26,10 +24,6 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def spread(self, name: str) -> DataFrame:
-        """A table for costly row work, spread over the cores if it is stored in too few pieces."""
-        return spread(getattr(self, name))
-
 
 def query(name: str, covers: str, sql: str | None = None) -> Callable:
     """Register ``fn(tables) -> DataFrame`` under ``name``; ``covers`` lists the operator ids it runs."""

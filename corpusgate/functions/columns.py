@@ -432,8 +432,8 @@ def parse_instant(text: ColumnOrName) -> Column:
 
 
 def seconds_between(start: ColumnOrName, end: ColumnOrName) -> Column:
-    """Seconds from start to end; zone-less timestamps are read in the session time zone."""
-    first, last = (F.unix_micros(_c(x).cast("timestamp")) for x in (start, end))
+    """Seconds from start to end, null where one cannot be read; zone-less ones are in the session time zone."""
+    first, last = (F.unix_micros(_c(x).try_cast("timestamp")) for x in (start, end))
     return (last - first) / F.lit(1_000_000.0)
 
 

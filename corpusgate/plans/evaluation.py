@@ -10,7 +10,7 @@ import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -175,8 +175,8 @@ def run_scorers(x: EvalInputs, scorers: Mapping[str, Scorer] | None = None) -> t
         start = time.perf_counter()
         try:
             rows += [(r["task"], r["metric"], r["value"], None) for r in scorer(x).collect()]
-        except AnalysisException as e:
-            rows.append((task, "error", None, str(e)[:200]))
+        except PySparkException as e:  # while planning or running
+            rows.append((task, "error", None, str(e)))
         times.append((task, round(time.perf_counter() - start, 2)))
     actuals = constant_rows(spark, rows, task="string", metric="string", value="double", note="string")
     return actuals, constant_rows(spark, times, task="string", value="double")

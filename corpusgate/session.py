@@ -33,11 +33,8 @@ def get_session(app: str = "corpusgate", master: str | None = None, **conf: str)
 
 
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The shared folder the cluster names; ``fallback`` is used only where none is set."""
-    path = spark.conf.get(CHECKPOINT_CONF, None) or fallback
-    if not path:
-        raise ValueError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
-    return path
+    """The shared folder the cluster names; where none is set, ``fallback`` or a folder of the warehouse."""
+    return spark.conf.get(CHECKPOINT_CONF, None) or fallback or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate"
 
 
 def durable(df: DataFrame, name: str) -> DataFrame:
@@ -52,17 +49,6 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, max_pieces: int = 32) -> DataFrame:
-    """Use every core for costly row work on a small table stored in a few pieces.
-
-    A table of more than ``max_pieces`` input partitions is returned unchanged, so no large table is
-    ever shuffled for this. Give it a plain scan whose first column is an id.
-    """
-    pieces = df.rdd.getNumPartitions()
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted, df.columns[0]) if pieces < wanted and pieces <= max_pieces else df
-
-
 def constant_rows(spark: SparkSession, rows: Sequence[tuple], **types: str) -> DataFrame:
     """A small fixed table built inside the JVM; ``types`` names and types the columns."""
     fields = lambda row: [F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, types.items())]

@@ -26,14 +26,20 @@ def normalized_intake(rows: DataFrame) -> DataFrame:
         c.strip("paper_id").alias("paper_id"),
         c.strip(c.filled("domain", "other")).alias("domain"),
         c.blank_to_null("title").alias("title"),
-        F.try_to_number(c.blank_to_null("year"), F.lit("9999")).cast("int").alias("year"),
+        c.blank_to_null("year").try_cast("int").alias("year"),
     )
 
 
 def intake_violations(rows: DataFrame) -> DataFrame:
-    """Rows with an unknown domain. A dry run is this alone."""
+    """Rows with an unknown domain or a year that is no number. A dry run is this alone."""
     bad = normalized_intake(rows).where(~c.in_values("domain", c.PAPER_DOMAINS))
-    return checks.violations(bad, "intake_domain", "paper_id", "paper_id", F.concat(F.lit("invalid domain "), "domain"))
+    domains = checks.violations(bad, "intake_domain", "paper_id", "paper_id", F.concat(F.lit("invalid domain "), "domain"))
+    text = c.blank_to_null("year")
+    odd = rows.where(c.not_blank("paper_id") & text.isNotNull() & text.try_cast("int").isNull()).select(
+        c.strip("paper_id").alias("paper_id"), text.alias("year")
+    )
+    years = checks.violations(odd, "intake_year", "paper_id", "paper_id", F.concat(F.lit("invalid year "), "year"))
+    return domains.unionByName(years)
 
 
 def skeletons(ids: DataFrame) -> DataFrame:

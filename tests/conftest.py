@@ -9,7 +9,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 @pytest.fixture(scope="session")
 def spark():
-    from corpusgate.session import CHECKPOINT_CONF, get_session
+    from corpusgate.session import get_session
 
     session = get_session(
         "tests",
@@ -18,9 +18,8 @@ def spark():
         spark__ui__enabled="false",
         spark__driver__memory="12g",
         spark__ui__showConsoleProgress="false",
+        spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="run-"),
     )
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get(CHECKPOINT_CONF, None):
-        session.conf.set(CHECKPOINT_CONF, tempfile.mkdtemp(prefix="run-"))
     yield session
     session.stop()

@@ -110,3 +110,8 @@ def test_jaccard_of_empty_sets_is_zero(spark):
 def test_rank_of_unknown_status_is_lowest(spark):
     df = spark.createDataFrame([("linked_to_kernel",), ("disputed",), ("odd",), (None,)], "s string")
     assert [r[0] for r in df.select(c.status_rank("s")).collect()] == [6, -1, -2, -2]
+
+
+def test_seconds_between_skips_unreadable_instants(spark):
+    df = spark.createDataFrame([("2020-01-01T00:00:00Z", "2020-01-01T00:01:00Z"), ("soon", "2020-01-01T00:01:00Z")], "a string, b string")
+    assert [r[0] for r in df.select(c.seconds_between("a", "b")).collect()] == [60.0, None]

@@ -155,3 +155,9 @@ def test_stream_latency_and_dedup(spark, root):
     lat = streaming.latency_stream(stream, "u", "ts", "kind", "start", "end", "1 hour", "1 hour")
     streaming.write_batches(lat, lambda b, i: got.extend(b.collect()), f"lat-{root.name}").awaitTermination(120)
     assert [(r["u"], r["seconds"]) for r in got] == [("u", 30.0)]
+
+
+def test_intake_reports_a_year_that_is_no_number(spark):
+    rows = spark.createDataFrame([("p1", "physics", "t", "abc"), ("p2", "physics", "t", " 2020 "), ("p3", None, None, "")], "paper_id string, domain string, title string, year string")
+    assert found(intake.intake_violations(rows), "row_id", "message") == [("p1", "invalid year abc")]
+    assert found(intake.normalized_intake(rows), "paper_id", "year") == [("p1", None), ("p2", 2020), ("p3", None)]
