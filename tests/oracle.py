@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from decimal import Decimal
 
@@ -61,7 +62,8 @@ def main(folder: str, only: list[str]) -> int:
     from corpusgate.session import get_session
 
     spark = get_session(
-        master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="12g"
+        master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="12g",
+        spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="run-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
