@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -248,14 +248,12 @@ def suggest_by_overlap(
     group: Sequence[str] = (),
     k: int = 5,
     cell_tokens: int = 400_000,
-    broadcast_tokens: int = 2_000_000,
 ) -> DataFrame:
     """Best ``k`` candidates of the same group per item by Jaccard of ``[a-z0-9]+`` tokens, score > 0.
 
-    Ties keep candidate order. The tokens of the candidates are counted first. Up to
-    ``broadcast_tokens`` they are sent to every task as a small inverted index and the items never
-    move. Beyond that, items and candidates of a group meet in cells of about ``cell_tokens`` tokens
-    a side; each returns at most ``k`` rows per item, so no pair list is ever shuffled.
+    Ties keep candidate order. Items and candidates of a group meet in cells of about ``cell_tokens``
+    tokens a side; each returns at most ``k`` rows per item, so no pair list is ever shuffled. The plan
+    is the same at every size, and nothing runs while it is built.
     """
     left = items.select(*group, F.col(item_id).alias("item"), F.array_distinct(c.alnum_tokens(item_text)).alias("tokens"))
     # Fresh names keep the two sides apart when both come from one table.
@@ -270,32 +268,13 @@ def suggest_by_overlap(
     types = dict(left.dtypes) | dict(right.dtypes)
     names = [*group, "item", "cand"]
     schema = ", ".join(f"{x} {types[x]}" for x in names) + ", pos long, score double"
-    weight = F.coalesce(F.sum(F.size("tokens")), F.lit(0))
-    if right.agg(weight.alias("n")).first()["n"] <= broadcast_tokens:
-        scored = _score_broadcast(left, right, k, list(group), schema)
-    else:
-        scored = _score_cells(left, right, k, list(group), schema, cell_tokens)
+    scored = _score_cells(left, right, k, list(group), schema, cell_tokens)
     best = ordering.top_k(scored, [*group, "item"], [F.col("score").desc(), F.col("pos")], k)
     return best.select(
         *group, F.col("item").alias(item_id), "rank", F.col("cand").alias(candidate_id), "score"
     )
 
 
-def _score_broadcast(left: DataFrame, right: DataFrame, k: int, group: list[str], schema: str) -> DataFrame:
-    held = right.toPandas()
-    parts = {key: _cell_index(pdf) for key, pdf in held.groupby(group)} if group else {(): _cell_index(held)}
-    shared = left.sparkSession.sparkContext.broadcast(parts)
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            pieces = batch.groupby(group) if group else [((), batch)]
-            for key, pdf in pieces:
-                if key in shared.value:
-                    yield _score_items(pdf, shared.value[key], k, group)
-
-    return left.mapInPandas(score, schema)
-
-
 def _score_cells(
     left: DataFrame, right: DataFrame, k: int, group: list[str], schema: str, cell_tokens: int
 ) -> DataFrame:

@@ -96,7 +96,7 @@ def test_unreused_equals_brute_force(spark):
     assert got == {i: (len(p), min(p)) for i, p in partners.items()}
 
 
-@pytest.mark.parametrize("sizes", [{}, {"broadcast_tokens": 0, "cell_tokens": 60}, {"broadcast_tokens": 0}])
+@pytest.mark.parametrize("sizes", [{}, {"cell_tokens": 60}])
 def test_suggestions_equal_brute_force(spark, sizes):
     items, cands = texts(60, 21), texts(50, 22)
     di = spark.createDataFrame([(i, g, t) for i, g, t in items], "item int, g string, text string")
@@ -121,7 +121,7 @@ def test_suggestions_equal_brute_force(spark, sizes):
 def test_one_table_can_stand_on_both_sides(spark):
     df = spark.createDataFrame([(i, "g", t) for i, _, t in texts(30, 5)], "id int, g string, text string")
     other = df.select(F.col("id").alias("cand"), "text", "g")
-    for sizes in ({}, {"broadcast_tokens": 0, "cell_tokens": 40}):
+    for sizes in ({}, {"cell_tokens": 40}):
         best = s.suggest_by_overlap(df, "id", "text", other, "cand", "text", "cand", ["g"], k=1, **sizes)
         assert {r["score"] for r in best.collect()} == {1.0}
 
