@@ -1,7 +1,8 @@
 """Grouped prefix join of documents by the Jaccard similarity of their word shingles.
 
-1. Document frequencies of all shingles are counted exactly: tasks send sorted, delta-coded runs of
-   hashes by range, a range is counted at once. The most frequent are marked in a bitmap of fixed size,
+1. Document frequencies of all shingles are counted exactly: tasks count their own shingles first and send
+   sorted, delta-coded runs of distinct hashes with counts by range, so a shingle that a third of all
+   documents hold is one number a run; a range is summed at once. The most frequent are marked in a bitmap of fixed size,
    which only decides that they come last in the order of shingles; any such order gives exact results.
 2. Documents with equal sets become one class, classes with equal prefixes and sizes one group.
 3. Groups meet on prefix shingles: first each with the most central one of a shingle, which settles
@@ -71,9 +72,8 @@ def set_keys(off: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _coded(sorted_: np.ndarray) -> bytes:
-    """Sorted 64-bit numbers as compressed differences of their upper bits."""
-    top = sorted_ >> np.uint64(8)  # 56 bits tell shingles apart when they are counted
-    steps = np.diff(top, prepend=np.uint64(0))
+    """Sorted numbers as compressed differences."""
+    steps = np.diff(sorted_, prepend=np.uint64(0))
     planes = steps.astype("<u8").view(np.uint8).reshape(-1, 8).T
     return zlib.compress(np.ascontiguousarray(planes).tobytes(), 1)
 
@@ -92,7 +92,7 @@ def frequent(docs: DataFrame, words: int = WORDS) -> bytes:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = 1 << max(0, int(np.ceil(np.log2(max(1, size / RANGE_BYTES)))))
     ranges = min(ranges, 1 << BITS)
-    shift = np.uint64(64 - int(np.log2(ranges))) if ranges > 1 else None
+    shift = np.uint64(56 - int(np.log2(ranges))) if ranges > 1 else None
     most = max(1, MARKED // ranges)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,17 +106,27 @@ def frequent(docs: DataFrame, words: int = WORDS) -> bytes:
             yield pack(held)
 
     def pack(held: list[np.ndarray]) -> pa.RecordBatch:
-        every = np.sort(np.concatenate(held))
-        home = (every >> shift).astype(np.int64) if shift is not None else np.zeros(len(every), np.int64)
+        every = np.sort(np.concatenate(held)) >> np.uint64(8)  # 56 bits tell shingles apart when they are counted
+        start = starts(every)
+        kind, n = every[start], np.diff(start, append=len(every)).astype("<u4")
+        home = (kind >> shift).astype(np.int64) if shift is not None else np.zeros(len(kind), np.int64)
         ends = np.searchsorted(home, np.arange(ranges + 1))
         used = np.flatnonzero(np.diff(ends))
-        blobs = [_coded(every[ends[r] : ends[r + 1]]) for r in used]
-        return pa.RecordBatch.from_arrays([pa.array(used.astype(np.int64)), pa.array(blobs, pa.binary())], names=["home", "run"])
+        blobs = [_coded(kind[ends[r] : ends[r + 1]]) for r in used]
+        counts = [zlib.compress(n[ends[r] : ends[r + 1]].tobytes(), 1) for r in used]
+        columns = [pa.array(used.astype(np.int64)), pa.array(blobs, pa.binary()), pa.array(counts, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["home", "run", "counts"])
+
+    def starts(sorted_: np.ndarray) -> np.ndarray:
+        return np.flatnonzero(np.concatenate([np.ones(min(1, len(sorted_)), bool), sorted_[1:] != sorted_[:-1]]))
 
     def count(batch: pd.DataFrame) -> pd.DataFrame:
-        every = np.sort(np.concatenate([_decoded(x) for x in batch["run"]]))
-        start = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
-        n = np.diff(np.concatenate([start, [len(every)]]))
+        every = np.concatenate([_decoded(x) for x in batch["run"]])
+        n = np.concatenate([np.frombuffer(zlib.decompress(x), "<u4") for x in batch["counts"]])
+        order = np.argsort(every, kind="stable")
+        every, n = every[order], n[order]
+        start = starts(every)
+        n = np.add.reduceat(n, start, dtype=np.int64) if len(start) else np.zeros(0, np.int64)
         some = n >= FREQUENT
         kind, n = every[start][some], n[some]
         if len(kind) > most:
@@ -125,7 +135,7 @@ def frequent(docs: DataFrame, words: int = WORDS) -> bytes:
         return pd.DataFrame({"slots": [slots.astype("<u4").tobytes()]})
 
     ship(docs.sparkSession)
-    runs = texts.arrow(docs, send, "home long, run binary")
+    runs = texts.arrow(docs, send, "home long, run binary, counts binary")
     slots = runs.groupBy("home").applyInPandas(count, "slots binary")
     bitmap = np.zeros(1 << (BITS - 3), np.uint8)
     for row in slots.toLocalIterator():  # at most MARKED numbers of 4 bytes in all
