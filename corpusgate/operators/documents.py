@@ -101,13 +101,14 @@ def aliases(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(doc_id, F.inline(_alias_pairs(text))).distinct()
 
 
-def dependency_edges(cards: DataFrame, docs: DataFrame, namespace_root: str) -> DataFrame:
+def dependency_edges(cards: DataFrame, docs: DataFrame, namespace_root: str, keep_self: bool = False) -> DataFrame:
     """Dependency edges of cards read from their source text.
 
     ``cards`` is ``(paper_id, pos, id, lean_decl, file_path)``, ``docs`` is ``(path, text)``. Returns
     ``(paper_id, card_id, dependency_id, tier)``: tier 1 for qualified, alias and unfold references,
     tier 0 for plain mentions and the previous-declaration rule. Only short names that belong to one
-    card of the paper are resolved.
+    card of the paper are resolved. A body that names its own card gives no edge; ``keep_self`` keeps
+    those rows, as they count for the card's extraction method.
     """
     held = cards.where(c.not_blank("id") & c.not_blank("lean_decl")).select(
         "paper_id", "pos", F.col("id").alias("card_id"), c.strip("lean_decl").alias("decl"),
@@ -160,18 +161,14 @@ def dependency_edges(cards: DataFrame, docs: DataFrame, namespace_root: str) ->
     unfolds = bodies.select(
         "paper_id", "card_id", "own", F.explode(F.regexp_extract_all("body", F.lit(UNFOLD), F.lit(1))).alias("u")
     ).distinct()
-    # Prefix lookups stay inside the paper: the paper id is part of the matched key.
-    sep = MARK
-    scoped = unique.select(F.concat_ws(sep, "paper_id", "short").alias("key"), "npos", "dep")
-    probe = unfolds.select(
-        "paper_id", "card_id", F.concat_ws(sep, "paper_id", "u").alias("u"), F.concat_ws(sep, "paper_id", "own").alias("own_key")
-    )
-    matched = similarity.prefix_join(probe, "u", scoped, "key", "npos", self_name="own_key")
+    shorts = unique.select("paper_id", "short", "npos")
+    matched = similarity.prefix_join(unfolds, "u", shorts, "short", "npos", self_name="own", group=["paper_id"])
     by_unfold = matched.join(
-        scoped.select(F.col("key").alias("match"), "dep"), "match"
+        unique.select("paper_id", F.col("short").alias("match"), "dep"), ["paper_id", "match"]
     ).select("paper_id", "card_id", "dep", F.lit(1).alias("tier"))
     found = direct.unionByName(by_unfold)
-    found = durable(found.where(F.col("dep") != F.col("card_id")), "references")
+    hits = durable(found, "references")
+    found = hits.where(F.col("dep") != F.col("card_id"))
     lonely = bodies.join(found.select("paper_id", "card_id").distinct(), ["paper_id", "card_id"], "left_anti")
     ring = (
         lonely.where(c.strip("body").rlike(RING_ONLY))
@@ -179,15 +176,19 @@ def dependency_edges(cards: DataFrame, docs: DataFrame, namespace_root: str) ->
         .where(F.col("dep") != F.col("card_id"))
         .select("paper_id", "card_id", "dep", F.lit(0).alias("tier"))
     )
-    return found.unionByName(ring).groupBy("paper_id", "card_id", F.col("dep").alias("dependency_id")).agg(
+    return (hits if keep_self else found).unionByName(ring).groupBy("paper_id", "card_id", F.col("dep").alias("dependency_id")).agg(
         F.max("tier").alias("tier")
     )
 
 
 def with_dependencies(cards: DataFrame, edges: DataFrame) -> DataFrame:
-    """Cards with sorted ``dependency_ids`` and the extraction method of their strongest edge."""
+    """Cards with sorted ``dependency_ids`` and the extraction method of their strongest edge.
+
+    Edges of a card to itself count for the method and are no dependency.
+    """
+    other = F.when(F.col("dependency_id") != F.col("card_id"), F.col("dependency_id"))
     per_card = edges.groupBy("paper_id", F.col("card_id").alias("id")).agg(
-        F.sort_array(F.collect_set("dependency_id")).alias("__deps"), F.max("tier").alias("__tier")
+        F.sort_array(F.collect_set(other)).alias("__deps"), F.max("tier").alias("__tier")
     )
     tier = F.coalesce("__tier", F.lit(0)).cast("string")
     return (

@@ -13,38 +13,6 @@ from corpusgate.functions import columns as c
 from corpusgate.operators import ordering
 from corpusgate.session import durable
 
-SKETCH_SIZE = 1 << 14
-
-
-# --- token frequencies ------------------------------------------------------------------------
-
-
-def frequency_sketch(tokens: DataFrame, token: str, size: int = SKETCH_SIZE) -> Column:
-    """Scalar subquery: counts of hashed tokens as one array of fixed length ``size``.
-
-    Used only to order tokens from rare to common. Collisions can misplace a token, never change a
-    result, and the array is 128 KB whatever the data, so every task can hold it.
-    """
-    spark = tokens.sparkSession
-    slots = spark.range(size).select(F.col("id").cast("int").alias("slot"), F.lit(0).alias("n"))
-    seen = tokens.select(_slot(F.col(token), size).alias("slot"), F.lit(1).alias("n"))
-    counts = seen.unionByName(slots).groupBy("slot").agg(F.sum("n").alias("n"))
-    packed = F.sort_array(F.collect_list(F.struct("slot", "n")))
-    return counts.agg(F.transform(packed, lambda s: s["n"]).alias("sketch")).scalar()
-
-
-def _slot(token: Column, size: int) -> Column:
-    return F.pmod(F.xxhash64(token), F.lit(size)).cast("int")
-
-
-def _rare_first(tokens: Column, sketch: Column, size: int) -> Column:
-    """Token hashes ordered by (estimated frequency, hash): one total order shared by all rows."""
-    keyed = F.transform(
-        tokens, lambda t: F.struct(F.get(sketch, _slot(t, size)).alias("f"), F.xxhash64(t).alias("h"))
-    )
-    return F.transform(F.sort_array(keyed), lambda s: s["h"])
-
-
 # --- near duplicates --------------------------------------------------------------------------
 
 
@@ -79,58 +47,64 @@ def token_classes(
     return classes, members
 
 
+def rare_first(classes: DataFrame) -> DataFrame:
+    """``(class_id, ordered)``: the token hashes of each class from rare to common, by exact counts.
+
+    The counts are pre-aggregated; a token that many classes hold is dealt in salted parts when its
+    count goes back to its holders, so no task has all holders of a hot token.
+    """
+    salts = 32
+    tokens = classes.select("class_id", F.explode("tokens").alias("tok")).select("class_id", F.xxhash64("tok").alias("tok"))
+    counts = tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    dealt = counts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    keyed = tokens.withColumn("salt", F.pmod(F.xxhash64("class_id"), F.lit(salts)))
+    ranked = keyed.join(dealt, ["tok", "salt"], "left").select(
+        "class_id", F.struct(F.coalesce("f", F.lit(1)).alias("f"), F.col("tok").alias("h")).alias("place")
+    )
+    # One list per class, no longer than its own token set.
+    ordered = ranked.groupBy("class_id").agg(F.sort_array(F.collect_list("place")).alias("places"))
+    return ordered.select("class_id", F.transform("places", lambda s: s["h"]).alias("ordered"))
+
+
 def near_duplicate_classes(
-    classes: DataFrame,
-    block: Sequence[str],
-    threshold: float = 0.75,
-    cell: int = 2_000,
-    sketch_size: int = SKETCH_SIZE,
+    classes: DataFrame, block: Sequence[str], threshold: float = 0.75, cell: int = 2_000
 ) -> DataFrame:
     """Class pairs with Jaccard >= ``threshold`` in a block, plus one row per class of copies.
 
-    Exact. Tokens are put in one rare-first order; two sets can only reach the threshold if they
-    share one of their first ``n - ceil(t*n) + 1`` tokens, so only that prefix is joined. Prefix
-    tokens held by one class are dropped and tokens held by many are cut into cells of about ``cell``
-    classes. Each pair is then bounded by how many prefix tokens it shares and where the last one
-    stands, which leaves few pairs to verify on the whole sets. ``n_pairs`` is the number of row
-    pairs a class pair stands for.
+    Exact. Tokens are put in one rare-first order by their exact counts; two sets can only reach the
+    threshold if they share one of their first ``n - ceil(t*n) + 1`` tokens, so only that prefix is
+    joined. Prefix tokens held by one class are dropped. The holders of a popular token are dealt into
+    cells of about ``cell`` classes, and each two cells meet under a key of their own, so no key
+    compares more than ``cell`` * ``cell`` pairs. The join keeps pairs of fitting sizes whose places of
+    the token leave room for enough shared tokens; each pair is then bounded by how many prefix tokens
+    it shares and where the last one stands, which leaves few pairs to verify on the whole sets.
+    ``n_pairs`` is the number of row pairs a class pair stands for.
     """
     t = F.lit(float(threshold))
-    sketch = frequency_sketch(classes.select(F.explode("tokens").alias("tok")), "tok", sketch_size)
-    ranked = classes.withColumn("__sketch", sketch).select(
-        "class_id",
-        *block,
-        F.size("tokens").alias("size"),
-        _rare_first(F.col("tokens"), F.col("__sketch"), sketch_size).alias("ordered"),
-    )
+    ranked = classes.select("class_id", *block, F.size("tokens").alias("size")).join(rare_first(classes), "class_id")
     # The small slack keeps t*n from rounding up past an exact bound.
     keep = (F.col("size") - F.ceil(t * F.col("size") - F.lit(1e-9)) + 1).cast("int")
-    postings = ranked.select(
-        "class_id", *block, "size", F.posexplode(F.slice("ordered", F.lit(1), keep)).alias("at", "tok")
-    )
     block_key = F.xxhash64(*block) if block else F.lit(0).cast("long")
-    postings = durable(postings.withColumn("blk", block_key).drop(*block), "postings")
-    shared = (
-        postings.groupBy("blk", "tok")
-        .agg(F.count(F.lit(1)).alias("held"))
-        .where("held > 1")
-        .withColumn("cells", F.ceil(F.col("held") / F.lit(cell)).cast("int"))
-        .drop("held")
-    )
-    usable = postings.join(shared, ["blk", "tok"])
-    own = F.pmod(F.xxhash64("class_id"), F.col("cells")).cast("int")
-    left = usable.select(
-        "blk", "tok", own.alias("cell"),
-        F.col("class_id").alias("a"), F.col("size").alias("na"), F.col("at").alias("pa"),
-    )
-    right = usable.select(
-        "blk", "tok", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"),
-        F.col("class_id").alias("b"), F.col("size").alias("nb"), F.col("at").alias("pb"),
+    postings = durable(
+        ranked.select(
+            "class_id", block_key.alias("blk"), "size", F.posexplode(F.slice("ordered", F.lit(1), keep)).alias("at", "tok")
+        ),
+        "postings",
     )
+    left, right = _triangle(postings, cell)
+    need = F.ceil(t / (F.lit(1.0) + t) * (F.col("na") + F.col("nb")) - F.lit(1e-9))
     size_ok = F.least("na", "nb") >= t * F.greatest("na", "nb") - F.lit(1e-9)
+    room = F.least("pa", "pb") + 1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
     matched = (
-        left.join(right, ["blk", "tok", "cell"])
-        .where((F.col("a") < F.col("b")) & size_ok)
+        left.join(right, ["blk", "tok", "low", "high"])
+        .where(((F.col("low") < F.col("high")) | (F.col("a") < F.col("b"))) & size_ok & (room >= need))
+        .select(
+            "tok",
+            F.struct(F.col("a").alias("id"), F.col("na").alias("n"), F.col("pa").alias("p")).alias("x"),
+            F.struct(F.col("b").alias("id"), F.col("nb").alias("n"), F.col("pb").alias("p")).alias("y"),
+        )
+        .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+        .select(*[F.col(f"{side}.{f}").alias(name) for side, names in (("x", ("a", "na", "pa")), ("y", ("b", "nb", "pb"))) for f, name in zip(("id", "n", "p"), names)])
         .groupBy("a", "b")
         .agg(
             F.count(F.lit(1)).alias("k"),
@@ -139,7 +113,6 @@ def near_duplicate_classes(
     )
     # Shared tokens that were not counted stand after the last counted one in both sets, and all of
     # them lie behind the prefix of at least one set.
-    need = F.ceil(t / (F.lit(1.0) + t) * (F.col("na") + F.col("nb")) - F.lit(1e-9))
     behind = lambda n: F.ceil(t * F.col(n) - F.lit(1e-9)) - 1
     after_last = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
     rest = F.least(F.greatest(behind("na"), behind("nb")), after_last)
@@ -175,6 +148,30 @@ def near_duplicate_classes(
     return pairs.unionByName(copies)
 
 
+def _triangle(postings: DataFrame, cell: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the join of ``postings`` with itself, keyed by ``(blk, tok, low, high)``.
+
+    A holder in cell ``c`` of ``n`` stands on the left of the cell pairs ``(c, c..n-1)`` and on the
+    right of ``(0..c, c)``, so each two holders of a token meet once.
+    """
+    shared = (
+        postings.groupBy("blk", "tok")
+        .agg(F.ceil(F.count(F.lit(1)) / F.lit(cell)).cast("int").alias("cells"), F.count(F.lit(1)).alias("held"))
+        .where("held > 1")
+        .drop("held")
+    )
+    usable = postings.join(shared, ["blk", "tok"]).withColumn("own", F.pmod(F.xxhash64("class_id"), F.col("cells")).cast("int"))
+    left = usable.select(
+        "blk", "tok", F.col("own").alias("low"), F.explode(F.sequence("own", F.col("cells") - 1)).alias("high"),
+        F.col("class_id").alias("a"), F.col("size").alias("na"), F.col("at").alias("pa"),
+    )
+    right = usable.select(
+        "blk", "tok", F.explode(F.sequence(F.lit(0), "own")).alias("low"), F.col("own").alias("high"),
+        F.col("class_id").alias("b"), F.col("size").alias("nb"), F.col("at").alias("pb"),
+    )
+    return left, right
+
+
 def near_duplicates(
     rows: DataFrame, row_id: str, block: Sequence[str], text: str, threshold: float = 0.75, **kwargs
 ) -> DataFrame:
@@ -351,41 +348,30 @@ def contains_join(
     """Rows of ``texts`` beside every ``needles`` row whose string occurs in the text.
 
     Exact and equi-joined: each needle is represented by one anchor that any text containing it must
-    also contain. A word enclosed by other characters inside the needle is an anchor; needles
-    without one use a three-character (or shorter) piece. Rare anchors are preferred. Each text
-    contributes its distinct words and, only where such needles exist, its distinct pieces.
+    also contain. A word enclosed by other characters inside the needle is an anchor, the rarest by its
+    count in all texts; needles without one use a three-character (or shorter) piece. Only hashes of
+    texts and needles travel with the anchors; whole texts are joined once, to the candidates left.
+    Equal hashes of different texts cost a comparison, never a result.
     """
     fold = (lambda x: F.lower(x)) if ignore_case else (lambda x: x)
+    hay = texts.withColumn("__hay", fold(F.col(text))).withColumn("__hk", F.xxhash64("__hay"))
+    named = needles.withColumn("__needle", fold(F.col(needle))).where(F.length("__needle") > 0)
+    named = named.withColumn("__nk", F.xxhash64("__needle"))
     inner_words = F.regexp_extract_all(
         "__needle", F.lit(r"(?<=[^A-Za-z0-9])[A-Za-z0-9]+(?=[^A-Za-z0-9])"), F.lit(0)
     )
-    named = needles.withColumn("__needle", fold(F.col(needle))).where(F.length("__needle") > 0)
-    hay = texts.withColumn("__hay", fold(F.col(text)))
-    words = hay.select(
-        F.explode(F.array_distinct(F.regexp_extract_all("__hay", F.lit("[A-Za-z0-9]+"), F.lit(0)))).alias("w")
-    )
-    sketch = frequency_sketch(words, "w")
-    keyed = named.withColumn("__words", inner_words).withColumn("__sketch", sketch)
-    anchored = keyed.withColumn(
-        "__ranked",
-        F.transform(
-            F.array_distinct("__words"),
-            lambda w: F.struct(
-                F.get(F.col("__sketch"), _slot(w, SKETCH_SIZE)).alias("f"), (-F.length(w)).alias("l"), w.alias("w")
-            ),
-        ),
-    ).withColumn("__anchor", F.array_min("__ranked")["w"]).drop("__ranked", "__words", "__sketch")
-    by_word = anchored.where(F.col("__anchor").isNotNull())
-    by_piece = anchored.where(F.col("__anchor").isNull())
-
-    word_hits = hay.withColumn(
-        "__anchor",
-        F.explode(F.array_distinct(F.regexp_extract_all("__hay", F.lit("[A-Za-z0-9]+"), F.lit(0)))),
-    ).join(by_word, "__anchor")
-    sized = by_piece.withColumn("__width", F.least(F.length("__needle"), F.lit(3))).withColumn(
-        "__anchor", F.col("__needle").substr(F.lit(1), F.col("__width"))
-    )
-    piece_texts = hay.where(by_piece.exists()).withColumn("__width", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
+    keyed = named.select("__nk", "__needle", F.array_distinct(inner_words).alias("__words"))
+    words = hay.select("__hk", F.explode(F.array_distinct(F.regexp_extract_all("__hay", F.lit("[A-Za-z0-9]+"), F.lit(0)))).alias("__anchor"))
+    wanted = keyed.select("__nk", F.explode("__words").alias("__anchor")).distinct()
+    counts = words.join(wanted.select("__anchor").distinct(), "__anchor", "left_semi").groupBy("__anchor").agg(F.count(F.lit(1)).alias("f"))
+    # A word of a needle that no text holds comes first: such a needle occurs nowhere.
+    place = F.struct(F.coalesce("f", F.lit(0)).alias("f"), (-F.length("__anchor")).alias("l"), F.col("__anchor").alias("w"))
+    by_word = wanted.join(counts, "__anchor", "left").groupBy("__nk").agg(F.min(place)["w"].alias("__anchor"))
+    word_hits = words.join(by_word, "__anchor").select("__hk", "__nk")
+
+    sized = keyed.where(F.size("__words") == 0).withColumn("__width", F.least(F.length("__needle"), F.lit(3)))
+    sized = sized.select("__nk", "__width", F.col("__needle").substr(F.lit(1), F.col("__width")).alias("__anchor")).distinct()
+    piece_texts = hay.where(sized.exists()).select("__hk", "__hay", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("__width"))
     # Characters are split once, so building the pieces is linear in the text.
     char = lambda i: F.coalesce(F.get(F.col("__chars"), i), F.lit(""))
     pieces = F.transform(
@@ -396,17 +382,15 @@ def contains_join(
             F.when(F.col("__width") >= 3, char(i + 2)).otherwise(""),
         ),
     )
-    lengths = sized.select("__width").distinct()
     piece_hits = (
-        piece_texts.join(lengths, "__width", "left_semi")
-        .withColumn("__chars", F.split("__hay", ""))
-        .withColumn("__anchor", F.explode(F.array_distinct(pieces)))
-        .drop("__chars")
+        piece_texts.withColumn("__chars", F.split("__hay", ""))
+        .select("__hk", "__width", F.explode(F.array_distinct(pieces)).alias("__anchor"))
         .join(sized, ["__width", "__anchor"])
-        .drop("__width")
+        .select("__hk", "__nk")
     )
-    both = word_hits.unionByName(piece_hits)
-    return both.where(F.contains("__hay", F.col("__needle"))).drop("__anchor", "__hay", "__needle")
+    candidates = word_hits.unionByName(piece_hits).distinct()
+    both = hay.join(candidates, "__hk").join(named, "__nk")
+    return both.where(F.contains("__hay", F.col("__needle"))).drop("__hk", "__nk", "__hay", "__needle")
 
 
 def search_rows(rows: DataFrame, fields: Sequence[str], queries: DataFrame, query: str) -> DataFrame:
@@ -460,38 +444,36 @@ def mention_join(
 
 
 def prefix_join(
-    tokens: DataFrame, token: str, names: DataFrame, name: str, pos: str, self_name: str | None = None
+    tokens: DataFrame,
+    token: str,
+    names: DataFrame,
+    name: str,
+    pos: str,
+    self_name: str | None = None,
+    group: Sequence[str] = (),
 ) -> DataFrame:
-    """Shortest name that starts with the token (first in list order on ties), never the row's own.
+    """Shortest name of the group that starts with the token (first in list order on ties), never the row's own.
 
-    Every name is listed under each of its prefixes with the two best holders per prefix, so the
-    match is an equi-join and a popular prefix stays one row.
+    Names are listed under their prefixes of the lengths that tokens have, and each prefix keeps its two
+    best names, limited in the map tasks already, so the match is an equi-join on group and prefix.
     """
-    longest = tokens.agg(F.max(F.length(token))).scalar()
+    lengths = tokens.agg(F.collect_set(F.length(token))).scalar()  # as many numbers as token lengths
     listed = (
-        names.select(F.col(name), F.length(name).alias("__len"), F.col(pos).alias("__pos"))
-        .withColumn("__upto", F.least(F.col("__len"), longest))
-        .where("__upto > 0")
-        .withColumn("__at", F.explode(F.sequence(F.lit(1), F.col("__upto"))))
+        names.groupBy(*group, name).agg(F.min(pos).alias("__pos"))
+        .withColumn("__len", F.length(name))
+        .where("__len > 0")
+        .withColumn("__at", F.explode(F.array_intersect(F.sequence(F.lit(1), F.col("__len")), lengths)))
         .withColumn("__prefix", F.substring(F.col(name), F.lit(1), F.col("__at")))
-        .drop("__upto", "__at")
-    )
-    place = F.struct("__len", "__pos", name)
-    best = listed.groupBy("__prefix").agg(F.min(place).alias("__b1"))
-    runner = (
-        listed.join(best, "__prefix")
-        .where(F.col(name) != F.col(f"__b1.{name}"))
-        .groupBy("__prefix")
-        .agg(F.min(place).alias("__b2"))
     )
-    choice = best.join(runner, "__prefix", "left")
-    hits = tokens.join(choice, F.col(token) == F.col("__prefix"))
-    first, second = F.col("__b1")[name], F.col("__b2")[name]
+    keys = [*group, "__prefix"]
+    two = ordering.top_k(listed, keys, [F.col("__len"), F.col("__pos"), F.col(name)], 2, "__rank")
+    nth = lambda k: F.max(F.when(F.col("__rank") == k, F.col(name)))
+    choice = two.groupBy(*keys).agg(nth(1).alias("__b1"), nth(2).alias("__b2"))
+    hits = tokens.withColumn("__prefix", F.col(token)).join(choice, keys)
+    match = F.col("__b1")
     if self_name:
         hits = hits.where(~F.col(token).eqNullSafe(F.col(self_name)))
-        match = F.when(first.eqNullSafe(F.col(self_name)), second).otherwise(first)
-    else:
-        match = first
+        match = F.when(match.eqNullSafe(F.col(self_name)), F.col("__b2")).otherwise(match)
     return hits.withColumn("match", match).where(F.col("match").isNotNull()).drop("__prefix", "__b1", "__b2")
 
 

@@ -35,7 +35,7 @@ def published_cards(corpus: Corpus, namespace_root: str) -> DataFrame:
     cards = linking.carry_over(
         cards, old, ["paper_id", "claim_id", "lean_decl"], ["reviewer_status"], ["notes"], old_order=["pos"]
     )
-    edges = documents.dependency_edges(cards, corpus.docs, namespace_root)
+    edges = documents.dependency_edges(cards, corpus.docs, namespace_root, keep_self=True)
     cards = documents.with_dependencies(cards, edges)
     return linking.enrich_links(cards, "id", "executable_links", corpus.kernels, "id", "linked_theorem_cards")
 

@@ -148,3 +148,15 @@ def test_dimension_suggestions_in_constraint_order(spark):
     assert found(sy.dimension_suggestions(df, texts), "id", "suggested", "source") == [
         ("a", "unit=1/Pa", "kernel"), ("b", "dimension=dimensionless,kind=dimensionless", "heuristic"), ("c", "dimension=dimensionless", "kernel")
     ]
+
+
+def test_a_reference_to_itself_counts_for_the_method_only(spark):
+    text = "theorem a : T := by simp\ntheorem b : T := by\n  have := N.b\n  exact a\n"
+    cards = spark.createDataFrame(
+        [("p", 0, "c0", "N.a", "f"), ("p", 1, "c1", "N.b", "f")], "paper_id string, pos int, id string, lean_decl string, file_path string"
+    )
+    assert found(d.dependency_edges(cards, docs(spark, text, "f"), "N"), "card_id", "dependency_id", "tier") == [("c1", "c0", 0)]
+    full = d.with_dependencies(cards, d.dependency_edges(cards, docs(spark, text, "f"), "N", keep_self=True))
+    assert found(full, "id", "dependency_ids", "dependency_extraction_method") == [
+        ("c0", [], "lean_source_regex_tier0"), ("c1", ["c0"], "lean_source_regex_tier1"),
+    ]

@@ -49,7 +49,7 @@ def test_near_duplicates_equal_brute_force(spark, threshold, cell):
     for r in members.collect():
         by_class[r["class_id"]].append(r["row_id"])
     got, n_pairs = set(), 0
-    for r in s.near_duplicate_classes(classes, ["g"], threshold, cell=cell, sketch_size=64).collect():
+    for r in s.near_duplicate_classes(classes, ["g"], threshold, cell=cell).collect():
         n_pairs += r["n_pairs"]
         left, right = by_class[r["a"]], by_class[r["b"]]
         pairs = combinations(left, 2) if r["a"] == r["b"] else ((x, y) for x in left for y in right)
@@ -139,6 +139,43 @@ def test_contains_join_equals_brute_force(spark):
         assert found(s.contains_join(dh, "text", dn, "needle", ignore_case=fold), "i", "j") == want
 
 
+def test_no_anchor_carries_a_text(spark):
+    """Texts are shuffled by their hash only; what is dealt by anchor holds hashes."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hay = spark.createDataFrame([(1, "some a long text of words")], "i int, text string")
+        needles = spark.createDataFrame([(1, "a long text"), (2, "xt")], "j int, needle string")
+        joined = s.contains_join(hay, "text", needles, "needle")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert found(joined, "i", "j") == [(1, 1), (1, 2)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    kept = re.findall(r"Generate .*\), \[([^\]]*)\], \w+, \[__anchor", plan)
+    assert kept and not [k for k in kept if "text" in k or "__hay" in k]
+
+
+def test_a_token_of_all_rows_is_cut_on_both_sides(spark):
+    n, cell = 400, 50
+    postings = spark.range(n).selectExpr("id AS class_id", "0L AS blk", "5 AS size", "0 AS at", "7L AS tok")
+    left, right = s._triangle(postings, cell)
+    keys = ["blk", "tok", "low", "high"]
+    held = [max(r["count"] for r in side.groupBy(*keys).count().collect()) for side in (left, right)]
+    assert max(held) < 2 * cell
+    pairs = left.join(right, keys).where("low < high OR a < b").selectExpr("least(a, b) AS a", "greatest(a, b) AS b")
+    assert pairs.count() == pairs.distinct().count() == n * (n - 1) // 2
+
+
+def test_candidates_do_not_grow_with_the_vocabulary(spark):
+    """Sets of rare words of their own and common ones, without near duplicates, meet on no prefix token."""
+    own = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.concat(F.lit("r"), F.col("id") * 8 + i))
+    common = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.concat(F.lit("c"), i))
+    classes = spark.range(2000).select(F.col("id").alias("class_id"), F.concat(common, own).alias("tokens"), F.lit(1).alias("n"))
+    ordered = s.rare_first(classes).select("class_id", F.slice("ordered", 1, 4).alias("prefix"))
+    held = ordered.select(F.explode("prefix").alias("tok")).groupBy("tok").count()
+    assert held.where("count > 1").count() == 0
+    assert s.near_duplicate_classes(classes, []).count() == 0
+
+
 def test_blank_queries_find_nothing(spark):
     rows = spark.createDataFrame([(1, "Gas Law", 1918), (2, "Other", 2000)], "id int, title string, year int")
     q = spark.createDataFrame([(" gas ",), (" ",), ("191",), ("law\u0001",)], "q string")
@@ -156,6 +193,9 @@ def test_shortest_prefix_wins_and_skips_itself(spark):
     names = spark.createDataFrame([("theta_eq", 0), ("theta", 1), ("thetb", 2), ("the", 3)], "n string, pos int")
     toks_ = spark.createDataFrame([("thet", "x"), ("thet", "theta"), ("theta", "theta"), ("theta_", "y"), ("z", "y")], "t string, own string")
     got = s.prefix_join(toks_, "t", names, "n", "pos", self_name="own")
+    here, there = names.withColumn("g", F.lit("a")), toks_.withColumn("g", F.lit("b"))
+    assert s.prefix_join(there, "t", here, "n", "pos", "own", ["g"]).count() == 0
+    assert s.prefix_join(there.withColumn("g", F.lit("a")), "t", here, "n", "pos", "own", ["g"]).count() == 3
     assert found(got, "t", "own", "match") == [("thet", "theta", "thetb"), ("thet", "x", "theta"), ("theta_", "y", "theta_eq")]
 
 
