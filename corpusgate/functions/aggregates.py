@@ -6,9 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from corpusgate.functions import columns as c
+from corpusgate.operators import ordering
+
+#: Rows of a median's bracket that are ranked in one range of values.
+CHUNK_ROWS = 100_000
 
 
 def multiset_fingerprint(row_digest: Column) -> Column:
@@ -34,7 +37,8 @@ def exact_median(df: DataFrame, group: Sequence[str], value: str, accuracy: int
     """Exact median, minimum, maximum and count of ``value`` per group.
 
     An approximate percentile brackets the median within ``rows / accuracy`` ranks; only the distinct
-    values inside the bracket are then ranked, so a large group never sits in one task.
+    values inside the bracket are then ranked. The bracket is cut into ranges of values by the group's
+    row count, each ranked on its own with the sum of the ranges before it.
     """
     df = df.where(F.col(value).isNotNull())
     eps = 2.0 / accuracy
@@ -48,25 +52,29 @@ def exact_median(df: DataFrame, group: Sequence[str], value: str, accuracy: int
         marks.alias("__marks"),
     )
     keys = list(group)
+    known = F.struct("__marks", F.col("count").alias("__rows")).alias("__known")
     if keys:
-        tagged = df.select(*keys, value).join(stats.select(*keys, "__marks"), keys)
+        tagged = df.select(*keys, value).join(stats.select(*keys, known), keys)
     else:
-        tagged = df.select(value).withColumn("__marks", stats.select("__marks").scalar())
-    below = F.col(value) < F.col("__marks")[0]
-    inside = ~below & (F.col(value) <= F.col("__marks")[1])
+        tagged = df.select(value).withColumn("__known", stats.select(known).scalar())
+    tagged = tagged.select(*keys, value, "__known.*")
+    low, high = F.col("__marks")[0], F.col("__marks")[1]
+    below = F.col(value) < low
+    inside = ~below & (F.col(value) <= high)
     counts = tagged.groupBy(*keys).agg(F.count_if(below).alias("__below"))
-    distinct = tagged.where(inside).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
-    upto = W.partitionBy(*keys).orderBy(value)
+    chunks = F.ceil(F.col("__rows") * (2 * eps) / CHUNK_ROWS)
+    share = F.try_divide((F.col(value) - low).cast("double"), (high - low).cast("double"))
+    chunk = F.coalesce(F.floor(share * chunks), F.lit(0)).cast("long")
+    distinct = tagged.where(inside).groupBy(*keys, value, chunk.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    ranked = ordering.running_total(distinct, keys, [F.col(value)], "__n", "__cum", F.col("__part"))
     if keys:
-        ranked = distinct.withColumn("__cum", F.sum("__n").over(upto))
         ranked = ranked.join(counts, keys).join(stats.select(*keys, "count"), keys)
     else:
-        ranked = distinct.withColumn("__cum", F.sum("__n").over(W.orderBy(value)))
         ranked = ranked.withColumn("__below", counts.scalar()).withColumn(
             "count", stats.select("count").scalar()
         )
-    last = F.col("__below") + F.col("__cum")
-    first = last - F.col("__n") + 1
+    first = F.col("__below") + F.col("__cum") + 1
+    last = F.col("__below") + F.col("__cum") + F.col("__n")
     lo, hi = F.floor((F.col("count") + 1) / 2), F.floor(F.col("count") / 2) + 1
     mid = ranked.groupBy(*keys).agg(
         (

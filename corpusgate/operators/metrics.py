@@ -367,10 +367,13 @@ def dashboard(cards: DataFrame, coverage_counts: DataFrame, group: str, status:
 # --- scoring ----------------------------------------------------------------------------------
 
 
-def match_gold(pred: DataFrame, gold: DataFrame, group: Sequence[str], key: str) -> DataFrame:
+def match_gold(
+    pred: DataFrame, gold: DataFrame, group: Sequence[str], key: str, scored: DataFrame | None = None
+) -> DataFrame:
     """Per-group true positives, predictions and gold ids (distinct ids).
 
-    Groups without gold ids are not scored; gold groups without predictions are.
+    Groups without gold ids are not scored, gold groups without predictions are; ``scored`` names the
+    groups to score instead, so that a group whose gold list is empty keeps its false positives.
     """
     p = pred.select(*group, key).distinct().withColumn("__p", F.lit(1))
     g = gold.select(*group, key).distinct().withColumn("__g", F.lit(1))
@@ -380,7 +383,7 @@ def match_gold(pred: DataFrame, gold: DataFrame, group: Sequence[str], key: str)
         F.count("__p").alias("n_pred"),
         F.count("__g").alias("n_gold"),
     )
-    return out.where("n_gold > 0")
+    return out.where("n_gold > 0") if scored is None else out.join(scored, list(group), "left_semi")
 
 
 def prf_micro(counts: DataFrame, empty: float = 0.0) -> DataFrame:
@@ -436,17 +439,20 @@ def decision_counts(bundles: DataFrame, decision: str, seconds: str) -> DataFram
     return out.withColumn("acceptance_rate", c.ratio("accepted", "decided"))
 
 
-def evaluate_entries(proposed: DataFrame, gold: DataFrame, keys: Sequence[str], value: str, group: str) -> DataFrame:
+def evaluate_entries(
+    proposed: DataFrame, gold: DataFrame, keys: Sequence[str], value: str, group: str, offered: DataFrame | None = None
+) -> DataFrame:
     """Precision, recall, F1 and disagreement of proposed key-value entries against a gold mapping.
 
     Proposals are a list (repeats count); groups without gold entries are not compared, and a
-    measure with nothing to compare stays at 1 (disagreement at 0).
+    measure with nothing to compare stays at 1 (disagreement at 0). ``offered`` names the groups with
+    a proposal list, which may be empty; else these are the groups of ``proposed``.
     """
     ref = gold.select(*keys, F.col(value).alias("__gold"))
     scored = proposed.join(gold.select(group).distinct(), group, "left_semi").join(ref, list(keys), "left")
     hit = F.coalesce(F.col(value) == F.col("__gold"), F.lit(False))
     props = scored.agg(F.count_if(hit).alias("tp"), F.count(N).alias("n_pred"))
-    golds = gold.join(proposed.select(group).distinct(), group, "left_semi").agg(F.count(N).alias("n_gold"))
+    golds = gold.join((proposed if offered is None else offered).select(group).distinct(), group, "left_semi").agg(F.count(N).alias("n_gold"))
     out = props.withColumn("n_gold", golds.scalar())
     return (
         out.withColumn("precision", c.ratio("tp", "n_pred", 1.0))

@@ -81,10 +81,8 @@ def gold(x: EvalInputs) -> DataFrame:
         ("claim", x.corpus.claims, x.gold_claims),
         ("assumption", x.corpus.assumptions, x.gold_assumptions),
     ):
-        # Papers without gold claims are not scored at all.
-        counts = metrics.match_gold(
-            pred.join(scored, "paper_id", "left_semi"), ref.join(scored, "paper_id", "left_semi"), ["paper_id"], "id"
-        )
+        # Papers without gold claims are not scored at all; scored ones keep their false positives.
+        counts = metrics.match_gold(pred, ref, ["paper_id"], "id", scored)
         prf = metrics.prf_micro(counts).select(
             *[F.col(m).alias(f"gold_{name}_{m}") for m in ("precision", "recall", "f1")]
         )
@@ -124,11 +122,16 @@ def edit_suggestions(x: EvalInputs) -> DataFrame:
 def reference_eval(x: EvalInputs) -> DataFrame:
     """Reviewed bundles against gold claims, stored mappings and source texts; decisions and time.
 
-    Measures with nothing to compare stay at 1. Reviewing time counts claim bundles only.
+    Measures with nothing to compare stay at 1. Reviewing time counts claim bundles only. The gold of a
+    paper counts when it has a bundle, with or without proposals in it.
     """
+    def offered_in(kind: str, proposals: DataFrame) -> DataFrame:
+        own = x.bundles.where(F.col("kind") == kind).select("paper_id")
+        return own.unionByName(proposals.select("paper_id")).distinct()
+
     with_gold = x.gold_claims.select("paper_id").distinct()
     offered = x.claim_proposals.join(with_gold, "paper_id", "left_semi")
-    asked = x.gold_claims.join(x.claim_proposals.select("paper_id").distinct(), "paper_id", "left_semi")
+    asked = x.gold_claims.join(offered_in("claim", x.claim_proposals), "paper_id", "left_semi")
     counts = metrics.match_gold(offered, asked, ["paper_id"], "id")
     total = counts.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("tp", "n_pred", "n_gold")])
     claims = total.select(
@@ -138,7 +141,9 @@ def reference_eval(x: EvalInputs) -> DataFrame:
         c.f1(c.ratio("tp", "n_pred", 1.0), c.ratio("tp", "n_gold", 1.0)).alias("gold_claim_id_f1_micro"),
     )
     stored = x.corpus.mapping.select("paper_id", F.explode("claim_to_decl").alias("claim_id", "short_decl"))
-    entries = metrics.evaluate_entries(x.mapping_proposals, stored, ["paper_id", "claim_id"], "short_decl", "paper_id").select(
+    entries = metrics.evaluate_entries(
+        x.mapping_proposals, stored, ["paper_id", "claim_id"], "short_decl", "paper_id", offered_in("mapping", x.mapping_proposals)
+    ).select(
         F.col("tp").alias("mapping_tp"),
         *[F.col(m).alias(f"mapping_keys_{m}_micro") for m in ("precision", "recall", "f1")],
         F.col("disagreement").alias("mapping_disagreement_rate_micro"),

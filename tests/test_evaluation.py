@@ -51,6 +51,16 @@ def test_scorers_and_thresholds(spark):
     assert found(metrics.regression_check(actuals, limits, times, 1000.0), "task", "metric") == [("gold", "gold_claim_recall")]
 
 
+def test_empty_bundles_and_empty_gold_lists_count(spark):
+    x = inputs(spark)
+    x.bundles = x.bundles.unionByName(spark.createDataFrame([("claim", "p9", None, None)], x.bundles.schema))
+    got = {r["metric"]: r["value"] for r in ev.reference_eval(x).collect()}
+    assert abs(got["gold_claim_id_recall_micro"] - 1 / 3) < 1e-9  # the gold of p9 was asked for
+    x.corpus.assumptions = assumptions(spark, {"id": "a"}, {"id": "b", "paper_id": "p9"}, {"id": "c", "paper_id": "p0"})
+    got = {r["metric"]: r["value"] for r in ev.gold(x).collect()}
+    assert got["gold_assumption_precision"] == 0.5  # b is false, c belongs to a paper that is not scored
+
+
 def test_a_failing_scorer_is_reported(spark):
     def broken(x):
         return x.corpus.claims.select("no_such_column")

@@ -1,6 +1,8 @@
 import random
 import statistics
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from corpusgate.functions import aggregates as agg
@@ -91,6 +93,17 @@ def test_median_with_one_dominating_value(spark):
     assert agg.exact_median(df, [], "v").first()["median"] == statistics.median(values)
 
 
+@pytest.mark.parametrize("rows", [1, 3, 40])
+def test_median_of_a_bracket_in_ranges(spark, monkeypatch, rows):
+    monkeypatch.setattr(agg, "CHUNK_ROWS", rows)
+    rnd = random.Random(rows)
+    values = [rnd.choice([rnd.random(), 0.5]) for _ in range(3001)]
+    df = spark.createDataFrame([(g, v) for v in values for g in "ab"], "g string, v double")
+    want = statistics.median(values)
+    assert {r["median"] for r in agg.exact_median(df, ["g"], "v", accuracy=50).collect()} == {want}
+    assert agg.exact_median(df, [], "v", accuracy=50).first()["median"] == want
+
+
 def test_fingerprint_ignores_order_and_sees_changes(spark):
     data = [("p", i, f"t{i}") for i in range(50)]
     def h(rows):
