@@ -13,11 +13,13 @@
 Defined cases: null texts and texts without a word have an empty set and link with nothing; fewer words
 than a shingle are one shingle; repeated rows and equal texts are one class; a null id never becomes a
 component's id unless all its ids are null; an empty table gives an empty result; other columns are not
-read, and `deduplicated` keeps them. Rows that repeat an id stay together.
+read, and `deduplicated` keeps them. `deduplicated` decides row by row and keeps one row of each component,
+also where ids are null or repeated; rows without a shingle are no copies and all stay.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -356,9 +358,30 @@ def linked(
 def deduplicated(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
-    """The rows of one document of each component, the one with the smallest id, with all their columns."""
-    found = linked(docs, id_col, text_col, words, percent)
-    gone = durable(found.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__gone")).distinct(), "jaccard-gone")
-    if gone.count() <= BROADCAST_IDS:  # 8 bytes an id; beyond that Spark shuffles both sides
-        gone = F.broadcast(gone)
-    return docs.join(gone, docs[f"`{id_col}`"].eqNullSafe(F.col("__gone")), "left_anti")
+    """One row of each component, the one with the smallest id, with all its columns.
+
+    Rows are told apart by id and text, so a row goes only if it is itself a near copy of one that stays. A null
+    id comes after all others; among equal ids the text's hashes decide, among equal texts the other columns'.
+    """
+    names = docs.columns
+    name, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    content = [F.xxhash64(F.lit(k), text.isNull(), text).alias(f"r{k}") for k in (1, 2)]  # 128 bits that tell texts apart
+    keyed = docs.withColumn("__row", F.struct(name.isNull().alias("none"), name.alias("id"), *content))
+    found = linked(keyed.select("__row", text.alias("__text")), "__row", "__text", words, percent)
+    counted = found.where("n_shingles > 0").groupBy("__row", "component_id").agg(F.count("*").alias("n"))
+    stays = F.col("__row") == F.col("component_id")
+    counted = durable(counted.select("__row", stays.alias("stays"), "n").where("not stays or n > 1"), "jaccard-gone")
+    gone, repeated = counted.where("not stays").select("__row"), counted.where("stays").select("__row")
+
+    def sized(rows: DataFrame, n: int) -> DataFrame:
+        return F.broadcast(rows) if n <= BROADCAST_IDS else rows  # an id and 17 bytes; beyond that Spark shuffles both sides
+
+    kept = keyed.join(sized(gone, gone.count()), "__row", "left_anti")
+    n = repeated.count()
+    if n:  # equal ids with equal texts
+        plain = [F.col(f"`{f.name}`") for f in docs.schema if not re.search("map<|variant", f.dataType.simpleString())]
+        rest = F.xxhash64(*(c for x in plain for c in (x.isNull(), x)))
+        of_many = kept.join(sized(repeated, n), "__row", "left_semi")
+        one = of_many.groupBy("__row").agg(F.min_by(F.struct(*(F.col(f"`{c}`") for c in names)), rest).alias("__one"))
+        kept = kept.join(sized(repeated, n), "__row", "left_anti").drop("__row").unionByName(one.select("__one.*"))
+    return kept.select(*(F.col(f"`{c}`") for c in names))

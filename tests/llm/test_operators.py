@@ -134,6 +134,26 @@ def test_jaccard_join(spark, odd):
     assert jaccard_join.linked(odd.limit(0)).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark):
+    """Null and repeated ids: which rows go is decided row by row."""
+    text = lambda name: " ".join(f"{name}{i}" for i in range(60))
+    rows = [
+        (1, text("a"), "s"), (None, text("a") + " tail", "s"), (None, text("b"), "s"), (None, "other words", "s"),  # a null id near an id
+        (2, text("c"), "s"), (3, text("c") + " tail", "s"), (3, text("d"), "s"),  # one id, two texts
+        (None, text("e"), "s"), (None, text("e") + " tail", "s"), (None, text("e"), "s"),  # null ids alone
+        (4, text("f"), "s"), (4, text("f"), "s"), (4, text("f") + " tail", "s"), (5, text("f"), "s"),  # repeated smallest id
+        (6, text("g"), "t"), (6, text("g"), "s"), (None, None, "s"), (None, None, "s"), (7, "", "s"), (7, "", "s"),
+    ]
+    docs = spark.createDataFrame([(*r, {"k": r[2]}) for r in rows], "doc_id long, text string, source string, tags map<string, string>")
+    kept = jaccard_join.deduplicated(docs.repartition(5))
+    assert kept.columns == docs.columns and kept.schema["tags"].dataType == docs.schema["tags"].dataType
+    got = [(r["doc_id"], (r["text"] or "-")[0]) for r in kept.collect()]
+    want = [(1, "a"), (None, "b"), (None, "o"), (2, "c"), (3, "d"), (None, "e"), (4, "f"), (6, "g"), (None, "-"), (None, "-"), (7, "-"), (7, "-")]
+    assert sorted(got, key=key) == sorted(want, key=key)
+    again = jaccard_join.deduplicated(docs.repartition(3, "source"))
+    assert sorted(map(str, again.collect())) == sorted(map(str, kept.collect()))
+
+
 def test_order_of_frequent_shingles_keeps_results(spark, monkeypatch):
     docs = spark.createDataFrame(near_copies(9, 120), "doc_id long, text string")
     want = {(i, *v) for i, v in brute.linked(plain(docs)).items()}
