@@ -49,6 +49,8 @@ NEGATIONS = "not no never isn't aren't wasn't don't nicht kein keine nie pas jam
 REPORTS = "said says say quoted quote wrote called reported claims sagte sagt schrieb dit écrit dijo dice".split()
 
 CLAUSE = re.compile(rb"[.!?;\n]+")
+#: The ends of clauses as spaces: the words of a text are those of its clauses.
+STOPS = bytes.maketrans(b".!?;\n", b"     ")
 TRIM = b",:()[]\"'*#$%&|<>!"
 
 
@@ -125,16 +127,18 @@ class Grammar:
         self.machine = Composed([negation(), reported(), aimed()])
         lists = (("threat", THREATS), ("target", TARGETS), ("negation", NEGATIONS), ("report", REPORTS))
         self.symbols = {w.encode(): kind for kind, ws in lists for w in ws}
-        self.memory: dict[bytes, float] = {}
+        self.memory: dict[bytes, tuple[str, float]] = {}
 
-    def harsh(self, word: bytes) -> float:
-        """Weight of an insult, 0 for any other word."""
+    def read(self, word: bytes) -> tuple[str, float]:
+        """Symbol of a word, and its weight, which is 0 if it is not harsh."""
         got = self.memory.get(word)
         if got is None:
             if len(self.memory) > 500_000:
                 self.memory = {}
-            text = word.decode().lower().strip(".?;" + TRIM.decode())
-            got = max([self.words.get(text.encode(), 0.0), *(self.stems.get(text[:n].encode(), 0.0) for n in STEMS if len(text) > n)])
+            text = word.decode().lower().strip(TRIM.decode())
+            weight = max([self.words.get(text.encode(), 0.0), *(self.stems.get(text[:n].encode(), 0.0) for n in STEMS if len(text) > n)])
+            symbol = "insult" if weight else self.symbols.get(text.encode(), "other")
+            got = symbol, self.threat if symbol == "threat" else weight
             self.memory[word] = got
         return got
 
@@ -142,17 +146,16 @@ class Grammar:
         """Strength of a clause: what its harsh words weigh after the factors of the machine."""
         states, total = self.machine.start, 0.0
         for word in words:
-            weight = self.harsh(word)
-            symbol = "insult" if weight else self.symbols.get(word.strip(TRIM).lower(), "other")
+            symbol, weight = self.read(word)
             states, out, factor = self.machine.step(states, symbol)
             if out in HARSH:
-                total -= math.log(1 - min(0.998, (weight or self.threat) * factor))
+                total -= math.log(1 - min(0.998, weight * factor))
         return total
 
     def strength(self, text: bytes) -> float:
-        """Sum over the clauses; only texts with a harsh word are cut into clauses."""
-        words = text.split()
-        if not any(map(self.harsh, words)) and _THREATS.isdisjoint(words):
+        """Sum over the clauses; only texts with a harsh word, read as clauses read it, are cut into clauses."""
+        read = self.read
+        if not any(read(word)[1] for word in text.translate(STOPS).split()):
             return 0.0
         return sum(self.clause(part.split()) for part in CLAUSE.split(text))
 
@@ -160,9 +163,6 @@ class Grammar:
         return 1 / (1 + math.exp(-min(50.0, self.slope * self.strength(text) + self.bias)))
 
 
-_THREATS = {w.encode() for w in THREATS}
-
-
 def places(rows: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     """Every lower-cased word with its beginnings (marked by a final *), and a hash of its neighbours."""
     features: list[bytes] = []

@@ -281,6 +281,21 @@ def test_toxicity_learns_and_composes(spark, odd):
     assert none.score(b"an idiot") >= 0.3 > none.score(b"")
 
 
+def test_threats_count_however_they_are_written(spark):
+    grammar = toxicity.Grammar({b"idiot": 0.9})
+    plain = grammar.strength(b"you will burn today")
+    assert plain > 0
+    for text in ("You will burn.", "you will BURN!", "You will (burn)", "so,you will burn?Yes", "Du willst TÖTEN", "fine.idiot.fine"):
+        assert grammar.strength(text.encode()) > 0, text
+    assert grammar.strength(b"KILL them") == grammar.strength(b"kill them") > 0
+    texts_ = ["You will burn.", "KILL them! Fine; idiot.Really", "nothing at all.", "", "He said burn. Not you idiot"]
+    for text in texts_:  # the shortcut changes nothing
+        assert grammar.strength(text.encode()) == sum(grammar.clause(c.split()) for c in toxicity.CLAUSE.split(text.encode()))
+    docs = spark.createDataFrame([(1, "You will hang!"), (2, "nothing at all")], "doc_id long, text string")
+    score = {r["doc_id"]: r["score"] for r in toxicity.scored(docs, grammar).collect()}
+    assert score[1] > score[2]
+
+
 def test_quality_classifier(spark, odd):
     rng = random.Random(6)
     rows = []
