@@ -1,23 +1,27 @@
-"""The registered queries of the ten operators, on the whole given tables."""
+"""The registered queries of the operators, on the whole given tables."""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusgate.llm import (
+    context_mixing,
     decontaminate,
     jaccard_join,
     licenses,
     line_dedup,
     mixing,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     token_records,
     toxicity,
     url_filters,
+    whitening,
 )
 
 #: Labels that may be broadcast.
@@ -97,6 +101,32 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_context_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    held = quality_classifier.held(F.col("doc_id"), 5, 1)
+    scored = context_mixing.scored(table(spark, folder, "documents"), ~held)
+    first = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return scored.select("doc_id", held.alias("held_out"), *first, "n_bytes", "bits_per_byte")
+
+
+def repeated_tail(doc_id: object, words: list[bytes]) -> list[bytes]:
+    """Words of a tenth of the ids (by CRC-32) with a repeating end, as the query's contract gives it."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not words:
+        return words
+    g = h // 10
+    a = g % len(words)
+    p = 1 + (len(words) - a) // (3 + g % 8)
+    return [*words[:a], *(words[a + k % p] for k in range(len(words) - a))]
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.summary(periodic_runs.detected(table(spark, folder, "documents"), prepare=repeated_tail))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.by_component(whitening.whitened(table(spark, folder, "embeddings")))
+
+
 OPERATORS = [
     op1_toxicity,
     op2_quality_rules,
@@ -108,6 +138,9 @@ OPERATORS = [
     op8_license_scan,
     op9_token_records,
     op10_quality_classifier,
+    op11_context_mixing,
+    op12_periodic_runs,
+    op13_whitening,
 ]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in OPERATORS}
