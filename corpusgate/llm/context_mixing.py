@@ -1,8 +1,8 @@
 """Language-model scores by logistic mixing of hashed-context bit predictors.
 
 A text is read as its words (A-Z lower-cased), a space after each, and one line feed as the end. Every byte
-is predicted bit by bit, most significant first, by one predictor for each context: the last 1 to 5 bytes,
-and a hash of the last 6 bytes with the word so far. A predictor's estimate is the share of its training
+is predicted bit by bit, most significant first, by one predictor for each context: the last 1 to 4 bytes,
+and a hash of the last 5 bytes with the length of the word so far. A predictor's estimate is the share of its training
 occurrences at this bit, as a logit; the logits are added with weights chosen by a gate (the longest context
 that has been seen, and how often), and the sum's probability is refined by a map adapted per gate and bit
 (linear between 33 logits), averaged with it. Weights and map are learned online, shard by shard of the
@@ -45,40 +45,30 @@ HELD_GRAMS, HELD_WORDS = 1 << 21, 1 << 19
 PIECE_WORDS = 1 << 18
 #: Grams of a shard worked on at once; contexts with equal last three bytes are never parted.
 SHARD_ROWS = 100_000
-#: Bits by which a gram is shifted to leave a context of 1 to 5 bytes, and the hashed one.
-CONTEXTS = (56, 48, 40, 32, 24, 8)
+#: Bits by which a gram is shifted to leave a context of 1 to 4 bytes, and the hashed one.
+CONTEXTS = (56, 48, 40, 32, 8)
+#: Letters of the word so far that the hashed context tells apart.
+LETTERS = 6
 #: Occurrences that each bit has before any is counted.
 PRIOR = 0.3
 #: Buckets of a gate's count, nodes of the refining map and the largest logit.
 SEEN, NODES, LOGIT = 8, 33, 12.0
 GATES = (len(CONTEXTS) + 1) * SEEN
 END = b"\n"
-BASE = np.uint64(0x5851F42D4C957F2D)
-LEAD = 6
+LEAD = 5
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of `BASE` and of its inverse modulo 2^64."""
-    inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
-    one = np.ones(1, np.uint64)
-    return tuple(np.cumprod(np.concatenate([one, np.full(n - 1, x, np.uint64)]), dtype=np.uint64) for x in (BASE, inverse))
-
-
-def grams(data: bytes, known: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Gram of each byte from place `LEAD` on: five bytes before it, the hash of more, and the byte."""
+def grams(data: bytes) -> np.ndarray:
+    """Gram of each byte from place `LEAD` on: four bytes before it, the hash of the long context, and the byte."""
     b = np.frombuffer(data, np.uint8).astype(np.uint64)
     n = len(b)
-    if not known or len(known[0][0]) < n:
-        known[:] = [powers(n)]
-    power, inverse = known[0][0][:n], known[0][1][:n]
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((b + np.uint64(1)) * power, dtype=np.uint64)])
     apart = (b == 32) | (b == 10)
     start = np.maximum.accumulate(np.where(apart, np.arange(1, n + 1), 0))[LEAD - 1 : -1]  # of the word that the byte goes on
-    word = (total[LEAD:-1] - total[start]) * inverse[np.minimum(start, n - 1)]
+    letters = np.minimum(np.arange(LEAD, n) - start, LETTERS).astype(np.uint64)
     back = lambda k: b[LEAD - k : n - k]
-    hashed = texts.mixed(word * texts.M2 + back(6)) >> np.uint64(48)
+    hashed = texts.mixed((back(5) << np.uint64(8) | letters) * texts.M1) >> np.uint64(40)
     out = hashed << np.uint64(8) | b[LEAD:]
-    for k in range(1, 6):
+    for k in range(1, 5):
         out |= back(k) << np.uint64(64 - 8 * k)
     return out
 
@@ -95,12 +85,12 @@ def pieces(words: list[list[bytes]]) -> Iterator[tuple[int, bytes]]:
             lead = (lead + body)[-LEAD:]
 
 
-def read(words: list[list[bytes]], known: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def read(words: list[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(document, gram) of every byte, some megabytes at a time."""
     held, size = [], 0
 
     def joined() -> tuple[np.ndarray, np.ndarray]:
-        got = grams(b"".join(x for _, x in held), known)
+        got = grams(b"".join(x for _, x in held))
         lengths = np.array([len(x) for _, x in held], np.int64)
         docs = np.repeat([k for k, _ in held], lengths)[LEAD:]
         body = np.ones(len(docs), bool)
@@ -148,7 +138,7 @@ def counted(docs: DataFrame) -> DataFrame:
     """(gram, word, n, train) of all grams (word null) and words (gram 0) of (text, train), stored."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, found, seen = [], Counter(), {}
+        found, seen = Counter(), {}
 
         def emitted(chunk: int = 1 << 16) -> Iterator[pa.RecordBatch]:
             keys, every, train = found.merge()
@@ -168,7 +158,7 @@ def counted(docs: DataFrame) -> DataFrame:
         for part in texts.slices(batches):
             words = [t.translate(texts.LOWER).split() for t in texts.raw(part)]
             trains = np.array([bool(x) for x in part.column("train").to_pylist()])
-            for doc, keys in read(words, known):
+            for doc, keys in read(words):
                 codes, distinct = pd.factorize(keys)
                 own = trains[doc]
                 found.add(distinct, np.bincount(codes, minlength=len(distinct)), np.bincount(codes, own, len(distinct)))
@@ -415,12 +405,11 @@ def scored(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, values, usual = shared.value
-        known: list = []
         for part in texts.slices(batches):
             own = [t.translate(texts.LOWER).split() for t in texts.raw(part)]
             count = len(own)
             total, size, far = np.zeros(count), np.zeros(count, np.int64), []
-            for doc, got in read(own, known):
+            for doc, got in read(own):
                 codes, distinct = pd.factorize(got)
                 at = np.minimum(np.searchsorted(keys, distinct), max(len(keys) - 1, 0))
                 here = keys[at] == distinct if len(keys) else np.zeros(len(distinct), bool)

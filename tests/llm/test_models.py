@@ -21,7 +21,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def odd(spark):
     """Nulls, empty and long texts, repeated rows and columns whose names the operators use themselves."""
-    long = " ".join(f"w{i}" for i in range(30_000))
+    long = " ".join(f"w{i}" for i in range(8_000))
     rows = [(0, None), (1, ""), (2, " \t\n\x0b"), (3, long), (4, "a b " * 40), (5, "A " * 9), (5, "A " * 9), (6, "É!! É"), (None, "x y x y x y x y x"), (7, "a b " * 40 + "c")]
     names = ["id", "n_words", "runs", "collapsed", "train", "gram", "word", "row", "score", "base", "rare", "words", "n"]
     return spark.createDataFrame([(i, t, *["q"] * len(names)) for i, t in rows], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
@@ -189,31 +189,31 @@ def plain_keys(text):
 
 def test_grams_are_contexts_and_bytes():
     words = [[b"ab", "cé".encode()], [], [b"ab", b"cd", b"ab", b"cd"]]
-    got = [np.concatenate([g[d == k] for d, g in context_mixing.read(words, [])]) for k in range(3)]
+    got = [np.concatenate([g[d == k] for d, g in context_mixing.read(words)]) for k in range(3)]
     for own, keys in zip(words, got):
         body = b"".join(w + b" " for w in own) + b"\n"
-        lead = b"\n" * 6 + body
+        lead = b"\n" * 5 + body
         assert [int(k) & 255 for k in keys] == list(body)
         for t, key in enumerate(keys):
-            assert int(key) >> 24 == int.from_bytes(lead[t + 1 : t + 6][::-1], "big")
+            assert int(key) >> 32 == int.from_bytes(lead[t + 1 : t + 5][::-1], "big")
     assert got[0][0] == got[1][0] & ~np.uint64(255) | np.uint64(ord("a")) == got[2][0]
-    # in one word after the same six bytes: equal contexts; after another word: others
-    one, two = (context_mixing.grams(b"\n" * 6 + x, []) for x in (b"abcdefg abcdefg ", b"xbcdefg xbcdefg "))
-    assert one[6] == one[14] and one[6] != two[6] and one[6] >> np.uint64(24) == two[6] >> np.uint64(24)
+    # equal contexts after the same five bytes, unless the word so far is of another length
+    one, two, three = (context_mixing.grams(b"\n" * 5 + x) for x in (b"abcde abcdef", b"xbcdef", b"x abcdef"))
+    assert one[5] != one[11] and one[11] == three[7] and one[11] >> np.uint64(32) == two[5] >> np.uint64(32)
 
 
 def test_long_texts_in_pieces(monkeypatch):
     words = [[f"w{i * i % 97}".encode() for i in range(500)], [b"x"], [f"v{i}".encode() for i in range(7)]]
-    whole = [(int(d), int(g)) for ds, gs in context_mixing.read(words, []) for d, g in zip(ds, gs)]
+    whole = [(int(d), int(g)) for ds, gs in context_mixing.read(words) for d, g in zip(ds, gs)]
     monkeypatch.setattr(context_mixing, "PIECE_WORDS", 7)
     monkeypatch.setattr(texts, "SLICE_BYTES", 100)
-    assert [(int(d), int(g)) for ds, gs in context_mixing.read(words, []) for d, g in zip(ds, gs)] == whole
+    assert [(int(d), int(g)) for ds, gs in context_mixing.read(words) for d, g in zip(ds, gs)] == whole
 
 
 def some_grams(seed=1, size=3000):
     rng = random.Random(seed)
     words = [[rng.choice([b"the", b"then", b"a", b"ant", b"tea"]) for _ in range(size // 4)]]
-    keys = np.concatenate([g for _, g in context_mixing.read(words, [])])
+    keys = np.concatenate([g for _, g in context_mixing.read(words)])
     keys, counts = np.unique(keys, return_counts=True)
     counts = np.where(np.arange(len(keys)) % 5 == 0, 0, counts).astype(float)  # some are seen in no training text
     pairs = Counter()
