@@ -123,7 +123,7 @@ def recompressed(symbols: np.ndarray) -> Grammar:
     return Grammar(levels, symbols)
 
 
-def candidates(symbols: np.ndarray, longest: int, least: int, times: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def candidates(symbols: np.ndarray, walls: np.ndarray, longest: int, least: int, times: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Blocks of (place, period) on the harmonic grids that may lie in a run."""
     need = min(max(least - p, (times - 1) * p) for p in range(1, max(least, 1) + 1))  # equal pairs in a row that any run has
     places, periods, held = [], [], 0
@@ -136,6 +136,7 @@ def candidates(symbols: np.ndarray, longest: int, least: int, times: int) -> Ite
             row = np.where(symbols[one] == symbols[two], row + 1, 0)
             best = np.maximum(best, row)
         at = at[best >= need]
+        at = at[np.searchsorted(walls, at) == np.searchsorted(walls, at + p)]  # both places in one text
         if len(at):
             places.append(at)
             periods.append(np.full(len(at), p))
@@ -175,7 +176,7 @@ def found(codes: np.ndarray, off: np.ndarray, least: int = 6, times: int = 4) ->
     symbols[place(docs)] = codes
     longest = int(np.diff(off).max(initial=0))
     if off[-1] < BLOCK:  # few enough words to hold all candidates: only texts with one are compressed
-        blocks = list(candidates(symbols, longest, least, times))
+        blocks = list(candidates(symbols, walls, longest, least, times))
         if not blocks:
             return np.empty((0, 4), np.int64)
         at, period = (np.concatenate(x) for x in zip(*blocks))
@@ -191,7 +192,7 @@ def found(codes: np.ndarray, off: np.ndarray, least: int = 6, times: int = 4) ->
     else:
         grammar = recompressed(symbols)
         back = grammar.reversed()
-        parts = [_extended(grammar, back, at, p, least, times) for at, p in candidates(symbols, longest, least, times)]
+        parts = [_extended(grammar, back, at, p, least, times) for at, p in candidates(symbols, walls, longest, least, times)]
         rows, names = _smallest(np.concatenate([np.empty((0, 3), np.int64), *parts])), np.arange(count)
     owner = np.searchsorted(walls, rows[:, 0]) - 1
     out = np.stack([names[owner], rows[:, 0] - walls[owner] - 1, rows[:, 1] - rows[:, 0], rows[:, 2]], axis=1)

@@ -67,6 +67,14 @@ def test_runs_of_made_words(monkeypatch, block):
             assert [tuple(r) for r in got] == [(k, *r) for k, d in enumerate(docs) for r in plain_runs(d, least, times)]
 
 
+def test_places_that_agree_across_texts():
+    docs = [[1, 2, 3, 4, 5, 6, 7, 8], list(range(20, 30)), [1, 2, 3, 4, 5, 6, 7, 8], list(range(40, 200))]
+    docs = docs + [[7] * 9] + docs
+    for some in (docs, docs[:4], docs[::-1]):
+        got = periodic_runs.found(np.array([x for d in some for x in d], np.int64), texts.offsets(map(len, some)))
+        assert [tuple(r) for r in got] == [(k, *r) for k, d in enumerate(some) for r in plain_runs(d)]
+
+
 def test_common_extensions_both_ways():
     rng = random.Random(4)
     words = made(rng, 400)
