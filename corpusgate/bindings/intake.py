@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusgate.bindings.base import Tables, query
-from corpusgate.operators import metrics
+from corpusgate.operators import metrics, shapes
 from corpusgate.sources import entities, export, intake
 
 DOMAIN_OF_TYPE = """CASE p_type WHEN 'STANDARD' THEN 'physics' WHEN 'ECONOMY' THEN 'control'
@@ -47,6 +47,73 @@ def read_lenient_objects(t: Tables) -> DataFrame:
     return entities.parse_object(broken, "k bigint").select(F.col("paper_id").alias("event_id"), "k")
 
 
+# Events as stored objects: some of their fields have another type than the reader or the schema expects.
+STORED_EVENT = """CASE
+  WHEN value < 2 THEN concat('{"k": "', value, '", "at": {"user": ', user_id, '}, "tags": ["', event_type, '"]}')
+  WHEN value < 4 THEN concat('{"k": ', user_id, ', "at": {"user": "', user_id, '", "zone": {"x": 1}}, "tags": ["', event_type, '", 5, null]}')
+  WHEN value < 6 THEN concat('{"k": ', user_id, '.5, "at": {}, "tags": "', event_type, '", "more": {"k": ', user_id, '}}')
+  WHEN value < 8 THEN substr(props, 1, 4)
+  WHEN value < 10 THEN concat('[', props, ']')
+  ELSE concat(substr(props, 1, length(props) - 1), ', "at": {"user": ', user_id, '.0}}') END"""
+EVENT_SHAPE = "k bigint, at struct<user:bigint,place:string>, tags array<string>, label map<string,string>"
+
+
+def _stored_events(t: Tables) -> DataFrame:
+    return t.events.selectExpr("event_id AS paper_id", "event_id", f"{STORED_EVENT} AS raw")
+
+
+@query(
+    "json_shape_findings",
+    "V1 V13",
+    f"""
+WITH r AS (SELECT event_id, {STORED_EVENT} AS raw FROM events),
+ok AS (SELECT event_id, raw::JSON AS j FROM r WHERE json_valid(raw) AND substr(raw, 1, 1) = '{{')
+SELECT event_id, '' AS place, 'unparsable' AS rule, NULL AS found FROM r WHERE NOT json_valid(raw)
+UNION ALL SELECT event_id, '', 'wrong_type', 'array' FROM r WHERE json_valid(raw) AND substr(raw, 1, 1) = '['
+UNION ALL SELECT event_id, 'k', 'wrong_type', CASE json_type(j, '$.k') WHEN 'VARCHAR' THEN 'string' ELSE 'number' END
+  FROM ok WHERE json_type(j, '$.k') IN ('VARCHAR', 'DOUBLE')
+UNION ALL SELECT event_id, 'tags', 'wrong_type', 'string' FROM ok WHERE json_type(j, '$.tags') = 'VARCHAR'
+UNION ALL SELECT event_id, 'tags[1]', 'wrong_type', 'integer' FROM ok WHERE json_type(j, '$.tags[1]') = 'UBIGINT'
+UNION ALL SELECT event_id, 'tags[2]', 'wrong_type', 'null' FROM ok WHERE json_type(j, '$.tags[2]') = 'NULL'
+UNION ALL SELECT event_id, 'at.user', 'wrong_type', 'string' FROM ok WHERE json_type(j, '$.at.user') = 'VARCHAR'
+UNION ALL SELECT event_id, 'at.zone', 'unknown_field', 'object' FROM ok WHERE json_type(j, '$.at.zone') IS NOT NULL
+UNION ALL SELECT event_id, 'more', 'unknown_field', 'object' FROM ok WHERE json_type(j, '$.more') IS NOT NULL
+UNION ALL SELECT event_id, '', 'missing_field', 'tags' FROM ok WHERE json_type(j, '$.tags') IS NULL
+UNION ALL SELECT event_id, 'at', 'missing_field', 'user' FROM ok WHERE json_type(j, '$.at.user') IS NULL
+""",
+)
+def json_shape_findings(t: Tables) -> DataFrame:
+    known = shapes.paths(EVENT_SHAPE, {"": {"k", "tags"}, "at": {"user"}})
+    return shapes.shape_findings(_stored_events(t), ["event_id"], "raw", known)
+
+
+@query(
+    "rescued_event_fields",
+    "S2 S3",
+    f"""
+WITH r AS (SELECT event_id, {STORED_EVENT} AS raw FROM events),
+p AS (SELECT *, NOT json_valid(raw) AS broken, json_valid(raw) AND substr(raw, 1, 1) = '[' AS listed FROM r),
+o AS (SELECT event_id, broken, listed, CASE WHEN broken OR listed THEN NULL ELSE raw::JSON END AS j FROM p),
+f AS (SELECT *, json_type(j, '$.k') = 'UBIGINT' AS good_k, json_type(j, '$.at.user') = 'VARCHAR' OR (j->>'$.at.user') LIKE '%.0' AS bad_at,
+  json_type(j, '$.tags') = 'VARCHAR' AS bad_tags FROM o)
+SELECT event_id, CASE WHEN broken THEN 'unparsable' WHEN listed THEN 'wrong shape' WHEN NOT good_k OR bad_at OR bad_tags THEN 'rescued' END AS reason,
+  NOT (broken OR listed) AS usable, CASE WHEN good_k THEN CAST(j->>'$.k' AS BIGINT) END AS k,
+  CASE WHEN NOT good_k THEN CAST(j->'$.k' AS VARCHAR) END AS rescued_k,
+  CASE WHEN bad_tags THEN CAST(j->'$.tags' AS VARCHAR) END AS rescued_tags,
+  CASE WHEN json_type(j, '$.tags') = 'ARRAY' THEN json_array_length(j, '$.tags') END AS n_tags
+FROM f
+""",
+)
+def rescued_event_fields(t: Tables) -> DataFrame:
+    # Rows in = usable rows + unusable ones; a field that does not fit is null in its row and kept as JSON.
+    rows = entities.object_rows(_stored_events(t).drop("event_id"), EVENT_SHAPE)
+    return rows.select(
+        F.col("paper_id").alias("event_id"), "reason", "usable", "k",
+        F.expr("rescued['k']").alias("rescued_k"), F.expr("rescued['tags']").alias("rescued_tags"),
+        F.when(F.col("tags").isNotNull(), F.size("tags")).cast("bigint").alias("n_tags"),
+    )
+
+
 @query(
     "map_objects",
     "S3",

@@ -6,33 +6,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusgate import schemas
-from corpusgate.operators import checks
+from corpusgate.operators import checks, shapes
 from corpusgate.plans.publication import Corpus
 
 
 def schema_violations(corpus: Corpus) -> DataFrame:
-    """Conformance of the eight stored entities, with kernel witness and contract rules."""
+    """Conformance of the eight stored entities, with kernel witness and contract rules.
+
+    Where a table has the stored JSON (``raw``), types and unknown or missing fields are checked at every depth.
+    """
     tables = {
-        "metadata": (corpus.papers, "paper_id", "id", schemas.PAPER),
-        "claims": (corpus.claims, "paper_id", "id", schemas.CLAIM),
-        "assumptions": (corpus.assumptions, "paper_id", "id", schemas.ASSUMPTION),
-        "symbols": (corpus.symbols, "paper_id", "id", schemas.SYMBOL),
-        "mapping": (corpus.mapping, "paper_id", "paper_id", schemas.MAPPING),
-        "theorem_cards": (corpus.cards, "paper_id", "id", schemas.CARD),
-        "manifest": (corpus.manifests, "paper_id", "paper_id", schemas.MANIFEST),
+        "metadata": (corpus.papers, "paper_id", "id"),
+        "claims": (corpus.claims, "paper_id", "id"),
+        "assumptions": (corpus.assumptions, "paper_id", "id"),
+        "symbols": (corpus.symbols, "paper_id", "id"),
+        "mapping": (corpus.mapping, "paper_id", "paper_id"),
+        "theorem_cards": (corpus.cards, "paper_id", "id"),
+        "manifest": (corpus.manifests, "paper_id", "paper_id"),
     }
-    found = []
-    for entity, (df, group, row, ddl) in tables.items():
-        extra = {"raw": "raw", "allowed": schemas.field_names(ddl)} if "raw" in df.columns else {}
-        rules = schemas.RULES[entity]
-        found.append(checks.conformance_violations(entity, df, rules, group, row, **extra))
+    found = [x for entity, (df, group, row) in tables.items() for x in _stored(entity, df, group, row, schemas.RULES[entity])]
     kernels = corpus.kernels.withColumn("corpus", F.lit(""))
-    found.append(checks.conformance_violations("kernels", kernels, schemas.RULES["kernels"], "corpus", "id"))
+    found += _stored("kernels", kernels, "corpus", "id", schemas.RULES["kernels"])
     found.append(checks.kernel_witness(corpus.kernels))
     found.append(checks.kernel_contract(corpus.kernels))
     return checks.union_all(found)
 
 
+def _stored(entity: str, df: DataFrame, group: str, row: str, rules: list[schemas.Rule], **kw: str) -> list[DataFrame]:
+    """Value rules on the typed fields and, where the stored JSON is at hand, its shape."""
+    if "raw" not in df.columns:
+        return [checks.conformance_violations(entity, df, rules, group, row, **kw)]
+    typed = [r for r in rules if r.kind != "required"]  # the shape tells which fields are missing
+    return [shapes.shape_violations(entity, df, group, row, **kw), checks.conformance_violations(entity, df, typed, group, row, **kw)]
+
+
 def all_violations(
     corpus: Corpus,
     snapshots: DataFrame | None = None,
@@ -59,10 +66,7 @@ def all_violations(
     if snapshots is not None:
         found.append(checks.snapshot_quality(snapshots))
     for kind, df in (sidecars or {}).items():
-        rules = schemas.SIDECAR_RULES[kind]
-        found.append(
-            checks.conformance_violations(kind, df, rules, "paper_id", "paper_id", severity="warn", check_id="suggestion_sidecars")
-        )
+        found += _stored(kind, df, "paper_id", "paper_id", schemas.SIDECAR_RULES[kind], severity="warn", check_id="suggestion_sidecars")
     return checks.union_all(found)
 
 

@@ -338,3 +338,89 @@ SIDECAR_RULES: dict[str, list[Rule]] = {
         Rule("proposals.lean_declaration_short_name", "items_pattern", DECL),
     ],
 }
+
+# --- shapes of the stored JSON ------------------------------------------------------------------
+
+# What a proposal bundle may say of the run that made it.
+PROVENANCE = (
+    "struct<provider:string,model:string,model_version:string,created_at:string,latency_seconds:double,"
+    "temperature:double,top_p:double,max_tokens:bigint,seed:bigint,prompt_template_id:string,"
+    "prompt_template_sha256:string,input_artifact_sha256:map<string,string>,prompt_tokens:bigint,"
+    "completion_tokens:bigint,total_tokens:bigint,estimated_cost_usd:double,reviewer_time_seconds:double,"
+    "reviewer_decision:string,promotion_outcome:string,notes:string>"
+)
+#: Stored type of one object of each entity and sidecar.
+SHAPES: dict[str, str] = {
+    "metadata": PAPER,
+    "claims": CLAIM,
+    "assumptions": ASSUMPTION,
+    "symbols": SYMBOL,
+    "theorem_cards": CARD,
+    "mapping": MAPPING,
+    "manifest": MANIFEST,
+    "kernels": KERNEL,
+    "literature_errors": LITERATURE_ERROR,
+    **{
+        name: OBJECT_ENTITIES[name].replace(METADATA, PROVENANCE)
+        for name in (
+            "llm_claim_proposals", "llm_mapping_proposals", "llm_lean_proposals",
+            "suggested_assumptions", "suggested_symbols", "suggested_mapping",
+        )
+    },
+}
+# Fields that an object at a path must have, where RULES does not say so, and objects that may
+# have fields beyond their type.
+_PORT = ("name", "numeric_kind")
+_SIDES = ("inputs", "outputs")
+NEEDED: dict[str, dict[str, tuple[str, ...]]] = {
+    "manifest": {"dependency_graph[]": ("from", "to")},
+    "literature_errors": {"": ("description",)},
+    "kernels": {
+        "io_typing": _SIDES,
+        "io_typing.inputs[]": _PORT,
+        "io_typing.outputs[]": _PORT,
+        "contract_v1": (
+            "units", "domains", "exceptional_cases", "approximation_regimes", "tolerances", "witness_type", "obligations",
+        ),
+        "contract_v1.units": _SIDES,
+        "contract_v1.domains": _SIDES,
+        "contract_v1.tolerances": ("absolute_error", "relative_error"),
+        "contract_v1.obligations": (
+            "expected_linked_theorem_cards", "satisfied_linked_theorem_cards", "unsatisfied_linked_theorem_cards",
+        ),
+    },
+    "llm_claim_proposals": {"proposals[]": ("claim",)},
+    "llm_mapping_proposals": {"proposals[]": ("claim_id", "lean_declaration_short_name")},
+    "llm_lean_proposals": {
+        "proposals[]": ("proposal_id", "paper_id", "target_file", "edit_kind"),
+        "proposals[].replacements[]": ("find", "replace"),
+    },
+    "suggested_assumptions": {"proposals[]": ("assumption",)},
+    "suggested_symbols": {"proposals[]": ("symbol",)},
+    "suggested_mapping": {"proposals[]": ("claim_id", "lean_declaration_short_name")},
+}
+#: Entities whose objects stand inside another entity's.
+NESTED = {
+    "llm_claim_proposals": {"proposals[].claim": "claims"},
+    "suggested_assumptions": {"proposals[].assumption": "assumptions"},
+    "suggested_symbols": {"proposals[].symbol": "symbols"},
+}
+OPEN_OBJECTS = ("source_span.start", "source_span.end")
+
+
+def needed(entity: str) -> dict[str, set[str]]:
+    """Fields that the objects of an entity must have, by path."""
+    out: dict[str, set[str]] = {path: set(names) for path, names in NEEDED.get(entity, {}).items()}
+    for rule in [*RULES.get(entity, ()), *SIDECAR_RULES.get(entity, ())]:
+        if rule.kind == "required":
+            steps = rule.field.split(".")
+            for k, step in enumerate(steps):  # a nested field's objects are needed only where they are listed
+                if k == len(steps) - 1:
+                    out.setdefault(".".join(steps[:k]), set()).add(step)
+    for path, other in NESTED.get(entity, {}).items():
+        for inner, names in needed(other).items():
+            out.setdefault(f"{path}.{inner}" if inner else path, set()).update(names)
+    if any(path.endswith("source_span.start") for path in out):
+        for path in [p for p in out if p.endswith("source_span")]:
+            out[path].update(("start", "end"))
+    return out

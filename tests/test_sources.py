@@ -161,3 +161,34 @@ def test_intake_reports_a_year_that_is_no_number(spark):
     rows = spark.createDataFrame([("p1", "physics", "t", "abc"), ("p2", "physics", "t", " 2020 "), ("p3", None, None, "")], "paper_id string, domain string, title string, year string")
     assert found(intake.intake_violations(rows), "row_id", "message") == [("p1", "invalid year abc")]
     assert found(intake.normalized_intake(rows), "paper_id", "year") == [("p1", None), ("p2", 2020), ("p3", None)]
+
+
+def test_mistyped_fields_are_rescued(spark, root):
+    good = {"id": "a", "source_span": {"source_file": "f", "start": {"page": 1, "offset": 0}, "end": {"page": 2, "offset": 0}}}
+    put(root, "p-1", "claims.json", [good, {"id": "b", "linked_symbols": "s1", "status": "parsed"}, "junk", {"id": "c", "source_span": {"start": {"page": "x"}}}])
+    put(root, "p-2", "claims.json", "[{]")
+    put(root, "p-3", "claims.json", '[{"id": "d", "id": "e"}, {"id": null, "linked_symbols": ["s", 5], "review_notes": 7}]')
+    put(root, "p-4", "claims.json", "[]")
+    rows = {(r["paper_id"], r["pos"]): r for r in entities.read_array(spark, str(root), "claims").collect()}
+    assert set(rows) == {("p-1", 0), ("p-1", 1), ("p-1", 3), ("p-3", 0), ("p-3", 1)}
+    assert rows["p-1", 1]["status"] == "parsed" and rows["p-1", 1]["linked_symbols"] is None
+    assert rows["p-1", 0]["source_span"]["end"]["page"] == 2 and rows["p-3", 1]["review_notes"] == "7"
+    got = {(r["paper_id"], r["pos"]): (r["reason"], r["usable"], r["rescued"]) for r in entities.read_rescued(spark, str(root), "claims").collect()}
+    assert got["p-1", 1] == ("rescued", True, {"linked_symbols": '"s1"'})
+    assert got["p-1", 2] == ("no object", False, None) and got["p-2", None] == ("unparsable", False, None)
+    assert got["p-1", 3] == ("rescued", True, {"source_span": '{"start":{"page":"x"}}'})
+    assert got["p-3", 0] == ("repeated keys", True, None) and len(got) == 5
+    put(root, "p-1", "metadata.json", {"id": "p-1", "title": "T", "year": "abc", "authors": ["A"]})
+    put(root, "p-2", "metadata.json", {"id": "p-2", "year": 2000.5, "source": {"kind": "pdf"}, "tags": None})
+    put(root, "p-3", "metadata.json", '{"id"')
+    papers = {r["paper_id"]: r for r in entities.read_object(spark, str(root), "metadata").collect()}
+    assert set(papers) == {"p-1", "p-2"} and papers["p-1"]["title"] == "T" and papers["p-1"]["year"] is None
+    got = {r["paper_id"]: (r["reason"], r["rescued"]) for r in entities.read_rescued(spark, str(root), "metadata").collect()}
+    assert got == {"p-1": ("rescued", {"year": '"abc"'}), "p-2": ("rescued", {"year": "2000.5"}), "p-3": ("unparsable", None)}
+    assert papers["p-2"]["source"]["kind"] == "pdf"
+
+
+def test_every_entity_type_can_be_rescued(spark):
+    for ddl in (*schemas.ARRAY_ENTITIES.values(), *schemas.OBJECT_ENTITIES.values()):
+        raw = spark.createDataFrame([("p", "{}"), ("q", '{"paper_id": 3, "proposals": [{}, 1]}')], "paper_id string, raw string")
+        assert entities.object_rows(raw, ddl).where("usable").count() == 2
