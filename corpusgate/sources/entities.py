@@ -50,11 +50,13 @@ def read_single_array(spark: SparkSession, path: str, ddl: str) -> DataFrame:
 def _files_judged(raw: DataFrame, array: bool) -> DataFrame:
     """File texts with ``unusable``: why a file gives no rows, or null."""
     text = c.strip("raw")
-    kind = "array<string>" if array else "map<string,string>"
+    kind, other = ("array<string>", "map<string,string>") if array else ("map<string,string>", "array<string>")
+    opens = F.startswith(text, F.lit("[" if array else "{"))
     reason = (
         F.when(F.coalesce(text, F.lit("")) == "", "empty")
+        .when(~opens & F.from_json("raw", other).isNotNull(), "wrong shape")
         .when(F.from_json("raw", kind).isNull() | F.json_object_keys("raw").isNull() & F.lit(not array), "unparsable")
-        .when(~F.startswith(text, F.lit("[" if array else "{")), "wrong shape")
+        .when(~opens, "wrong shape")
     )
     return raw.withColumn("unusable", reason)
 

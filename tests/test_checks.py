@@ -120,7 +120,7 @@ def test_snapshot_quality(spark):
 
 
 def small_corpus(spark, **claim):
-    raw = lambda df: df.withColumn("raw", F.to_json(F.struct(*[x for x in df.columns if x not in ("pos", "paper_id")])))
+    raw = lambda df: df.withColumn("raw", F.to_json(F.struct(*[x for x in df.columns if x != "pos"])))
     base = {"claim_type": "lemma", "value_kind": "bridge_lemma", "linked_formal_targets": ["N.S.one"], "status": "machine_checked"}
     cl = claims(spark, base | {"id": "c1"} | claim, base | {"id": "c2", "linked_formal_targets": ["N.S.two"], "status": "linked_to_kernel"})
     docs = spark.createDataFrame([("formal/N/S.lean", "theorem one : T := by simp\ntheorem two : T := by\n  exact one\n")], "path string, text string")
