@@ -356,6 +356,10 @@ cards AS (SELECT concat('c', o_custkey) AS p, concat('c', o_custkey, '_', l_orde
 claims AS (SELECT concat('c', o_custkey) AS p, concat('o', o_orderkey) AS id FROM orders WHERE o_orderstatus <> 'P')
 SELECT concat('card claim is missing: o', l_orderkey) AS message, p AS group_id, id AS row_id FROM cards WHERE (p, concat('o', l_orderkey)) NOT IN (SELECT (p, id) FROM claims) AND p IN (SELECT p FROM claims)
 UNION ALL SELECT concat('card dependency is missing: s', l_suppkey), p, id FROM cards WHERE p IN (SELECT p FROM claims)
+UNION ALL SELECT concat('card dependency is missing: ', p, '_', l_orderkey, '_1'), p, id FROM cards
+  WHERE p IN (SELECT p FROM claims) AND l_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 1)
+UNION ALL SELECT concat('claim symbol is missing: ', s), concat('c', o_custkey), concat('o', o_orderkey)
+  FROM orders JOIN customer ON c_custkey = o_custkey, (VALUES ('BUILDING'), ('MACHINERY')) v(s) WHERE o_orderstatus <> 'P' AND c_acctbal >= 0 AND c_mktsegment <> s
 UNION ALL SELECT concat('card kernel is missing: p', l_partkey), p, id FROM cards WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 25) AND p IN (SELECT p FROM claims)
 UNION ALL SELECT 'card without file_path', p, id FROM cards WHERE l_returnflag = 'N' AND p IN (SELECT p FROM claims)
 UNION ALL SELECT concat('mapping claim is missing: o', o_orderkey), concat('c', o_custkey), concat('c', o_custkey) FROM orders WHERE o_orderstatus = 'P' AND concat('c', o_custkey) IN (SELECT p FROM claims)
@@ -368,16 +372,15 @@ UNION ALL SELECT concat('kernel card is missing: ', p_name), '', concat('p', p_p
 
 @query("graph_integrity", "V5 J2a J2b J2c J2d J2e J2f J2g J2h", f"SELECT message, group_id, row_id, count(*) AS n FROM ({GRAPH_FINDINGS}) GROUP BY ALL")
 def graph_integrity(t: Tables) -> DataFrame:
-    strings = "cast(array() AS array<string>)"
     claims = t.orders.where("o_orderstatus <> 'P'").selectExpr(
-        "concat('c', o_custkey) AS paper_id", "concat('o', o_orderkey) AS id", "array(o_orderpriority, '') AS linked_assumptions", f"{strings} AS linked_symbols"
+        "concat('c', o_custkey) AS paper_id", "concat('o', o_orderkey) AS id", "array(o_orderpriority, '') AS linked_assumptions", "array('BUILDING', 'MACHINERY') AS linked_symbols"
     )
     assumptions = t.customer.where("c_mktsegment = 'BUILDING'").selectExpr("concat('c', c_custkey) AS paper_id", "'1-URGENT' AS id")
-    symbols = assumptions.limit(0)
+    symbols = t.customer.where("c_acctbal >= 0").selectExpr("concat('c', c_custkey) AS paper_id", "c_mktsegment AS id")
     mapping = t.orders.selectExpr("concat('c', o_custkey) AS paper_id", "'N.S' AS namespace", "map(concat('o', o_orderkey), 'd') AS claim_to_decl")
     cards = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
         "concat('c', o_custkey) AS paper_id", "concat('c', o_custkey, '_', l_orderkey, '_', l_linenumber) AS id", "concat('o', l_orderkey) AS claim_id",
-        "'d' AS lean_decl", "CASE l_returnflag WHEN 'N' THEN ' ' ELSE 'f' END AS file_path", "array(concat('s', l_suppkey)) AS dependency_ids",
+        "'d' AS lean_decl", "CASE l_returnflag WHEN 'N' THEN ' ' ELSE 'f' END AS file_path", "array(concat('s', l_suppkey), concat('c', o_custkey, '_', l_orderkey, '_1')) AS dependency_ids",
         "array(concat('p', l_partkey)) AS executable_links",
     )
     manifests = t.customer.selectExpr("concat('c', c_custkey) AS paper_id", "array(concat('n', c_nationkey)) AS kernel_index")
@@ -420,25 +423,30 @@ def card_review_rules(t: Tables) -> DataFrame:
     "coverage_integrity",
     "V9 J23",
     """
-WITH r AS (SELECT o_custkey, count(*) AS n, count(*) FILTER (o_orderstatus = 'F') AS f, count(*) FILTER (o_orderstatus = 'O') AS o FROM orders GROUP BY 1),
+WITH linked AS (SELECT o_custkey AS k, count(DISTINCT l_orderkey) FILTER (l_returnflag = 'R') AS linked FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1),
+r AS (SELECT o_custkey, count(*) AS n, count(*) FILTER (o_orderstatus = 'F') AS f,
+  coalesce(any_value(linked), count(*) FILTER (o_orderstatus = 'O')) AS o FROM orders LEFT JOIN linked ON k = o_custkey GROUP BY 1),
 s AS (SELECT c_custkey, c_nationkey, coalesce(n, 0) AS n, coalesce(f, 0) AS f, coalesce(o, 0) AS o FROM customer LEFT JOIN r ON o_custkey = c_custkey)
 SELECT concat('c', c_custkey) AS group_id, concat('claim_count is ', c_nationkey, ', expected ', n) AS message FROM s WHERE c_nationkey <> n
 UNION ALL SELECT concat('c', c_custkey), concat('mapped_claim_count is null, expected ', n) FROM s
+UNION ALL SELECT concat('c', c_custkey), concat('kernel_linked_count is 1, expected ', o) FROM s WHERE o <> 1
+UNION ALL SELECT concat('c', c_custkey), 'manifest without claims' FROM s WHERE n = 0
 """,
 )
 def coverage_integrity(t: Tables) -> DataFrame:
     claims = t.orders.selectExpr(
-        "concat('c', o_custkey) AS paper_id", "array('t') AS linked_formal_targets",
+        "concat('c', o_custkey) AS paper_id", "concat('o', o_orderkey) AS id", "array('t') AS linked_formal_targets",
         "CASE o_orderstatus WHEN 'F' THEN 'machine_checked' WHEN 'O' THEN 'linked_to_kernel' ELSE 'mapped' END AS status",
     )
-    cards = t.lineitem.limit(0).selectExpr("'' AS paper_id", "'' AS claim_id", "array('') AS executable_links")
-    counted = t.orders.groupBy("o_custkey").agg(
-        F.count_if(F.col("o_orderstatus") == "F").alias("f"), F.count_if(F.col("o_orderstatus") == "O").alias("o")
+    cards = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
+        "concat('c', o_custkey) AS paper_id", "concat('o', l_orderkey) AS claim_id",
+        "CASE l_returnflag WHEN 'R' THEN array('k') ELSE array() END AS executable_links",
     )
+    counted = t.orders.groupBy("o_custkey").agg(F.count_if(F.col("o_orderstatus") == "F").alias("f"))
     manifests = t.customer.join(counted, F.col("o_custkey") == F.col("c_custkey"), "left").selectExpr(
         "concat('c', c_custkey) AS paper_id",
         """named_struct('claim_count', cast(c_nationkey AS bigint), 'mapped_claim_count', cast(NULL AS bigint),
-             'machine_checked_count', coalesce(f, 0L), 'kernel_linked_count', coalesce(o, 0L)) AS coverage_metrics""",
+             'machine_checked_count', coalesce(f, 0L), 'kernel_linked_count', 1L) AS coverage_metrics""",
     )
     return checks.coverage_integrity(manifests, claims, cards).select("group_id", "message")
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from corpusgate.functions import columns as c
 from corpusgate.operators import linking, metrics, similarity
 from corpusgate.schemas import Rule
-from corpusgate.session import constant_rows
+from corpusgate.session import constant_rows, durable
 
 VIOLATION = ["gate", "check_id", "severity", "group_id", "row_id", "message"]
 
@@ -234,45 +234,49 @@ def disputed(claims: DataFrame, width: int = 80) -> DataFrame:
 # --- cross-table checks -----------------------------------------------------------------------
 
 
-def _refs(df: DataFrame, scope: Column, row: Column, entries: Sequence[tuple[str, Column]]) -> DataFrame:
-    """References of one table in the shared shape ``(group_id, row_id, kind, scope, ref)``, one scan."""
-    empty = F.array().cast("array<string>")
+def _facts(df: DataFrame, group: Column, row: Column, targets: Sequence[tuple], refs: Sequence[tuple] = (), judged: bool = False) -> DataFrame:
+    """Ids and references of one table, in one scan, in the shape of :func:`linking.key_states`.
 
-    def shaped(kind: str, refs: Column) -> Column:
-        return F.transform(
-            F.coalesce(refs, empty), lambda r: F.struct(F.lit(kind).alias("kind"), r.alias("ref"))
-        )
-
-    return df.select(
-        F.coalesce(scope, F.lit("")).alias("group_id"), row.cast("string").alias("row_id"), F.inline(F.concat(*[shaped(kind, refs) for kind, refs in entries]))
-    )
+    ``targets``: (sort, scope, id); ``refs``: (kind, sort, scope, array of ids). ``judged`` rows count only
+    where their paper has claims.
+    """
+    empty, text = F.array().cast("array<string>"), lambda x: x.cast("string")
 
+    def fact(kind: str | None, sort: str, scope: Column, ref: Column) -> Column:
+        return F.struct(
+            F.lit(sort).alias("target"), text(scope).alias("scope"), text(ref).alias("ref"), F.lit(kind).cast("string").alias("kind")
+        )
 
-def _targets(df: DataFrame, scope: Column, ref: str, *kinds: str) -> DataFrame:
-    """Ids of one table as targets of the named reference kinds, one scan."""
+    entries = [F.array(*[fact(None, sort, scope, ref) for sort, scope, ref in targets])] if targets else []
+    many = lambda kind, sort, scope, ids: F.transform(F.coalesce(ids, empty), lambda r: fact(kind, sort, scope, r))
+    entries += [many(*ref) for ref in refs]
     return df.select(
-        F.explode(F.array(*[F.lit(k) for k in kinds])).alias("kind"),
-        scope.alias("scope"),
-        F.col(ref).cast("string").alias("ref"),
+        F.coalesce(text(group), F.lit("")).alias("group_id"), text(row).alias("row_id"), F.lit(judged).alias("judged"),
+        F.inline(F.concat(*entries)),
     )
 
 
 def normalization_integrity(claims: DataFrame, assumptions: DataFrame, symbols: DataFrame) -> DataFrame:
-    """Ids unique per paper and every assumption and symbol link resolved."""
-    paper = F.col("paper_id")
-    ids = union_all(
-        [df.select("paper_id", F.lit(kind).alias("kind"), F.col("id").cast("string").alias("id"))
-         for kind, df in (("claim", claims), ("assumption", assumptions), ("symbol", symbols))]
+    """Ids unique per paper and every assumption and symbol link resolved; each table is read once."""
+    paper, own = F.col("paper_id"), F.col("id")
+    scope = F.coalesce(paper, F.lit(""))
+    links = [("assumption", "assumption", scope, F.col("linked_assumptions")), ("symbol", "symbol", scope, F.col("linked_symbols"))]
+    facts = durable(
+        union_all(
+            [
+                _facts(claims, paper, own, [("claim", paper, own)], links),
+                _facts(assumptions, paper, own, [("assumption", paper, own)]),
+                _facts(symbols, paper, own, [("symbol", paper, own)]),
+            ]
+        ),
+        "links",
     )
-    dup = linking.duplicate_keys(ids, ["paper_id", "kind", "id"])
-    links = [("assumption", F.col("linked_assumptions")), ("symbol", F.col("linked_symbols"))]
-    refs = _refs(claims, paper, F.col("id"), links).withColumn("scope", F.col("group_id"))
-    targets = _targets(assumptions, paper, "id", "assumption").unionByName(_targets(symbols, paper, "id", "symbol"))
-    lost = linking.reference_orphans(refs, targets)
+    dup = linking.key_states(facts.where("scope is not null and ref is not null")).where("n_targets > 1")
+    lost = linking.dangling(facts)
     name = "normalization_integrity"
-    found = F.concat(F.lit("duplicate "), "kind", F.lit(" id"))
+    found = F.concat(F.lit("duplicate "), "target", F.lit(" id"))
     missing = F.concat(F.lit("linked_"), "kind", F.lit("s references missing "), "ref")
-    return violations(dup, name, "paper_id", "id", found).unionByName(
+    return violations(dup, name, "scope", "ref", found).unionByName(
         violations(lost, name, "group_id", "row_id", missing)
     )
 
@@ -319,47 +323,45 @@ def graph_integrity(
     """References between claims, cards, mapping, manifests and kernels.
 
     Link checks against an empty parent set are skipped, as the strict form is part of
-    :func:`normalization_integrity`.
+    :func:`normalization_integrity`. Only papers with claims are judged, and only their cards can be
+    depended upon. Each table is read once: its ids and references become rows of one stored table, whose
+    keys are aggregated once; the references of the few keys without an id are then looked up.
     """
-    paper, everywhere = F.col("paper_id"), F.lit("")
-    # Only papers with claims are judged, and only their cards can be depended upon.
-    judged = claims.select("paper_id").distinct()
-    cards = cards.join(judged, "paper_id", "left_semi")
-    card_refs = _refs(
-        cards, paper, F.col("id"),
-        [("card claim", F.array("claim_id")), ("card dependency", F.col("dependency_ids")), ("card kernel", F.col("executable_links"))],
-    )
-    claim_refs = _refs(
-        claims, paper, F.col("id"),
-        [("claim assumption", F.col("linked_assumptions")), ("claim symbol", F.col("linked_symbols"))],
-    )
-    listed = _refs(mapping, paper, paper, [("mapping claim", F.map_keys("claim_to_decl"))]).unionByName(
-        _refs(manifests, paper, paper, [("manifest kernel", F.col("kernel_index"))])
-    )
-    listed = listed.join(judged.withColumnRenamed("paper_id", "group_id"), "group_id", "left_semi")
-    kernel_refs = _refs(kernels, everywhere, F.col("id"), [("kernel card", F.col("linked_theorem_cards"))])
-    corpus_wide = F.col("kind").isin("card dependency", "card kernel", "manifest kernel", "kernel card")
-    refs = union_all([card_refs, claim_refs, listed, kernel_refs]).withColumn(
-        "scope", F.when(corpus_wide, "").otherwise(F.col("group_id"))
-    )
-    targets = union_all(
+    paper, own, everywhere = F.col("paper_id"), F.col("id"), F.lit("")
+    scope = F.coalesce(paper, F.lit(""))
+    path = F.when(c.not_blank("lean_decl") & ~c.not_blank("file_path"), F.array(scope))
+    facts = union_all(
         [
-            _targets(claims, paper, "id", "card claim", "mapping claim"),
-            _targets(cards, everywhere, "id", "card dependency", "kernel card"),
-            _targets(kernels, everywhere, "id", "card kernel", "manifest kernel"),
-            _targets(assumptions, paper, "id", "claim assumption"),
-            _targets(symbols, paper, "id", "claim symbol"),
+            _facts(
+                claims, paper, own, [("claim", paper, own)],
+                [("claim assumption", "assumption", scope, F.col("linked_assumptions")), ("claim symbol", "symbol", scope, F.col("linked_symbols"))],
+            ),
+            _facts(
+                cards, paper, own, [("card", everywhere, own)],
+                [
+                    ("card claim", "claim", scope, F.array("claim_id")),
+                    ("card dependency", "card", everywhere, F.col("dependency_ids")),
+                    ("card kernel", "kernel", everywhere, F.col("executable_links")),
+                    ("card path", "named mapping", scope, path),
+                ],
+                judged=True,
+            ),
+            _facts(
+                mapping, paper, paper, [("named mapping", F.when(c.not_blank("namespace"), scope), scope)],
+                [("mapping claim", "claim", scope, F.map_keys("claim_to_decl"))], judged=True,
+            ),
+            _facts(manifests, paper, paper, [], [("manifest kernel", "kernel", everywhere, F.col("kernel_index"))], judged=True),
+            _facts(kernels, everywhere, own, [("kernel", everywhere, own)], [("kernel card", "card", everywhere, F.col("linked_theorem_cards"))]),
+            _facts(assumptions, paper, own, [("assumption", paper, own)]),
+            _facts(symbols, paper, own, [("symbol", paper, own)]),
         ]
     )
-    optional = ["card kernel", "manifest kernel", "claim assumption", "claim symbol"]
-    lost = linking.reference_orphans(refs, targets, optional)
-    named = mapping.where(c.not_blank("namespace")).select("paper_id").distinct()
-    pathless = cards.where(c.not_blank("lean_decl") & ~c.not_blank("file_path")).join(named, "paper_id", "left_semi")
-    name = "graph_integrity"
-    dangling = F.concat("kind", F.lit(" is missing: "), "ref")
-    return violations(lost, name, "group_id", "row_id", dangling).unionByName(
-        violations(pathless, name, "paper_id", "id", "card without file_path")
-    )
+    facts = durable(facts, "references")
+    with_claims = facts.where("target = 'claim' and kind is null").select("group_id", F.lit(True).alias("__claimed")).distinct()
+    facts = facts.join(with_claims, "group_id", "left").where("not judged or __claimed").drop("judged", "__claimed")
+    lost = linking.dangling(facts, ["kernel", "assumption", "symbol"], ["named mapping"])
+    message = F.when(F.col("kind") == "card path", F.lit("card without file_path")).otherwise(F.concat("kind", F.lit(" is missing: "), "ref"))
+    return violations(lost, "graph_integrity", "group_id", "row_id", message)
 
 
 def claim_value_policy(claims: DataFrame, threshold: float = 0.75) -> DataFrame:
@@ -371,14 +373,17 @@ def claim_value_policy(claims: DataFrame, threshold: float = 0.75) -> DataFrame:
 
 
 def coverage_integrity(manifests: DataFrame, claims: DataFrame, cards: DataFrame) -> DataFrame:
-    """Stored coverage counters must equal recomputed ones."""
+    """Stored coverage counters must equal recomputed ones, and a paper with counters must have claims."""
     names = ["claim_count", "mapped_claim_count", "machine_checked_count", "kernel_linked_count"]
     stored = manifests.where("coverage_metrics is not null").select("paper_id", "coverage_metrics.*")
     base = stored.select("paper_id").join(metrics.expected_coverage(claims, cards), "paper_id", "left").fillna(0, names)
     diff = linking.compare_recomputed(stored, base, ["paper_id"], names)
     show = lambda x: F.coalesce(F.col(x).cast("long").cast("string"), F.lit("null"))
     msg = F.concat(F.col("metric"), F.lit(" is "), show("stored"), F.lit(", expected "), show("expected"))
-    return violations(diff, "coverage_integrity", "paper_id", "paper_id", msg, gate="gate4")
+    claimless = stored.join(claims.select("paper_id"), "paper_id", "left_anti")
+    return violations(diff, "coverage_integrity", "paper_id", "paper_id", msg, gate="gate4").unionByName(
+        violations(claimless, "coverage_integrity", "paper_id", "paper_id", "manifest without claims", gate="gate4")
+    )
 
 
 def graph_bootstrap_warning(cards: DataFrame, claims: DataFrame) -> DataFrame:

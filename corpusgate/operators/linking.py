@@ -76,6 +76,43 @@ def reference_orphans(refs: DataFrame, targets: DataFrame, optional: Sequence[st
     return must.where(~F.col("kind").isin(list(optional)) | F.col("__stocked")).drop("__stocked")
 
 
+def key_states(facts: DataFrame) -> DataFrame:
+    """What is known of each key: ``(target, scope, ref, n_targets, n_refs)`` by one pre-aggregated shuffle.
+
+    ``facts`` holds ids and references of any number of tables as rows ``(target, scope, ref, kind,
+    group_id, row_id)``: ``target`` names the sort of id, ``kind`` the sort of reference and is null for
+    the id itself. A key that a third of all rows hold is one row a task before it is shuffled.
+    """
+    return facts.groupBy("target", "scope", "ref").agg(
+        F.count_if(F.col("kind").isNull()).alias("n_targets"), F.count("kind").alias("n_refs")
+    )
+
+
+def referring(facts: DataFrame, keys: DataFrame) -> DataFrame:
+    """The references of ``facts`` whose key is in ``keys``, which are distinct.
+
+    Few keys are broadcast by Spark's own measure at run time; beyond it the rows of a much used key are one
+    side of a semi join that adaptive execution splits.
+    """
+    return facts.where(F.col("kind").isNotNull()).join(keys, ["ref", "scope", "target"], "left_semi")
+
+
+def dangling(facts: DataFrame, optional: Sequence[str] = (), unwanted: Sequence[str] = ()) -> DataFrame:
+    """References whose key has no id, for many sorts of ids at once.
+
+    A sort in ``optional`` is not judged in a scope that has no id of it; of a sort in ``unwanted`` the
+    references are returned that do have one. ``facts`` is read twice, or three times: store it.
+    """
+    keys = key_states(facts.where(c.not_blank("ref"))).where("n_refs > 0")
+    wrong = (F.col("n_targets") == 0) != F.col("target").isin(*unwanted)
+    keys = keys.where(wrong)
+    if optional:
+        stocked = facts.where(F.col("kind").isNull() & F.col("target").isin(*optional) & c.not_blank("ref"))
+        stocked = stocked.select("target", "scope").distinct().withColumn("__stocked", F.lit(True))
+        keys = keys.join(stocked, ["target", "scope"], "left").where(~F.col("target").isin(*optional) | F.col("__stocked"))
+    return referring(facts, keys)
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count: str = "n") -> DataFrame:
     """Keys held by more than one row."""
     present = df.where(ordering._all_present(keys))

@@ -169,3 +169,12 @@ def test_span_constant_is_complete(spark):
 
     df = claims(spark, {"id": "1", "source_span": SPAN}, {"id": "2", "source_span": SPAN | {"source_file": ""}}, {"id": "3", "source_span": None})
     assert [bool(r[0]) for r in df.orderBy("pos").select(c.span_complete("source_span")).collect()] == [True, False, False]
+
+
+def test_graph_integrity_reads_each_table_once(spark):
+    frames = [claims(spark, {"id": "c"}), assumptions(spark), symbols(spark), mapping(spark, {"claim_to_decl": {}}), cards(spark), manifests(spark), kernels(spark)]
+    out = k.graph_integrity(*frames)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 6 and "LogicalRDD" not in plan  # the stored references only
+    assert messages(k.coverage_integrity(manifests(spark, {"paper_id": "p9", "coverage_metrics": {
+        "claim_count": 0, "mapped_claim_count": 0, "machine_checked_count": 0, "kernel_linked_count": 0}}), frames[0], frames[4])) == ["manifest without claims"]

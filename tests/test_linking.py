@@ -170,3 +170,16 @@ def test_hot_key_orphans(spark):
     parent = spark.createDataFrame([(f"k{j}",) for j in range(50)], "id string")
     want = child.where((F.col("k") == "hot") | (F.substring("k", 2, 9).try_cast("int") >= 50)).count()
     assert linking.orphans(child, parent, {"k": "id"}).count() == want
+
+
+def test_dangling_references_of_many_kinds(spark):
+    rows = [("a", "", "1", None, "p", "1"), ("a", "", "1", "uses a", "p", "x"), ("a", "", "2", "uses a", "p", "y"), ("a", "", " ", "uses a", "p", "y")]
+    rows += [("b", "p", "1", None, "p", "1"), ("b", "p", "1", "uses b", "p", "x"), ("b", "q", "1", "uses b", "q", "x"), ("b", "p", "5", "uses b", "p", "z")]
+    rows += [("n", "p", "p", None, "p", "p"), ("n", "p", "p", "not here", "p", "w"), ("n", "q", "q", "not here", "q", "v")]
+    rows += [("a", "", "hot", "uses a", "p", f"r{i}") for i in range(500)] + [("a", "", "fine", None, "p", "fine")] + [("a", "", "fine", "uses a", "p", f"r{i}") for i in range(500)]
+    facts = spark.createDataFrame(rows, "target string, scope string, ref string, kind string, group_id string, row_id string")
+    lost = found(linking.dangling(facts, ["b"], ["n"]).where("ref <> 'hot'"), "kind", "scope", "ref", "row_id")
+    assert lost == [("not here", "p", "p", "w"), ("uses a", "", "2", "y"), ("uses b", "p", "5", "z")]
+    assert linking.dangling(facts).where("ref = 'hot'").count() == 500
+    assert ("uses b", "q", "1", "x") in found(linking.dangling(facts), "kind", "scope", "ref", "row_id")
+    assert linking.dangling(facts.limit(0), ["b"], ["n"]).count() == 0
