@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusgate.bindings.base import Tables, query
 from corpusgate.operators import metrics, shapes
+from corpusgate.session import checkpoint_dir
 from corpusgate.sources import entities, export, intake
+from corpusgate.streaming import intake as streaming
 
 DOMAIN_OF_TYPE = """CASE p_type WHEN 'STANDARD' THEN 'physics' WHEN 'ECONOMY' THEN 'control'
   WHEN 'MEDIUM' THEN ' chemistry ' WHEN 'PROMO' THEN '' WHEN 'LARGE' THEN 'geology' ELSE 'mathematics' END"""
@@ -331,3 +335,48 @@ FROM (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1)
 def report_markdown(t: Tables) -> DataFrame:
     counts = t.orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
     return export.markdown_lines(counts, "Orders by status", "o_orderstatus", "n")
+
+
+def _stream(t: Tables, name: str) -> DataFrame:
+    # a pattern, as a stream takes a single file only by one
+    return t.spark.readStream.schema(getattr(t, name).schema).parquet(f"{t.folder}/{name}.parquet*")
+
+
+@query(
+    "streamed_latency_pairs",
+    "ST3",
+    """
+WITH e AS (SELECT user_id, ts, event_type = 'signup' AS s FROM events WHERE event_type IN ('signup', 'purchase')),
+g AS (SELECT *, count(*) FILTER (NOT s) OVER (PARTITION BY user_id ORDER BY ts, s DESC, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ends
+  FROM (SELECT event_id, user_id, ts, event_type = 'signup' AS s FROM events WHERE event_type IN ('signup', 'purchase'))),
+p AS (SELECT user_id, ends, min(ts) FILTER (s) AS started, min(ts) FILTER (NOT s) AS ended FROM g GROUP BY 1, 2),
+w AS (SELECT date_trunc('milliseconds', max(ts) - INTERVAL 1 HOUR) AS passed FROM e)
+SELECT user_id, epoch_us(started) AS started_us, epoch_us(ended) - epoch_us(started) AS us FROM p, w
+WHERE started IS NOT NULL AND ended IS NOT NULL AND ended < passed
+""",
+)
+def streamed_latency_pairs(t: Tables) -> DataFrame:
+    # The whole table as a stream, run until it is used up; pairs that end in the last hour are still open then.
+    events = _stream(t, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    pairs = streaming.latency_pairs(events, "user_id", "ts", "event_type", "signup", "purchase", "1 hour", "36500 days")
+    out = f"{checkpoint_dir(t.spark)}/corpusgate/streamed-{uuid.uuid4().hex}"
+    streaming.write_batches(pairs, streaming.table_sink(out), out.rsplit("/", 1)[1]).awaitTermination()
+    return streaming.written(t.spark, out).select(
+        "user_id", F.unix_micros("started").alias("started_us"), (F.unix_micros("ended") - F.unix_micros("started")).alias("us")
+    )
+
+
+@query(
+    "streamed_open_references",
+    "ST2",
+    """
+SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')
+""",
+)
+def streamed_open_references(t: Tables) -> DataFrame:
+    # Customers of one segment come after the orders; the last batch finds them, and orders of another segment stay open.
+    orders = _stream(t, "orders").select("o_orderkey", "o_custkey")
+    out, on = f"{checkpoint_dir(t.spark)}/corpusgate/ledger-{uuid.uuid4().hex}", {"o_custkey": "c_custkey"}
+    early = t.customer.where("c_mktsegment NOT IN ('BUILDING', 'MACHINERY')")
+    streaming.write_batches(orders, streaming.orphan_ledger(lambda: early, on, out), out.rsplit("/", 1)[1]).awaitTermination()
+    return streaming.settled_orphans(t.spark, out, t.customer.where("c_mktsegment <> 'BUILDING'"), on)
