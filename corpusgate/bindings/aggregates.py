@@ -288,35 +288,50 @@ def reused_parts_across_nations(t: Tables) -> DataFrame:
     "error_document_count",
     "A16",
     """
-SELECT count(*) FILTER (contains(lower(text), 'license') AND contains(lower(text), 'under')) AS by_words, (SELECT count(*) FROM labels WHERE toxic = 1) AS recorded FROM documents
+SELECT true AS from_files, (SELECT count(*) FROM labels WHERE toxic = 1) AS error_count
+UNION ALL SELECT false, count(*) FILTER (contains(lower(text), 'license') AND contains(lower(text), 'under')) FROM documents
 """,
 )
 def error_document_count(t: Tables) -> DataFrame:
-    low = F.lower("text")
-    words = t.documents.agg(F.count_if(F.contains(low, F.lit("license")) & F.contains(low, F.lit("under"))).alias("by_words"))
-    return words.withColumn("recorded", t.labels.where("toxic = 1").agg(F.count(N)).scalar())
+    # Once with records at hand, once with none, where the documents that name both words stand in.
+    errors, words = t.labels.where("toxic = 1"), ("license", "under")
+    kept = metrics.error_count(errors, t.labels, t.documents, words=words)
+    return kept.unionByName(metrics.error_count(errors.where("false"), t.labels.where("false"), t.documents, words=words))
 
 
 @query(
     "conditional_counts",
     "A17",
     """
-SELECT count(*) FILTER (l_returnflag <> 'N') AS claims_with_links, count(*) FILTER (l_linestatus = 'O') AS kernels_with_cards,
-  count(*) FILTER (l_returnflag = 'R' AND l_linestatus = 'F') AS disputed_with_targets FROM lineitem
+SELECT count(*) FILTER (l_returnflag <> 'N') AS claims_with_linked_assumptions,
+  count(*) FILTER (l_returnflag = 'R' AND l_linestatus = 'F') AS disputed_claims_with_formal_targets,
+  (SELECT count(*) FROM part WHERE p_size <= 25) AS kernels_with_linked_cards FROM lineitem
 """,
 )
 def conditional_counts(t: Tables) -> DataFrame:
-    rows = t.lineitem.selectExpr(
-        "CASE l_returnflag WHEN 'N' THEN array() ELSE array(l_partkey) END AS links",
-        "CASE l_linestatus WHEN 'O' THEN array(l_suppkey) END AS cards",
+    claims = t.lineitem.selectExpr(
+        "CASE l_returnflag WHEN 'N' THEN array() ELSE array(l_partkey) END AS linked_assumptions",
         "CASE l_returnflag WHEN 'R' THEN 'disputed' ELSE 'mapped' END AS status",
-        "CASE l_linestatus WHEN 'F' THEN array('t') ELSE array() END AS targets",
-    )
-    return rows.agg(
-        F.count_if(c.has_items("links")).alias("claims_with_links"),
-        F.count_if(c.has_items("cards")).alias("kernels_with_cards"),
-        F.count_if((F.col("status") == "disputed") & c.has_items("targets")).alias("disputed_with_targets"),
+        "CASE l_linestatus WHEN 'F' THEN array('t') ELSE array() END AS linked_formal_targets",
     )
+    kernels = t.part.selectExpr("CASE WHEN p_size <= 25 THEN array(p_name) END AS linked_theorem_cards")
+    return metrics.research_counts(claims, kernels)
+
+
+@query(
+    "ordered_bundle_checksum",
+    "A30",
+    """
+WITH d AS (SELECT sha256(concat(l_orderkey, chr(1), l_linenumber, chr(1), l_partkey)) AS d,
+  row_number() OVER (ORDER BY l_orderkey, l_linenumber, sha256(concat(l_orderkey, chr(1), l_linenumber, chr(1), l_partkey))) - 1 AS pos FROM lineitem),
+a AS (SELECT pos // 1000 AS pos, sha256(string_agg(d, ',' ORDER BY pos)) AS d FROM d GROUP BY 1),
+b AS (SELECT pos // 1000 AS pos, sha256(string_agg(d, ',' ORDER BY pos)) AS d FROM a GROUP BY 1)
+SELECT (SELECT count(*) FROM lineitem) AS n, d AS checksum FROM b
+""",
+)
+def ordered_bundle_checksum(t: Tables) -> DataFrame:
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", agg.row_digest("l_orderkey", "l_linenumber", "l_partkey").alias("d"))
+    return agg.ordered_checksum(rows, ["l_orderkey", "l_linenumber"], "d")
 
 
 REVIEW = """CASE o_orderpriority WHEN '1-URGENT' THEN 'blocked' WHEN '2-HIGH' THEN 'accepted' WHEN '3-MEDIUM' THEN 'unreviewed' WHEN '4-NOT SPECIFIED' THEN NULL ELSE 'odd' END"""

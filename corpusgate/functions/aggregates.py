@@ -1,4 +1,4 @@
-"""Aggregates that stay mergeable: exact medians and order-free fingerprints."""
+"""Aggregates that stay mergeable: exact medians, order-free fingerprints and checksums of ordered lists."""
 
 from __future__ import annotations
 
@@ -6,9 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from corpusgate.functions import columns as c
 from corpusgate.operators import ordering
+from corpusgate.session import durable
 
 #: Rows of a median's bracket that are ranked in one range of values.
 CHUNK_ROWS = 100_000
@@ -33,6 +35,34 @@ def row_digest(*cols: str | Column) -> Column:
     return F.sha2(F.concat_ws("\u0001", *parts), 256)
 
 
+def ordered_checksum(df: DataFrame, order: Sequence[str], digest: str, fan: int = 1_000) -> DataFrame:
+    """One row ``(n, checksum)``: a tree of SHA-256 over the rows' digests in order, which a swap of two rows changes.
+
+    Rows are numbered across ranges of the order (each range on its own, with the sum of the ranges before
+    it); every ``fan`` neighbours give one digest of the next level, of their digests joined by commas, until
+    one is left. No task holds more than a range or ``fan`` digests, and the result does not depend on how the
+    rows are cut. ``order`` must tell all rows apart; rows that agree in it go by their digest. An empty table
+    has the digest of an empty text.
+    """
+    rows = df.select(*order, F.coalesce(F.col(digest).cast("string"), F.lit("")).alias("__d"))
+    ranged = rows.repartitionByRange(*order, "__d").withColumn("__range", F.spark_partition_id())
+    ranged = durable(ranged, "ordered")  # the ranges are cut from a sample: they are stored, so they stay
+    sizes = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("__range", F.coalesce(before, F.lit(0)).alias("__start"))  # one row a range
+    place = F.row_number().over(Window.partitionBy("__range").orderBy(*order, "__d")) - 1
+    level = ranged.withColumn("__at", place).join(F.broadcast(starts), "__range").select((F.col("__at") + F.col("__start")).alias("at"), F.col("__d").alias("d"))
+    n = ranged.count()
+    left = n
+    while True:
+        parts = level.groupBy(F.floor(F.col("at") / fan).alias("at")).agg(F.sort_array(F.collect_list(F.struct("at", "d"))).alias("s"))
+        level = parts.select("at", F.sha2(F.array_join(F.transform("s", lambda x: x["d"]), ","), 256).alias("d"))
+        left = -(-left // fan)
+        if left <= 1:
+            break
+    return level.agg(F.lit(n).cast("long").alias("n"), F.coalesce(F.max("d"), F.sha2(F.lit(""), 256)).alias("checksum"))
+
+
 def exact_median(df: DataFrame, group: Sequence[str], value: str, accuracy: int = 20_000) -> DataFrame:
     """Exact median, minimum, maximum and count of ``value`` per group.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -280,6 +281,32 @@ def dimension_visibility(symbols: DataFrame, kind: str, unit: str, dimension: st
     return symbols.groupBy(group).agg(*aggs) if group else symbols.agg(*aggs)
 
 
+def error_count(
+    errors: DataFrame, files: DataFrame, documents: DataFrame, text: str = "text", words: Sequence[str] = ("literature", "error")
+) -> DataFrame:
+    """One row ``(error_count, from_files)``: recorded errors, or documents with all the words where nobody records any.
+
+    ``errors`` has a row per recorded error, ``files`` one per paper that has a record, be it an empty one.
+    """
+    low = F.lower(F.col(text))
+    named = reduce(Column.__and__, [F.contains(low, F.lit(w)) for w in words])
+    count = lambda df: df.agg(F.count(F.lit(1))).scalar()
+    noted = documents.agg(F.count_if(named).alias("__named"))
+    return noted.withColumn("from_files", count(files) > 0).select(
+        F.when(F.col("from_files"), count(errors)).otherwise(F.col("__named")).alias("error_count"), "from_files"
+    )
+
+
+def research_counts(claims: DataFrame, kernels: DataFrame) -> DataFrame:
+    """One row: claims with assumptions, disputed claims that still have formal targets, kernels with cards."""
+    found = claims.agg(
+        F.count_if(c.has_items("linked_assumptions")).alias("claims_with_linked_assumptions"),
+        F.count_if((F.col("status") == "disputed") & c.has_items("linked_formal_targets")).alias("disputed_claims_with_formal_targets"),
+    )
+    linked = kernels.agg(F.count_if(c.has_items("linked_theorem_cards"))).scalar()
+    return found.withColumn("kernels_with_linked_cards", linked)
+
+
 def policy_report(
     duplicates: DataFrame,
     name: str,

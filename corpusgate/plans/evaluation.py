@@ -10,7 +10,6 @@ import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -180,7 +179,7 @@ def run_scorers(x: EvalInputs, scorers: Mapping[str, Scorer] | None = None) -> t
         start = time.perf_counter()
         try:
             rows += [(r["task"], r["metric"], r["value"], None) for r in scorer(x).collect()]
-        except PySparkException as e:  # while planning or running
+        except Exception as e:  # noqa: BLE001  whatever a scorer raises is a row of the result
             rows.append((task, "error", None, str(e)))
         times.append((task, round(time.perf_counter() - start, 2)))
     actuals = constant_rows(spark, rows, task="string", metric="string", value="double", note="string")
@@ -188,13 +187,12 @@ def run_scorers(x: EvalInputs, scorers: Mapping[str, Scorer] | None = None) -> t
 
 
 def release_delta(corpus: Corpus) -> DataFrame:
-    """Papers, claims, listed declarations, tested kernels and one checksum over all manifests."""
-    bundle = corpus.manifests.agg(
-        F.sum(c.count_items("declaration_index")).alias("declarations"),
-        agg.multiset_fingerprint(agg.row_digest("paper_id", F.to_json(F.struct("*")))).alias("bundle_sha256"),
-    )
+    """Papers, claims, listed declarations, tested kernels and one checksum over all manifests in order of their paper."""
+    digests = corpus.manifests.select("paper_id", agg.row_digest("paper_id", F.to_json(F.struct("*"))).alias("d"))
+    bundle = corpus.manifests.agg(F.sum(c.count_items("declaration_index")).alias("declarations"))
     return (
-        bundle.withColumn("papers", _count(corpus.papers))
+        bundle.withColumn("bundle_sha256", agg.ordered_checksum(digests, ["paper_id"], "d").select("checksum").scalar())
+        .withColumn("papers", _count(corpus.papers))
         .withColumn("claims", _count(corpus.claims))
         .withColumn("kernels", _count(corpus.kernels))
         .withColumn("tested_kernels", _count(corpus.kernels.where("test_status = 'tested'")))

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusgate.operators import metrics as m
-from tests.helpers import cards, claims, found, symbols
+from tests.helpers import cards, claims, found, kernels, symbols
 
 
 def test_degree_metrics_by_hand(spark):
@@ -124,3 +124,40 @@ def test_file_filter_and_dependencies(spark):
 def test_presence_counts_include_zero(spark):
     files = spark.createDataFrame([("a/p/llm_x.json",), ("b/llm_x.json",), ("c/other.json",)], "path string")
     assert found(m.presence_counts(files, "path", ["llm_x", "none"]), "kind", "files") == [("llm_x", 2), ("none", 0)]
+
+
+def test_checksum_of_an_ordered_list(spark):
+    import hashlib
+
+    from corpusgate.functions import aggregates as agg
+
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+
+    def plain(digests, fan):
+        while True:
+            digests = [sha(",".join(digests[i : i + fan])) for i in range(0, len(digests), fan)]
+            if len(digests) <= 1:
+                return digests[0] if digests else sha("")
+
+    rows = [(f"p{i:03d}", sha(str(i))) for i in range(57)]
+    df = lambda rs: spark.createDataFrame(rs, "path string, d string")
+    for fan in (3, 10, 1000):
+        for parts in (1, 7):
+            got = agg.ordered_checksum(df(rows[::-1]).repartition(parts), ["path"], "d", fan).first()
+            assert tuple(got) == (57, plain([d for _, d in rows], fan))
+    swapped = [("p000", rows[1][1]), ("p001", rows[0][1]), *rows[2:]]
+    assert agg.ordered_checksum(df(swapped), ["path"], "d", 10).first()[1] != plain([d for _, d in rows], 10)
+    assert tuple(agg.ordered_checksum(df(rows[:0]), ["path"], "d").first()) == (0, sha(""))
+    assert tuple(agg.ordered_checksum(df([("a", None), (None, "x")]), ["path"], "d").first()) == (2, plain(["x", ""], 1000))
+
+
+def test_error_and_research_counts(spark):
+    docs = spark.createDataFrame([("An Error in the literature",), ("an error",), (None,)], "text string")
+    errors = spark.createDataFrame([("p1", "x"), ("p1", "y")], "paper_id string, description string")
+    files = spark.createDataFrame([("p1",), ("p2",)], "paper_id string")
+    assert tuple(m.error_count(errors, files, docs).first()) == (2, True)
+    assert tuple(m.error_count(errors.limit(0), files, docs).first()) == (0, True)
+    assert tuple(m.error_count(errors.limit(0), files.limit(0), docs).first()) == (1, False)
+    cl = claims(spark, {"id": "a", "linked_assumptions": ["x"], "status": "disputed", "linked_formal_targets": ["t"]}, {"id": "b", "linked_assumptions": [], "status": "disputed"}, {"id": "c", "linked_formal_targets": ["t"]})
+    got = m.research_counts(cl, kernels(spark, {"id": "k", "linked_theorem_cards": ["x"]}, {"id": "l"})).first().asDict()
+    assert got == {"claims_with_linked_assumptions": 1, "disputed_claims_with_formal_targets": 1, "kernels_with_linked_cards": 1}
