@@ -1,7 +1,7 @@
 """Line dedup by a deletion-neighbourhood join, in DataFrame operations only.
 
 Lines at an edit distance of at most one character are duplicates, and only the earliest (by document id,
-then line) stays. Two lines at distance one are equal before and after one of ``SEGMENTS`` parts, so a
+then the text's 64-bit hash, then line) stays. Two lines at distance one are equal before and after one of ``SEGMENTS`` parts, so a
 line first meets others on hashes of all but one part; that loses no pair and leaves few lines. These
 emit their deletion variants within the part: keyed with the place for substitutions, without it against
 whole lines for insertions. Equal variants meet, the earliest line of a key is the candidate, its edit
@@ -9,14 +9,17 @@ distance is verified, and the later line is dropped.
 
 Defined cases: lines without a word are never dropped and match nothing; lines shorter than ``near_chars``
 are dropped only as exact copies; null and empty texts have one line without a word; a null id comes
-first; rows that repeat an id are numbered as one document each and compared like others; an empty table
-gives an empty result; other columns are not read, and `cleaned` keeps them.
+first; rows that share an id, or have none, are documents of their own, told apart by the hash of their
+texts and compared like others; of rows that repeat id and text one stays as it is judged and the others,
+numbered from 1 in ``copy``, lose all lines with a word; an empty table gives an empty
+result; other columns, whatever their names, are not read, and `cleaned` keeps them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from corpusgate.session import durable
 
@@ -28,9 +31,15 @@ BROADCAST_IDS = 1_000_000
 WORD = r"[^\x20\x09-\x0D]"
 
 
-def lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, line_no, line): every line of every text, from 0."""
-    return docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("line_no", "line"))
+def documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, doc, text): with the hash that tells the texts under one id apart."""
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    return docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("doc"), text.alias("text"))
+
+
+def lines(texts: DataFrame) -> DataFrame:
+    """(id, doc, line_no, line): every line of every text, from 0."""
+    return texts.select("id", "doc", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
 def digest(column: Column) -> Column:
@@ -87,13 +96,17 @@ def variants(line: Column, size: Column, role: Column, part: Column) -> Column:
 
 
 def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near_chars: int = NEAR_CHARS) -> DataFrame:
-    """(id, line_no, kept_id, kept_line_no, exact) of every line to drop, and the earlier line that stands for it."""
-    worded = lines(docs, id_col, text_col).where(F.col("line").rlike(WORD))
-    sized = worded.select("id", "line_no", "line", F.length("line").alias("size"), digest(F.col("line")).alias("digest"))
-    hashed = sized.select("id", "line_no", "digest", "size", part_hashes(F.col("line"), F.col("size")).alias("hashes"))
+    """Every line to drop, and the earlier line that stands for it.
+
+    (id, doc, copy, line_no, kept_id, kept_doc, kept_line_no, exact); ``copy`` is 0 but for repeated rows.
+    """
+    texts = documents(docs, id_col, text_col)
+    worded = lines(texts).where(F.col("line").rlike(WORD))
+    sized = worded.select("id", "doc", "line_no", "line", F.length("line").alias("size"), digest(F.col("line")).alias("digest"))
+    hashed = sized.select("id", "doc", "line_no", "digest", "size", part_hashes(F.col("line"), F.col("size")).alias("hashes"))
     near = F.when(F.col("size") >= near_chars, roles(F.col("hashes"), F.col("size")))
-    at = F.struct("id", "line_no")
-    found = durable(hashed.select("id", "line_no", "digest", near.alias("roles")), "lines")
+    at = F.struct("id", "doc", "line_no")
+    found = durable(hashed.select("id", "doc", "line_no", "digest", near.alias("roles")), "lines")
     # one row for each distinct line: its earliest place, and a number
     distinct = found.groupBy("digest").agg(F.min(at).alias("at"), F.first("roles").alias("roles"))
     distinct = durable(distinct.withColumn("cls", F.monotonically_increasing_id()), "distinct-lines")
@@ -106,9 +119,10 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # the text of those lines again
     ids = durable(asked.select(F.col("at.id").alias("want")).distinct(), "meeting-ids")
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    again = docs.join(wanted, docs[f"`{id_col}`"].eqNullSafe(F.col("want")), "left_semi")
-    text = lines(again, id_col, text_col).select("id", "line_no", "line", digest(F.col("line")).alias("own"))
-    told = text.join(asked, [text["own"] == asked["digest"], text["id"].eqNullSafe(asked["at.id"]), text["line_no"] == asked["at.line_no"]])
+    again = texts.join(wanted, texts["id"].eqNullSafe(F.col("want")), "left_semi")
+    text = lines(again).select("id", "doc", "line_no", "line", digest(F.col("line")).alias("own"))
+    place = [text["id"].eqNullSafe(asked["at.id"]), text["doc"] == asked["at.doc"], text["line_no"] == asked["at.line_no"]]
+    told = text.join(asked, [text["own"] == asked["digest"], *place])
     told = durable(told.select("cls", "at", "line", "slots").dropDuplicates(["cls"]), "meeting-texts")
     sent = told.select("cls", "at", F.length("line").alias("size"), "line", F.explode("slots").alias("slot"))
     role, part = (F.col("slot") >= SEGMENTS).cast("int"), F.col("slot") % SEGMENTS
@@ -135,33 +149,53 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .agg(F.min("other_at").alias("near_at"))
     )
     verdict = distinct.select("cls", "digest", "at").join(close, "cls", "left").drop("cls")
-    judged = found.select("id", "line_no", "digest").join(verdict, "digest")
-    first = (F.col("at.id").eqNullSafe(F.col("id"))) & (F.col("at.line_no") == F.col("line_no"))
-    kept = F.when(F.col("near_at").isNotNull(), F.col("near_at")).otherwise(F.when(~first, F.col("at")))
-    return judged.withColumn("kept", kept).where("kept is not null").select(
-        F.col("id").alias(id_col), "line_no", F.col("kept.id").alias("kept_id"), F.col("kept.line_no").alias("kept_line_no"),
-        F.col("near_at").isNull().alias("exact"),
+    judged = found.select("id", "doc", "line_no", "digest").join(verdict, "digest")
+    first = F.col("at.id").eqNullSafe(F.col("id")) & (F.col("at.doc") == F.col("doc")) & (F.col("at.line_no") == F.col("line_no"))
+    judged = judged.withColumn("stays", first & F.col("near_at").isNull())
+    # rows that repeat id and text: each of their lines stands at one place, as often as there are rows
+    repeated = texts.groupBy(F.col("id").alias("rid"), F.col("doc").alias("rdoc")).agg(F.count("*").alias("rows")).where("rows > 1")
+    judged = judged.join(repeated, judged["id"].eqNullSafe(F.col("rid")) & (judged["doc"] == F.col("rdoc")), "left")
+    drops = judged.where("not stays or rows is not null").groupBy("id", "doc", "line_no", "at", "near_at", "stays")
+    drops = drops.agg(F.count("*").alias("rows")).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)).alias("copy"))
+    drops = drops.where("not stays or copy > 0")
+    kept = F.coalesce("near_at", "at")
+    return drops.select(
+        F.col("id").alias(id_col), "doc", "copy", "line_no", kept["id"].alias("kept_id"), kept["doc"].alias("kept_doc"),
+        kept["line_no"].alias("kept_line_no"), F.col("near_at").isNull().alias("exact"),
     )
 
 
 def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near_chars: int = NEAR_CHARS) -> DataFrame:
     """The documents with all their columns, without the dropped lines."""
-    gone = duplicates(docs, id_col, text_col, near_chars).groupBy(F.col(id_col).alias("__id")).agg(F.collect_set("line_no").alias("__gone"))
-    parts = F.split(F.col(f"`{text_col}`"), "\n")
-    numbered = F.transform(parts, lambda x, i: F.struct(x.alias("x"), i.alias("i")))
-    left = F.filter(numbered, lambda p: ~F.coalesce(F.array_contains("__gone", p["i"]), F.lit(False)))
-    text = F.array_join(F.transform(left, lambda p: p["x"]), "\n")
-    joined = docs.join(gone, docs[f"`{id_col}`"].eqNullSafe(F.col("__id")), "left")
-    return joined.select(*[(text.alias(c) if c == text_col else F.col(f"`{c}`")) for c in docs.columns])
+    gone = duplicates(docs, id_col, text_col, near_chars)
+    first = gone.where("copy = 0").groupBy(F.col(id_col).alias("gid"), F.col("doc").alias("gdoc")).agg(F.collect_set("line_no").alias("gone"))
+    again = gone.where("copy > 0").select(F.col(id_col).alias("rid"), F.col("doc").alias("rdoc")).distinct().withColumn("repeats", F.lit(True))
+    text = F.col(f"row.`{text_col}`")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.select("row", F.col(f"row.`{id_col}`").alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("doc"))
+    rows = rows.join(first, rows["id"].eqNullSafe(F.col("gid")) & (F.col("doc") == F.col("gdoc")), "left")
+    rows = rows.join(again, rows["id"].eqNullSafe(F.col("rid")) & (F.col("doc") == F.col("rdoc")), "left")
+    # among repeated rows the first by their other values stays; no other row enters a window
+    order = F.row_number().over(Window.partitionBy("id", "doc").orderBy(F.xxhash64(F.to_json("row"))))
+    once = rows.where("repeats is null").withColumn("copy", F.lit(0))
+    rows = once.unionByName(rows.where("repeats").withColumn("copy", order - 1))
+    numbered = F.transform(F.split(text, "\n"), lambda x, i: F.struct(x.alias("x"), i.alias("i")))
+    drop = lambda p: F.when(F.col("copy") > 0, p["x"].rlike(WORD)).otherwise(F.coalesce(F.array_contains("gone", p["i"]), F.lit(False)))
+    left = F.array_join(F.transform(F.filter(numbered, lambda p: ~drop(p)), lambda p: p["x"]), "\n")
+    return rows.select(*[(left if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def per_document(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near_chars: int = NEAR_CHARS) -> DataFrame:
-    """(id, n_lines, n_dropped, n_near, first_dropped) of every document id."""
-    every = lines(docs, id_col, text_col).groupBy("id").agg(F.count("*").alias("n_lines"))
+    """(id, n_lines, n_dropped, n_near, first_dropped) of every row."""
+    split = F.split("text", "\n")
+    sizes = documents(docs, id_col, text_col).select("id", "doc", F.size(split).cast("long").alias("n_lines"))
+    every = sizes.groupBy("id", "doc").agg(F.max("n_lines").alias("n_lines"), F.count("*").alias("rows"))
+    every = every.select("id", "doc", "n_lines", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)).alias("copy"))
     gone = duplicates(docs, id_col, text_col, near_chars)
-    counts = gone.groupBy(F.col(id_col).alias("gid")).agg(
+    counts = gone.groupBy(F.col(id_col).alias("gid"), F.col("doc").alias("gdoc"), F.col("copy").alias("gcopy")).agg(
         F.count("*").alias("dropped"), F.sum((~F.col("exact")).cast("long")).alias("near"), F.min("line_no").cast("long").alias("first_dropped")
     )
-    return every.join(counts, every["id"].eqNullSafe(counts["gid"]), "left").select(
+    same = [every["id"].eqNullSafe(counts["gid"]), every["doc"] == counts["gdoc"], every["copy"] == counts["gcopy"]]
+    return every.join(counts, same, "left").select(
         F.col("id").alias(id_col), "n_lines", F.coalesce("dropped", F.lit(0)).alias("n_dropped"), F.coalesce("near", F.lit(0)).alias("n_near"), "first_dropped"
     )

@@ -110,9 +110,10 @@ def judged(
 
 def allowed(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str = "allow") -> DataFrame:
     """The pages whose verdict is allow, with all their columns: urls are judged once and joined back."""
-    marked = pages.select(F.col(url_col).alias("u")).distinct()
-    good = judged(marked.withColumn("i", F.col("u")), rules, "i", "u", default).where("verdict = 'allow'").select(F.col("i").alias("__good"))
-    return pages.join(good, pages[url_col].eqNullSafe(F.col("__good")), "left_semi")
+    marked = pages.select(F.col(f"`{url_col}`").alias("u")).distinct()
+    good = judged(marked.withColumn("i", F.col("u")), rules, "i", "u", default).where("verdict = 'allow'").select(F.col("i").alias("good"))
+    rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("page"))
+    return rows.join(good, F.col(f"page.`{url_col}`").eqNullSafe(F.col("good")), "left_semi").select("page.*")
 
 
 ORACLE = r"""

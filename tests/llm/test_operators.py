@@ -220,11 +220,35 @@ def test_line_dedup(spark, odd):
     for docs in (spark.createDataFrame(rows, "doc_id long, text string"), given(spark)):
         got = {(r["doc_id"], r["line_no"]): r["exact"] for r in line_dedup.duplicates(docs).collect()}
         assert got == brute.duplicate_lines(plain(docs))
+        counts = {(r["doc_id"], r["n_dropped"], r["n_near"]) for r in line_dedup.per_document(docs).collect()}
+        assert counts == {(i, sum(k[0] == i for k in got), sum(k[0] == i and not x for k, x in got.items())) for i, _ in plain(docs)}
     left = line_dedup.cleaned(odd)
     assert left.columns == odd.columns and left.count() == odd.count()
     assert line_dedup.per_document(odd.limit(0)).count() == 0
 
 
+def test_line_dedup_goes_by_row(spark):
+    """Repeated and null ids, repeated rows, and columns named like the operator's own."""
+    own = ["want", "gone", "row", "doc", "copy", "gid", "gdoc", "rid", "rdoc", "repeats", "id", "line_no", "__id", "__gone"]
+    line = "a line of some thirty letters x"
+    make = lambda *rows: spark.createDataFrame([(i, t, *["q"] * len(own)) for i, t in rows], "doc_id long, text string, " + ", ".join(f"{c} string" for c in own))
+    texts_of = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=repr)
+    for one, two in ((1, 2), (None, 2), (None, None), (2, 2)):
+        docs = make((one, line), (two, f"{line}\nonly here, in this text"), (two, "only one keeps this line\nanother line of its own"))
+        left = line_dedup.cleaned(docs)
+        kept = [t for _, t in texts_of(left)]
+        assert left.columns == docs.columns and "only one keeps this line\nanother line of its own" in kept
+        assert sum(t.count(line) for t in kept) == 1 and sum("only here" in t for t in kept) == 1
+    docs = make((7, line), (7, line), (7, line), (8, "other words in this one"), (None, line + "y"))
+    assert [t for _, t in texts_of(line_dedup.cleaned(docs))].count("") == 3
+    rows = sorted((tuple(r) for r in line_dedup.per_document(docs).collect()), key=repr)
+    assert rows == sorted([(7, 1, 1, 1, 0), (7, 1, 1, 1, 0), (7, 1, 1, 1, 0), (8, 1, 0, 0, None), (None, 1, 0, 0, None)], key=repr)
+    dropped = line_dedup.duplicates(docs).where("copy = 0").collect()
+    assert [(r["doc_id"], r["kept_id"], r["exact"]) for r in dropped] == [(7, None, False)]
+    clash = spark.createDataFrame([(1, "http://x.net/es/1", "a"), (2, "http://x.org/", "b")], "page_id long, url string, good string")
+    assert [r["good"] for r in url_filters.allowed(clash.withColumn("__good", F.lit(1)).withColumn("page", F.lit(2)), url_filters.rule_table(spark)).collect()] == ["b"]
+
+
 def test_mixing(spark, odd):
     rng = random.Random(2)
     rows = [(i, " ".join(["w"] * rng.randint(0, 60)), "big" if i % 10 < 6 else f"s{i % 10}") for i in range(3000)]
