@@ -123,9 +123,9 @@ class Counter:
 
     def merge(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         keys, every, train = (np.concatenate(x) for x in zip(*self.parts)) if self.parts else (np.empty(0, t) for t in (np.uint64, float, float))
-        codes, distinct = pd.factorize(keys)
+        codes, distinct = pd.factorize(keys.view(np.int64))
         sums = [np.bincount(codes, x, len(distinct)) for x in (every, train)]
-        self.parts, self.size = [(distinct, *sums)], len(distinct)
+        self.parts, self.size = [(distinct.view(np.uint64), *sums)], len(distinct)
         return self.parts[0]
 
 
@@ -159,9 +159,10 @@ def counted(docs: DataFrame) -> DataFrame:
             words = [t.translate(texts.LOWER).split() for t in texts.raw(part)]
             trains = np.array([bool(x) for x in part.column("train").to_pylist()])
             for doc, keys in read(words):
-                codes, distinct = pd.factorize(keys)
                 own = trains[doc]
-                found.add(distinct, np.bincount(codes, minlength=len(distinct)), np.bincount(codes, own, len(distinct)))
+                for some, learned in ((keys[own], 1), (keys[~own], 0)):  # sorting is faster here than hashing
+                    distinct, n = np.unique(some, return_counts=True)
+                    found.add(distinct, n, n * learned)
             if found.size > HELD_GRAMS:
                 yield from emitted()
             off, codes, distinct = texts.numbered([[*w, END] for w in words])
@@ -410,7 +411,8 @@ def scored(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
             count = len(own)
             total, size, far = np.zeros(count), np.zeros(count, np.int64), []
             for doc, got in read(own):
-                codes, distinct = pd.factorize(got)
+                codes, distinct = pd.factorize(got.view(np.int64))
+                distinct = distinct.view(np.uint64)
                 at = np.minimum(np.searchsorted(keys, distinct), max(len(keys) - 1, 0))
                 here = keys[at] == distinct if len(keys) else np.zeros(len(distinct), bool)
                 value = np.where(here, values[at], 0.0) if len(keys) else np.zeros(len(distinct))
