@@ -56,11 +56,22 @@ SEEN, NODES, LOGIT = 8, 33, 12.0
 GATES = (len(CONTEXTS) + 1) * SEEN
 END = b"\n"
 LEAD = 5
+#: Bytes whose grams are made at once.
+GRAM_BLOCK = 1 << 15
 
 
 def grams(data: bytes) -> np.ndarray:
     """Gram of each byte from place `LEAD` on: four bytes before it, the hash of the long context, and the byte."""
-    b = np.frombuffer(data, np.uint8).astype(np.uint64)
+    b = np.frombuffer(data, np.uint8)
+    out = np.empty(max(len(b) - LEAD, 0), np.uint64)
+    for at in range(LEAD, len(b), GRAM_BLOCK):  # blocks that stay in the processor's caches
+        own = _grams(b[max(at - LEAD - LETTERS, 0) : at + GRAM_BLOCK].astype(np.uint64))
+        stop = min(at + GRAM_BLOCK, len(b))
+        out[at - LEAD : stop - LEAD] = own[len(own) - (stop - at) :]
+    return out
+
+
+def _grams(b: np.ndarray) -> np.ndarray:
     n = len(b)
     apart = (b == 32) | (b == 10)
     start = np.maximum.accumulate(np.where(apart, np.arange(1, n + 1), 0))[LEAD - 1 : -1]  # of the word that the byte goes on
@@ -92,7 +103,7 @@ def read(words: list[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     def joined() -> tuple[np.ndarray, np.ndarray]:
         got = grams(b"".join(x for _, x in held))
         lengths = np.array([len(x) for _, x in held], np.int64)
-        docs = np.repeat([k for k, _ in held], lengths)[LEAD:]
+        docs = np.repeat(np.array([k for k, _ in held], np.int32), lengths)[LEAD:]
         body = np.ones(len(docs), bool)
         for at in np.cumsum(lengths)[:-1] - LEAD:  # what leads up to a piece is not predicted
             body[at : at + LEAD] = False
@@ -362,6 +373,17 @@ def modelled(found: DataFrame) -> DataFrame:
     return out
 
 
+def looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Value of each wanted key (0 where it is not among the ascending ``keys``), and whether it is."""
+    value, here = np.zeros(len(wanted)), np.zeros(len(wanted), bool)
+    if len(keys):
+        order = np.argsort(wanted)  # searched in order, neighbours are near in memory
+        at = np.minimum(np.searchsorted(keys, wanted[order]), len(keys) - 1)
+        here[order] = keys[at] == wanted[order]
+        value[order] = np.where(here[order], values[at], 0.0)
+    return value, here
+
+
 def most_frequent(table: DataFrame, most: int) -> DataFrame:
     """Rows with the largest ``n``, at most ``most``: those above a count, an eighth of a power of two apart."""
     bucket = F.floor(F.log2("n") * 8)
@@ -413,13 +435,11 @@ def scored(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
             for doc, got in read(own):
                 codes, distinct = pd.factorize(got.view(np.int64))
                 distinct = distinct.view(np.uint64)
-                at = np.minimum(np.searchsorted(keys, distinct), max(len(keys) - 1, 0))
-                here = keys[at] == distinct if len(keys) else np.zeros(len(distinct), bool)
-                value = np.where(here, values[at], 0.0) if len(keys) else np.zeros(len(distinct))
+                value, here = looked_up(keys, values, distinct)
                 total += np.bincount(doc, value[codes], count)
                 size += np.bincount(doc, minlength=count)
                 rest = np.flatnonzero(~here[codes])
-                pairs, n = np.unique(doc[rest] * len(distinct) + codes[rest], return_counts=True)
+                pairs, n = np.unique(doc[rest].astype(np.int64) * len(distinct) + codes[rest], return_counts=True)
                 far.append((pairs // len(distinct), distinct[pairs % len(distinct)], n))
             doc, gram, n = (np.concatenate(x) for x in zip(*far))
             off, codes, distinct = texts.numbered([[*w, END] for w in own])

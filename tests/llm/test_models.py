@@ -214,6 +214,7 @@ def test_long_texts_in_pieces(monkeypatch):
     words = [[f"w{i * i % 97}".encode() for i in range(500)], [b"x"], [f"v{i}".encode() for i in range(7)]]
     whole = [(int(d), int(g)) for ds, gs in context_mixing.read(words) for d, g in zip(ds, gs)]
     monkeypatch.setattr(context_mixing, "PIECE_WORDS", 7)
+    monkeypatch.setattr(context_mixing, "GRAM_BLOCK", 13)
     monkeypatch.setattr(texts, "SLICE_BYTES", 100)
     assert [(int(d), int(g)) for ds, gs in context_mixing.read(words) for d, g in zip(ds, gs)] == whole
 
