@@ -24,8 +24,10 @@ other columns, whatever their names, are not read; null ids are returned as they
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -119,7 +121,7 @@ def read(words: list[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield joined()
 
 
-class Counter:
+class Grams:
     """Distinct grams with two counts, merged when many are pending."""
 
     def __init__(self) -> None:
@@ -149,7 +151,7 @@ def counted(docs: DataFrame) -> DataFrame:
     """(gram, word, n, train) of all grams (word null) and words (gram 0) of (text, train), stored."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, seen = Counter(), {}
+        found, seen = Grams(), (Counter(), Counter())  # words of held-out texts, and of training texts
 
         def emitted(chunk: int = 1 << 16) -> Iterator[pa.RecordBatch]:
             keys, every, train = found.merge()
@@ -159,12 +161,13 @@ def counted(docs: DataFrame) -> DataFrame:
             found.parts, found.size = [], 0
 
         def spelled(chunk: int = 1 << 16) -> Iterator[pa.RecordBatch]:
-            names = list(seen)
-            for at in range(0, len(names), chunk):
-                own = names[at : at + chunk]
-                n = np.array([seen[w] for w in own], np.int64)
-                yield _counted_rows(np.zeros(len(own), np.int64), own, n[:, 0], n[:, 1])
-            seen.clear()
+            for learned, counts in enumerate(seen):
+                names = list(counts)
+                for at in range(0, len(names), chunk):
+                    own = names[at : at + chunk]
+                    n = np.fromiter(map(counts.__getitem__, own), np.int64, len(own))
+                    yield _counted_rows(np.zeros(len(own), np.int64), own, n, n * learned)
+                counts.clear()
 
         for part in texts.slices(batches):
             words = [t.translate(texts.LOWER).split() for t in texts.raw(part)]
@@ -176,13 +179,10 @@ def counted(docs: DataFrame) -> DataFrame:
                     found.add(distinct, n, n * learned)
             if found.size > HELD_GRAMS:
                 yield from emitted()
-            off, codes, distinct = texts.numbered([[*w, END] for w in words])
-            n = np.bincount(codes, minlength=len(distinct)).tolist()
-            t = np.bincount(codes, trains[texts.owner(off)], len(distinct)).astype(np.int64).tolist()
-            for word, a, b in zip(distinct.tolist(), n, t):
-                old = seen.get(word)
-                seen[word] = (old[0] + a, old[1] + b) if old else (a, b)
-            if len(seen) > HELD_WORDS:
+            for own, learned in zip(words, trains.tolist()):
+                seen[learned].update(own)
+                seen[learned][END] += 1
+            if sum(map(len, seen)) > HELD_WORDS:
                 yield from spelled()
         yield from emitted()
         yield from spelled()
@@ -414,8 +414,8 @@ def scored(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     keys, values = top["gram"].to_numpy().view(np.uint64), top["score"].to_numpy()
     order = np.argsort(keys)
     usual = most_frequent(words, FREQUENT_WORDS).toArrow()  # at most FREQUENT_WORDS rows
-    known_words = dict(zip(usual["word"].to_pylist(), usual["train"].to_pylist()))
-    shared = spark.sparkContext.broadcast((keys[order], values[order], known_words))
+    places = dict(zip(usual["word"].to_pylist(), range(len(usual))))
+    shared = spark.sparkContext.broadcast((keys[order], values[order], places, usual["train"].to_numpy().astype(np.int64)))
 
     schema = (
         f"id {rows.schema['id'].dataType.simpleString()}, n_tokens long, n_known long, base double, score double, n_bytes long,"
@@ -427,7 +427,9 @@ def scored(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
         return pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(count + 1)), pa.int32()), fields)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, values, usual = shared.value
+        keys, values, places, counts = shared.value
+        counts = np.append(counts, 0)  # a word that is not held stands at -1
+        logs, known = np.append(np.log10(counts[:-1] + 0.5), 0.0), (counts > 0).astype(np.int64)
         for part in texts.slices(batches):
             own = [t.translate(texts.LOWER).split() for t in texts.raw(part)]
             count = len(own)
@@ -442,19 +444,22 @@ def scored(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
                 pairs, n = np.unique(doc[rest].astype(np.int64) * len(distinct) + codes[rest], return_counts=True)
                 far.append((pairs // len(distinct), distinct[pairs % len(distinct)], n))
             doc, gram, n = (np.concatenate(x) for x in zip(*far))
-            off, codes, distinct = texts.numbered([[*w, END] for w in own])
-            c = np.array([usual.get(w, -1) for w in distinct.tolist()], np.int64)
-            base = texts.summed(np.where(c >= 0, np.log10(np.maximum(c, 0) + 0.5), 0.0)[codes], off)
-            hit = texts.summed((c > 0)[codes].astype(np.int64), off)
-            rest = np.flatnonzero((c < 0)[codes])
-            pairs, m = np.unique(texts.owner(off)[rest] * len(distinct) + codes[rest], return_counts=True)
-            spelled = pa.array(distinct[pairs % len(distinct)].tolist(), pa.binary())
+            off = texts.offsets(len(w) + 1 for w in own)
+            spoken = [w for ws in own for w in (*ws, END)]
+            place = np.fromiter(map(places.get, spoken, repeat(-1)), np.int64, len(spoken))
+            base, hit = texts.summed(logs[place], off), texts.summed(known[place], off)
+            rest = np.flatnonzero(place < 0).tolist()
+            owner = texts.owner(off)
+            seldom = sorted(Counter((int(owner[i]), spoken[i]) for i in rest).items())
+            spelled = pa.array([w for (_, w), _ in seldom], pa.binary())
+            m = np.array([n for _, n in seldom], np.int64)
+            speaker = np.array([k for (k, _), _ in seldom], np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("id"),
                     *(pa.array(x) for x in (np.diff(off), hit, base, total, size)),
                     nested(count, doc, "gram", pa.array(gram.view(np.int64)), n),
-                    nested(count, pairs // len(distinct), "word", spelled, m),
+                    nested(count, speaker, "word", spelled, m),
                 ],
                 names=["id", "n_tokens", "n_known", "base", "score", "n_bytes", "rare", "words"],
             )
