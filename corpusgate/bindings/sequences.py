@@ -728,6 +728,22 @@ def applied_replacements(t: Tables) -> DataFrame:
     return out.select("doc_id", F.col("rejected").cast("int").alias("rejected"), c.sha256("new_text").alias("new_sha"))
 
 
+@query(
+    "patched_documents",
+    "T9 V16",
+    f"""
+WITH d AS (SELECT doc_id, text, lang, {PATCH} AS find, concat('[', lang, ']') AS tag, toxic FROM documents LEFT JOIN labels USING (doc_id)),
+s AS (SELECT *, find <> '' AND (length(text) - length(replace(text, find, ''))) // length(find) = 1 AS ok1, replace(text, find, tag) AS t1 FROM d),
+u AS (SELECT *, CASE WHEN lang = 'de' THEN ok1 ELSE ok1 AND (length(t1) - length(replace(t1, tag, ''))) // length(tag) = 1 END AS ok2, CASE WHEN lang = 'de' THEN t1 ELSE replace(t1, tag, '') END AS t2 FROM s),
+v AS (SELECT *, CASE toxic WHEN 1 THEN false WHEN 0 THEN ok2 AND length(t2) - length(replace(t2, 'e', '')) = 1 ELSE ok2 END AS ok3, CASE toxic WHEN 0 THEN replace(t2, 'e', 'E') ELSE t2 END AS t3 FROM u)
+SELECT doc_id, (NOT coalesce(ok3, false))::INT AS rejected, (coalesce(ok3, false) AND t3 <> text)::INT AS modified, sha256(CASE WHEN ok3 THEN t3 ELSE text END) AS new_sha FROM v
+""",
+)
+def patched_documents(t: Tables) -> DataFrame:
+    out = documents.apply_replacements(t.documents, "doc_id", "text", _patches(t))
+    return out.select("doc_id", F.col("rejected").cast("int").alias("rejected"), F.col("modified").cast("int").alias("modified"), c.sha256("new_text").alias("new_sha"))
+
+
 @query(
     "replacement_preview",
     "T9 P25 F",

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from corpusgate.functions import columns as c
 from corpusgate.operators import metrics, similarity
@@ -305,26 +310,59 @@ def apply_replacements(docs: DataFrame, doc_id: str, text: str, patches: DataFra
     """Documents changed by their patches, applied in ``seq`` order.
 
     A patch whose text does not occur exactly once when its turn comes makes the whole document
-    ``rejected`` and leaves it unchanged.
-    """
-    plan = patches.groupBy(doc_id).agg(
-        F.sort_array(F.collect_list(F.struct("seq", "find", "replace"))).alias("__plan")
-    )
-    start = F.struct(F.col(text).alias("t"), F.lit(True).alias("ok"))
+    ``rejected`` and leaves it unchanged; so do an empty or null find text and a null document text. A null
+    replacement is the empty text, equal ``seq`` go by find and replacement text.
 
-    def step(acc: Column, p: Column) -> Column:
-        good = acc["ok"] & (c.literal_count(acc["t"], p["find"]) == 1)
-        return F.struct(
-            F.when(good, F.replace(acc["t"], p["find"], p["replace"])).otherwise(acc["t"]).alias("t"),
-            F.coalesce(good, F.lit(False)).alias("ok"),
-        )
-
-    done = docs.join(plan, doc_id).withColumn("__r", F.aggregate("__plan", start, step))
-    ok = F.col("__r.ok")
-    new_text = F.when(ok, F.col("__r.t")).otherwise(F.col(text))
-    return done.select(
-        doc_id, new_text.alias("new_text"), (~ok).alias("rejected"), (ok & (F.col("__r.t") != F.col(text))).alias("modified")
+    Patches stay rows: a document and its patches meet in one shuffle, sorted, and pass as a stream, of which
+    only the current text is held. The patches of one document are a sequence by definition, so one task runs
+    them. Rows that repeat a document id each get all its patches. Documents without patches, patches without
+    a document and null ids give no row.
+    """
+    kind = docs.schema[doc_id].dataType
+    wanted = docs.join(patches.select(doc_id), doc_id, "left_semi")
+    null = lambda t: F.lit(None).cast(t)
+    seq = patches.schema["seq"].dataType
+    texts = wanted.select(F.col(doc_id).alias("doc"), F.lit(0).alias("step"), F.col(text).alias("body"), null(seq).alias("seq"), null("string").alias("put"))
+    steps = patches.where(F.col(doc_id).isNotNull()).select(
+        F.col(doc_id).cast(kind).alias("doc"), F.lit(1).alias("step"), F.col("find").alias("body"), "seq", F.col("replace").alias("put")
     )
+    stream = texts.unionByName(steps).repartition("doc").sortWithinPartitions("doc", "step", "seq", "body", "put")
+    schema = T.StructType([T.StructField("doc", kind), T.StructField("new_text", T.StringType()), T.StructField("rejected", T.BooleanType()), T.StructField("modified", T.BooleanType())])
+    return stream.select("doc", "step", "body", "put").mapInArrow(_patched(schema), schema).withColumnRenamed("doc", doc_id)
+
+
+def _patched(schema: T.StructType) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function over sorted (doc, step, body, put) rows: texts first, then their patches."""
+
+    def once(text: str, find: str | None, put: str) -> tuple[str, bool]:
+        at = text.find(find) if find else -1
+        if at < 0 or text.find(find, at + len(find)) >= 0:
+            return text, False
+        return text[:at] + put + text[at + len(find) :], True
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, []  # held: [text now, text at first, still good]
+        target = to_arrow_schema(schema)
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for now, first, good in held:
+                row = {"doc": current, "new_text": now if good else first, "rejected": not good, "modified": good and now != first}
+                yield pa.RecordBatch.from_pylist([row], schema=target)
+
+        for batch in batches:
+            for doc, step, body, put in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if doc != current:
+                    yield from flush()
+                    current, held = doc, []
+                if step == 0:
+                    held.append([body, body, body is not None])
+                    continue
+                for state in held:
+                    if state[2]:
+                        state[0], state[2] = once(state[0], body, put or "")
+        yield from flush()
+
+    return run
 
 
 def replacement_preview(patches: DataFrame, width: int = 200) -> DataFrame:

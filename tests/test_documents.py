@@ -101,6 +101,26 @@ def test_replacements_need_one_match(spark):
     ]
 
 
+def test_replacements_of_odd_rows(spark):
+    texts = spark.createDataFrame([(1, "ab"), (2, None), (3, ""), (4, "aaa"), (4, "xaa"), (None, "ab"), (5, "ab"), (6, "a")], "k long, text string")
+    patches = spark.createDataFrame(
+        [(1, 1, "b", "c"), (1, 1, "a", None), (2, 0, "a", "b"), (3, 0, "a", "b"), (4, 0, "aa", "b"), (None, 0, "a", "z"), (5, 0, None, "z"), (9, 0, "a", "z"), (5, 1, "a", "z")],
+        "k long, seq int, find string, replace string",
+    )
+    got = found(d.apply_replacements(texts, "k", "text", patches).fillna("null"), "k", "new_text", "rejected", "modified")
+    assert got == [(1, "c", False, True), (2, "null", True, False), (3, "", True, False), (4, "ba", False, True), (4, "xb", False, True), (5, "ab", True, False)]
+    assert d.apply_replacements(texts, "k", "text", patches.limit(0)).count() == 0
+
+
+def test_a_document_takes_any_number_of_replacements(spark):
+    n = 20_000
+    patches = spark.range(n).selectExpr("'d' AS doc", "id AS seq", "concat('<', id, '>') AS find", "concat('(', id, ')') AS replace")
+    texts = spark.createDataFrame([("d", "".join(f"<{i}>" for i in range(n))), ("e", "<1>")], "doc string, text string")
+    out = d.apply_replacements(texts, "doc", "text", patches.repartition(7)).collect()
+    assert [r["doc"] for r in out] == ["d"] and not out[0]["rejected"]
+    assert out[0]["new_text"] == "".join(f"({i})" for i in range(n))
+
+
 def test_keywords_are_whole_words(spark):
     df = spark.createDataFrame([("a", "sorry, sorry_x xsorry sorry"), ("b", "none"), ("c", "axiom")], "f string, t string")
     assert found(d.keyword_counts(df, "f", "t", ["axiom", "sorry"]), "f", "axiom", "sorry") == [("a", 0, 2), ("c", 1, 0)]
