@@ -530,14 +530,14 @@ def snapshot_quality(t: Tables) -> DataFrame:
     "gate_report",
     "V15 U5",
     """
-WITH f AS (SELECT 'reviewer_lifecycle' AS check_id, concat('c', o_custkey) AS g, concat('o', o_orderkey) AS r FROM orders
+WITH f AS (SELECT 'reviewer_lifecycle' AS check_id, concat('c', o_custkey) AS g, o_orderkey AS place, concat('o', o_orderkey) AS r FROM orders
     WHERE (o_orderstatus = 'O' AND o_orderpriority = '1-URGENT') OR (o_orderstatus = 'P' AND o_totalprice <= 250000)
-  UNION ALL SELECT 'extraction_run_required', o_custkey::VARCHAR, o_custkey::VARCHAR FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT user_id FROM events))
-  UNION ALL SELECT 'normalization_integrity', concat('o', l_orderkey), concat('l', l_linenumber) FROM (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY ALL HAVING count(*) > 1)),
+  UNION ALL SELECT 'extraction_run_required', o_custkey::VARCHAR, 0, o_custkey::VARCHAR FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT user_id FROM events))
+  UNION ALL SELECT 'normalization_integrity', concat('o', l_orderkey), 0, concat('l', l_linenumber) FROM (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY ALL HAVING count(*) > 1)),
 o AS (SELECT * FROM (VALUES (0, 'json_schemas_and_kernels', 'error'), (1, 'normalization_integrity', 'error'), (2, 'provenance_integrity', 'error'), (3, 'extraction_run_required', 'error'),
   (4, 'graph_integrity', 'error'), (5, 'claim_value_policy', 'error'), (6, 'reviewer_lifecycle', 'error'), (7, 'theorem_card_reviewer', 'error'), (8, 'coverage_integrity', 'error'),
   (9, 'snapshot_quality', 'warn'), (10, 'dependency_graph_bootstrap', 'warn'), (11, 'dependency_graph_quality', 'warn'), (12, 'suggestion_sidecars', 'warn'), (13, 'missing_identifier_hint', 'hint')) v(step, check_id, kind))
-SELECT step, check_id, CASE WHEN count(g) = 0 THEN 'ok' ELSE 'error' END AS status, count(g) AS findings, min((g, r))[1] AS group_id, min((g, r))[2] AS row_id
+SELECT step, check_id, CASE WHEN count(g) = 0 THEN 'ok' ELSE 'error' END AS status, count(g) AS findings, min((g, place, r))[1] AS group_id, min((g, place, r))[3] AS row_id
 FROM o LEFT JOIN f USING (check_id) GROUP BY ALL
 """,
 )

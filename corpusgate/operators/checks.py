@@ -1,6 +1,6 @@
 """Declarative checks. Each returns violation rows instead of stopping at the first one.
 
-Columns: ``gate, check_id, severity, group_id, row_id, message``.
+Columns: ``gate, check_id, severity, group_id, row_id, message, at``.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from corpusgate.operators import linking, metrics, similarity
 from corpusgate.schemas import Rule
 from corpusgate.session import constant_rows, durable
 
-VIOLATION = ["gate", "check_id", "severity", "group_id", "row_id", "message"]
+VIOLATION = ["gate", "check_id", "severity", "group_id", "row_id", "message", "at"]
 
 # The checks in the order they are judged.
 GATE_ORDER = [
@@ -41,7 +41,11 @@ def violations(
     rows: DataFrame, check_id: str, group: Column | str, row: Column | str, message: Column | str,
     gate: str = "gate2", severity: str = "error",
 ) -> DataFrame:
-    """Failing rows in the common violation shape."""
+    """Failing rows in the common violation shape.
+
+    ``at`` is the list position of the row in its group where ``rows`` carries one as ``pos``, else null.
+    """
+    at = F.col("pos").cast("long") if listed_at(rows) else F.lit(None).cast("long")
     as_col = lambda x: F.col(x) if isinstance(x, str) else x
     return rows.select(
         F.lit(gate).alias("gate"),
@@ -50,9 +54,15 @@ def violations(
         F.coalesce(as_col(group).cast("string"), F.lit("")).alias("group_id"),
         F.coalesce(as_col(row).cast("string"), F.lit("?")).alias("row_id"),
         (F.lit(message) if isinstance(message, str) else message).alias("message"),
+        at.alias("at"),
     )
 
 
+def listed_at(df: DataFrame) -> list[str]:
+    """The column of the list position, if there is one: ``pos`` of a whole number type."""
+    return [x for x, kind in df.dtypes if x == "pos" and kind in ("tinyint", "smallint", "int", "bigint")]
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -108,7 +118,7 @@ def conformance(
 
 
 def conformance_violations(entity: str, df: DataFrame, rules: Sequence[Rule], group: str, row: str, severity: str = "error", check_id: str = "json_schemas_and_kernels", **kw) -> DataFrame:
-    keep = list(dict.fromkeys([group, row]))
+    keep = [*dict.fromkeys([group, row]), *listed_at(df)]
     rows = conformance(df, rules, keep, **kw)
     return violations(
         rows, check_id, group, row, F.concat(F.lit(f"{entity}."), "field", F.lit(" breaks "), "rule"), severity=severity
@@ -196,7 +206,7 @@ def kernel_contract(kernels: DataFrame) -> DataFrame:
         F.array(*[F.when(cond, text) for text, cond in tests.items()]), lambda x: x.isNotNull()
     )
     tested = kernels.where((c.strip("test_status") == "tested") & c.has_items("linked_theorem_cards"))
-    rows = tested.select("id", F.explode(issues).alias("issue"))
+    rows = tested.select("id", *listed_at(kernels), F.explode(issues).alias("issue"))
     return violations(rows, "json_schemas_and_kernels", F.lit(""), "id", F.col("issue"))
 
 
@@ -250,8 +260,9 @@ def _facts(df: DataFrame, group: Column, row: Column, targets: Sequence[tuple],
     entries = [F.array(*[fact(None, sort, scope, ref) for sort, scope, ref in targets])] if targets else []
     many = lambda kind, sort, scope, ids: F.transform(F.coalesce(ids, empty), lambda r: fact(kind, sort, scope, r))
     entries += [many(*ref) for ref in refs]
+    at = F.col("pos").cast("long") if listed_at(df) else F.lit(None).cast("long")
     return df.select(
-        F.coalesce(text(group), F.lit("")).alias("group_id"), text(row).alias("row_id"), F.lit(judged).alias("judged"),
+        F.coalesce(text(group), F.lit("")).alias("group_id"), text(row).alias("row_id"), at.alias("pos"), F.lit(judged).alias("judged"),
         F.inline(F.concat(*entries)),
     )
 
@@ -299,7 +310,7 @@ def provenance(papers: DataFrame, claims: DataFrame, manifests: DataFrame, mappi
     declared = mapping.select(
         "paper_id", "namespace", F.explode(F.map_values("claim_to_decl")).alias("short")
     ).select("paper_id", c.qualified("namespace", "short").alias("decl"))
-    listed = manifests.join(known, "paper_id", "left_semi").withColumn("decl", F.explode("declaration_index"))
+    listed = manifests.join(known, "paper_id", "left_semi").select("paper_id", F.posexplode("declaration_index").alias("pos", "decl"))
     unmapped = listed.join(declared, ["paper_id", "decl"], "left_anti")
     args = {"gate": "gate3"}
     return union_all(
@@ -367,7 +378,7 @@ def graph_integrity(
 def claim_value_policy(claims: DataFrame, threshold: float = 0.75) -> DataFrame:
     """Near-duplicate claims whose kinds are both stated and neither a reuse kind."""
     keyed = similarity.claim_signature(claims).withColumn("row_key", F.struct("paper_id", "pos", "id"))
-    found = similarity.unreused_near_duplicates(keyed, "row_key", threshold=threshold)
+    found = similarity.unreused_near_duplicates(keyed, "row_key", threshold=threshold).withColumn("pos", F.col("row_key.pos"))
     msg = F.concat(F.lit("near-duplicate of "), F.col("first_partner.id"), F.lit(" and others, "), F.col("partners").cast("string"), F.lit(" in all"))
     return violations(found, "claim_value_policy", F.col("row_key.paper_id"), F.col("row_key.id"), msg)
 
@@ -408,11 +419,14 @@ def duplicate_violations(df: DataFrame, keys: Sequence[str], check_id: str, grou
 
 
 def gate_report(found: DataFrame, order: Sequence[tuple[str, str, str]] = tuple(GATE_ORDER)) -> DataFrame:
-    """One row per check: status ok, warn or error, number of findings and the first of them."""
+    """One row per check: status ok, warn or error, number of findings and the first of them.
+
+    First is by group, then by list position, findings without one last, then by row id and message.
+    """
     spark = found.sparkSession
     steps = [(i, g, k, s) for i, (g, k, s) in enumerate(order)]
     plan = constant_rows(spark, steps, step="int", gate="string", check_id="string", kind="string")
-    first = F.min(F.struct("group_id", "row_id", "message"))
+    first = F.min_by(F.struct("group_id", "row_id", "message"), F.struct("group_id", F.col("at").isNull(), "at", "row_id", "message"))
     per = found.groupBy("check_id").agg(F.count(F.lit(1)).alias("findings"), first.alias("first"))
     status = F.when(F.col("findings") == 0, "ok").when(F.col("kind") == "error", "error").otherwise("warn")
     return (

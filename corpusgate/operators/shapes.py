@@ -154,7 +154,7 @@ def shape_violations(
     entity: str, rows: DataFrame, group: str, row: str, raw: str = "raw", severity: str = "error", check_id: str = "json_schemas_and_kernels"
 ) -> DataFrame:
     """Findings of :func:`shape_findings` on an entity's stored objects in the common violation shape."""
-    keep = list(dict.fromkeys([group, row]))
+    keep = [*dict.fromkeys([group, row]), *checks.listed_at(rows)]
     found = shape_findings(rows, keep, raw, entity_paths(entity))
     name = F.when(F.col("place") == "", F.lit(entity)).otherwise(F.concat(F.lit(f"{entity}."), "place"))
     message = F.concat(name, F.lit(" breaks "), "rule", F.coalesce(F.concat(F.lit(": "), "found"), F.lit("")))

@@ -10,23 +10,34 @@ from corpusgate.operators import checks
 
 
 def read_intake_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Intake rows from a CSV with header; the header must name ``paper_id``."""
+    """Intake rows from CSV files with a header, which must name ``paper_id``.
+
+    ``place`` tells where a row stands, whatever is shuffled later: its file, block and number there.
+    """
     df = spark.read.csv(path, header=True, multiLine=True, escape='"')
     if "paper_id" not in df.columns:
         raise ValueError("the intake CSV needs a paper_id column")
     for col in ("domain", "title", "year"):
         if col not in df.columns:
             df = df.withColumn(col, F.lit(None).cast("string"))
-    return df.select("paper_id", "domain", "title", "year")
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")
+    )
+    return df.select("paper_id", "domain", "title", "year", place.alias("place"))
+
+
+def _placed(rows: DataFrame) -> list[str]:
+    return [x for x in rows.columns if x == "place"]
 
 
 def normalized_intake(rows: DataFrame) -> DataFrame:
-    """Trimmed rows with a paper id; an absent domain becomes ``other``."""
+    """Trimmed rows with a paper id; an absent domain becomes ``other``. A ``place`` is kept."""
     return rows.where(c.not_blank("paper_id")).select(
         c.strip("paper_id").alias("paper_id"),
         c.strip(c.filled("domain", "other")).alias("domain"),
         c.blank_to_null("title").alias("title"),
         c.blank_to_null("year").try_cast("int").alias("year"),
+        *_placed(rows),
     )
 
 
@@ -62,17 +73,19 @@ def skeletons(ids: DataFrame) -> DataFrame:
 def admit(catalog: DataFrame, rows: DataFrame) -> DataFrame:
     """Catalog ``(id, title, year, domain)`` after intake: new papers added, given values overwrite.
 
-    The last row of a repeated id wins field by field, as if rows were applied one after another.
+    Rows that :func:`intake_violations` names are not admitted. The last row of a repeated id wins field by
+    field, as if rows were applied one after another in the order of ``place``, any sortable column.
+    Rows without it have no order; of their values the largest wins.
     """
-    good = normalized_intake(rows).where(c.in_values("domain", c.PAPER_DOMAINS))
-    order = F.monotonically_increasing_id()
+    text = c.blank_to_null("year")
+    usable = rows.where(text.isNull() | text.try_cast("int").isNotNull())
+    good = normalized_intake(usable).where(c.in_values("domain", c.PAPER_DOMAINS))
+    place = F.col("place") if _placed(rows) else F.lit(0)
+    last = lambda x: F.max_by(x, F.when(F.col(x).isNotNull(), F.struct(place.alias("place"), F.col(x).alias("value"))))
     latest = (
-        good.withColumn("__o", order)
-        .groupBy("paper_id")
+        good.groupBy("paper_id")
         .agg(
-            F.max_by("domain", "__o").alias("__domain"),
-            F.max_by("title", F.when(F.col("title").isNotNull(), F.col("__o"))).alias("__title"),
-            F.max_by("year", F.when(F.col("year").isNotNull(), F.col("__o"))).alias("__year"),
+            last("domain").alias("__domain"), last("title").alias("__title"), last("year").alias("__year")
         )
         .withColumnRenamed("paper_id", "id")
     )

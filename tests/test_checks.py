@@ -151,6 +151,14 @@ def test_publication_end_to_end(spark):
     assert first != publish(small_corpus(spark, informal_text="changed"), "N")["build_hash"].first()["build_hash"]
 
 
+def test_first_finding_is_first_in_the_list(spark):
+    cl = claims(spark, {"id": "c2", "status": "odd"}, {"id": "c10", "status": "odd"}, {"id": "c1"}, {"id": None, "status": "odd"})
+    linked = claims(spark, {"id": "b", "linked_symbols": ["x"]}, {"id": "a", "linked_symbols": ["x"]}).withColumn("paper_id", F.lit("p0"))
+    bad = k.union_all([k.lifecycle(cl), k.normalization_integrity(linked, assumptions(spark), symbols(spark))]).repartition(3)
+    first = {r["check_id"]: (r["findings"], r["row_id"]) for r in k.gate_report(bad).where("findings > 0").collect()}
+    assert first == {"reviewer_lifecycle": (3, "c2"), "normalization_integrity": (2, "b")}
+
+
 def test_all_gates_pass_then_fail(spark):
     corpus = small_corpus(spark)
     corpus.cards = publish(corpus, "N")["theorem_cards"]

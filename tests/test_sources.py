@@ -79,6 +79,17 @@ def test_intake_csv(spark, root):
         intake.read_intake_csv(spark, str(root / "bad.csv"))
 
 
+def test_intake_order_outlives_a_shuffle(spark, root):
+    folder = root / "many"
+    folder.mkdir()
+    (folder / "b.csv").write_text("paper_id,domain,title,year\np1,control,Last,\np2,physics,,abc\n")
+    (folder / "a.csv").write_text("paper_id,domain,title,year\n" + "".join(f"p1,physics,t{i},{2000 + i}\n" for i in range(9)) + "p2,physics,Kept,2000\n")
+    rows = intake.read_intake_csv(spark, str(folder)).repartition(5, "title")
+    known = spark.createDataFrame([], "id string, title string, year int, domain string")
+    assert found(intake.admit(known, rows), "id", "title", "year", "domain") == [("p1", "Last", 2008, "control"), ("p2", "Kept", 2000, "physics")]
+    assert found(intake.intake_violations(rows), "row_id", "message") == [("p2", "invalid year abc")]
+
+
 def test_skeletons_conform(spark):
     made = intake.skeletons(spark.createDataFrame([("new-1",)], "paper_id string"))
     for col, kind in (("ingestion_status", "string"), ("tags", "array<string>")):
