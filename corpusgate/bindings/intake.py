@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusgate.bindings.base import Tables, query
 from corpusgate.operators import metrics, shapes
+from corpusgate.plans import publication
 from corpusgate.session import checkpoint_dir
 from corpusgate.sources import entities, export, intake
 from corpusgate.streaming import intake as streaming
@@ -303,6 +304,33 @@ def export_totals(t: Tables) -> DataFrame:
     return metrics.entity_totals(claims=t.orders, cards=t.lineitem, papers=t.customer, symbols=t.part, texts=t.documents)
 
 
+@query(
+    "published_version",
+    "S10 S12",
+    """
+SELECT concat('c', c_custkey) AS paper_id, coalesce(n, 0) AS claims, coalesce(s, 0) AS cards,
+  CASE WHEN c_acctbal < 0 THEN '2020-01-01T00:00:00Z' ELSE '2024-05-01T00:00:00Z' END AS first_artifact_at
+FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) a ON a.o_custkey = c_custkey
+LEFT JOIN (SELECT o_custkey, count(*) AS s FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1) b ON b.o_custkey = c_custkey
+""",
+)
+def published_version(t: Tables) -> DataFrame:
+    path = f"{checkpoint_dir(t.spark)}/corpusgate/published-{uuid.uuid4().hex}"
+    papers = t.customer.selectExpr(
+        "concat('c', c_custkey) AS paper_id", "CASE WHEN c_acctbal < 0 THEN '2020-01-01T00:00:00Z' ELSE '' END AS first_artifact_at"
+    )
+    claims = t.orders.selectExpr("concat('c', o_custkey) AS paper_id", "o_orderkey AS id", "o_orderstatus AS status")
+    cards = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr("concat('c', o_custkey) AS paper_id", "l_linenumber AS id")
+    export.commit_version({"papers": papers, "claims": claims.where("status = 'F'"), "cards": cards}, path)
+    held = export.read_version(t.spark, path)
+    again = publication.first_artifacts(held["papers"], F.lit("2024-05-01T00:00:00Z"))
+    export.commit_version({"papers": again, "claims": claims, "cards": held["cards"]}, path)
+    now = export.read_version(t.spark, path)
+    count = lambda name: now[name].groupBy("paper_id").agg(F.count(F.lit(1)).alias(name))
+    out = now["papers"].join(count("claims"), "paper_id", "left").join(count("cards"), "paper_id", "left")
+    return out.fillna(0, ["claims", "cards"]).select("paper_id", "claims", "cards", "first_artifact_at")
+
+
 @query(
     "salvage_json",
     "S13 F",

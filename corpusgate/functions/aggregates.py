@@ -21,12 +21,13 @@ def multiset_fingerprint(row_digest: Column) -> Column:
 
     Sums commute, so partial aggregation applies and a group is never sorted or collected. The
     result changes when any row changes, appears, vanishes or is repeated, and not with row order.
+    Null digests count for nothing.
     """
     sums = [
         F.sum(F.conv(F.substring(row_digest, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)")).cast("string")
         for i in range(4)
     ]
-    return F.sha2(F.concat_ws(":", F.count(F.lit(1)).cast("string"), *sums), 256)
+    return F.sha2(F.concat_ws(":", F.count(row_digest).cast("string"), *sums), 256)
 
 
 def row_digest(*cols: str | Column) -> Column:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,47 @@ def export_tables(tables: Mapping[str, DataFrame], path: str, mode: str = "overw
     marker.write.mode(mode).parquet(f"{path}/export_version")
 
 
+def commit_version(tables: Mapping[str, DataFrame], path: str) -> str:
+    """Publish all tables as one version; returns its id.
+
+    Every run writes a folder of its own under ``versions``. Only when all tables are there is the version
+    named, by one file that Spark's committer moves into ``commits``. A run that ends earlier leaves
+    readers on the version before, and no run overwrites another's files. Runs that overlap both get a
+    version; the one that names its last is current, equal times go by id.
+    """
+    version = uuid.uuid4().hex
+    export_tables(tables, f"{path}/versions/{version}", mode="error")
+    spark = next(iter(tables.values())).sparkSession
+    names = F.array_sort(F.array(*[F.lit(x) for x in tables]))
+    # One row of one partition: one file, which is there as a whole or not at all.
+    spark.range(0, 1, 1, 1).select(F.lit(version).alias("version"), F.current_timestamp().alias("committed_at"), names.alias("tables")).write.mode(
+        "append"
+    ).parquet(f"{path}/commits")
+    return version
+
+
+def versions(spark: SparkSession, path: str) -> DataFrame:
+    """Named versions ``(version, committed_at, tables)``; none where nothing was published yet."""
+    schema = "version string, committed_at timestamp, tables array<string>"
+    try:
+        return spark.read.schema(schema).parquet(f"{path}/commits")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def read_version(spark: SparkSession, path: str, version: str | None = None) -> dict[str, DataFrame]:
+    """The tables of one version, by default the current one. All are of the same run, also while others publish."""
+    known = versions(spark, path)
+    row = (known if version is None else known.where(F.col("version") == version)).agg(
+        F.max_by(F.struct("version", "tables"), F.struct("committed_at", "version")).alias("last")
+    ).first()["last"]
+    if row is None:
+        raise ValueError(f"no version {version or ''} under {path}".replace("  ", " "))
+    return {name: spark.read.parquet(f"{path}/versions/{row['version']}/{name}") for name in row["tables"]}
+
+
 def publish_group(df: DataFrame, path: str, group: str = "paper_id") -> None:
     """Replace only the partitions of the groups present in ``df``."""
     (

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from corpusgate import schemas
 from corpusgate.operators import checks as k
 from corpusgate.plans.gates import run_gates
-from corpusgate.plans.publication import Corpus, publish
+from corpusgate.plans.publication import Corpus, build_fingerprint, first_artifacts, publish
 from tests.helpers import SPAN, assumptions, cards, claims, found, kernels, manifests, mapping, messages, papers, rows, symbols
 
 
@@ -151,6 +151,26 @@ def test_publication_end_to_end(spark):
     assert first != publish(small_corpus(spark, informal_text="changed"), "N")["build_hash"].first()["build_hash"]
 
 
+def test_build_hash_marks_what_is_missing(spark):
+    corpus = small_corpus(spark)
+    read = lambda: tuple(build_fingerprint(corpus, cards(spark, {"id": "k", "lean_decl": "N.S.one"})).first())
+    full = read()
+    assert full[0] == "p1" and full[2] == "2"
+    corpus.mapping = corpus.mapping.limit(0)
+    bare = read()
+    assert bare[2] == "2" and bare[1] != full[1]
+    corpus.claims = corpus.claims.limit(0)
+    legacy = read()
+    corpus.symbols = corpus.symbols.unionByName(symbols(spark, {"id": "s"}).withColumn("raw", F.lit("{}")), allowMissingColumns=True)
+    assert legacy[2] == "1" and read() == legacy  # version 1 covers id, declarations and files alone
+
+
+def test_published_papers_keep_their_first_time(spark):
+    papers_ = small_corpus(spark).papers
+    once = first_artifacts(papers_, F.lit("2024-01-01T00:00:00Z"))
+    assert found(first_artifacts(once, F.lit("2025-01-01T00:00:00Z")), "id", "first_artifact_at") == [("p1", "2024-01-01T00:00:00Z")]
+
+
 def test_first_finding_is_first_in_the_list(spark):
     cl = claims(spark, {"id": "c2", "status": "odd"}, {"id": "c10", "status": "odd"}, {"id": "c1"}, {"id": None, "status": "odd"})
     linked = claims(spark, {"id": "b", "linked_symbols": ["x"]}, {"id": "a", "linked_symbols": ["x"]}).withColumn("paper_id", F.lit("p0"))

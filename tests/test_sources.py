@@ -127,6 +127,23 @@ def test_export_and_partition_overwrite(spark, root):
     assert found(spark.read.parquet(str(root / "y")), "paper_id", "v") == [("p1", 1), ("p2", 9)]
 
 
+def test_versions_are_whole(spark, root):
+    path = str(root / "versions of")
+    assert export.versions(spark, path).count() == 0
+    with pytest.raises(ValueError):
+        export.read_version(spark, path)
+    df = spark.createDataFrame([("p1", 1), ("p2", 2)], "paper_id string, v int")
+    old = export.commit_version({"a": df, "b": df.where("v = 1")}, path)
+    broken = df.withColumn("v", F.expr("CASE WHEN v = 2 THEN raise_error('executor gone') ELSE 9 END").cast("int"))
+    with pytest.raises(Exception, match="executor gone"):
+        export.commit_version({"a": df.withColumn("v", F.lit(7)), "b": broken}, path)
+    held = export.read_version(spark, path)
+    assert {k: found(x, "paper_id", "v") for k, x in held.items()} == {"a": [("p1", 1), ("p2", 2)], "b": [("p1", 1)]}
+    export.commit_version({"a": held["a"].withColumn("v", F.col("v") + 1)}, path)  # reads what it replaces
+    assert {k: found(x, "v") for k, x in export.read_version(spark, path).items()} == {"a": [(2,), (3,)]}
+    assert sorted(export.read_version(spark, path, old)) == ["a", "b"] and export.versions(spark, path).count() == 2
+
+
 def test_salvage_reasons(spark):
     df = spark.createDataFrame([('```json\n{"k": 1}\n```',), ("none",), ("{bad}",), ('a {"k": 2} b',)], "t string")
     got = [(r["parsed"] and r["parsed"]["k"], r["reason"]) for r in entities.salvage_json(df, "t", "k int").collect()]
