@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 
@@ -103,6 +104,29 @@ def licences(text: str | None, base: list[tuple[str, str]]) -> tuple:
     return len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(labels))
 
 
+def licence_labels(docs: list[tuple], library: list[tuple], least: float) -> list[tuple]:
+    """(id, labels, score): every template tried at every offset of every text."""
+    texts = [(i, [w.encode() for w in plain_words(t)]) for i, t in docs]
+    held = [set(words) for _, words in texts]
+    vocabulary = {w for _, words, _, _ in library for w in words}
+    idf = {w: math.log((len(docs) + 1) / (sum(w in h for h in held) + 1)) + 1 for w in vocabulary}
+    out = []
+    for i, words in texts:
+        labels, best = set(), 0.0
+        for label, own, phrases, _ in library:
+            must = [(n, p) for p in phrases for n in [next(k for k in range(len(own)) if list(own[k : k + len(p)]) == p)]]
+            whole = sum(idf[w] for w in own)
+            for at in range(1 - len(own), len(words)):
+                here = lambda k: words[at + k] if 0 <= at + k < len(words) else None  # noqa: E731, B023
+                if all(here(n + k) == w for n, p in must for k, w in enumerate(p)):
+                    score = sum(idf[w] for k, w in enumerate(own) if here(k) == w) / whole
+                    if score >= least:
+                        labels.add(label)
+                        best = max(best, min(score, 1.0))
+        out.append((i, ",".join(sorted(labels)), round(best, 9)))
+    return out
+
+
 def tokens(docs: list[tuple[int, str | None]], tokenizer, end_id: int = 2) -> list[tuple]:
     """(doc_id, start, n_tokens, ids_crc32) in order of the id."""
     out, start = [], 0

@@ -175,6 +175,31 @@ def test_licenses(spark, odd):
     assert licenses.scan(odd.limit(0)).count() == 0
 
 
+NOTICES = [
+    ("SPDX-License-Identifier: MIT", "mit-notice"),
+    ("// SPDX-License-Identifier: GPL-2.0-only", "gpl-2.0"),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy", "mit-grant"),
+    ("Distributed under the Boost Software License, Version 1.0.", "bsl-1.0"),
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "gpl,gpl-3.0"),
+    ("Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.", "apache,apache-2.0"),
+    ("version 2 0 of the apache licence; permission is granted", ""),
+    ("Apache License Version 2.0", "apache"),  # the base phrase alone; the notice needs more of its words
+    ("the gnu lesser general public license", "gpl,lgpl"),  # the base phrase stands in it
+]
+
+
+def test_licence_labels(spark, odd):
+    notices = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(NOTICES)], "doc_id long, text string")
+    known = licenses.all_templates()
+    for docs in (notices, odd.where("text not like 'w0 %' or text is null"), given(spark).where("length(text) < 1500")):
+        for least in (licenses.LEAST, 0.3):
+            got = licenses.summary(licenses.scan(docs, least=least)).select("doc_id", "labels", "score").collect()
+            want = brute.licence_labels(plain(docs), known, least)
+            assert sorted(((i, lab, round(s, 9)) for i, lab, s in got), key=key) == sorted(want, key=key)
+    got = {r["doc_id"]: r["labels"] for r in licenses.summary(licenses.scan(notices)).collect()}
+    assert {NOTICES[i][0]: got[i] for i in got} == dict(NOTICES)
+
+
 def test_token_records(spark, odd, tmp_path):
     from tokenizers import Tokenizer
 
