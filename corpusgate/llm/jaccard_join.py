@@ -366,22 +366,25 @@ def deduplicated(
     names = docs.columns
     name, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     content = [F.xxhash64(F.lit(k), text.isNull(), text).alias(f"r{k}") for k in (1, 2)]  # 128 bits that tell texts apart
-    keyed = docs.withColumn("__row", F.struct(name.isNull().alias("none"), name.alias("id"), *content))
-    found = linked(keyed.select("__row", text.alias("__text")), "__row", "__text", words, percent)
-    counted = found.where("n_shingles > 0").groupBy("__row", "component_id").agg(F.count("*").alias("n"))
-    stays = F.col("__row") == F.col("component_id")
-    counted = durable(counted.select("__row", stays.alias("stays"), "n").where("not stays or n > 1"), "jaccard-gone")
-    gone, repeated = counted.where("not stays").select("__row"), counted.where("stays").select("__row")
+    row = "__row"
+    while row.lower() in {x.lower() for x in names}:  # a user's column of that name stays
+        row += "_"
+    keyed = docs.withColumn(row, F.struct(name.isNull().alias("none"), name.alias("id"), *content))
+    found = linked(keyed.select(row, text.alias("__text")), row, "__text", words, percent)
+    counted = found.where("n_shingles > 0").groupBy(row, "component_id").agg(F.count("*").alias("n"))
+    stays = F.col(row) == F.col("component_id")
+    counted = durable(counted.select(row, stays.alias("stays"), "n").where("not stays or n > 1"), "jaccard-gone")
+    gone, repeated = counted.where("not stays").select(row), counted.where("stays").select(row)
 
     def sized(rows: DataFrame, n: int) -> DataFrame:
         return F.broadcast(rows) if n <= BROADCAST_IDS else rows  # an id and 17 bytes; beyond that Spark shuffles both sides
 
-    kept = keyed.join(sized(gone, gone.count()), "__row", "left_anti")
+    kept = keyed.join(sized(gone, gone.count()), row, "left_anti")
     n = repeated.count()
     if n:  # equal ids with equal texts
         plain = [F.col(f"`{f.name}`") for f in docs.schema if not re.search("map<|variant", f.dataType.simpleString())]
         rest = F.xxhash64(*(c for x in plain for c in (x.isNull(), x)))
-        of_many = kept.join(sized(repeated, n), "__row", "left_semi")
-        one = of_many.groupBy("__row").agg(F.min_by(F.struct(*(F.col(f"`{c}`") for c in names)), rest).alias("__one"))
-        kept = kept.join(sized(repeated, n), "__row", "left_anti").drop("__row").unionByName(one.select("__one.*"))
+        of_many = kept.join(sized(repeated, n), row, "left_semi")
+        one = of_many.groupBy(row).agg(F.min_by(F.struct(*(F.col(f"`{c}`") for c in names)), rest).alias("__one"))
+        kept = kept.join(sized(repeated, n), row, "left_anti").drop(row).unionByName(one.select("__one.*"))
     return kept.select(*(F.col(f"`{c}`") for c in names))

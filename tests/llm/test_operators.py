@@ -163,6 +163,15 @@ def test_order_of_frequent_shingles_keeps_results(spark, monkeypatch):
     assert {tuple(r) for r in jaccard_join.linked(docs).collect()} == want
 
 
+def test_deduplication_keeps_columns_named_like_its_own(spark):
+    text = " ".join(f"k{i}" for i in range(30))
+    rows = [(1, text, "a", "n1", "s"), (2, text, "b", "n2", "s"), (3, "other words", "c", "n3", "s"), (3, "other words", "c", "n3", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __row string, __one string, stays string")
+    kept = jaccard_join.deduplicated(docs)
+    assert kept.schema == docs.schema
+    assert sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
+
+
 def test_licenses(spark, odd):
     for docs in (odd, given(spark)):
         got = licenses.summary(licenses.scan(docs)).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels").collect()
