@@ -114,6 +114,9 @@ def dependency_edges(cards: DataFrame, docs: DataFrame, namespace_root: str, kee
     tier 0 for plain mentions and the previous-declaration rule. Only short names that belong to one
     card of the paper are resolved. A body that names its own card gives no edge; ``keep_self`` keeps
     those rows, as they count for the card's extraction method.
+
+    Rows made by exploding a well-compressed file are many more than its size tells, so every join is
+    asked to merge: no side of a row per card goes through the driver as a broadcast.
     """
     held = cards.where(c.not_blank("id") & c.not_blank("lean_decl")).select(
         "paper_id", "pos", F.col("id").alias("card_id"), c.strip("lean_decl").alias("decl"),
@@ -133,8 +136,8 @@ def dependency_edges(cards: DataFrame, docs: DataFrame, namespace_root: str, kee
     body = F.col("s.body")
     bodies = (
         held.where(F.col("path") != "")
-        .join(last.withColumnRenamed("name", "short"), ["path", "short"])
-        .join(alias_lists, "path")
+        .join(last.withColumnRenamed("name", "short").hint("merge"), ["path", "short"])
+        .join(alias_lists.hint("merge"), "path")
         .select(
             "paper_id", "card_id", F.col("short").alias("own"), body.alias("body"), F.col("s.previous").alias("previous"),
             F.array_distinct(F.regexp_extract_all(body, F.lit("[a-zA-Z0-9_']+"), F.lit(0))).alias("tokens"),
@@ -162,22 +165,22 @@ def dependency_edges(cards: DataFrame, docs: DataFrame, namespace_root: str, kee
     targets = unique.select("paper_id", F.col("short").alias("name"), F.lit("short").alias("kind"), "dep").unionByName(
         by_decl.select("paper_id", F.col("decl").alias("name"), F.lit("decl").alias("kind"), "dep")
     )
-    direct = refs.join(targets, ["paper_id", "name", "kind"]).select("paper_id", "card_id", "dep", "tier")
+    direct = refs.join(targets.hint("merge"), ["paper_id", "name", "kind"]).select("paper_id", "card_id", "dep", "tier")
     unfolds = bodies.select(
         "paper_id", "card_id", "own", F.explode(F.regexp_extract_all("body", F.lit(UNFOLD), F.lit(1))).alias("u")
     ).distinct()
     shorts = unique.select("paper_id", "short", "npos")
     matched = similarity.prefix_join(unfolds, "u", shorts, "short", "npos", self_name="own", group=["paper_id"])
     by_unfold = matched.join(
-        unique.select("paper_id", F.col("short").alias("match"), "dep"), ["paper_id", "match"]
+        unique.select("paper_id", F.col("short").alias("match"), "dep").hint("merge"), ["paper_id", "match"]
     ).select("paper_id", "card_id", "dep", F.lit(1).alias("tier"))
     found = direct.unionByName(by_unfold)
     hits = durable(found, "references")
     found = hits.where(F.col("dep") != F.col("card_id"))
-    lonely = bodies.join(found.select("paper_id", "card_id").distinct(), ["paper_id", "card_id"], "left_anti")
+    lonely = bodies.join(found.select("paper_id", "card_id").distinct().hint("merge"), ["paper_id", "card_id"], "left_anti")
     ring = (
         lonely.where(c.strip("body").rlike(RING_ONLY))
-        .join(unique.select("paper_id", F.col("short").alias("previous"), "dep"), ["paper_id", "previous"])
+        .join(unique.select("paper_id", F.col("short").alias("previous"), "dep").hint("merge"), ["paper_id", "previous"])
         .where(F.col("dep") != F.col("card_id"))
         .select("paper_id", "card_id", "dep", F.lit(0).alias("tier"))
     )
@@ -198,7 +201,7 @@ def with_dependencies(cards: DataFrame, edges: DataFrame) -> DataFrame:
     tier = F.coalesce("__tier", F.lit(0)).cast("string")
     return (
         cards.drop("dependency_extraction_method")
-        .join(per_card, ["paper_id", "id"], "left")
+        .join(per_card.hint("merge"), ["paper_id", "id"], "left")
         .withColumn("dependency_ids", F.coalesce("__deps", F.array().cast("array<string>")))
         .withColumn("dependency_extraction_method", F.concat(F.lit("lean_source_regex_tier"), tier))
         .drop("__deps", "__tier")

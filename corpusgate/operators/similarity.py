@@ -455,7 +455,8 @@ def prefix_join(
     """Shortest name of the group that starts with the token (first in list order on ties), never the row's own.
 
     Names are listed under their prefixes of the lengths that tokens have, and each prefix keeps its two
-    best names, limited in the map tasks already, so the match is an equi-join on group and prefix.
+    best names, limited in the map tasks already, so the match is an equi-join on group and prefix. It is
+    asked to merge, as the prefixes are more rows than the size of the names tells.
     """
     lengths = tokens.agg(F.collect_set(F.length(token))).scalar()  # as many numbers as token lengths
     listed = (
@@ -469,7 +470,7 @@ def prefix_join(
     two = ordering.top_k(listed, keys, [F.col("__len"), F.col("__pos"), F.col(name)], 2, "__rank")
     nth = lambda k: F.max(F.when(F.col("__rank") == k, F.col(name)))
     choice = two.groupBy(*keys).agg(nth(1).alias("__b1"), nth(2).alias("__b2"))
-    hits = tokens.withColumn("__prefix", F.col(token)).join(choice, keys)
+    hits = tokens.withColumn("__prefix", F.col(token)).join(choice.hint("merge"), keys)
     match = F.col("__b1")
     if self_name:
         hits = hits.where(~F.col(token).eqNullSafe(F.col(self_name)))

@@ -180,3 +180,18 @@ def test_a_reference_to_itself_counts_for_the_method_only(spark):
     assert found(full, "id", "dependency_ids", "dependency_extraction_method") == [
         ("c0", [], "lean_source_regex_tier0"), ("c1", ["c0"], "lean_source_regex_tier1"),
     ]
+
+
+def test_no_table_of_cards_is_broadcast(spark, monkeypatch, tmp_path):
+    # stored steps would hide their joins from the plan
+    monkeypatch.setattr(d, "durable", lambda df, name: df)
+    cards = spark.createDataFrame(
+        [("p", 0, "c0", "N.a", "f"), ("p", 1, "c1", "N.b", "f")], "paper_id string, pos int, id string, lean_decl string, file_path string"
+    )
+    cards.write.parquet(f"{tmp_path}/cards")
+    docs(spark, "theorem a : T := by simp\ntheorem b : T := by\n  unfold a\n", "f").write.parquet(f"{tmp_path}/docs")
+    cards, texts = spark.read.parquet(f"{tmp_path}/cards"), spark.read.parquet(f"{tmp_path}/docs")
+    full = d.with_dependencies(cards, d.dependency_edges(cards, texts, "N"))
+    assert found(full, "id", "dependency_ids") == [("c0", []), ("c1", ["c0"])]
+    plan = full._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "Broadcast" not in plan
