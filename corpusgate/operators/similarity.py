@@ -351,12 +351,15 @@ def contains_join(
     also contain. A word enclosed by other characters inside the needle is an anchor, the rarest by its
     count in all texts; needles without one use a three-character (or shorter) piece. Only hashes of
     texts and needles travel with the anchors; whole texts are joined once, to the candidates left.
+    Needles and their anchors are stored, so that their true size is known: where they are few, the words
+    and pieces of the texts meet them in place and only hits are shuffled.
     Equal hashes of different texts cost a comparison, never a result.
     """
     fold = (lambda x: F.lower(x)) if ignore_case else (lambda x: x)
-    hay = texts.withColumn("__hay", fold(F.col(text))).withColumn("__hk", F.xxhash64("__hay"))
+    keyed_texts = texts.withColumn("__hk", F.xxhash64(fold(F.col(text))))
+    hay = keyed_texts.select("__hk", fold(F.col(text)).alias("__hay"))
     named = needles.withColumn("__needle", fold(F.col(needle))).where(F.length("__needle") > 0)
-    named = named.withColumn("__nk", F.xxhash64("__needle"))
+    named = durable(named.withColumn("__nk", F.xxhash64("__needle")), "needles")
     inner_words = F.regexp_extract_all(
         "__needle", F.lit(r"(?<=[^A-Za-z0-9])[A-Za-z0-9]+(?=[^A-Za-z0-9])"), F.lit(0)
     )
@@ -366,12 +369,15 @@ def contains_join(
     counts = words.join(wanted.select("__anchor").distinct(), "__anchor", "left_semi").groupBy("__anchor").agg(F.count(F.lit(1)).alias("f"))
     # A word of a needle that no text holds comes first: such a needle occurs nowhere.
     place = F.struct(F.coalesce("f", F.lit(0)).alias("f"), (-F.length("__anchor")).alias("l"), F.col("__anchor").alias("w"))
-    by_word = wanted.join(counts, "__anchor", "left").groupBy("__nk").agg(F.min(place)["w"].alias("__anchor"))
+    by_word = durable(wanted.join(counts, "__anchor", "left").groupBy("__nk").agg(F.min(place)["w"].alias("__anchor")), "anchors")
     word_hits = words.join(by_word, "__anchor").select("__hk", "__nk")
 
     sized = keyed.where(F.size("__words") == 0).withColumn("__width", F.least(F.length("__needle"), F.lit(3)))
-    sized = sized.select("__nk", "__width", F.col("__needle").substr(F.lit(1), F.col("__width")).alias("__anchor")).distinct()
-    piece_texts = hay.where(sized.exists()).select("__hk", "__hay", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("__width"))
+    sized = durable(
+        sized.select("__nk", "__width", F.col("__needle").substr(F.lit(1), F.col("__width")).alias("__anchor")).distinct(), "anchors"
+    )
+    widths = sized.agg(F.collect_set("__width")).scalar()  # some of 1, 2 and 3
+    piece_texts = hay.select("__hk", "__hay", F.explode(widths).alias("__width"))
     # Characters are split once, so building the pieces is linear in the text.
     char = lambda i: F.coalesce(F.get(F.col("__chars"), i), F.lit(""))
     pieces = F.transform(
@@ -389,8 +395,8 @@ def contains_join(
         .select("__hk", "__nk")
     )
     candidates = word_hits.unionByName(piece_hits).distinct()
-    both = hay.join(candidates, "__hk").join(named, "__nk")
-    return both.where(F.contains("__hay", F.col("__needle"))).drop("__hk", "__nk", "__hay", "__needle")
+    both = keyed_texts.join(candidates, "__hk").join(named, "__nk")
+    return both.where(F.contains(fold(F.col(text)), F.col("__needle"))).drop("__hk", "__nk", "__needle")
 
 
 def search_rows(rows: DataFrame, fields: Sequence[str], queries: DataFrame, query: str) -> DataFrame:

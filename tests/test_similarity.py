@@ -206,3 +206,12 @@ def test_path_owner_then_declared_namespace(spark):
     pre = spark.createDataFrame([("A.B", "p1", 0), ("Q.R", "p2", 1), ("A.B.C", "p3", 2)], "ns string, owner string, pos int")
     got = s.path_prefix_join(files, "path", pre, "ns", "owner", "pos", extension="lean", text="text")
     assert sorted((r["path"], r["owner"]) for r in got.collect()) == [("A/B.lean", "p1"), ("A/B/C.lean", "p1"), ("A/Bx.lean", "p2"), ("T.lean", None)]
+
+
+def test_pieces_of_texts_are_not_shuffled_to_few_needles(spark):
+    hay = spark.createDataFrame([(1, "a gas line"), (2, "linen"), (3, "none")], "i int, text string")
+    needles = spark.createDataFrame([(1, "line"), (2, "gas"), (3, "a gas l")], "j int, needle string")
+    out = s.contains_join(hay, "text", needles, "needle")
+    assert found(out, "i", "j") == [(1, 1), (1, 2), (1, 3), (2, 1)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(__width" not in plan and "hashpartitioning(__anchor" not in plan
