@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +16,13 @@ from corpusgate.session import durable
 
 # --- near duplicates --------------------------------------------------------------------------
 
+#: Rows of ids that may be broadcast, counted first; beyond it Spark shuffles both sides.
+BROADCAST_IDS = 1_000_000
+#: Bits of the slot of a token hash: a fixed table of that many slots says how frequent a slot's tokens are.
+SLOT_BITS = 22
+#: Words of 64 parity bits of a set; members of a family that meet in one cell; sets that one verifying group holds.
+PARITY_WORDS, FAMILY_CELL, GROUP_SETS = 16, 256, 2_000
+
 
 def token_classes(
     rows: DataFrame,
@@ -33,7 +41,7 @@ def token_classes(
         F.size("tokens") > 0
     )
     key = F.concat_ws("\u0001", F.to_json(F.struct(F.lit(0), *block)), F.array_join("tokens", " "))
-    sets = durable(sets.withColumn("digest", F.sha2(key, 256)), "token-sets")
+    sets = durable(sets.withColumn("digest", F.sha2(key, 256)), "token-sets", "zstd")
     reps = (
         sets.groupBy("digest")
         .agg(F.min("row_id").alias("class_id"), F.count(F.lit(1)).alias("n"))
@@ -41,29 +49,77 @@ def token_classes(
     )
     members = sets.select("row_id", "digest").join(reps, F.col("digest") == F.col("__digest"))
     members = members.select("row_id", "class_id")
-    heads = reps.select(F.col("class_id").alias("row_id"), "n")
-    classes = sets.drop("digest").join(heads, "row_id").withColumnRenamed("row_id", "class_id")
-    classes = durable(classes, "classes")
-    return classes, members
+    # Eight bytes of the digest tell apart the texts of one id.
+    heads = reps.where(F.col("class_id").isNotNull()).select(F.col("class_id").alias("row_id"), F.xxhash64("__digest").alias("__d"), "n")
+    heads = durable(heads, "heads")
+    few = heads.count() <= BROADCAST_IDS
+    classes = sets.withColumn("__d", F.xxhash64("digest")).join(F.broadcast(heads) if few else heads, ["row_id", "__d"])
+    classes = classes.drop("digest", "__d").withColumnRenamed("row_id", "class_id")
+    return (classes if few else durable(classes, "classes", "zstd")), members
 
 
-def rare_first(classes: DataFrame) -> DataFrame:
-    """``(class_id, ordered)``: the token hashes of each class from rare to common, by exact counts.
+def _levels(classes: DataFrame) -> bytes:
+    """How frequent the tokens of each slot of hashes are: a byte a slot, 0 where each has one holder.
 
-    The counts are pre-aggregated; a token that many classes hold is dealt in salted parts when its
-    count goes back to its holders, so no task has all holders of a hot token.
+    Counts are exact and pre-aggregated. The table has a fixed size, however many tokens there are, and
+    only decides their order.
     """
-    salts = 32
-    tokens = classes.select("class_id", F.explode("tokens").alias("tok")).select("class_id", F.xxhash64("tok").alias("tok"))
+    tokens = classes.select(F.explode("tokens").alias("tok")).select(F.xxhash64("tok").alias("tok"))
     counts = tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
-    dealt = counts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    keyed = tokens.withColumn("salt", F.pmod(F.xxhash64("class_id"), F.lit(salts)))
-    ranked = keyed.join(dealt, ["tok", "salt"], "left").select(
-        "class_id", F.struct(F.coalesce("f", F.lit(1)).alias("f"), F.col("tok").alias("h")).alias("place")
+    slots = counts.groupBy(F.shiftrightunsigned("tok", 64 - SLOT_BITS).cast("int").alias("slot")).agg(
+        F.floor(F.log2(F.max("f")) * 4).cast("short").alias("level")
     )
-    # One list per class, no longer than its own token set.
-    ordered = ranked.groupBy("class_id").agg(F.sort_array(F.collect_list("place")).alias("places"))
-    return ordered.select("class_id", F.transform("places", lambda s: s["h"]).alias("ordered"))
+    found = slots.toArrow()
+    levels = np.zeros(1 << SLOT_BITS, np.uint8)
+    levels[found["slot"].to_numpy()] = np.minimum(found["level"].to_numpy(), 255)
+    return levels.tobytes()
+
+
+def _ordered(classes: DataFrame, keep: Sequence[Column] = (), share: float | None = None) -> DataFrame:
+    """``(class_id, keep.., size, ordered, parity)``: token hashes of each class from rare to common, cut in place.
+
+    Of a set of ``n`` the first ``n - ceil(share * n) + 1`` are kept, all without ``share``. ``parity`` has
+    a bit for each remainder of hashes by ``64 * PARITY_WORDS``: whether the set has an odd number of them.
+    Nothing is shuffled but the counts behind the order.
+    """
+    levels = classes.sparkSession.sparkContext.broadcast(_levels(classes))
+    bits, words = SLOT_BITS, PARITY_WORDS
+    hashed = classes.select("class_id", *keep, F.transform("tokens", lambda x: F.xxhash64(x)).alias("hashes"))
+    kept = hashed.columns[:-1]
+    schema = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in hashed.schema.fields[:-1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.frombuffer(levels.value, np.uint8)
+        for batch in batches:
+            lists = batch.column("hashes")
+            key = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            n = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            starts = np.concatenate([[0], np.cumsum(n)])
+            own = np.repeat(np.arange(len(n)), n)
+            by = np.lexsort((key, table[key >> np.uint64(64 - bits)], own))
+            most = n if share is None else np.minimum(n, n - np.ceil(share * n - 1e-9).astype(np.int64) + 1)
+            first = by[np.arange(len(key)) - starts[own] < most[own]]
+            bit = own * (words * 64) + (key % np.uint64(words * 64)).astype(np.int64)
+            odd = (np.bincount(bit, minlength=len(n) * words * 64) & 1).astype(np.uint8)
+            parity = np.packbits(odd, bitorder="little").view(np.int64)
+            cut = np.concatenate([[0], np.cumsum(most)])
+            columns = [batch.column(x) for x in kept] + [
+                pa.array(n.astype(np.int32)),
+                pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(key[first].view(np.int64))),
+                pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * words, pa.int32()), pa.array(parity)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "size", "ordered", "parity"])
+
+    return hashed.mapInArrow(run, f"{schema}, size int, ordered array<bigint>, parity array<bigint>")
+
+
+def rare_first(classes: DataFrame) -> DataFrame:
+    """``(class_id, ordered)``: the token hashes of each class from rare to common, by exact counts.
+
+    The counts meet the sets as a table of fixed size, so no posting is shuffled. Tokens that share a slot
+    of it with a more frequent one come as late as that one; the order is the same for all classes.
+    """
+    return _ordered(classes).select("class_id", "ordered")
 
 
 def near_duplicate_classes(
@@ -71,70 +127,63 @@ def near_duplicate_classes(
 ) -> DataFrame:
     """Class pairs with Jaccard >= ``threshold`` in a block, plus one row per class of copies.
 
-    Exact. Tokens are put in one rare-first order by their exact counts; two sets can only reach the
-    threshold if they share one of their first ``n - ceil(t*n) + 1`` tokens, so only that prefix is
-    joined. Prefix tokens held by one class are dropped. The holders of a popular token are dealt into
-    cells of about ``cell`` classes, and each two cells meet under a key of their own, so no key
-    compares more than ``cell`` * ``cell`` pairs. The join keeps pairs of fitting sizes whose places of
-    the token leave room for enough shared tokens; each pair is then bounded by how many prefix tokens
-    it shares and where the last one stands, which leaves few pairs to verify on the whole sets.
-    ``n_pairs`` is the number of row pairs a class pair stands for.
+    Exact. Tokens are put in one rare-first order; two sets can only reach the threshold if they share one
+    of their first ``n - ceil(t*n) + 1`` tokens, and the first token they share leaves room for enough shared
+    ones behind it in both. Only pairs with such a token are kept; for that the smaller set needs no more
+    than its first ``n - ceil(2t/(1+t)*n) + 1`` tokens. The holders of a popular token are dealt into cells
+    of about ``cell`` classes, and each two cells meet under a key of their own, so no key compares more
+    than ``cell`` * ``cell`` pairs. Parity bits of both sets then bound how many tokens they do not share,
+    which leaves few pairs to verify on whole sets: up to ``BROADCAST_IDS`` sets the bits are broadcast, so no
+    other pair is shuffled. ``n_pairs`` is the number of row pairs a class pair stands for.
     """
     t = F.lit(float(threshold))
-    ranked = classes.select("class_id", *block, F.size("tokens").alias("size")).join(rare_first(classes), "class_id")
-    # The small slack keeps t*n from rounding up past an exact bound.
-    keep = (F.col("size") - F.ceil(t * F.col("size") - F.lit(1e-9)) + 1).cast("int")
     block_key = F.xxhash64(*block) if block else F.lit(0).cast("long")
-    postings = durable(
-        ranked.select(
-            "class_id", block_key.alias("blk"), "size", F.posexplode(F.slice("ordered", F.lit(1), keep)).alias("at", "tok")
-        ),
-        "postings",
-    )
+    # Tells classes apart, also where two texts share an id.
+    keyed = classes.withColumn("__key", F.xxhash64("class_id", block_key, "tokens"))
+    ranked = _ordered(keyed, [F.col("__key"), block_key.alias("blk")], threshold).drop("class_id")
+    words = [F.col("parity")[i].alias(f"v{i}") for i in range(PARITY_WORDS)]
+    ranked = ranked.select(F.monotonically_increasing_id().alias("class_id"), "__key", "blk", "size", "ordered", *words)
+    ranked = durable(ranked, "prefixes", "zstd")
+    # A token's hash takes in its block; equal hashes of different ones cost a comparison, never a result.
+    exploded = ranked.select("class_id", "blk", "size", F.posexplode("ordered").alias("at", "tok"))
+    postings = exploded.select("class_id", F.lit(0).cast("long").alias("blk"), "size", "at", F.xxhash64("blk", "tok").alias("tok"))
     left, right = _triangle(postings, cell)
-    need = F.ceil(t / (F.lit(1.0) + t) * (F.col("na") + F.col("nb")) - F.lit(1e-9))
-    size_ok = F.least("na", "nb") >= t * F.greatest("na", "nb") - F.lit(1e-9)
-    room = F.least("pa", "pb") + 1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
-    matched = (
-        left.join(right, ["blk", "tok", "low", "high"])
-        .where(((F.col("low") < F.col("high")) | (F.col("a") < F.col("b"))) & size_ok & (room >= need))
-        .select(
-            "tok",
-            F.struct(F.col("a").alias("id"), F.col("na").alias("n"), F.col("pa").alias("p")).alias("x"),
-            F.struct(F.col("b").alias("id"), F.col("nb").alias("n"), F.col("pb").alias("p")).alias("y"),
-        )
-        .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-        .select(*[F.col(f"{side}.{f}").alias(name) for side, names in (("x", ("a", "na", "pa")), ("y", ("b", "nb", "pb"))) for f, name in zip(("id", "n", "p"), names)])
-        .groupBy("a", "b")
-        .agg(
-            F.count(F.lit(1)).alias("k"),
-            *[F.max(x).alias(x) for x in ("na", "nb", "pa", "pb")],
-        )
-    )
-    # Shared tokens that were not counted stand after the last counted one in both sets, and all of
-    # them lie behind the prefix of at least one set.
-    behind = lambda n: F.ceil(t * F.col(n) - F.lit(1e-9)) - 1
-    after_last = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
-    rest = F.least(F.greatest(behind("na"), behind("nb")), after_last)
-    candidates = matched.where(F.col("k") + rest >= need).select("a", "b", "na", "nb")
-    sets_a = classes.select(
-        F.col("class_id").alias("a"), F.col("tokens").alias("ta"), F.col("n").alias("n_a"), *block
-    )
-    sets_b = classes.select(
-        F.col("class_id").alias("b"), F.col("tokens").alias("tb"), F.col("n").alias("n_b"),
-        *[F.col(x).alias(f"__b_{x}") for x in block],
+    # The small slack keeps a bound from rounding up past an exact one.
+    need = lambda total: F.ceil(t / (F.lit(1.0) + t) * total - F.lit(1e-9))
+    na, nb = F.col("na"), F.col("nb")
+    # In one cell the smaller set stands on the left; cells of a popular token meet once, whichever set is smaller.
+    apart_cells = F.col("low") < F.col("high")
+    once = apart_cells | (na < nb) | ((na == nb) & (F.col("a") < F.col("b")))
+    room = F.least(na - F.col("pa"), nb - F.col("pb")) >= need(na + nb)
+    met = (
+        left.where(apart_cells | (na - F.col("pa") >= need(na + na)))
+        .join(right.hint("merge"), ["blk", "tok", "low", "high"])  # postings are more rows than their files' size tells
+        .where(once & (F.least(na, nb) >= t * F.greatest(na, nb) - F.lit(1e-9)) & room)
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (na + nb).alias("total"))
     )
+    few = ranked.count() <= BROADCAST_IDS
+    if not few:
+        met = met.distinct()
+    bits = [ranked.select(F.col("class_id").alias(x), *[F.col(f"v{i}").alias(f"{x}{i}") for i in range(PARITY_WORDS)]) for x in ("a", "b")]
+    for x, side in zip(("a", "b"), bits):
+        met = met.join(F.broadcast(side) if few else side, x)
+    apart = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(PARITY_WORDS)), F.lit(0))
+    candidates = durable(met.where(F.col("total") - apart >= 2 * need(F.col("total"))).select("a", "b").distinct(), "candidates")
+    similar = _verified(candidates, ranked.select("class_id", "__key"), keyed, threshold)
+    ends = [
+        keyed.select(F.col("__key").alias(f"__k{x}"), F.struct(F.col("class_id").alias("id"), "n", *block).alias(x))
+        for x in ("a", "b")
+    ]
+    joined = similar.join(ends[0], "__ka").join(ends[1], "__kb")
     same_block = F.lit(True)
     for x in block:
-        same_block = same_block & F.col(x).eqNullSafe(F.col(f"__b_{x}"))
-    pairs = (
-        candidates.join(sets_a, "a")
-        .join(sets_b, "b")
-        .where(same_block)
-        .withColumn("shared", F.size(F.array_intersect("ta", "tb")))
-        .withColumn("similarity", F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared")))
-        .where(F.col("similarity") >= t)
-        .select("a", "b", *block, "similarity", "n_a", "n_b", (F.col("n_a") * F.col("n_b")).alias("n_pairs"))
+        same_block = same_block & F.col(f"a.{x}").eqNullSafe(F.col(f"b.{x}"))
+    flip = F.col("b.id") < F.col("a.id")
+    first = lambda f: F.when(flip, F.col(f"b.{f}")).otherwise(F.col(f"a.{f}"))
+    other = lambda f: F.when(flip, F.col(f"a.{f}")).otherwise(F.col(f"b.{f}"))
+    pairs = joined.where(same_block & (F.col("a.id") != F.col("b.id"))).select(
+        first("id").alias("a"), other("id").alias("b"), *[F.col(f"a.{x}").alias(x) for x in block], "similarity",
+        first("n").alias("n_a"), other("n").alias("n_b"), (F.col("a.n") * F.col("b.n")).alias("n_pairs"),
     )
     copies = classes.where("n > 1").select(
         F.col("class_id").alias("a"),
@@ -148,24 +197,73 @@ def near_duplicate_classes(
     return pairs.unionByName(copies)
 
 
+def _verified(candidates: DataFrame, numbered: DataFrame, keyed: DataFrame, threshold: float) -> DataFrame:
+    """``(__ka, __kb, similarity)`` of the candidate pairs that reach the threshold on their whole sets.
+
+    Both classes of a pair go to the smallest neighbour of either, so a family of near copies meets once and
+    a set is shipped once a family, not once a pair. Members of a large family are dealt into cells of about
+    ``FAMILY_CELL``, and each two cells meet apart. Sets are compared as 64-bit hashes of their tokens.
+    """
+    both = candidates.union(candidates.select("b", "a"))
+    home = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("home")).withColumnRenamed("a", "class_id")
+    home = durable(home, "homes")
+    few = home.count() <= BROADCAST_IDS
+    small = (lambda df: F.broadcast(df)) if few else (lambda df: df)
+    at = [home.select(F.col("class_id").alias(x), F.col("home").alias(f"h{x}")) for x in ("a", "b")]
+    housed = candidates.join(small(at[0]), "a").join(small(at[1]), "b").select("a", "b", F.least("ha", "hb").alias("home"))
+    sizes = home.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / F.lit(FAMILY_CELL)).cast("int").alias("cells")).where("cells > 1")
+    housed = housed.join(sizes, "home", "left").withColumn("cells", F.coalesce("cells", F.lit(1)))
+    dealt = [F.pmod(F.xxhash64(x), F.col("cells")).cast("int") for x in ("a", "b")]
+    meeting = F.xxhash64("home", F.least(*dealt), F.greatest(*dealt))
+    housed = durable(housed.select("a", "b", meeting.alias("meeting")), "meetings")
+    roles = housed.select("meeting", F.col("a").alias("class_id")).union(housed.select("meeting", "b")).distinct()
+    roles = durable(roles, "roles")
+    groups = roles.count() // GROUP_SETS + 1
+    group = F.pmod("meeting", F.lit(groups)).cast("int").alias("group")
+    shipped = roles.select(group, "class_id").distinct()
+    wanted = home.select("class_id").join(numbered, "class_id")
+    sets = keyed.drop("class_id").join(small(wanted), "__key")
+    sets = sets.select("class_id", "__key", F.sort_array(F.transform("tokens", lambda x: F.xxhash64(x))).alias("hashes"))
+    shipped = sets.join(shipped, "class_id").select("group", "class_id", "__key", "hashes")
+
+    def compare(pairs: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        where = dict(zip(held["class_id"], range(len(held))))
+        hashes, keys = held["hashes"].to_numpy(), held["__key"].to_numpy()
+        a = np.fromiter(map(where.__getitem__, pairs["a"]), np.int64, len(pairs))
+        b = np.fromiter(map(where.__getitem__, pairs["b"]), np.int64, len(pairs))
+        score = np.zeros(len(pairs))
+        for i, (x, y) in enumerate(zip(hashes[a], hashes[b])):
+            place = np.searchsorted(x, y)
+            shared = np.count_nonzero(x[np.minimum(place, len(x) - 1)] == y)
+            score[i] = shared / (len(x) + len(y) - shared)
+        good = score >= threshold
+        return pd.DataFrame({"__ka": keys[a[good]], "__kb": keys[b[good]], "similarity": score[good]})
+
+    pairs = housed.select(group, "a", "b")
+    found = pairs.groupBy("group").cogroup(shipped.groupBy("group")).applyInPandas(compare, "__ka long, __kb long, similarity double")
+    # A class that stands in several rows of ``keyed`` was numbered as often.
+    return found.select(F.least("__ka", "__kb").alias("__ka"), F.greatest("__ka", "__kb").alias("__kb"), "similarity").distinct()
+
+
 def _triangle(postings: DataFrame, cell: int) -> tuple[DataFrame, DataFrame]:
     """Both sides of the join of ``postings`` with itself, keyed by ``(blk, tok, low, high)``.
 
     A holder in cell ``c`` of ``n`` stands on the left of the cell pairs ``(c, c..n-1)`` and on the
-    right of ``(0..c, c)``, so each two holders of a token meet once.
+    right of ``(0..c, c)``, so each two holders of a token meet once. Tokens of more than one cell are at
+    most one in ``cell`` of the postings, so they are broadcast; others stay whole.
     """
-    shared = (
+    hot = (
         postings.groupBy("blk", "tok")
-        .agg(F.ceil(F.count(F.lit(1)) / F.lit(cell)).cast("int").alias("cells"), F.count(F.lit(1)).alias("held"))
-        .where("held > 1")
-        .drop("held")
+        .agg(F.ceil(F.count(F.lit(1)) / F.lit(cell)).cast("int").alias("cells"))
+        .where("cells > 1")
     )
-    usable = postings.join(shared, ["blk", "tok"]).withColumn("own", F.pmod(F.xxhash64("class_id"), F.col("cells")).cast("int"))
-    left = usable.select(
+    dealt = postings.join(F.broadcast(hot), ["blk", "tok"], "left").withColumn("cells", F.coalesce("cells", F.lit(1)))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("class_id"), F.col("cells")).cast("int"))
+    left = dealt.select(
         "blk", "tok", F.col("own").alias("low"), F.explode(F.sequence("own", F.col("cells") - 1)).alias("high"),
         F.col("class_id").alias("a"), F.col("size").alias("na"), F.col("at").alias("pa"),
     )
-    right = usable.select(
+    right = dealt.select(
         "blk", "tok", F.explode(F.sequence(F.lit(0), "own")).alias("low"), F.col("own").alias("high"),
         F.col("class_id").alias("b"), F.col("size").alias("nb"), F.col("at").alias("pb"),
     )

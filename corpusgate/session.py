@@ -37,15 +37,16 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return spark.conf.get(CHECKPOINT_CONF, None) or fallback or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate"
 
 
-def durable(df: DataFrame, name: str) -> DataFrame:
+def durable(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read it back.
 
     Used where an intermediate is read several times: the table survives lost executors, cuts the
-    lineage and, unlike an RDD checkpoint, keeps column pruning and vectorised reads.
+    lineage and, unlike an RDD checkpoint, keeps column pruning and vectorised reads. ``codec`` is the
+    compression of large ones; without it the session's is used.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/corpusgate/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -215,3 +215,33 @@ def test_pieces_of_texts_are_not_shuffled_to_few_needles(spark):
     assert found(out, "i", "j") == [(1, 1), (1, 2), (1, 3), (2, 1)]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(__width" not in plan and "hashpartitioning(__anchor" not in plan
+
+
+def test_order_of_tokens_shuffles_no_posting(spark):
+    """The counts come as a table of fixed size; sets are put in order where they stand."""
+    classes = spark.createDataFrame([(1, ["a", "b", "c"]), (2, ["b", "c"]), (3, ["c", "d"])], "class_id int, tokens array<string>")
+    out = s.rare_first(classes)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    code = {r["t"]: r["h"] for r in spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "t string").select("t", F.xxhash64("t").alias("h")).collect()}
+    got = {r["class_id"]: r["ordered"] for r in out.collect()}
+    assert got == {1: [code["a"], code["b"], code["c"]], 2: [code["b"], code["c"]], 3: [code["d"], code["c"]]}
+
+
+@pytest.mark.parametrize("few", [0, 1_000_000])
+def test_families_in_cells_equal_brute_force(spark, monkeypatch, few):
+    """A family of near copies meets in groups and cells; bits and ids are joined where they are too many to broadcast."""
+    monkeypatch.setattr(s, "BROADCAST_IDS", few)
+    monkeypatch.setattr(s, "FAMILY_CELL", 3)
+    monkeypatch.setattr(s, "GROUP_SETS", 4)
+    rnd = random.Random(4)
+    stem = [f"w{i}" for i in range(24)]
+    data = [(i, "g", " ".join(rnd.sample(stem, 22) + [f"own{i}"])) for i in range(40)] + [(100 + i, g, t) for i, g, t in texts(60, 8)]
+    df = spark.createDataFrame(data, "id int, g string, text string")
+    classes, members = s.token_classes(df, "id", ["g"], "text")
+    rows = defaultdict(list)
+    for r in members.collect():
+        rows[r["class_id"]].append(r["row_id"])
+    got = set()
+    for r in s.near_duplicate_classes(classes, ["g"], 0.7, cell=5).collect():
+        got |= {tuple(sorted((i, j))) for i in rows[r["a"]] for j in rows[r["b"]] if i != j}
+    assert got == {tuple(sorted(p)) for p in brute_pairs(data, 0.7)} and len(got) > 300
