@@ -244,11 +244,14 @@ def disputed(claims: DataFrame, width: int = 80) -> DataFrame:
 # --- cross-table checks -----------------------------------------------------------------------
 
 
-def _facts(df: DataFrame, group: Column, row: Column, targets: Sequence[tuple], refs: Sequence[tuple] = (), judged: bool = False) -> DataFrame:
+#: Papers with claims that may be broadcast, counted first.
+BROADCAST_PAPERS = 1_000_000
+
+
+def _facts(df: DataFrame, group: Column, row: Column, targets: Sequence[tuple], refs: Sequence[tuple] = ()) -> DataFrame:
     """Ids and references of one table, in one scan, in the shape of :func:`linking.key_states`.
 
-    ``targets``: (sort, scope, id); ``refs``: (kind, sort, scope, array of ids). ``judged`` rows count only
-    where their paper has claims.
+    ``targets``: (sort, scope, id); ``refs``: (kind, sort, scope, array of ids).
     """
     empty, text = F.array().cast("array<string>"), lambda x: x.cast("string")
 
@@ -262,7 +265,7 @@ def _facts(df: DataFrame, group: Column, row: Column, targets: Sequence[tuple],
     entries += [many(*ref) for ref in refs]
     at = F.col("pos").cast("long") if listed_at(df) else F.lit(None).cast("long")
     return df.select(
-        F.coalesce(text(group), F.lit("")).alias("group_id"), text(row).alias("row_id"), at.alias("pos"), F.lit(judged).alias("judged"),
+        F.coalesce(text(group), F.lit("")).alias("group_id"), text(row).alias("row_id"), at.alias("pos"),
         F.inline(F.concat(*entries)),
     )
 
@@ -335,11 +338,15 @@ def graph_integrity(
 
     Link checks against an empty parent set are skipped, as the strict form is part of
     :func:`normalization_integrity`. Only papers with claims are judged, and only their cards can be
-    depended upon. Each table is read once: its ids and references become rows of one stored table, whose
-    keys are aggregated once; the references of the few keys without an id are then looked up.
+    depended upon: the papers are counted and broadcast up to ``BROADCAST_PAPERS``, and other rows go before they
+    become references. Each table is read once, claims twice: its ids and references become rows of one stored
+    table, whose keys are aggregated once; the references of the few keys without an id are then looked up.
     """
     paper, own, everywhere = F.col("paper_id"), F.col("id"), F.lit("")
     scope = F.coalesce(paper, F.lit(""))
+    with_claims = durable(claims.select(scope.cast("string").alias("__paper")).distinct(), "papers")
+    known = F.broadcast(with_claims) if with_claims.count() <= BROADCAST_PAPERS else with_claims
+    judged = lambda df: df.join(known, scope.cast("string") == F.col("__paper"), "left_semi")
     path = F.when(c.not_blank("lean_decl") & ~c.not_blank("file_path"), F.array(scope))
     facts = union_all(
         [
@@ -348,28 +355,25 @@ def graph_integrity(
                 [("claim assumption", "assumption", scope, F.col("linked_assumptions")), ("claim symbol", "symbol", scope, F.col("linked_symbols"))],
             ),
             _facts(
-                cards, paper, own, [("card", everywhere, own)],
+                judged(cards), paper, own, [("card", everywhere, own)],
                 [
                     ("card claim", "claim", scope, F.array("claim_id")),
                     ("card dependency", "card", everywhere, F.col("dependency_ids")),
                     ("card kernel", "kernel", everywhere, F.col("executable_links")),
                     ("card path", "named mapping", scope, path),
                 ],
-                judged=True,
             ),
             _facts(
-                mapping, paper, paper, [("named mapping", F.when(c.not_blank("namespace"), scope), scope)],
-                [("mapping claim", "claim", scope, F.map_keys("claim_to_decl"))], judged=True,
+                judged(mapping), paper, paper, [("named mapping", F.when(c.not_blank("namespace"), scope), scope)],
+                [("mapping claim", "claim", scope, F.map_keys("claim_to_decl"))],
             ),
-            _facts(manifests, paper, paper, [], [("manifest kernel", "kernel", everywhere, F.col("kernel_index"))], judged=True),
+            _facts(judged(manifests), paper, paper, [], [("manifest kernel", "kernel", everywhere, F.col("kernel_index"))]),
             _facts(kernels, everywhere, own, [("kernel", everywhere, own)], [("kernel card", "card", everywhere, F.col("linked_theorem_cards"))]),
             _facts(assumptions, paper, own, [("assumption", paper, own)]),
             _facts(symbols, paper, own, [("symbol", paper, own)]),
         ]
     )
-    facts = durable(facts, "references")
-    with_claims = facts.where("target = 'claim' and kind is null").select("group_id", F.lit(True).alias("__claimed")).distinct()
-    facts = facts.join(with_claims, "group_id", "left").where("not judged or __claimed").drop("judged", "__claimed")
+    facts = durable(facts, "references", "zstd")
     lost = linking.dangling(facts, ["kernel", "assumption", "symbol"], ["named mapping"])
     message = F.when(F.col("kind") == "card path", F.lit("card without file_path")).otherwise(F.concat("kind", F.lit(" is missing: "), "ref"))
     return violations(lost, "graph_integrity", "group_id", "row_id", message)

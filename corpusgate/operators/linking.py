@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusgate.functions import columns as c
 from corpusgate.operators import ordering
+from corpusgate.session import durable
 
 
 def _present(col: str, dtype: str) -> Column:
@@ -97,11 +98,16 @@ def referring(facts: DataFrame, keys: DataFrame) -> DataFrame:
     return facts.where(F.col("kind").isNotNull()).join(keys, ["ref", "scope", "target"], "left_semi")
 
 
+#: Keys that may be broadcast to their references, the most used ones first.
+BROADCAST_KEYS = 1_000_000
+
+
 def dangling(facts: DataFrame, optional: Sequence[str] = (), unwanted: Sequence[str] = ()) -> DataFrame:
     """References whose key has no id, for many sorts of ids at once.
 
     A sort in ``optional`` is not judged in a scope that has no id of it; of a sort in ``unwanted`` the
-    references are returned that do have one. ``facts`` is read twice, or three times: store it.
+    references are returned that do have one. ``facts`` is read a few times: store it. The keys are stored; the
+    most used ones, ``BROADCAST_KEYS`` at most, are broadcast, so only references of other keys are shuffled.
     """
     keys = key_states(facts.where(c.not_blank("ref"))).where("n_refs > 0")
     wrong = (F.col("n_targets") == 0) != F.col("target").isin(*unwanted)
@@ -110,7 +116,20 @@ def dangling(facts: DataFrame, optional: Sequence[str] = (), unwanted: Sequence[
         stocked = facts.where(F.col("kind").isNull() & F.col("target").isin(*optional) & c.not_blank("ref"))
         stocked = stocked.select("target", "scope").distinct().withColumn("__stocked", F.lit(True))
         keys = keys.join(stocked, ["target", "scope"], "left").where(~F.col("target").isin(*optional) | F.col("__stocked"))
-    return referring(facts, keys)
+    on = ["ref", "scope", "target"]
+    keys = durable(keys.select(*on, "n_refs"), "wrong-keys", "zstd")
+    used = keys.groupBy(F.floor(F.log2("n_refs")).cast("int").alias("power")).count().collect()  # a row a power of two
+    power, held = 62, 0
+    for row in sorted(used, reverse=True):
+        held += row["count"]
+        if held > BROADCAST_KEYS:
+            break
+        power = row["power"]
+    many = F.broadcast(keys.where(F.col("n_refs") >= F.lit(2**power).cast("long")))
+    if held <= BROADCAST_KEYS:
+        return referring(facts, many)
+    others = referring(facts.join(many, on, "left_anti"), keys.where(F.col("n_refs") < F.lit(2**power).cast("long")))
+    return referring(facts, many).unionByName(others)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count: str = "n") -> DataFrame:

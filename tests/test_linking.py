@@ -2,6 +2,7 @@ import random
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+import pytest
 from pyspark.sql import functions as F
 
 from corpusgate.operators import comparing, linking
@@ -183,3 +184,15 @@ def test_dangling_references_of_many_kinds(spark):
     assert linking.dangling(facts).where("ref = 'hot'").count() == 500
     assert ("uses b", "q", "1", "x") in found(linking.dangling(facts), "kind", "scope", "ref", "row_id")
     assert linking.dangling(facts.limit(0), ["b"], ["n"]).count() == 0
+
+
+@pytest.mark.parametrize("most", [0, 2, 100])
+def test_references_of_much_used_keys_are_not_shuffled(spark, monkeypatch, most):
+    """However many of the keys are broadcast, the same references are found; with all of them none is shuffled."""
+    monkeypatch.setattr(linking, "BROADCAST_KEYS", most)
+    rows = [("a", "", f"k{i}", "uses a", "p", f"{i}_{j}") for i in range(8) for j in range(2**i)] + [("a", "", "k5", None, "p", "k5"), ("a", None, "k6", "uses a", "p", "x")]
+    facts = spark.createDataFrame(rows, "target string, scope string, ref string, kind string, group_id string, row_id string")
+    lost = linking.dangling(facts)
+    if most == 100:
+        assert "Exchange hashpartitioning" not in lost._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["row_id"] for r in lost.collect()) == sorted(f"{i}_{j}" for i in range(8) if i != 5 for j in range(2**i))
