@@ -270,6 +270,32 @@ def _facts(df: DataFrame, group: Column, row: Column, targets: Sequence[tuple],
     )
 
 
+#: Sorts of ids in the graph of a corpus, and the kinds of references to them.
+GRAPH_SORTS = ["claim", "assumption", "symbol", "named mapping", "card", "kernel"]
+GRAPH_KINDS = [
+    ("claim assumption", "assumption"), ("claim symbol", "symbol"), ("card claim", "claim"), ("card dependency", "card"), ("card kernel", "kernel"),
+    ("card path", "named mapping"), ("mapping claim", "claim"), ("manifest kernel", "kernel"), ("kernel card", "card"),
+]
+
+
+def _linked(df: DataFrame, group: Column, row: Column, sort: str | None, known: Column | None, refs: Sequence[tuple[str, Column]] = ()) -> DataFrame:
+    """Rows of one table with their references, in the shape of :func:`linking.lost_links`.
+
+    ``sort``: what ``row`` is an id of, where ``known`` holds; ``refs``: (kind, array of ids).
+    """
+    kinds = [kind for kind, _ in GRAPH_KINDS]
+    place = F.lit(GRAPH_SORTS.index(sort) if sort else None).cast("tinyint")
+    place = place if known is None else F.when(known, place)
+    none = F.array().cast("array<string>")
+    lists = [(kinds.index(kind), F.coalesce(ids.cast("array<string>"), none)) for kind, ids in refs]
+    numbers = [F.array_repeat(F.lit(kind).cast("tinyint"), F.size(ids)) for kind, ids in lists]
+    at = F.col("pos").cast("long") if listed_at(df) else F.lit(None).cast("long")
+    return df.select(
+        F.coalesce(group.cast("string"), F.lit("")).alias("group_id"), row.cast("string").alias("row_id"), at.alias("pos"),
+        place.alias("sort"), F.concat(F.array().cast("array<tinyint>"), *numbers).alias("link_kinds"), F.concat(none, *[ids for _, ids in lists]).alias("links"),
+    )
+
+
 def normalization_integrity(claims: DataFrame, assumptions: DataFrame, symbols: DataFrame) -> DataFrame:
     """Ids unique per paper and every assumption and symbol link resolved; each table is read once."""
     paper, own = F.col("paper_id"), F.col("id")
@@ -339,8 +365,9 @@ def graph_integrity(
     Link checks against an empty parent set are skipped, as the strict form is part of
     :func:`normalization_integrity`. Only papers with claims are judged, and only their cards can be
     depended upon: the papers are counted and broadcast up to ``BROADCAST_PAPERS``, and other rows go before they
-    become references. Each table is read once, claims twice: its ids and references become rows of one stored
-    table, whose keys are aggregated once; the references of the few keys without an id are then looked up.
+    are stored. Each table is read once, claims twice: its rows with their references become rows of one stored
+    table. Ids of cards and kernels are known everywhere and aggregated by key; all others are looked up in their
+    paper, by which the stored rows are shuffled once. What is grouped by ``group_id`` and more needs no other shuffle.
     """
     paper, own, everywhere = F.col("paper_id"), F.col("id"), F.lit("")
     scope = F.coalesce(paper, F.lit(""))
@@ -348,33 +375,25 @@ def graph_integrity(
     known = F.broadcast(with_claims) if with_claims.count() <= BROADCAST_PAPERS else with_claims
     judged = lambda df: df.join(known, scope.cast("string") == F.col("__paper"), "left_semi")
     path = F.when(c.not_blank("lean_decl") & ~c.not_blank("file_path"), F.array(scope))
-    facts = union_all(
+    rows = union_all(
         [
-            _facts(
-                claims, paper, own, [("claim", paper, own)],
-                [("claim assumption", "assumption", scope, F.col("linked_assumptions")), ("claim symbol", "symbol", scope, F.col("linked_symbols"))],
-            ),
-            _facts(
-                judged(cards), paper, own, [("card", everywhere, own)],
+            _linked(claims, paper, own, "claim", paper.isNotNull(), [("claim assumption", F.col("linked_assumptions")), ("claim symbol", F.col("linked_symbols"))]),
+            _linked(
+                judged(cards), paper, own, "card", None,
                 [
-                    ("card claim", "claim", scope, F.array("claim_id")),
-                    ("card dependency", "card", everywhere, F.col("dependency_ids")),
-                    ("card kernel", "kernel", everywhere, F.col("executable_links")),
-                    ("card path", "named mapping", scope, path),
+                    ("card claim", F.array("claim_id")), ("card dependency", F.col("dependency_ids")),
+                    ("card kernel", F.col("executable_links")), ("card path", path),
                 ],
             ),
-            _facts(
-                judged(mapping), paper, paper, [("named mapping", F.when(c.not_blank("namespace"), scope), scope)],
-                [("mapping claim", "claim", scope, F.map_keys("claim_to_decl"))],
-            ),
-            _facts(judged(manifests), paper, paper, [], [("manifest kernel", "kernel", everywhere, F.col("kernel_index"))]),
-            _facts(kernels, everywhere, own, [("kernel", everywhere, own)], [("kernel card", "card", everywhere, F.col("linked_theorem_cards"))]),
-            _facts(assumptions, paper, own, [("assumption", paper, own)]),
-            _facts(symbols, paper, own, [("symbol", paper, own)]),
+            _linked(judged(mapping), paper, paper, "named mapping", c.not_blank("namespace"), [("mapping claim", F.map_keys("claim_to_decl"))]),
+            _linked(judged(manifests), paper, paper, None, None, [("manifest kernel", F.col("kernel_index"))]),
+            _linked(kernels, everywhere, own, "kernel", None, [("kernel card", F.col("linked_theorem_cards"))]),
+            _linked(assumptions, paper, own, "assumption", paper.isNotNull()),
+            _linked(symbols, paper, own, "symbol", paper.isNotNull()),
         ]
     )
-    facts = durable(facts, "references", "zstd")
-    lost = linking.dangling(facts, ["kernel", "assumption", "symbol"], ["named mapping"])
+    rows = durable(rows, "references", "zstd", release=True)
+    lost = linking.lost_links(rows, GRAPH_SORTS, GRAPH_KINDS, ["card", "kernel"], ["kernel", "assumption", "symbol"], ["named mapping"])
     message = F.when(F.col("kind") == "card path", F.lit("card without file_path")).otherwise(F.concat("kind", F.lit(" is missing: "), "ref"))
     return violations(lost, "graph_integrity", "group_id", "row_id", message)
 

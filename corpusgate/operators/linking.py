@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusgate.functions import columns as c
@@ -118,6 +118,17 @@ def dangling(facts: DataFrame, optional: Sequence[str] = (), unwanted: Sequence[
         keys = keys.join(stocked, ["target", "scope"], "left").where(~F.col("target").isin(*optional) | F.col("__stocked"))
     on = ["ref", "scope", "target"]
     keys = durable(keys.select(*on, "n_refs"), "wrong-keys", "zstd")
+    many, rest = _most_used(keys)
+    if rest is None:
+        return referring(facts, many)
+    return referring(facts, many).unionByName(referring(facts.join(many, on, "left_anti"), rest))
+
+
+def _most_used(keys: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``keys`` split by ``n_refs``: the most used ones, to be broadcast, and the others if there are any.
+
+    Whole powers of two of ``n_refs`` are broadcast, ``BROADCAST_KEYS`` in all at most. ``keys`` is stored.
+    """
     used = keys.groupBy(F.floor(F.log2("n_refs")).cast("int").alias("power")).count().collect()  # a row a power of two
     power, held = 62, 0
     for row in sorted(used, reverse=True):
@@ -125,11 +136,65 @@ def dangling(facts: DataFrame, optional: Sequence[str] = (), unwanted: Sequence[
         if held > BROADCAST_KEYS:
             break
         power = row["power"]
-    many = F.broadcast(keys.where(F.col("n_refs") >= F.lit(2**power).cast("long")))
-    if held <= BROADCAST_KEYS:
-        return referring(facts, many)
-    others = referring(facts.join(many, on, "left_anti"), keys.where(F.col("n_refs") < F.lit(2**power).cast("long")))
-    return referring(facts, many).unionByName(others)
+    least = F.lit(2**power).cast("long")
+    many = F.broadcast(keys.where(F.col("n_refs") >= least))
+    return many, None if held <= BROADCAST_KEYS else keys.where(F.col("n_refs") < least)
+
+
+def lost_links(
+    rows: DataFrame, sorts: Sequence[str], kinds: Sequence[tuple[str, str]], everywhere: Sequence[str],
+    optional: Sequence[str] = (), unwanted: Sequence[str] = (),
+) -> DataFrame:
+    """What :func:`dangling` finds, for rows of groups whose references mostly stay in their group.
+
+    ``rows`` is stored: ``(group_id, row_id, pos, sort, link_kinds, links)``, a row of a table with the sort of id
+    that its ``row_id`` is (its place in ``sorts``, null for none) and its references, two arrays of one length:
+    the place of each in ``kinds``, which pairs a kind's name with the sort it names, and the id. Ids of the sorts
+    in ``everywhere`` are known to all rows, others to their group. Returns ``(group_id, row_id, pos, kind, ref)``,
+    dealt by ``group_id``: rows are shuffled once, packed, and what is then grouped by ``group_id`` and more is not
+    shuffled again.
+
+    Keys of the sorts in ``everywhere`` are aggregated first. The most used ones without an id are broadcast, the
+    others are sent to the groups that refer to them, once a group, as if an id of the group marked them.
+    """
+    places = lambda names: [sorts.index(x) for x in names]
+    named = F.array(*[F.lit(sorts.index(x)) for _, x in kinds])
+    wide = F.col("sort").isin(*places(everywhere))
+
+    def entries(df: DataFrame) -> DataFrame:
+        """A line for each reference, and with a null ``kind`` for each id, each with its ``sort``."""
+        both = F.arrays_zip(F.concat(F.array((-1 - F.col("sort")).cast("tinyint")), "link_kinds"), F.concat(F.array("row_id"), "links"))
+        lines = df.select("group_id", "row_id", "pos", F.inline(both).alias("kind", "ref")).where(F.col("kind").isNotNull() & c.not_blank("ref"))
+        sort = F.when(F.col("kind") < 0, -1 - F.col("kind")).otherwise(F.get(named, F.col("kind")))
+        return lines.withColumn("sort", sort).withColumn("kind", F.when(F.col("kind") >= 0, F.col("kind")))
+
+    held = rows.where(F.col("sort").isin(*places(x for x in optional if x in everywhere)) & c.not_blank("row_id"))
+    unknown = set(places(everywhere)) & set(places(optional)) - {r["sort"] for r in held.select("sort").distinct().collect()}
+    links = entries(rows).where(wide & ~F.col("sort").isin(*unknown))
+    keys = links.groupBy("ref", "sort").agg(F.max(F.col("kind").isNull()).alias("known"), F.count("kind").alias("n_refs"))
+    keys = keys.where((F.col("n_refs") > 0) & (F.col("known") == F.col("sort").isin(*places(unwanted))))
+    many, rest = _most_used(durable(keys.select("ref", "sort", "n_refs"), "wrong-keys", "zstd", release=True))
+
+    # non-null, so that later expressions over the group leave it the column that it is dealt by
+    group = F.coalesce("group_id", F.lit("")).alias("group_id")
+    dealt = rows.select(group, "row_id", "pos", F.when(~wide, F.col("sort")).alias("sort"), "link_kinds", "links")
+    if rest is not None:
+        asked = links.where(F.col("kind").isNotNull()).join(many, ["ref", "sort"], "left_anti").select("ref", "sort", "group_id")
+        marks = durable(asked.join(rest, ["ref", "sort"], "left_semi").distinct(), "wrong-places", "zstd", release=True)
+        empty = lambda x: F.array().cast(dict(dealt.dtypes)[x]).alias(x)
+        dealt = dealt.unionByName(
+            marks.select(group, F.col("ref").alias("row_id"), F.lit(None).cast("long").alias("pos"), "sort", empty("link_kinds"), empty("links"))
+        )
+    lines = entries(dealt.repartition("group_id"))
+    own = F.max(F.col("kind").isNull())
+    # the finer window first: its order serves the other
+    lines = lines.withColumn("found", own.over(Window.partitionBy("group_id", "sort", "ref")))
+    lines = lines.withColumn("stocked", own.over(Window.partitionBy("group_id", "sort"))).where(F.col("kind").isNotNull())
+    lines = lines.join(many.select("ref", "sort", F.lit(True).alias("often")), ["ref", "sort"], "left")
+    needless = F.col("sort").isin(*places(optional)) & ~F.col("stocked")
+    lost = F.when(wide, F.col("found") | F.col("often").isNotNull()).otherwise((F.col("found") == F.col("sort").isin(*places(unwanted))) & ~needless)
+    name = F.get(F.array(*[F.lit(x) for x, _ in kinds]), F.col("kind"))
+    return lines.where(lost).select("group_id", "row_id", "pos", name.alias("kind"), "ref")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count: str = "n") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def get_session(app: str = "corpusgate", master: str | None = None, **conf: str) -> SparkSession:
@@ -37,19 +38,38 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return spark.conf.get(CHECKPOINT_CONF, None) or fallback or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate"
 
 
-def durable(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
+def durable(df: DataFrame, name: str, codec: str | None = None, release: bool = False) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read it back.
 
     Used where an intermediate is read several times: the table survives lost executors, cuts the
     lineage and, unlike an RDD checkpoint, keeps column pruning and vectorised reads. ``codec`` is the
-    compression of large ones; without it the session's is used.
+    compression of large ones; without it the session's is used. With ``release`` the shuffle files of the
+    write go as soon as it ends, and not when the driver next collects its garbage.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/corpusgate/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path, compression=codec)
+    if release:
+        _write_and_release(df, path, codec)
+    else:
+        df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _write_and_release(df: DataFrame, path: str, codec: str | None) -> None:
+    """Write by a SQL command: Spark cleans up after those, where told to, but not after a DataFrame's writer."""
+    spark = df.sparkSession
+    before = spark.conf.get(CLEANUP_CONF, None)
+    options = f" OPTIONS (compression '{codec}')" if codec else ""
+    spark.conf.set(CLEANUP_CONF, "true")
+    try:
+        spark.sql(f"INSERT OVERWRITE DIRECTORY '{path}' USING parquet{options} SELECT * FROM {{df}}", df=df)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP_CONF)
+        else:
+            spark.conf.set(CLEANUP_CONF, before)
+
+
 def constant_rows(spark: SparkSession, rows: Sequence[tuple], **types: str) -> DataFrame:
     """A small fixed table built inside the JVM; ``types`` names and types the columns."""
     fields = lambda row: [F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, types.items())]

@@ -1,9 +1,14 @@
 from pyspark.sql import functions as F
 
+import glob
+import time
+
 from corpusgate import schemas
 from corpusgate.operators import checks as k
+from corpusgate.operators import linking
 from corpusgate.plans.gates import run_gates
 from corpusgate.plans.publication import Corpus, build_fingerprint, first_artifacts, publish
+from corpusgate.session import CLEANUP_CONF, durable
 from tests.helpers import SPAN, assumptions, cards, claims, found, kernels, manifests, mapping, messages, papers, rows, symbols
 
 
@@ -199,6 +204,45 @@ def test_span_constant_is_complete(spark):
     assert [bool(r[0]) for r in df.orderBy("pos").select(c.span_complete("source_span")).collect()] == [True, False, False]
 
 
+def test_graph_integrity_shuffles_its_rows_once(spark, monkeypatch):
+    """Also where neither papers nor keys are broadcast, and counted by message and row."""
+    monkeypatch.setattr(k, "BROADCAST_PAPERS", 0)
+    monkeypatch.setattr(linking, "BROADCAST_KEYS", 0)
+    cl = claims(spark, {"id": "c1", "linked_assumptions": ["a1", "zz"], "linked_symbols": ["s1", "s2"]}, {"paper_id": None, "id": "c2"})
+    ca = cards(
+        spark, {"id": "k1", "claim_id": "c1", "lean_decl": "d", "file_path": " ", "dependency_ids": ["k1", "nope", "nope", "k9"], "executable_links": ["kern", "bad"]},
+        {"id": "k1", "claim_id": "c2", "dependency_ids": ["nope"]}, {"id": "k2", "paper_id": None, "claim_id": "c2", "dependency_ids": ["k1"]},
+        {"id": "k9", "paper_id": "no_claims", "claim_id": "x"},
+    )
+    out = k.graph_integrity(
+        cl, assumptions(spark, {"id": "a1"}), symbols(spark, {"id": "s1"}), mapping(spark, {"claim_to_decl": {"c1": "d", "c7": "e"}}), ca,
+        manifests(spark, {"kernel_index": ["kern", "missing"]}), kernels(spark, {"id": "kern", "linked_theorem_cards": ["k1", "k9"]}),
+    ).groupBy("message", "group_id", "row_id").count()
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert found(out, "message", "group_id", "row_id", "count") == [
+        ("card claim is missing: c2", "", "k2", 1), ("card claim is missing: c2", "p1", "k1", 1), ("card dependency is missing: k9", "p1", "k1", 1),
+        ("card dependency is missing: nope", "p1", "k1", 3), ("card kernel is missing: bad", "p1", "k1", 1), ("card without file_path", "p1", "k1", 1),
+        ("claim assumption is missing: zz", "p1", "c1", 1), ("claim symbol is missing: s2", "p1", "c1", 1), ("kernel card is missing: k9", "", "kern", 1),
+        ("manifest kernel is missing: missing", "p1", "p1", 1), ("mapping claim is missing: c7", "p1", "p1", 1),
+    ]
+
+
+def test_released_tables_leave_no_shuffle_files(spark):
+    folders = [*spark._jsc.sc().env().blockManager().diskBlockManager().localDirsString()]
+    shuffles = lambda: {p for d in folders for p in glob.glob(f"{d}/**/shuffle_*.data", recursive=True)}
+    before, rows = shuffles(), spark.range(1000).repartition(5, "id")
+    rows.count()
+    assert shuffles() - before  # these stay until garbage is collected
+    before = shuffles()
+    kept = durable(rows, "kept", "zstd", release=True)
+    assert sorted(r[0] for r in kept.collect()) == [*range(1000)]
+    until = time.time() + 20
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert spark.conf.get(CLEANUP_CONF) == "false"
+
+
 def test_graph_integrity_reads_each_table_once(spark):
     frames = [claims(spark, {"id": "c"}), assumptions(spark), symbols(spark), mapping(spark, {"claim_to_decl": {}}), cards(spark), manifests(spark), kernels(spark)]
     out = k.graph_integrity(*frames)

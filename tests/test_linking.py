@@ -196,3 +196,32 @@ def test_references_of_much_used_keys_are_not_shuffled(spark, monkeypatch, most)
     if most == 100:
         assert "Exchange hashpartitioning" not in lost._jdf.queryExecution().executedPlan().toString()
     assert sorted(r["row_id"] for r in lost.collect()) == sorted(f"{i}_{j}" for i in range(8) if i != 5 for j in range(2**i))
+
+
+@pytest.mark.parametrize("most", [0, 3, 100])
+def test_lost_links_are_the_dangling_references(spark, monkeypatch, most):
+    """Rows with their references give what their exploded references give, however many keys are broadcast."""
+    monkeypatch.setattr(linking, "BROADCAST_KEYS", most)
+    rng = random.Random(5)
+    sorts, kinds = ["own", "maybe", "named", "wide", "core"], [("to own", "own"), ("to maybe", "maybe"), ("not named", "named"), ("to wide", "wide"), ("to core", "core")]
+    everywhere, optional, unwanted = ["wide", "core"], ["maybe", "core"], ["named"]
+    ids = [None, "", " ", *"abcdefghij"]
+    rows, facts = [], []
+    for i in range(600):
+        group, sort = rng.choice(["p", "q", "r", "s", "", None]), rng.choice([*range(4), None])
+        group = rng.choice("pq") if sort in (1, 2) else group
+        row, places = rng.choice(ids[:3] if sort == 3 and i % 3 else ids), [rng.randrange(5) for _ in range(rng.randrange(4))]
+        links = [rng.choice([*ids, "wide-only", "hot"]) for _ in places]
+        rows.append((group, row, i, sort, places, links))
+        scope = lambda x, g=group or "": "" if x in everywhere else g
+        facts += [(sorts[sort], scope(sorts[sort]), row, None, group or "", row, i)] if sort is not None else []
+        facts += [(kinds[k][1], scope(kinds[k][1]), ref, kinds[k][0], group or "", row, i) for k, ref in zip(places, links, strict=True)]
+    rows += [("p", "core1", 601, core, [], []) for core in ([4] if most == 3 else [])]
+    facts += [("core", "", "core1", None, "p", "core1", 601)] if most == 3 else []
+    plain = spark.createDataFrame(facts, "target string, scope string, ref string, kind string, group_id string, row_id string, pos long")
+    packed = spark.createDataFrame(rows, "group_id string, row_id string, pos long, sort tinyint, link_kinds array<tinyint>, links array<string>")
+    names = ["group_id", "row_id", "pos", "kind", "ref"]
+    lost = linking.lost_links(packed, sorts, kinds, everywhere, optional, unwanted)
+    want = linking.dangling(plain, optional, unwanted).select(*names)
+    assert lost.columns == names and want.count() > 100
+    assert lost.exceptAll(want).count() == want.exceptAll(lost).count() == 0
